@@ -10,8 +10,6 @@ import json
 from collections.abc import Iterator
 from typing import Any
 
-_decode = json.JSONDecoder(parse_constant=lambda _: None).decode
-
 #: The kinds a leaf can have, from the narrowest up; ties between kinds are settled for the wider.
 KINDS = ("boolean", "number", "array", "string")
 
@@ -22,7 +20,7 @@ def read_record(text: str | None, wraps: int = 3) -> dict | None:
         if not isinstance(text, str) or not text:
             return None
         try:
-            got = _decode(text)
+            got = json.loads(text)
         except (ValueError, RecursionError):
             return None
         if isinstance(got, dict):
@@ -57,3 +55,44 @@ def leaves(value: Any, path: str = "") -> Iterator[tuple[str, Any]]:
             yield path, value
     elif value is not None:
         yield path, value
+
+
+def leaf_kinds(record: dict, names: dict[tuple[str, str], str]) -> dict[str, str | set[str]]:
+    """path -> kind of all leaves, as ``leaves`` gives them; a set where one record holds several kinds at a path.
+
+    ``names`` keeps joined paths between calls; it grows with the schema only.
+    """
+    out: dict[str, str | set[str]] = {}
+
+    def put(path: str, kind: str) -> None:
+        had = out.setdefault(path, kind)
+        if had is not kind:
+            out[path] = (had if isinstance(had, set) else {had}) | {kind}
+
+    def walk(node: dict, base: str) -> None:
+        for k, v in node.items():
+            if v is None:
+                continue
+            path = names.get((base, k))
+            if path is None:
+                path = names[base, k] = f"{base}.{k}" if base else k
+            t = type(v)
+            if t is str:
+                put(path, "string")
+            elif t is bool:
+                put(path, "boolean")
+            elif t is int or t is float:
+                put(path, "number")
+            elif t is dict:
+                walk(v, path)
+            elif v:
+                objects = [x for x in v if type(x) is dict]
+                if objects:
+                    inner = path + "[]"
+                    for x in objects:
+                        walk(x, inner)
+                else:
+                    put(path, "array")
+
+    walk(record, "")
+    return out

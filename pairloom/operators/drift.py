@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.functions.records import KINDS, kind_of, leaves, read_record
+from pairloom.functions.records import KINDS, leaf_kinds, leaves, read_record
 
 #: A version has a path if one in so many of its readable records holds it.
 PRESENT_ONE_IN = 50
@@ -54,17 +54,27 @@ def profile(df: DataFrame, version: str, text: str) -> DataFrame:
     """version, path, kind, n: how many readable records of a version hold a path with a kind; path '' counts the records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter = Counter()
+        by: dict[str, dict] = {}
+        names: dict = {}
         for b in batches:
             for v, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 record = read_record(t)
                 if record is None:
                     continue
-                n[v, "", ""] += 1
-                for p, k in {(p, kind_of(x)) for p, x in leaves(record)}:
-                    n[v, p, k] += 1
-                for p in {p for p, _ in leaves(record)}:
-                    n[v, p, ""] += 1
+                n = by.setdefault(v, defaultdict(int))
+                n["", ""] += 1
+                for item in leaf_kinds(record, names).items():
+                    if type(item[1]) is str:
+                        n[item] += 1
+                    else:  # several kinds at one path: each counts, the path once
+                        n[item[0], ""] -= len(item[1]) - 1
+                        for k in item[1]:
+                            n[item[0], k] += 1
+        for n in by.values():
+            for p, k in list(n):
+                if k:
+                    n[p, ""] += n[p, k]
+        n = {(v, *k): x for v, m in by.items() for k, x in m.items()}
         keys = list(n)
         yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keys], pa.string()) for i in range(3)] + [pa.array([n[k] for k in keys], pa.int64())], names=["version", "path", "kind", "n"])
 
