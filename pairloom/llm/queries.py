@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling
-from pairloom.llm import capping, mixing, splits
+from pairloom.llm import capping, leaks, mixing, splits, tokens
 from pairloom.operators.rank import current_rows
 from pairloom.session import table
 
@@ -105,6 +105,29 @@ def p6_shares(spark: SparkSession, d: str) -> DataFrame:
     return at.groupBy("split_name").agg(F.sum("size").alias("n_samples"), F.count("*").alias("n_groups")).join(table(spark, d, "split_targets"), "split_name", "right").fillna(0, ["n_samples", "n_groups"])
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p7_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, tokens and characters per token of each source."""
+    docs = table(spark, d, "documents")
+    n = tokens.encode(docs, "doc_id", "text").select("doc_id", F.size("ids").alias("n"))
+    joined = n.join(docs.select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).alias("c")), "doc_id")
+    return joined.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_tokens"), F.sum("c").alias("n_chars"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that hold a passage of an item, with the item."""
+    return leaks.find(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Per leaked item: in how many documents, the longest run, and in how many its answer stands too."""
+    found = leaks.find(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"))
+    return found.groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("longest").alias("longest"), F.count_distinct(F.when(F.col("answer_seen"), F.col("doc_id"))).alias("n_with_answer"))
+
+
 _CURRENT = "(SELECT * FROM samples QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)"
 _ASSET = r"nullif(replace(regexp_replace(regexp_replace(lower(regexp_replace(subject_uid, '^\s+|\s+$', '', 'g')), '\.glb$', ''), '^objaverse[:/]', ''), '-', ''), '')"
 _RANKED = f"""(SELECT row_id, asset, sharpness, row_number() OVER (PARTITION BY asset ORDER BY CASE WHEN isnan(sharpness) THEN NULL ELSE sharpness END DESC NULLS LAST, row_id) AS place
@@ -131,4 +154,4 @@ ORACLES = {
     "p4_kept": f"SELECT row_id, asset, sharpness FROM {_RANKED} WHERE asset IS NULL OR place <= {CAP}",
 }
 
-QUERIES = {f.__name__: f for f in (p1_mix, p1_shares, p1_token_shares, p4_found, p4_kept, p4_share, p6_found, p6_splits, p6_shares)}
+QUERIES = {f.__name__: f for f in (p1_mix, p1_shares, p1_token_shares, p4_found, p4_kept, p4_share, p6_found, p6_splits, p6_shares, p7_ids, p7_counts, p8_found, p8_leaks)}
