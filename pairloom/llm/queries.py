@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling
-from pairloom.llm import capping, leaks, mixing, splits, tokens
+from pairloom.llm import capping, leaks, mixing, splits, tokens, truncation
 from pairloom.operators.rank import current_rows
 from pairloom.session import table
 
@@ -128,6 +128,20 @@ def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("longest").alias("longest"), F.count_distinct(F.when(F.col("answer_seen"), F.col("doc_id"))).alias("n_with_answer"))
 
 
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.judge(table(spark, d, "documents"), "doc_id", "text", "source", "n_chars")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """The documents whose text was cut off."""
+    return _judged(spark, d).where("cut").select(F.col("id").alias("doc_id"))
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source cuts its texts."""
+    return truncation.rates(table(spark, d, "documents"), _judged(spark, d), "source", "text")
+
+
 _CURRENT = "(SELECT * FROM samples QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)"
 _ASSET = r"nullif(replace(regexp_replace(regexp_replace(lower(regexp_replace(subject_uid, '^\s+|\s+$', '', 'g')), '\.glb$', ''), '^objaverse[:/]', ''), '-', ''), '')"
 _RANKED = f"""(SELECT row_id, asset, sharpness, row_number() OVER (PARTITION BY asset ORDER BY CASE WHEN isnan(sharpness) THEN NULL ELSE sharpness END DESC NULLS LAST, row_id) AS place
@@ -154,4 +168,4 @@ ORACLES = {
     "p4_kept": f"SELECT row_id, asset, sharpness FROM {_RANKED} WHERE asset IS NULL OR place <= {CAP}",
 }
 
-QUERIES = {f.__name__: f for f in (p1_mix, p1_shares, p1_token_shares, p4_found, p4_kept, p4_share, p6_found, p6_splits, p6_shares, p7_ids, p7_counts, p8_found, p8_leaks)}
+QUERIES = {f.__name__: f for f in (p1_mix, p1_shares, p1_token_shares, p4_found, p4_kept, p4_share, p6_found, p6_splits, p6_shares, p7_ids, p7_counts, p8_found, p8_leaks, p9_found, p9_rates)}
