@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairloom.plans import general
+from pairloom.plans import general, objects, registry, samples  # noqa: F401  (listing happens on import)
 
-QUERIES = dict(general.QUERIES)
-ORACLES: dict[str, str] = {}
+QUERIES = dict(registry.QUERIES) | dict(general.QUERIES)
+ORACLES: dict[str, str] = dict(registry.ORACLES)
