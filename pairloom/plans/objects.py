@@ -18,7 +18,7 @@ from pairloom.session import table
 CELL, GAP, SKIN = 1000, 80, 20
 
 _DUCK_BOXES = """(SELECT scene, obj, cx * 2 - sx AS lo_x, cx * 2 + sx AS hi_x, cy * 2 - sy AS lo_y, cy * 2 + sy AS hi_y, lo_z, lo_z + h AS hi_z, category, p_size FROM (
-SELECT p_partkey % 40 AS scene, p_partkey AS obj, (p_partkey * p_partkey * 7 + p_partkey * 31) % 1500 - 750 AS cx, (p_partkey * p_partkey * 13 + p_partkey * 17) % 1500 - 750 AS cy, (p_partkey * 31) % 4 * 250 AS lo_z,
+SELECT p_partkey // 50 AS scene, p_partkey AS obj, (p_partkey * p_partkey * 7 + p_partkey * 31) % 1500 - 750 AS cx, (p_partkey * p_partkey * 13 + p_partkey * 17) % 1500 - 750 AS cy, (p_partkey * 31) % 4 * 250 AS lo_z,
 200 + (p_partkey * 17) % 900 AS sx, 200 + (p_partkey * 13) % 900 AS sy, 250 * (1 + (p_partkey * 7) % 3) AS h, split_part(p_name, ' ', 2) AS category, p_size FROM part))"""
 
 
@@ -26,7 +26,7 @@ def boxes(spark: SparkSession, d: str, shift: int = 0) -> DataFrame:
     """scene, obj, the corners, category and p_size; ``shift`` moves every fifth object along x."""
     k = F.col("p_partkey")
     raw = table(spark, d, "part").select(
-        (k % 40).alias("scene"), k.alias("obj"), ((k * k * 7 + k * 31) % 1500 - 750).alias("cx"), ((k * k * 13 + k * 17) % 1500 - 750).alias("cy"), ((k * 31) % 4 * 250).alias("lo_z"),
+        F.floor(k / 50).alias("scene"), k.alias("obj"), ((k * k * 7 + k * 31) % 1500 - 750).alias("cx"), ((k * k * 13 + k * 17) % 1500 - 750).alias("cy"), ((k * 31) % 4 * 250).alias("lo_z"),
         (200 + (k * 17) % 900).alias("sx"), (200 + (k * 13) % 900).alias("sy"), (250 * (1 + (k * 7) % 3)).alias("h"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("category"), "p_size",
     )
     move = F.when(F.col("obj") % 5 == 0, F.lit(shift)).otherwise(F.lit(0))
