@@ -182,11 +182,10 @@ def image_luminance(spark: SparkSession, d: str) -> DataFrame:
 _LAP = f"(SELECT vec_id, [before[i - 1] + before[i + 1] + before[i - 8] + before[i + 8] - 4 * before[i] for i in range(1, 65) if (i - 1) % 8 BETWEEN 1 AND 6 AND (i - 1) // 8 BETWEEN 1 AND 6] AS l FROM {_PAIRS})"
 
 
-@query(f"SELECT vec_id, CAST(round(100 * (list_sum([x * x for x in l]) / 36.0 - (list_sum(l) / 36.0) * (list_sum(l) / 36.0))) AS BIGINT) // 10 AS sharpness FROM {_LAP}")
+@query(f"SELECT vec_id, CAST(36 AS BIGINT) AS n, CAST(list_sum(l) AS BIGINT) AS s, CAST(list_sum([x * x for x in l]) AS BIGINT) AS q FROM {_LAP}")
 def image_laplacian(spark: SparkSession, d: str) -> DataFrame:
-    """I4: sharpness, the variance of the Laplacian (in tenths, whole)."""
-    s = images.laplacian_sharpness("before", F.lit(8))
-    return image_pairs(spark, d).select("vec_id", F.floor(F.round(100 * s).cast("long") / 10).alias("sharpness"))
+    """I4: the moments of the Laplacian, from which sharpness is q / n - (s / n) ** 2."""
+    return image_pairs(spark, d).select("vec_id", images.laplacian_moments(F.col("before"), 8, 8).alias("m")).select("vec_id", "m.*")
 
 
 _MASK = "[abs(before[i] - after[i]) > 12 for i in range(1, 65)]"
