@@ -109,8 +109,7 @@ def components(links: DataFrame, forest_nodes: int = FOREST_NODES, one_task_link
         out = forest.coalesce(1).mapInArrow(local_forest(2 * one_task_links + 1), _LINK)
     else:
         out = star_rounds(forest)
-        roots = out.select(F.col("b").alias("a")).distinct().join(out.select("a"), "a", "left_anti").select("a", F.col("a").alias("b"))
-        out = out.where("a <> b").union(roots)
+        out = out.where("a <> b").union(out.select("b", F.col("b").alias("r")).distinct())
     return out.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

@@ -192,7 +192,7 @@ def limits(df: DataFrame, source: str, text: str) -> DataFrame:
     A pile is at least five texts and ten times the mean of the twenty lengths below it, with at most one text in
     fifty longer. The table has a row per source and length, not per text.
     """
-    sizes = df.where(F.col(source).isNotNull() & (F.length(F.trim(text)) > 0)).select(F.col(source).alias("source"), F.explode(F.array(
+    sizes = df.where(F.col(source).isNotNull() & F.col(text).rlike(r"\S")).select(F.col(source).alias("source"), F.explode(F.array(
         F.struct(F.lit("chars").alias("measure"), F.length(text).alias("length")), F.struct(F.lit("bytes").alias("measure"), F.octet_length(text).alias("length")))).alias("m")).select("source", "m.*")
     n = sizes.groupBy("source", "measure", "length").agg(F.count("*").alias("n"))
     of = Window.partitionBy("source", "measure")
@@ -255,7 +255,7 @@ def _cut(dots: Column) -> Column:
 
 def rates(df: DataFrame, judged: DataFrame, source: str, text: str) -> DataFrame:
     """Per source: texts with content, how many are cut, and the share."""
-    whole = df.where(F.length(F.trim(text)) > 0).groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n_texts"))
+    whole = df.whereF.col(text).rlike(r"\S").groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n_texts"))
     flagged = judged.where("cut").groupBy("source").agg(F.count("*").alias("n_cut"))
     joined = whole.join(flagged, whole["source"].eqNullSafe(flagged["source"]), "left").select(whole["source"], "n_texts", F.coalesce("n_cut", F.lit(0)).alias("n_cut"))
     return joined.withColumn("rate", F.col("n_cut") / F.col("n_texts"))
