@@ -255,7 +255,7 @@ def _cut(dots: Column) -> Column:
 
 def rates(df: DataFrame, judged: DataFrame, source: str, text: str) -> DataFrame:
     """Per source: texts with content, how many are cut, and the share."""
-    whole = df.whereF.col(text).rlike(r"\S").groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n_texts"))
+    whole = df.where(F.col(text).rlike(r"\S")).groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n_texts"))
     flagged = judged.where("cut").groupBy("source").agg(F.count("*").alias("n_cut"))
     joined = whole.join(flagged, whole["source"].eqNullSafe(flagged["source"]), "left").select(whole["source"], "n_texts", F.coalesce("n_cut", F.lit(0)).alias("n_cut"))
     return joined.withColumn("rate", F.col("n_cut") / F.col("n_texts"))
