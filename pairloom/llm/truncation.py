@@ -43,9 +43,13 @@ LONGEST = 3
 #: Occurrences that a context needs besides the text's own.
 SUPPORT = 6
 #: Share of occurrences that end alike, below which the text went on: without and with other evidence.
-SURE, WITH_EVIDENCE = 0.04, 0.1
+SURE, WITH_EVIDENCE = 0.02, 0.1
+#: Occurrences that a context of loose lines needs to tell a cut without other evidence.
+LOOSE_SUPPORT = 30
 #: The same for prose, which ends with a stop or in a closing line.
 PROSE_SURE, PROSE_WITH_EVIDENCE = 0.15, 0.2
+#: The same for a full stop after a number, of which most ends of prose are none.
+AFTER_NUMBER = 0.01
 #: A word is unknown if the words below it in the trie are so many times as frequent.
 RARER = 100
 #: Lines of a kind, and the share of them that end alike, from which they are closing lines.
@@ -77,14 +81,14 @@ def strip_mark(text: str) -> tuple[str, str]:
 
 
 def shape(token: str) -> str:
-    """Numbers are one token each, digits in words are 9; letters in lower case."""
-    if token.isascii() and re.fullmatch(r"\d+(\.\d+)?", token):
-        return "#"
+    """Numbers are told by their length (one and two digits alike), digits in words are 9; letters in lower case."""
+    if token.isascii() and token[0].isdigit() and re.fullmatch(r"\d+(\.\d+)?", token):
+        return "#.#" if "." in token else "#" if len(token) < 3 else f"#{min(len(token), 7)}"
     return re.sub(r"\d", "9", token.lower())
 
 
 def is_word(token: str) -> bool:
-    return len(token) > 1 or (token.isalpha() and token.isascii())
+    return token[0] != "#" and (len(token) > 1 or (token.isalpha() and token.isascii()))
 
 
 def tokens(text: str) -> list[str]:
@@ -167,12 +171,12 @@ def reader():
                             had = counts[name] = [0, 0, 0, 0]
                         had[what] += 1
                 stopped = body[-1:] in STOPS and bool(body)
-                if broken or not stopped or (n > 1 and seq[-2] == "#" and seq[-1] == "."):
+                if broken or not stopped or (n > 1 and seq[-2][0] == "#" and seq[-1] == "."):
                     about = (mark, broken, stopped, prose)
                     tail = seq[-LONGEST:]
                     for back in range(1, len(tail) + 1):
                         ends.append(("end", f"{style} {' '.join(tail[-back:])}", 0, 0, 0, 0, i, back, *about))
-                    ends.append(("end", f"{style} {' '.join(seq[line : line + 2])}", 0, 0, 0, 0, i, 0 if line else -1, *about))
+                    ends.append(("end", f"{style} {' '.join(seq[line : line + 2])}", 0, 0, 0, 0, i, 0 if 0 < line < n - 1 else -1, *about))
                     ends.append(("end", f"{style} {seq[-1]}", 0, 0, 0, 0, i, LONGEST + 1, *about))
             if ends:
                 yield batch(ends)
@@ -247,9 +251,10 @@ def judge(df: DataFrame, id_: str, text: str, source: str, reported: str) -> Dat
 def _cut(dots: Column) -> Column:
     evidence = F.col("at_limit") | F.col("short") | (F.col("mark") != "")
     doubt = F.when(F.col("prose"), F.when(evidence, PROSE_WITH_EVIDENCE).otherwise(PROSE_SURE)).when(evidence, WITH_EVIDENCE).otherwise(SURE)
-    went_on = F.coalesce(F.col("ratio") < doubt, F.col("prose") & evidence)
+    enough = F.col("prose") | evidence | (F.col("evidence") >= LOOSE_SUPPORT)
+    went_on = F.coalesce((F.col("ratio") < doubt) & enough, F.col("prose") & evidence)
     bare = F.col("fragment") | ((F.col("mark") != "") & ~dots) | (~F.col("closing") & went_on)
-    after_number = F.coalesce(F.col("ratio") < SURE / 4, F.lit(False))
+    after_number = F.coalesce(F.col("ratio") < AFTER_NUMBER, F.lit(False))
     return F.col("broken") | F.when(F.col("stopped"), after_number).otherwise(bare)
 
 

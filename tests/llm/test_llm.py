@@ -304,7 +304,7 @@ def test_cut_texts_are_found(spark):
 
 def test_marks_and_tokens():
     assert truncation.strip_mark("a b … [cut] ") == ("a b", "[cut]") and truncation.strip_mark("done [checked]") == ("done [checked]", "")
-    assert truncation.tokens("Don't job_1234567 1.5 把 x2\n.") == ["don't", "job_9999999", "#", "把", "x9", "\n", "."]
+    assert truncation.tokens("Don't job_1234567 1.5 把 x2\n.") == ["don't", "job_9999999", "#.#", "把", "x9", "\n", "."]
 
 
 def test_no_texts_no_cuts(spark):
