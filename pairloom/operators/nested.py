@@ -4,7 +4,8 @@ One depth-first walk numbers every node of a record: ``pre`` when it is entered,
 inside another exactly if its pre is greater and its post smaller, so any two node tables of one record join by
 containment, whatever lies between them.
 
-Defined cases: unreadable records have no nodes; a lone object in an array's place is its element 0; null and scalar
+Defined cases: unreadable records have no nodes; of records nested deeper than the interpreter's stack the nodes have
+no body; a lone object in an array's place is its element 0; null and scalar
 elements are no nodes of a table but keep their place; repeated record ids keep their own nodes only if the caller's
 id is unique (it is the join key).
 """
@@ -27,24 +28,56 @@ def label(record: dict, wanted: frozenset[str], bodies: bool) -> list[tuple[str,
     """(path, pre, post, pos, body) of every object whose path is wanted; the numbers count all nodes of the record."""
     out: list = []
     pre = post = 0
-    # the stack is explicit, so that no depth of nesting ends the walk
+
+    def walk(node: dict | list, path: str, pos: int) -> None:
+        nonlocal pre, post
+        entered = pre
+        pre += 1
+        if type(node) is dict:
+            base = path + "." if path else ""
+            for k, v in node.items():
+                if type(v) is dict or type(v) is list:
+                    walk(v, base + k, 0)
+                else:
+                    pre += 1
+                    post += 1
+            if path in wanted:
+                out.append((path, entered, post, pos, json.dumps(node, ensure_ascii=False) if bodies else None))
+        else:
+            for i, v in enumerate(node):
+                if type(v) is dict or type(v) is list:
+                    walk(v, path, i)
+                else:
+                    pre += 1
+                    post += 1
+        post += 1
+
+    try:
+        walk(record, "", 0)
+    except RecursionError:
+        return _label_deep(record, wanted, bodies)
+    return out
+
+
+def _label_deep(record: dict, wanted: frozenset[str], bodies: bool) -> list[tuple[str, int, int, int, str | None]]:
+    """``label`` with a stack of its own, for nesting beyond the interpreter's."""
+    out: list = []
+    pre = post = 0
     stack: list = [(record, "", 0, None)]
     while stack:
         node, path, pos, entered = stack.pop()
         if entered is not None:
-            if entered[1]:
-                out.append((path, entered[0], post, pos, json.dumps(node, ensure_ascii=False) if bodies else None))
+            if type(node) is dict and path in wanted:
+                out.append((path, entered, post, pos, None))
             post += 1
-            continue
-        if isinstance(node, dict):
-            stack.append((node, path, pos, (pre, path in wanted)))
-            pre += 1
-            base = path + "." if path else ""
-            stack.extend((v, base + k, 0, None) for k, v in reversed(node.items()))
-        elif isinstance(node, list):
-            stack.append((node, path, pos, (pre, False)))
+        elif type(node) is dict or type(node) is list:
+            stack.append((node, path, pos, pre))
             pre += 1
-            stack.extend((v, path, i, None) for i, v in zip(range(len(node) - 1, -1, -1), reversed(node)))
+            if type(node) is dict:
+                base = path + "." if path else ""
+                stack.extend((v, base + k, 0, None) for k, v in reversed(node.items()))
+            else:
+                stack.extend((v, path, i, None) for i, v in zip(range(len(node) - 1, -1, -1), reversed(node)))
         else:
             pre += 1
             post += 1

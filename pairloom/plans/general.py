@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import spelling
 from pairloom.operators import compaction, drift, nested
-from pairloom.session import table
+from pairloom.session import cut, table
 
 CAMERAS, TRIALS, OBJECTS, CARRIED = "cameras", "edit.validity.trials", "scene.params.objects", "scene.params.objects.carried"
 
@@ -31,7 +31,8 @@ def p2_table(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Every object of the four nested arrays, tied to its place and to the enclosing scene object."""
-    n = nested.nodes(table(spark, d, "samples"), "row_id", "meta", [CAMERAS, TRIALS, OBJECTS, CARRIED])
+    # the labels are read three times below; the records are walked once
+    n = cut(nested.nodes(table(spark, d, "samples"), "row_id", "meta", [CAMERAS, TRIALS, OBJECTS, CARRIED]))
     linked = nested.link(n.where(F.col("node_path") == CARRIED), n.where(F.col("node_path") == OBJECTS), "row_id")
     rest = n.where(F.col("node_path") != CARRIED).withColumn("parent_pos", F.lit(-1))
     return linked.select("row_id", F.col("node_path").alias("child_path"), "parent_pos", "pos").unionByName(rest.select("row_id", F.col("node_path").alias("child_path"), "parent_pos", "pos"))
@@ -54,7 +55,7 @@ def p3_trials(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_objects(spark: SparkSession, d: str) -> DataFrame:
     """Scene objects with how many objects each carries, counted by containment."""
-    n = nested.nodes(table(spark, d, "samples"), "row_id", "meta", [OBJECTS, CARRIED], bodies=True)
+    n = cut(nested.nodes(table(spark, d, "samples"), "row_id", "meta", [OBJECTS, CARRIED], bodies=True))
     objects = n.where(F.col("node_path") == OBJECTS)
     carried = nested.link(n.where(F.col("node_path") == CARRIED).drop("body"), objects, "row_id").groupBy("row_id", F.col("parent_pre").alias("pre")).agg(F.count("*").alias("n_carried"))
     body = F.from_json("body", "obj_id string, category string")
@@ -62,7 +63,7 @@ def p3_objects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_carried(spark: SparkSession, d: str) -> DataFrame:
-    n = nested.nodes(table(spark, d, "samples"), "row_id", "meta", [OBJECTS, CARRIED], bodies=True)
+    n = cut(nested.nodes(table(spark, d, "samples"), "row_id", "meta", [OBJECTS, CARRIED], bodies=True))
     linked = nested.link(n.where(F.col("node_path") == CARRIED), n.where(F.col("node_path") == OBJECTS), "row_id")
     body = F.from_json("body", "obj_id string, category string")
     return linked.select("row_id", "parent_pos", "pos", body["obj_id"].alias("obj_id"), body["category"].alias("category"))

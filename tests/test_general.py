@@ -93,7 +93,10 @@ def test_nested_deep():
     deep = {"a": 1}
     for _ in range(3000):
         deep = {"a": deep}
-    assert nested.label(deep, frozenset({"a"}), False)
+    assert nested.label(deep, frozenset({"a"}), False) and len(nested._label_deep(deep, frozenset({"a"}), False)) == 1
+    flat = {"a": [{"b": [1, {"c": {}}]}, 2, {"b": {"c": None}}], "d": {"a": {}}}
+    every = frozenset({"a", "a.b", "a.b.c", "d", "d.a"})
+    assert sorted(nested.label(flat, every, False)) == sorted(nested._label_deep(flat, every, False))
 
 
 def _files(spark, n, start=0):
