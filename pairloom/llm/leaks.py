@@ -5,8 +5,8 @@ threshold loses nothing: a text that holds ``run`` consecutive units of an item
 so the item scores at least the least sum of its weights over any ``run`` consecutive units. What is retrieved is
 verified unit by unit.
 
-Units are words for English items, and single letters, digits and ideographs (indexed by their pairs) for Chinese
-ones. Letter case, width, punctuation, spacing, markup and invisible characters are removed from both sides first.
+Units are words for English items, and single letters, digits and ideographs for Chinese ones; the index holds pairs of
+neighbouring units. Letter case, width, punctuation, spacing, markup and invisible characters are removed from both sides first.
 
 Defined cases: null and empty texts hold nothing; an item shorter than ``run`` units can't leak; two items that share
 such a run both leak with it; very long texts are read whole, passage by passage; repeated rows give repeated ids
@@ -61,8 +61,11 @@ def chars(text: str) -> str:
     return "".join(re.findall(r"[^\W_]", plain(text)))
 
 
-def terms(units, lang: str) -> list:
-    return units if lang == "en" else [units[i : i + 2] for i in range(len(units) - 1)]
+def terms(units, lang: str) -> list[str]:
+    """Pairs of neighbouring units: single words are too common in both sides to tell a passage."""
+    if lang == "en":
+        return [f"{a} {b}" for a, b in zip(units, units[1:])]
+    return [units[i : i + 2] for i in range(len(units) - 1)]
 
 
 @dataclass
@@ -104,7 +107,7 @@ def build(items: list[tuple[int, str, str | None]], lang: str) -> Index:
         for t, w in weight.items():
             posted[t].append((at, w))
         t = terms(u, lang)
-        span = run if lang == "en" else run - 1
+        span = run - 1
         out.least.append(min(sum(weight[x] for x in set(t[k : k + span])) for k in range(len(t) - span + 1)) - 1e-9)
         out.runs.append({tuple(u[k : k + run]) if lang == "en" else u[k : k + run] for k in range(len(u) - run + 1)})
     for t, p in posted.items():
