@@ -114,3 +114,28 @@ def p5_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_table, p3_found, p3_cameras, p3_trials, p3_objects, p3_carried, p5_found, p5_compacted, p5_files)}
+
+_REC = "(SELECT row_id, CASE WHEN json_type(j) = 'VARCHAR' THEN TRY_CAST(json_extract_string(j, '$') AS JSON) ELSE j END AS j FROM (SELECT row_id, TRY_CAST(meta AS JSON) AS j FROM samples))"
+
+
+def _each(parent: str, path: str, out: str, keep: str) -> str:
+    """SQL: the elements at ``path`` of JSON ``j`` with their place; a lone object is an array of one."""
+    items = f"CASE json_type(j, '{path}') WHEN 'ARRAY' THEN CAST(json_extract(j, '{path}') AS JSON[]) WHEN 'OBJECT' THEN [json_extract(j, '{path}')] ELSE [] END"
+    return f"(SELECT {keep}, o[i] AS {out}, CAST(i - 1 AS INT) AS pos FROM (SELECT *, unnest(range(1, len(o) + 1)) AS i FROM (SELECT *, {items} AS o FROM {parent})) WHERE json_type(o[i]) = 'OBJECT')"
+
+
+_OBJECTS = _each(_REC, "$.scene.params.objects", "j", "row_id")
+
+ORACLES = {
+    "p3_found": f"""SELECT row_id, '{CAMERAS}' AS child_path, -1 AS parent_pos, pos FROM {_each(_REC, '$.cameras', 'x', 'row_id')}
+UNION ALL SELECT row_id, '{TRIALS}', -1, pos FROM {_each(_REC, '$.edit.validity.trials', 'x', 'row_id')} UNION ALL SELECT row_id, '{OBJECTS}', -1, pos FROM {_OBJECTS}
+UNION ALL SELECT row_id, '{CARRIED}', parent_pos, pos FROM {_each(f'(SELECT row_id, j, pos AS parent_pos FROM {_OBJECTS})', '$.carried', 'x', 'row_id, parent_pos')}""",
+    "p3_objects": f"""SELECT row_id, pos, json_extract_string(j, '$.obj_id') AS obj_id, json_extract_string(j, '$.category') AS category, CAST(CASE json_type(j, '$.carried') WHEN 'OBJECT' THEN 1 WHEN 'ARRAY' THEN
+ len(list_filter(CAST(json_extract(j, '$.carried') AS JSON[]), lambda x: json_type(x) = 'OBJECT')) ELSE 0 END AS BIGINT) AS n_carried FROM {_OBJECTS}""",
+    "p3_carried": f"""SELECT row_id, parent_pos, pos, json_extract_string(x, '$.obj_id') AS obj_id, json_extract_string(x, '$.category') AS category
+FROM {_each(f'(SELECT row_id, j, pos AS parent_pos FROM {_OBJECTS})', '$.carried', 'x', 'row_id, parent_pos')}""",
+    "p5_found": r"""WITH k AS (SELECT DISTINCT json_extract_string(j, '$.job_id') || coalesce('_' || nullif(replace(json_extract_string(j, '$.edit.op'), 'object_', ''), ''), '') || '_v' || json_extract_string(v, '$.view') AS key
+ FROM (SELECT j, unnest(CAST(json_extract(j, '$.views') AS JSON[])) AS v FROM (SELECT TRY_CAST(body AS JSON) AS j FROM sample_files) WHERE json_type(j) = 'OBJECT')),
+s AS (SELECT key, count(DISTINCT shard) AS n FROM (SELECT key, nullif(regexp_replace(regexp_extract(replace(lower(trim(shard_path)), '\', '/'), '((?:[^/]+/+)?[^/]+)/*$', 1), '/+', '/', 'g'), '') AS shard FROM samples) GROUP BY key)
+SELECT key, CASE WHEN coalesce(n, 0) = 0 THEN 'lost' ELSE 'doubled' END AS fault FROM k LEFT JOIN s USING (key) WHERE key IS NOT NULL AND coalesce(n, 0) <> 1""".replace("'\\\\'", "'\\'"),
+}
