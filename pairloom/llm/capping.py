@@ -22,7 +22,7 @@ def _ranked(df: DataFrame, contributor: str, quality: str, id_: str) -> Column:
 def kept(df: DataFrame, contributor: str, quality: str, id_: str, cap: int) -> DataFrame:
     """The rows of named contributors that stay."""
     named = df.where(F.col(contributor).isNotNull())
-    return named.withColumn("_rank", _ranked(named, contributor, quality, id_)).where(F.col("_rank") <= cap).drop("_rank")
+    return named.withColumn("__pl_rank", _ranked(named, contributor, quality, id_)).where(F.col("__pl_rank") <= cap).drop("__pl_rank")
 
 
 def dropped(df: DataFrame, contributor: str, quality: str, id_: str, cap: int) -> DataFrame:
@@ -34,8 +34,8 @@ def dropped(df: DataFrame, contributor: str, quality: str, id_: str, cap: int) -
     best = kept(df.select(contributor, quality, id_), contributor, quality, id_, cap)
     q = F.coalesce(F.when(F.isnan(quality), None).otherwise(F.col(quality)), F.lit(float("-inf")))
     order = F.struct((-q).alias("q"), F.col(id_).alias("i"))
-    last = best.groupBy(contributor).agg(F.max(order).alias("_last"), F.count("*").alias("_n")).where(F.col("_n") >= cap).drop("_n")
-    return df.where(F.col(contributor).isNotNull()).join(last, contributor).where(order > F.col("_last")).drop("_last")
+    last = best.groupBy(contributor).agg(F.max(order).alias("__pl_last"), F.count("*").alias("__pl_n")).where(F.col("__pl_n") >= cap).drop("__pl_n")
+    return df.where(F.col(contributor).isNotNull()).join(last, contributor).where(order > F.col("__pl_last")).drop("__pl_last")
 
 
 def water_level(histogram: list[tuple[int, int]], share: float, uncapped: int = 0) -> int | None:

@@ -150,22 +150,46 @@ _SOURCE = r"regexp_replace(lower(regexp_replace({c}, '^\s+|\s+$', '', 'g')), '^d
 _OP = r"'object_' || regexp_replace(lower(regexp_replace({c}, '^\s+|\s+$', '', 'g')), '^object[_ -]*', '')"
 
 
-def _mix_sql(field: str, spell: str) -> str:
-    return f"""SELECT '{field}' AS field_name, source_name, row_id, unnest(range(uses)) AS epoch FROM (
-  SELECT source_name, row_id, CAST(b // n AS BIGINT) + CASE WHEN place <= b % n THEN 1 ELSE 0 END AS uses FROM (
+_WORDS = r"len(list_filter(string_split_regex(instruction, '\s+'), lambda w: w <> ''))"
+
+
+def _used_sql(field: str, spell: str, size: str) -> str:
+    """SQL: the records of a mix with their uses, and their source's figures."""
+    return f"""(SELECT *, CAST(b // n AS BIGINT) + CASE WHEN upto <= b % n THEN 1 ELSE 0 END AS uses FROM (
     SELECT *, CAST(least(n * max_repeats, floor(min(n * max_repeats / share) OVER () * share + 1e-6)) AS BIGINT) AS b FROM (
-      SELECT k.source_name, k.row_id, t.max_repeats, count(*) OVER (PARTITION BY k.source_name) AS n,
-        row_number() OVER (PARTITION BY k.source_name ORDER BY md5('7:' || k.row_id) || ':' || k.row_id) AS place, t.share
-      FROM (SELECT row_id, {spell.format(c=field)} AS source_name FROM {_CURRENT}) k
-      JOIN (SELECT {spell.format(c='source_name')} AS source_name, max_repeats, target_share / sum(target_share) OVER () AS share FROM mix_targets WHERE field_name = '{field}') t
-        ON t.source_name = k.source_name)))
-WHERE uses > 0"""
+      SELECT k.source_name, k.row_id, k.size, t.max_repeats, t.target_share, t.share, CAST(sum(size) OVER (PARTITION BY k.source_name) AS BIGINT) AS n,
+        CAST(sum(size) OVER (PARTITION BY k.source_name ORDER BY md5('7:' || k.row_id) || ':' || k.row_id) AS BIGINT) AS upto
+      FROM (SELECT row_id, {spell.format(c=field)} AS source_name, {size} AS size FROM {_CURRENT}) k
+      JOIN (SELECT {spell.format(c='source_name')} AS source_name, max_repeats, target_share, target_share / sum(target_share) OVER () AS share FROM mix_targets WHERE field_name = '{field}') t
+        ON t.source_name = k.source_name WHERE size > 0)))"""
+
+
+def _mix_sql(field: str, spell: str) -> str:
+    return f"SELECT '{field}' AS field_name, source_name, row_id, unnest(range(uses)) AS epoch FROM {_used_sql(field, spell, '1')} WHERE uses > 0"
+
+
+def _shares_sql(field: str, spell: str, size: str) -> str:
+    return f"""SELECT '{field}' AS field_name, source_name, target_share, CAST(max(max_repeats) AS BIGINT) AS max_repeats, max(n) AS available, max(b) AS budget, CAST(sum(size * uses) AS BIGINT) AS used,
+CAST(count(*) FILTER (WHERE uses > 0) AS BIGINT) AS n_records, CAST(max(uses) AS BIGINT) AS most_uses, CAST(sum(size * uses) AS DOUBLE) / sum(sum(size * uses)) OVER () AS actual_share FROM {_used_sql(field, spell, size)} GROUP BY source_name, target_share"""
+
+
+def _both(sql, *args: str) -> str:
+    return f"{sql('source_dataset', _SOURCE, *args)} UNION ALL {sql('edit_op', _OP, *args)}"
+
 
+_SCENE = r"nullif(replace(regexp_replace(regexp_replace(lower(trim(scene_id)), '^.*[/\\\\]', ''), '(\.scene_instance)?\.json$', ''), '_', '-'), '')".replace("\\\\", "\\")
 
 ORACLES = {
-    "p1_mix": f"{_mix_sql('source_dataset', _SOURCE)} UNION ALL {_mix_sql('edit_op', _OP)}",
+    "p1_mix": _both(_mix_sql),
+    "p1_shares": _both(_shares_sql, "1"),
+    "p1_token_shares": _both(_shares_sql, _WORDS),
     "p4_found": f"SELECT row_id FROM {_RANKED} WHERE asset IS NOT NULL AND place > {CAP}",
     "p4_kept": f"SELECT row_id, asset, sharpness FROM {_RANKED} WHERE asset IS NULL OR place <= {CAP}",
+    "p4_share": f"""WITH n AS (SELECT asset, count(*) AS n FROM {_RANKED} GROUP BY asset), top AS (SELECT max(n) AS n FROM n WHERE asset IS NOT NULL),
+c AS (SELECT max(c) AS c FROM (SELECT unnest(range(0, (SELECT n + 1 FROM top))) AS c) WHERE c <= {SHARE}::DOUBLE * (SELECT sum(CASE WHEN asset IS NULL THEN n ELSE least(n, c) END) FROM n) + 1e-9)
+SELECT asset, CAST(least(n, c) AS BIGINT) AS n_kept FROM n, c WHERE asset IS NOT NULL AND c > 0""",
+    "p6_found": rf"""WITH RECURSIVE e AS (SELECT DISTINCT {_SCENE} AS scene, nullif(regexp_extract(coalesce(job_id, key), '(\d{{7}})', 1), '') AS job FROM samples WHERE scene_id IS NOT NULL),
+l AS (SELECT DISTINCT a.scene AS a, b.scene AS b FROM e a JOIN e b USING (job) WHERE a.scene <> b.scene), r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a) SELECT a AS scene_a, b AS scene_b FROM r WHERE a < b""",
 }
 
 QUERIES = {f.__name__: f for f in (p1_mix, p1_shares, p1_token_shares, p4_found, p4_kept, p4_share, p6_found, p6_splits, p6_shares, p7_ids, p7_counts, p8_found, p8_leaks, p9_found, p9_rates)}

@@ -165,6 +165,6 @@ def assign(groups: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
                 places.append((size, name, upto, upto + n))
                 upto += n
     at = spark.createDataFrame(places, "size long, split_name string, low long, high long")
-    ranked = distributed_rank(groups.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), "group"))), ["size"], "_h", "_rank", digits=2)
-    joined = ranked.join(at, (ranked["size"] == at["size"]) & (ranked["_rank"] >= at["low"]) & (ranked["_rank"] < at["high"]))
+    ranked = distributed_rank(groups.withColumn("__pl_h", F.md5(F.concat(F.lit(f"{seed}:"), "group"))), ["size"], "__pl_h", "__pl_rank", digits=2)
+    joined = ranked.join(at, (ranked["size"] == at["size"]) & (ranked["__pl_rank"] >= at["low"]) & (ranked["__pl_rank"] < at["high"]))
     return joined.select("group", ranked["size"], "split_name")

@@ -71,7 +71,7 @@ def test_mix_without_rows_or_targets(spark):
 def test_capping_against_brute_force(spark):
     rng = random.Random(4)
     rows = [(i, rng.choice(["hot", "hot", "hot", "b", "c", None]), rng.choice([None, float("nan"), 1.0, 2.0, 2.0, 3.0])) for i in range(400)]
-    df = spark.createDataFrame(rows, "id long, who string, q double").repartition(5)
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "id long, who string, q double, _rank int, h int").repartition(5)
     want = set()
     for w in ("hot", "b", "c"):
         order = sorted((r for r in rows if r[1] == w), key=lambda r: (-(r[2] if r[2] is not None and r[2] == r[2] else float("-inf")), r[0]))
