@@ -97,3 +97,21 @@ def fill(facts: DataFrame) -> DataFrame:
     if_no_pattern = F.coalesce(F.nullif("base_instruction", F.lit("")), F.concat(F.lit("edit "), ref))
     joined = facts.join(F.broadcast(dimension(facts.sparkSession)), ["op", "lang", "style"], "left")  # 60 rows
     return joined.withColumn("caption", F.coalesce(F.replace(F.trim(F.replace(out, F.lit(" ."), F.lit("."))), F.lit("  "), F.lit(" ")), if_no_pattern)).drop("pattern")
+
+
+def template_provider(facts: DataFrame) -> DataFrame:
+    return fill(facts)
+
+
+def model_provider(facts: DataFrame) -> DataFrame:
+    raise NotImplementedError("a model's captions are made outside; join them to the facts by key")
+
+
+PROVIDERS = {"stub": template_provider, "model": model_provider}
+
+
+def provider(name: str = "stub"):
+    """A function facts -> facts with ``caption``; an unknown name is a ValueError."""
+    if name not in PROVIDERS:
+        raise ValueError(f"unknown caption provider {name}; there are: {', '.join(PROVIDERS)}")
+    return PROVIDERS[name]

@@ -131,3 +131,9 @@ def follow_turn(pose: Column, centre: Column, degrees: Column) -> Column:
     c, s = F.cos(F.radians(degrees)), F.sin(F.radians(degrees))
     x, y = pose[0] - centre[0], pose[1] - centre[1]
     return F.array(centre[0] + x * c - y * s, centre[1] + x * s + y * c, pose[2])
+
+
+def rounded_pose(location: Column, rotation: Column, quat: Column) -> Column:
+    """A pose as it is written down: four decimals, six for the quaternion, half to even."""
+    to = lambda v, n: F.transform(v, lambda x: F.bround(x, n))
+    return F.struct(to(location, 4).alias("location"), to(rotation, 4).alias("rotation_euler"), to(quat, 6).alias("rotation_quat"))

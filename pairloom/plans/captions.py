@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.functions import captions, images, text
+from pairloom.functions import captions, geometry, images, instructions, text
 from pairloom.operators import sampling
 from pairloom.operators.rank import md5_uniform
 from pairloom.plans.registry import query
@@ -297,3 +297,30 @@ def timestamps(spark: SparkSession, d: str) -> DataFrame:
     """Times as text and as seconds."""
     ts = F.col("ts").cast("timestamp")
     return table(spark, d, "events").select("event_id", F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("said"), F.unix_timestamp(ts).alias("seconds"))
+
+
+def _pick_sql(case: str, n: int) -> str:
+    options = ", ".join(f"'{p}'" for p in instructions.PATTERNS[case])
+    return f"[{options}][{_U.format(seed=3, x='row_id')} % {n} + 1]"
+
+
+@query(f"""SELECT row_id, replace(replace(replace(replace(p, '{{ref}}', coalesce(nullif(n, ''), 'object')), '{{noun}}', coalesce(nullif(n, ''), 'object')), '{{to}}', 'vase'), '{{support}}', 'desk') AS said FROM (
+SELECT row_id, subject_category AS n, CASE WHEN edit_op = 'object_delete' THEN {_pick_sql('object_delete', 3)} WHEN edit_op = 'object_add' AND row_id % 2 = 0 THEN {_pick_sql('object_add on a support', 3)}
+WHEN edit_op = 'object_add' THEN {_pick_sql('object_add', 3)} WHEN edit_op = 'object_replace' AND subject_category = 'vase' THEN {_pick_sql('object_replace by the same noun', 3)} WHEN edit_op = 'object_replace' THEN {_pick_sql('object_replace', 3)}
+WHEN edit_op = 'object_rotate' THEN {_pick_sql('object_rotate', 2)} WHEN edit_op = 'object_scale' AND change_ratio >= 0.1 THEN {_pick_sql('object_scale up', 2)} WHEN edit_op = 'object_scale' THEN {_pick_sql('object_scale down', 2)} END AS p
+FROM samples WHERE edit_op <> 'object_move')""")
+def instruction_templates(spark: SparkSession, d: str) -> DataFrame:
+    """Base instructions from patterns, chosen by hash."""
+    s = table(spark, d, "samples").where("edit_op <> 'object_move'")
+    support = F.when(F.col("row_id") % 2 == 0, "desk")
+    said = instructions.instruction(F.col("edit_op"), md5_uniform(F.col("row_id"), 3), ref=F.col("subject_category"), noun=F.col("subject_category"), to=F.lit("vase"), support=support, factor=F.when(F.col("change_ratio") >= 0.1, 1.5).otherwise(0.5))
+    return s.select("row_id", said.alias("said"))
+
+
+@query("""SELECT vec_id, [CAST(round_even(CAST(x AS DOUBLE), 4) * 10000 AS BIGINT) for x in embedding[1:3]] AS location, [CAST(round_even(CAST(x AS DOUBLE), 6) * 1000000 AS BIGINT) for x in embedding[4:7]] AS quat FROM embeddings""")
+def rounded_poses(spark: SparkSession, d: str) -> DataFrame:
+    """Poses as they are written down (in whole units of the last digit)."""
+    e = F.transform("embedding", lambda x: x.cast("double"))
+    pose = geometry.rounded_pose(F.slice(e, 1, 3), F.slice(e, 1, 3), F.slice(e, 4, 4))
+    whole = lambda v, n: F.transform(v, lambda x: F.round(x * n).cast("long"))
+    return table(spark, d, "embeddings").select("vec_id", whole(pose["location"], 10_000).alias("location"), whole(pose["rotation_quat"], 1_000_000).alias("quat"))

@@ -109,3 +109,25 @@ def fold(context: Mapping[str, Any], steps: Sequence[tuple[Callable[[dict], Any]
 def resources(profiles: Mapping[str, Mapping[str, float]], name: str) -> dict[str, float]:
     """The resources of a profile, else of ``default``, else one core."""
     return {"cpus": 1, "gpus": 0} | dict(profiles.get(name) or profiles.get("default") or {})
+
+
+def with_object_sources(edits: Mapping[str, Any], sources: Sequence[Mapping[str, Any]] | None) -> dict:
+    """An edit configuration in which the operations that need objects take them from several sources.
+
+    Replacement always, addition if it spawns, the others if they name a source for their subject; the configuration
+    given stays as it is. Without sources it is returned as it is.
+    """
+    out = json.loads(json.dumps(edits))
+    if not sources:
+        return out
+    from_all = {"provider": "composite", "provider_params": {"sources": list(sources)}}
+    params = out.setdefault("params", {})
+    targets = [params.setdefault("object_replace", {})]
+    if params.setdefault("object_add", {}).get("spawn"):
+        targets.append(params["object_add"])
+    for op in ("object_move", "object_scale", "object_rotate"):
+        if (params.get(op) or {}).get("subject_source"):
+            targets.append(params[op].setdefault("spawn_params", {}))
+    for t in targets:
+        t.update(from_all)
+    return out

@@ -251,6 +251,21 @@ def test_registry_and_fold():
     assert tasks.resources({"default": {"cpus": 4}}, "edit") == {"cpus": 4, "gpus": 0} and tasks.resources({}, "x") == {"cpus": 1, "gpus": 0}
 
 
+def test_sources_are_injected():
+    given = {"params": {"object_add": {"spawn": True}, "object_move": {"subject_source": {"scene": 1}}, "object_scale": {}}}
+    got = tasks.with_object_sources(given, [{"name": "a"}])["params"]
+    assert got["object_add"]["provider"] == got["object_replace"]["provider"] == got["object_move"]["spawn_params"]["provider"] == "composite"
+    assert "spawn_params" not in got["object_scale"] and "object_replace" not in given["params"] and tasks.with_object_sources(given, None) == given
+
+
+def test_providers(spark):
+    assert captions.provider() is captions.template_provider
+    with pytest.raises(ValueError):
+        captions.provider("other")
+    with pytest.raises(NotImplementedError):
+        captions.provider("model")(None)
+
+
 def test_pipelines_agree(spark, rows):
     def plus(p):
         return p | {"v": p["v"] + 1}
