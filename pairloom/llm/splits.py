@@ -9,7 +9,7 @@ one task may hold, large-star and small-star rounds over aggregates finish the j
 interchangeable, so the greedy runs over the histogram of sizes and the groups of a size take the resulting places in
 the order of their hash; no list of groups is ever in one place.
 
-Defined cases: links with a null end are left out; a link from a node to itself makes the node known; no links give
+Defined cases: without splits (named, of positive share) nothing is assigned; links with a null end are left out; a link from a node to itself makes the node known; no links give
 no components; a record with neither node is a group of its own.
 """
 
@@ -156,7 +156,10 @@ def assign(groups: DataFrame, targets: DataFrame, seed: int = 7) -> DataFrame:
     """
     spark = groups.sparkSession
     histogram = [(r["size"], r["k"]) for r in groups.groupBy("size").agg(F.count("*").alias("k")).collect()]
-    wanted = [(r["split_name"], r["target_share"]) for r in targets.orderBy(F.desc("target_share"), "split_name").collect()]
+    named = targets.where("split_name is not null and target_share > 0")
+    wanted = [(r["split_name"], r["target_share"]) for r in named.orderBy(F.desc("target_share"), "split_name").collect()]
+    if not wanted:
+        return spark.createDataFrame([], "group string, size long, split_name string")
     places = []
     for size, got in greedy(histogram, wanted).items():
         upto = 0
