@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.functions import spelling
 from pairloom.operators.rank import current_rows
 from pairloom.plans.registry import query
 from pairloom.session import shared_dir, table
@@ -139,13 +140,13 @@ def split_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return scans.splits(spark, at).groupBy("split").agg(F.count("*").alias("n"), F.sum("row_id").alias("rows_sum"))
 
 
-@query("SELECT coalesce(replace(edit_op, 'object_', ''), '?') AS op, count(*) AS n, CAST(sum(least(view + 1, 2)) AS BIGINT) AS n_pairs FROM samples WHERE edit_op = lower(trim(edit_op)) OR edit_op IS NULL GROUP BY 1")
+@query("SELECT coalesce(nullif(regexp_replace(lower(trim(edit_op)), '^object[_ -]*', ''), ''), '?') AS op, count(*) AS n, CAST(sum(least(view + 1, 2)) AS BIGINT) AS n_pairs FROM samples GROUP BY 1")
 def pair_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """B1: pairs zipped to the shorter list, written as JSON by operation and read again."""
     at = _folder(spark, "pairs")
-    s = table(spark, d, "samples").where("edit_op = lower(trim(edit_op)) or edit_op is null")
+    s = table(spark, d, "samples")
     names = lambda n: F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit("v"), i.cast("string")))
-    out = s.select("row_id", F.coalesce(F.replace("edit_op", F.lit("object_"), F.lit("")), F.lit("?")).alias("op"), sinks.paired(names(F.col("view") + 1), names(F.lit(2))).alias("views"))
+    out = s.select("row_id", F.coalesce(F.replace(spelling.edit_op("edit_op"), F.lit("object_"), F.lit("")), F.lit("?")).alias("op"), sinks.paired(names(F.col("view") + 1), names(F.lit(2))).alias("views"))
     sinks.write_pairs(out, at)
     read = spark.read.schema("row_id long, views array<struct<before string, after string>>, op string").json(at)
     return read.groupBy("op").agg(F.count("*").alias("n"), F.sum(F.size("views")).alias("n_pairs"))

@@ -179,11 +179,12 @@ def qa_ranked(spark: SparkSession, d: str) -> DataFrame:
     return rank.ordinal(worst, ["_o", "row_id"], "place").select("row_id", "severity", "place")
 
 
-@query("""SELECT s.row_id, s.key, coalesce(v.severity, 2) AS severity, v.note FROM samples s JOIN (SELECT 'job_' || lpad(CAST(event_id % 400 AS VARCHAR), 7, '0') AS job, CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 3 AS INT) END AS severity, event_type AS note
-FROM events WHERE event_id < 300) v ON substr(s.job_id, 1, 11) = v.job""")
+@query("""SELECT s.row_id, s.key, coalesce(v.severity, 2) AS severity, v.note FROM samples s JOIN (SELECT 'job_' || lpad(CAST(event_id AS VARCHAR), 7, '0') AS job, CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 3 AS INT) END AS severity, event_type AS note
+FROM events) v ON substr(s.job_id, 1, 11) = v.job""")
 def qa_review_join(spark: SparkSession, d: str) -> DataFrame:
     """reviewers' verdicts joined to the samples of their job, unmatched ones dropped, severity 2 where none is given."""
-    v = table(spark, d, "events").where("event_id < 300").select(F.format_string("job_%07d", F.col("event_id") % 400).alias("job"), F.when(F.col("event_id") % 3 > 0, (F.col("event_id") % 3).cast("int")).alias("severity"), F.col("event_type").alias("note"))
+    k = F.col("event_id")
+    v = table(spark, d, "events").select(F.format_string("job_%07d", k).alias("job"), F.when(k % 3 > 0, (k % 3).cast("int")).alias("severity"), F.col("event_type").alias("note"))
     s = _samples(spark, d).select("row_id", "key", F.substring("job_id", 1, 11).alias("job"))
     return s.join(v, "job").select("row_id", "key", F.coalesce("severity", F.lit(2)).alias("severity"), "note")
 
@@ -313,12 +314,12 @@ def sample_uids_union(spark: SparkSession, d: str) -> DataFrame:
     return v.select("row_id", F.array_sort(F.array_distinct(F.filter(all_, lambda x: x != ""))).alias("uids"))
 
 
-_TAKEN = "(SELECT asset_uid AS uid FROM asset_usage WHERE id % 3 = 0 AND asset_uid IS NOT NULL)"
+_TAKEN = "(SELECT asset_uid AS uid FROM asset_usage WHERE created_at < TIMESTAMPTZ '2025-03-01 00:00:00+00' AND asset_uid IS NOT NULL)"
 _FRESH = "(SELECT subject_uid AS uid FROM samples WHERE subject_uid IS NOT NULL)"
 
 
 def _taken(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "asset_usage").where("id % 3 = 0 and asset_uid is not null").select(F.col("asset_uid").alias("uid"))
+    return table(spark, d, "asset_usage").where("created_at < timestamp'2025-03-01T00:00:00Z' and asset_uid is not null").select(F.col("asset_uid").alias("uid"))
 
 
 @query(f"SELECT uid, uid NOT IN (SELECT uid FROM {_TAKEN}) AS is_new FROM (SELECT uid FROM {_TAKEN} UNION SELECT uid FROM {_FRESH})")
@@ -347,12 +348,12 @@ def anti_with_fallback(spark: SparkSession, d: str) -> DataFrame:
     return upsert.with_fallback(scenes.join(scenes.withColumnRenamed("scene_id", "s"), F.col("scene_id") == F.col("s"), "left_anti"), scenes)
 
 
-@query("""WITH left_ AS (SELECT uid, category FROM assets WHERE category IS NOT NULL AND uid NOT IN (SELECT asset_uid FROM asset_usage WHERE asset_uid IS NOT NULL AND id % 2 = 0 AND id < 900))
+@query("""WITH left_ AS (SELECT uid, category FROM assets WHERE category IS NOT NULL AND uid NOT IN (SELECT asset_uid FROM asset_usage WHERE asset_uid IS NOT NULL AND created_at < TIMESTAMPTZ '2025-02-01 00:00:00+00'))
 SELECT uid, category, CAST(turn AS INT) AS turn FROM (SELECT uid, category, row_number() OVER (PARTITION BY category ORDER BY md5('7:' || uid), uid) AS turn FROM left_)
 ORDER BY turn, md5('7:' || category), category, uid LIMIT 60""")
 def diverse_sample_round_robin(spark: SparkSession, d: str) -> DataFrame:
     """Sixty unused assets, one of each category per round."""
-    used = table(spark, d, "asset_usage").where("asset_uid is not null and id % 2 = 0 and id < 900").select(F.col("asset_uid").alias("uid"))
+    used = table(spark, d, "asset_usage").where("asset_uid is not null and created_at < timestamp'2025-02-01T00:00:00Z'").select(F.col("asset_uid").alias("uid"))
     return sampling.round_robin(table(spark, d, "assets").where("category is not null").select("uid", "category"), "category", "uid", 60, excluded=used)
 
 
