@@ -9,8 +9,9 @@ one task may hold, large-star and small-star rounds over aggregates finish the j
 interchangeable, so the greedy runs over the histogram of sizes and the groups of a size take the resulting places in
 the order of their hash; no list of groups is ever in one place.
 
-Defined cases: without splits (named, of positive share) nothing is assigned; links with a null end are left out; a link from a node to itself makes the node known; no links give
-no components; a record with neither node is a group of its own.
+Defined cases: without splits (named, of positive share) nothing is assigned; links with a null end are left out; a
+link from a node to itself makes the node known; no links give no components; a record with neither node is a group of
+its own.
 """
 
 from __future__ import annotations
