@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling
 from pairloom.operators import compaction, drift, nested
-from pairloom.session import cut, table
+from pairloom.session import cut, shared_dir, table
 
 CAMERAS, TRIALS, OBJECTS, CARRIED = "cameras", "edit.validity.trials", "scene.params.objects", "scene.params.objects.carried"
 
@@ -113,7 +115,19 @@ def p5_files(spark: SparkSession, d: str) -> DataFrame:
     return _compacted(spark, d).groupBy("output_id").agg(F.count("*").alias("n_records"), F.count_if("landed").alias("n_landed"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_table, p3_found, p3_cameras, p3_trials, p3_objects, p3_carried, p5_found, p5_compacted, p5_files)}
+def p5_written(spark: SparkSession, d: str) -> DataFrame:
+    """The sample.json files compacted in storage, with the journal: what each output file holds, read back."""
+    files = table(spark, d, "sample_files")
+    compactor = compaction.Compactor(spark, f"{shared_dir(spark)}/compaction-{uuid.uuid4().hex}", SMALLEST, TARGET, FAN_IN)
+    sizes = files.select(F.concat(F.lit("file:"), F.col("file_id").cast("string")).alias("file_id"), F.coalesce(F.octet_length("body"), F.lit(0)).cast("long").alias("n_bytes"))
+    compactor.run(sizes, file_keys(files))
+    if compactor.journal() is None:
+        return spark.createDataFrame([], "output_id string, n_records long, n_bytes long")
+    bytes_ = compactor.journal().groupBy("output_id").agg(F.max("n_bytes").alias("n_bytes"))
+    return compactor.data().groupBy("output_id").agg(F.count("*").alias("n_records")).join(bytes_, "output_id")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_table, p3_found, p3_cameras, p3_trials, p3_objects, p3_carried, p5_found, p5_compacted, p5_files, p5_written)}
 
 _REC = "(SELECT row_id, CASE WHEN json_type(j) = 'VARCHAR' THEN TRY_CAST(json_extract_string(j, '$') AS JSON) ELSE j END AS j FROM (SELECT row_id, TRY_CAST(meta AS JSON) AS j FROM samples))"
 

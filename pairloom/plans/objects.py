@@ -120,11 +120,11 @@ def carried_follow(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"SELECT obj, CASE WHEN lo_x % 7 = 0 AND lo_y % 7 = 0 THEN '' ELSE '' END || (abs(lo_x) % 5) AS k, sqrt(CAST(lo_x * lo_x + lo_y * lo_y + lo_z * lo_z AS DOUBLE)) AS length FROM {_DUCK_BOXES}")
+@query(f"SELECT obj, sqrt(CAST(lo_x * lo_x + lo_y * lo_y + lo_z * lo_z AS DOUBLE)) AS length FROM {_DUCK_BOXES}")
 def move_magnitude(spark: SparkSession, d: str) -> DataFrame:
     """The length of a move."""
     v = F.array(*[F.col(f"lo_{a}").cast("double") for a in "xyz"])
-    return boxes(spark, d).select("obj", (F.abs("lo_x") % 5).cast("string").alias("k"), g.norm(v).alias("length"))
+    return boxes(spark, d).select("obj", g.norm(v).alias("length"))
 
 
 _WORDS_SQL = f"""(SELECT obj, lo_x AS dx, lo_y AS dy, lo_z AS dz, [x.w for x in list_filter(list_reverse_sort([{{'r': abs(lo_x), 'w': CASE WHEN lo_x > 0 THEN 'right' ELSE 'left' END}},

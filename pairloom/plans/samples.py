@@ -265,7 +265,9 @@ def assets_most_used(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "assets").where("used_count is not null").orderBy(F.desc("used_count"), "uid").limit(20).select("uid", "used_count")
 
 
-_OLD, _NEW = "(SELECT * FROM samples WHERE row_id % 2 = 0 QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)", "(SELECT * FROM samples WHERE row_id % 2 = 1 QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)"
+#: What came before this time is the table, what came after it the batch that is merged in.
+CUTOFF = "2025-07-01"
+_OLD, _NEW = (f"(SELECT * FROM samples WHERE created_at {sign} TIMESTAMPTZ '{CUTOFF} 00:00:00+00' QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)" for sign in ("<", ">="))
 _MERGED = ["instruction", "sharpness", "reseated"]
 
 
@@ -274,8 +276,8 @@ FROM {_OLD} o FULL JOIN {_NEW} n ON o.key = n.key""")
 def samples_upsert(spark: SparkSession, d: str) -> DataFrame:
     """K1 K5: new rows over old ones by key; a null overwrites, the shard path stays."""
     s = _samples(spark, d)
-    now = lambda half: rank.current_rows(s.where(f"row_id % 2 = {half}"), "key", "row_id", [*_MERGED, "shard_path"])
-    return upsert.merge(now(0), now(1), "key", _MERGED, ["shard_path"])
+    now = lambda sign: rank.current_rows(s.where(f"created_at {sign} timestamp'{CUTOFF}T00:00:00Z'"), "key", "row_id", [*_MERGED, "shard_path"])
+    return upsert.merge(now("<"), now(">="), "key", _MERGED, ["shard_path"])
 
 
 @query("""WITH new AS (SELECT DISTINCT key AS sample_key, subject_uid AS asset_uid FROM samples WHERE subject_uid IS NOT NULL)
