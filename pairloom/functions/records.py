@@ -10,6 +10,9 @@ import json
 from collections.abc import Iterator
 from typing import Any
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 #: The kinds a leaf can have, from the narrowest up; ties between kinds are settled for the wider.
 KINDS = ("boolean", "number", "array", "string")
 
@@ -96,3 +99,11 @@ def leaf_kinds(record: dict, names: dict[tuple[str, str], str]) -> dict[str, str
 
     walk(record, "")
     return out
+
+
+def object_variant(text: str) -> Column:
+    """The JSON object in a text column as a variant, natively; null if it is no object or unreadable.
+
+    Valid JSON that begins with a brace is an object, which is cheaper to see than from the variant's schema.
+    """
+    return F.when(F.col(text).rlike(r"^\s*\{"), F.try_parse_json(text))

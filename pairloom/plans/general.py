@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling
+from pairloom.functions.records import object_variant
 from pairloom.operators import compaction, drift, nested
 from pairloom.session import cut, shared_dir, table
 
@@ -79,8 +80,7 @@ RECORD_BYTES = 320
 
 def file_keys(files: DataFrame) -> DataFrame:
     """file_id, key: the key of every view in the readable bodies (JSON objects)."""
-    v = F.try_parse_json("body")
-    views = files.select(F.concat(F.lit("file:"), F.col("file_id").cast("string")).alias("file_id"), v.alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    views = files.select(F.concat(F.lit("file:"), F.col("file_id").cast("string")).alias("file_id"), object_variant("body").alias("v")).where("v is not null")
     get = lambda path, kind: F.try_variant_get("v", path, kind)
     lone = F.when(F.schema_of_variant(F.variant_get("v", "$.views", "variant")).startswith("OBJECT"), F.array(F.variant_get("v", "$.views", "variant")))
     each = views.select("file_id", get("$.job_id", "string").alias("job"), get("$.edit.op", "string").alias("op"), F.explode(F.coalesce(get("$.views", "array<variant>"), lone)).alias("view"))

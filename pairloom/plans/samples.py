@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling, text
+from pairloom.functions.records import object_variant
 from pairloom.operators import gates, rank, sampling, upsert
 from pairloom.plans.registry import query
 from pairloom.session import table
@@ -96,7 +97,7 @@ coalesce(json_extract_string(j, '$.scene.name'), CASE WHEN json_type(j, '$.scene
 FROM (SELECT row_id, {_META} AS j FROM samples) WHERE json_type(j) = 'OBJECT'""")
 def sample_flatten(spark: SparkSession, d: str) -> DataFrame:
     """The typed columns of a sample out of its nested record; absent is told from null."""
-    v = _samples(spark, d).select("row_id", _variant().alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    v = _samples(spark, d).select("row_id", object_variant("meta").alias("v")).where("v is not null")
     get = lambda p, k="string": F.try_variant_get("v", p, k)
     q = "$.edit.validity.quality"
     return v.select(
@@ -310,7 +311,7 @@ def used_uids(spark: SparkSession, d: str) -> DataFrame:
 coalesce(TRY_CAST(json_extract(j, '$.provenance.assets.objaverse_uids') AS VARCHAR[]), [])), lambda x: x <> ''))) AS uids FROM (SELECT row_id, {_META} AS j FROM samples) WHERE json_type(j) = 'OBJECT'""")
 def sample_uids_union(spark: SparkSession, d: str) -> DataFrame:
     """all assets that a sample's record names, under its old and its new layout."""
-    v = _samples(spark, d).select("row_id", _variant().alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    v = _samples(spark, d).select("row_id", object_variant("meta").alias("v")).where("v is not null")
     many = lambda p: F.coalesce(F.try_variant_get("v", p, "array<string>"), F.array().cast("array<string>"))
     all_ = F.concat(F.array(F.try_variant_get("v", "$.subject.asset_uid", "string")), many("$.provenance.objaverse_uids"), many("$.provenance.assets.objaverse_uids"))
     return v.select("row_id", F.array_sort(F.array_distinct(F.filter(all_, lambda x: x != ""))).alias("uids"))
@@ -436,7 +437,7 @@ json_extract_string(v, '$.after') AS after FROM (SELECT file_id, file_path, j, u
 WHERE key IN (SELECT key FROM samples)""")
 def sample_scan_views(spark: SparkSession, d: str) -> DataFrame:
     """Landed records exploded by view, unreadable ones skipped, only views whose packed pair exists (semi join)."""
-    v = table(spark, d, "sample_files").select("file_id", "file_path", F.try_parse_json("body").alias("j")).where(F.schema_of_variant("j").startswith("OBJECT"))
+    v = table(spark, d, "sample_files").select("file_id", "file_path", object_variant("body").alias("j")).where("j is not null")
     e = v.select("file_id", "file_path", "j", F.explode(F.try_variant_get("j", "$.views", "array<variant>")).alias("v"))
     op = F.nullif(F.replace(F.try_variant_get("j", "$.edit.op", "string"), F.lit("object_"), F.lit("")), F.lit(""))
     key = F.concat(F.try_variant_get("j", "$.job_id", "string"), F.coalesce(F.concat(F.lit("_"), op), F.lit("")), F.lit("_v"), F.try_variant_get("v", "$.view", "string"))

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.functions.records import object_variant
+
 
 def sample_views(spark: SparkSession, raw: str, complete: bool = True) -> DataFrame:
     """job_dir, key, view, before, after, record (JSON) of each view below ``raw/*/sample.json``.
@@ -19,7 +21,7 @@ def sample_views(spark: SparkSession, raw: str, complete: bool = True) -> DataFr
     the folder (names only, the images are not read). A record without an operation has a key without one.
     """
     read = spark.read.option("wholetext", True).text(f"{raw}/*/sample.json").select(F.regexp_extract(F.input_file_name(), "([^/]+)/sample.json$", 1).alias("job_dir"), "value")
-    v = read.select("job_dir", F.col("value").alias("record"), F.try_parse_json("value").alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    v = read.select("job_dir", F.col("value").alias("record"), object_variant("value").alias("v")).where("v is not null")
     get = lambda at, p, k="string": F.try_variant_get(at, p, k)
     e = v.select("job_dir", "record", "v", F.explode(get("v", "$.views", "array<variant>")).alias("w"))
     op = F.nullif(F.replace(get("v", "$.edit.op"), F.lit("object_"), F.lit("")), F.lit(""))
@@ -56,7 +58,7 @@ def json_map(spark: SparkSession, path: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         text = spark.createDataFrame([], "value string")
-    text.select(F.try_parse_json("value").alias("v")).where(F.schema_of_variant("v").startswith("OBJECT")).createOrReplaceTempView("__pl_json_map")
+    text.select(object_variant("value").alias("v")).where("v is not null").createOrReplaceTempView("__pl_json_map")
     return spark.sql("select key, value from __pl_json_map, lateral variant_explode(v)")
 
 
