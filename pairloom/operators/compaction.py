@@ -6,11 +6,12 @@ size. Batches are cut by prefix sums of bytes inside hash buckets, so no level s
 id is a digest of what it reads, so planning again over the same files gives the same merges.
 
 ``compact`` applies a plan to records: each key comes out once, in the output of its first input file, with what was
-seen of it in the inputs. ``Compactor`` writes the outputs and the journal; a run that is repeated, or that died
-between data and journal, neither loses nor doubles a record.
+seen of it in the inputs. ``Compactor`` writes the outputs, with the files' content, and the journal; a run that is
+repeated, or that died between data and journal, neither loses nor doubles a record.
 
 Defined cases: files of null or negative size count as empty; a file at or above the target stays as it is; a lone
-file of a tier is carried to the next; repeated (key, file) rows count once; records without a key are left out.
+file of a tier is carried to the next; repeated (key, file) rows count once; records without a key
+are left out of ``compact`` and kept by ``Compactor``.
 """
 
 from __future__ import annotations
@@ -91,8 +92,12 @@ def compact(inputs: DataFrame, journal: DataFrame, n_levels: int) -> DataFrame:
 class Compactor:
     """Compaction of stored files with a journal in ``root``: data in root/data/run=..., journal in root/journal/run=....
 
-    ``run(files, records)``: ``records`` has file_id and key. Only files that no journal entry has read are taken, so
-    a run after new files have come merges these alone with what earlier runs left below the target.
+    ``run(files, records)``: ``records`` has file_id, key and any columns of content. Rows with a key come out once by
+    key, in the output of the first file that has it; rows without a key (a file's body) are all kept, exact repeats
+    once. Only files that the journal doesn't know are taken, so a run after new files have come merges these alone
+    with what earlier runs left below the target. A file that no merge reads is stored under its own id (level -1 of
+    the journal), so the store holds every file's rows. Each output is one physical file. Rows of files that ``files``
+    doesn't name are not taken.
     """
 
     def __init__(self, spark: SparkSession, root: str, smallest: int = 1 << 10, target: int = 128 << 20, fan_in: int = 16):
@@ -108,41 +113,56 @@ class Compactor:
         return self.spark.read.parquet(f"{self.root}/journal") if self._exists("journal") else None
 
     def data(self) -> DataFrame:
-        """The records as they stand: those of outputs that no later merge has read."""
-        d = self.spark.read.parquet(f"{self.root}/data")
-        j = self.journal()
-        dead = j.select(F.col("input_id").alias("output_id"), F.col("run").alias("by")).distinct()
-        return d.join(dead, (d.output_id == dead.output_id) & (d.run != dead.by), "left_anti").drop("run")
+        """The records as they stand: those of journalled runs, in outputs that no later merge has read."""
+        d, j = self.spark.read.parquet(f"{self.root}/data"), self.journal()
+        dead = j.where("level >= 0").select(F.col("input_id").alias("output_id")).distinct()
+        return d.join(F.broadcast(j.select("run").distinct()), "run", "left_semi").join(dead, "output_id", "left_anti").drop("run", "file")
 
     def run(self, files: DataFrame, records: DataFrame) -> int:
         """Merges what is new until nothing more can be merged; returns how many merges were made.
 
-        Each round leaves fewer files, so it ends; a run over files that are known already makes none.
+        All rounds are planned on the file table first (each leaves fewer files, so they end), then the records are
+        written once; a run over files that are known already writes nothing.
         """
-        total = 0
-        while made := self._round(files, records):
-            total += made
-        return total
-
-    def _round(self, files: DataFrame, records: DataFrame) -> int:
         done, old = self.journal(), None
+        fresh = files.select(F.col("file_id").cast("string").alias("file_id"), F.greatest(F.coalesce("n_bytes", F.lit(0)), F.lit(0)).cast("long").alias("n_bytes"))
+        fresh = fresh.where("file_id is not null").groupBy("file_id").agg(F.max("n_bytes").alias("n_bytes")).withColumn("fresh", F.lit(True))
         if done is not None:
-            read = cut(done.select(F.col("input_id").alias("file_id")).distinct())
+            read = done.where("level >= 0").select(F.col("input_id").alias("file_id")).distinct()
             left = done.groupBy(F.col("output_id").alias("file_id")).agg(F.max("n_bytes").alias("n_bytes")).join(read, "file_id", "left_anti")
-            files = files.join(read, "file_id", "left_anti").select("file_id", "n_bytes")
-            old = cut(self.data().drop("file_id").withColumnRenamed("output_id", "file_id"))
-            records = records.join(read, "file_id", "left_anti").unionByName(old.select(*records.columns))
-            files = files.unionByName(left.select("file_id", "n_bytes"))
-        j = cut(plan(files, **self.args))
-        head = j.agg(F.count("*").alias("n"), F.sum(F.xxhash64("merge_id", "input_id").cast("decimal(20,0)")).alias("d"), F.count_distinct("merge_id").alias("m")).first()
+            known = done.select(F.col("input_id").alias("file_id")).distinct()
+            fresh = fresh.join(known, "file_id", "left_anti").unionByName(left.withColumn("fresh", F.lit(False)))
+            old = self.data()
+        start = cut(fresh)
+        live, at, steps = start.select("file_id", "n_bytes"), start.withColumn("output_id", F.col("file_id")), []
+        made = 0
+        while True:
+            j = cut(plan(live, **self.args))
+            n = j.agg(F.count_distinct("merge_id")).first()[0]
+            if not n:
+                break
+            made += n
+            steps.append(j)
+            where = cut(final_outputs(j, self.n_levels))
+            at = cut(at.join(where.select(F.col("file_id").alias("output_id"), F.col("output_id").alias("next")), "output_id", "left").select("file_id", "n_bytes", "fresh", F.coalesce("next", "output_id").alias("output_id")))
+            live = cut(at.groupBy(F.col("output_id").alias("file_id")).agg(F.sum("n_bytes").cast("long").alias("n_bytes")))
+        entered = at.where("fresh and output_id = file_id").select(F.lit(-1).alias("level"), F.lit(None).cast("string").alias("merge_id"), F.col("file_id").alias("input_id"), "output_id", "n_bytes")
+        for j in steps:
+            entered = entered.unionByName(j)
+        head = entered.agg(F.count("*").alias("n"), F.sum(F.xxhash64("merge_id", "input_id").cast("decimal(20,0)")).alias("d")).first()
         if not head["n"]:
             return 0
         run = f"{head['n']}_{abs(int(head['d']))}"  # the same inputs give the same run, which then replaces itself
-        where = final_outputs(j, self.n_levels)
-        kept = records.join(where, "file_id").dropDuplicates(["key"])
+        taken = at.where("fresh").select("file_id", "output_id")
+        rest = [c for c in records.columns if c != "key"]
+        keyed = records.where("key is not null").join(taken, "file_id").groupBy("key").agg(F.min_by(F.struct(*rest, "output_id"), "file_id").alias("r")).select("key", "r.*")
+        if old is not None:
+            keyed = keyed.join(old.select("key").where("key is not null").distinct(), "key", "left_anti")
+        out = keyed.unionByName(records.where("key is null").dropDuplicates().join(taken, "file_id").select(*keyed.columns))
         if old is not None:
-            stays = old.join(where.select("file_id"), "file_id", "left_anti").select("key")
-            kept = kept.join(stays, "key", "left_anti")
-        kept.repartition("output_id").write.mode("overwrite").parquet(f"{self.root}/data/run={run}")
-        j.write.mode("overwrite").parquet(f"{self.root}/journal/run={run}")
-        return head["m"]
+            moved = at.where("not fresh and output_id <> file_id").select(F.col("file_id").alias("output_id"), F.col("output_id").alias("next"))
+            out = out.unionByName(old.join(moved, "output_id").drop("output_id").withColumnRenamed("next", "output_id").select(*out.columns))
+        # the folder's name is a copy, as reading it back may change its type
+        out.withColumn("file", F.col("output_id")).repartition("output_id").write.mode("overwrite").partitionBy("file").parquet(f"{self.root}/data/run={run}")
+        entered.write.mode("overwrite").parquet(f"{self.root}/journal/run={run}")
+        return made

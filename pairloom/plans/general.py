@@ -115,16 +115,25 @@ def p5_files(spark: SparkSession, d: str) -> DataFrame:
     return _compacted(spark, d).groupBy("output_id").agg(F.count("*").alias("n_records"), F.count_if("landed").alias("n_landed"))
 
 
+def store(spark: SparkSession, d: str, root: str) -> compaction.Compactor:
+    """The sample.json files compacted in ``root``: a row per file with its body, readable or not, and one per key.
+
+    A file without an id goes by the digest of its body; without either it holds nothing.
+    """
+    files = table(spark, d, "sample_files").select(F.coalesce(F.col("file_id").cast("string"), F.md5("body")).alias("file_id"), "body").where("file_id is not null")
+    bodies = files.select(F.concat(F.lit("file:"), "file_id").alias("file_id"), F.lit(None).cast("string").alias("key"), "body")
+    sizes = bodies.select("file_id", F.md5("body").alias("h"), F.coalesce(F.octet_length("body"), F.lit(0)).alias("n")).distinct().groupBy("file_id").agg(F.sum("n").cast("long").alias("n_bytes"))
+    compactor = compaction.Compactor(spark, root, SMALLEST, TARGET, FAN_IN)
+    compactor.run(sizes, bodies.unionByName(file_keys(files).withColumn("body", F.lit(None).cast("string"))))
+    return compactor
+
+
 def p5_written(spark: SparkSession, d: str) -> DataFrame:
-    """The sample.json files compacted in storage, with the journal: what each output file holds, read back."""
-    files = table(spark, d, "sample_files")
-    compactor = compaction.Compactor(spark, f"{shared_dir(spark)}/compaction-{uuid.uuid4().hex}", SMALLEST, TARGET, FAN_IN)
-    sizes = files.select(F.concat(F.lit("file:"), F.col("file_id").cast("string")).alias("file_id"), F.coalesce(F.octet_length("body"), F.lit(0)).cast("long").alias("n_bytes"))
-    compactor.run(sizes, file_keys(files))
+    """The sample.json files compacted in storage: what each output file holds - bodies, records by key, bytes of the bodies - read back."""
+    compactor = store(spark, d, f"{shared_dir(spark)}/compaction-{uuid.uuid4().hex}")
     if compactor.journal() is None:
-        return spark.createDataFrame([], "output_id string, n_records long, n_bytes long")
-    bytes_ = compactor.journal().groupBy("output_id").agg(F.max("n_bytes").alias("n_bytes"))
-    return compactor.data().groupBy("output_id").agg(F.count("*").alias("n_records")).join(bytes_, "output_id")
+        return spark.createDataFrame([], "output_id string, n_files long, n_records long, n_bytes long")
+    return compactor.data().groupBy("output_id").agg(F.count_if(F.col("key").isNull()).alias("n_files"), F.count("key").alias("n_records"), F.sum(F.coalesce(F.octet_length("body"), F.lit(0))).alias("n_bytes"))
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_table, p3_found, p3_cameras, p3_trials, p3_objects, p3_carried, p5_found, p5_compacted, p5_files, p5_written)}

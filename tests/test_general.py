@@ -142,6 +142,32 @@ def test_compactor_is_idempotent(spark, tmp_path):
     assert len(keys) == len(set(keys)) and set(first) <= set(keys)
 
 
+def test_compactor_keeps_content(spark, tmp_path):
+    files = [(f"f{i}", 100) for i in range(40)] + [("big", 9000), ("empty", None)]
+    content = [(f, None, None if f == "empty" else f"body of {f}") for f, _ in files] + [(f"f{i}", f"k{i % 30}", None) for i in range(40)]
+    c = compaction.Compactor(spark, f"file://{tmp_path}", 512, 8192, 4)
+    schema = "file_id string, key string, body string"
+    assert c.run(spark.createDataFrame(files, "file_id string, n_bytes long"), spark.createDataFrame(content, schema)) > 0
+    # later files come alone and merge with what is left; the lone one stays
+    more = [("late1", 50), ("late2", 8500)]
+    c.run(spark.createDataFrame(more, "file_id string, n_bytes long"), spark.createDataFrame([(f, None, f"body of {f}") for f, _ in more] + [("late1", "k1", None)], schema))
+    got = c.data().collect()
+    assert sorted((r.file_id, r.body or "") for r in got if r.key is None) == sorted((f, "" if f == "empty" else f"body of {f}") for f, _ in files + more)
+    assert sorted(r.key for r in got if r.key) == sorted(f"k{i}" for i in range(30))
+    assert {r.output_id for r in got if r.file_id in ("big", "late2")} == {"big", "late2"}
+    stored = spark.read.parquet(f"file://{tmp_path}/data").select("run", "output_id", F.col("_metadata.file_path").alias("p")).distinct().collect()
+    assert len(stored) == len({r.p for r in stored}) == len({(r.run, r.output_id) for r in stored})
+
+
+def test_written_holds_every_body(spark, sf, tmp_path):
+    files = spark.read.parquet(f"{sf}/sample_files.parquet").select(F.concat(F.lit("file:"), F.col("file_id").cast("string")).alias("file_id"), "body").distinct()
+    c = general.store(spark, sf, f"file://{tmp_path}")
+    kept = c.data().where("key is null").select("file_id", "body")
+    assert kept.exceptAll(files).count() == files.exceptAll(kept).count() == 0
+    out = general.p5_written(spark, sf).agg(F.sum("n_files"), F.sum("n_bytes")).first()
+    assert tuple(out) == tuple(files.agg(F.count("*"), F.sum(F.octet_length("body"))).first())
+
+
 def test_file_keys(spark, rows):
     v = '"views": [{"view": 0}, {"view": "1"}]'
     bodies = [f'{{"job_id": "j", "edit": {{"op": "object_add"}}, {v}}}', f'{{"job_id": "j", "edit": {{"op": null}}, {v}}}', f'{{"job_id": "q", {v}}}', "{bad", None, "", "[]", '"{}"', '{"job_id": "z", "views": {"view": 2}}']
