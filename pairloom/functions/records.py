@@ -40,20 +40,23 @@ def kind_of(value: Any) -> str:
     return "array" if isinstance(value, list) else "string"
 
 
-def leaves(value: Any, path: str = "") -> Iterator[tuple[str, Any]]:
+def leaves(value: Any, path: str = "", strays: bool = False) -> Iterator[tuple[str, Any]]:
     """(path, value) of every scalar and every array of other values; null, ``[]`` and ``{}`` count as absent.
 
-    An array that holds an object is an array of objects: ``[]`` follows its path and its other elements are skipped.
+    An array that holds an object is an array of objects: ``[]`` follows its path and its other elements are skipped,
+    or with ``strays`` given under the array's own path.
     """
     if isinstance(value, dict):
         for k, v in value.items():
             if v is not None:
-                yield from leaves(v, f"{path}.{k}" if path else k)
+                yield from leaves(v, f"{path}.{k}" if path else k, strays)
     elif isinstance(value, list):
         if any(isinstance(x, dict) for x in value):
             for x in value:
                 if isinstance(x, dict):
-                    yield from leaves(x, path + "[]")
+                    yield from leaves(x, path + "[]", strays)
+                elif strays and x is not None and x != []:
+                    yield path, x
         elif value:
             yield path, value
     elif value is not None:

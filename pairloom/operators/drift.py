@@ -15,6 +15,8 @@ that the input has besides the named ones are ignored.
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -32,6 +34,8 @@ PRESENT_ONE_IN = 50
 RENAME_AGREEMENT = 0.8
 #: The promotion lattice: each kind can be cast to any later one.
 LATTICE = ("boolean", "number", "string", "array")
+#: A number as JSON writes it.
+NUMBER = re.compile(r"-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?")
 
 
 def promote(kinds: Iterable[str]) -> str:
@@ -39,12 +43,25 @@ def promote(kinds: Iterable[str]) -> str:
     return max(kinds, key=LATTICE.index)
 
 
+def rounded(value) -> bool:
+    """Whether a double can't hold the whole number ``value``."""
+    if type(value) is not int or -(1 << 53) <= value <= 1 << 53:
+        return False
+    try:
+        return int(float(value)) != value
+    except OverflowError:
+        return True
+
+
 def _text(value) -> str:
     """A value as comparable text: numbers by their value, strings as they are, arrays element by element."""
     if isinstance(value, bool):
         return "true" if value else "false"
     if isinstance(value, (int, float)):
-        return repr(float(value))
+        try:
+            return repr(float(value))
+        except OverflowError:
+            return str(value)
     if isinstance(value, str):
         return value
     return json.dumps([_text(x) if x is not None else None for x in value] if isinstance(value, list) else value, sort_keys=True)
@@ -235,14 +252,19 @@ def column_name(path: str) -> str:
 
 
 def consolidate(df: DataFrame, id_: str, version: str, text: str, layouts: Layouts, renamed: dict[tuple[str, str], str]) -> DataFrame:
-    """One row per readable record: id, version, a column per path of the union schema, and ``other`` (JSON) for what no version has as a rule.
+    """One row per readable record: id, version, a column per path of the union schema, and ``other`` (JSON: path -> values) for what no version has as a rule.
 
     number -> double, boolean -> boolean, string -> string, array -> array<string>; a path below an array of objects
     is an array of the text of each object's value. A lone object in an array's place counts as that array.
+
+    Kinds are promoted over each version's usual kind. A number written as a string is still a number; any other value
+    that its column can't hold goes to ``other``, and so do whole numbers that a column would round, the second and
+    further values of a column for one, and paths named like a column of the table's own.
     """
     newest, kinds = union_schema(layouts, renamed)
     by_bare = {p.replace("[]", ""): newest[p] for p in sorted(newest, key=lambda p: p.count("[]"))}
-    columns = {column_name(p): (p, k) for p, k in kinds.items()}
+    # of two paths with one name the array of objects has the column, which holds the values of both
+    columns = {column_name(p): (p, k) for p, k in sorted(kinds.items(), key=lambda x: x[0].count("[]")) if column_name(p) not in ("row_id", "version", "other")}
     kind_type = {"boolean": T.BooleanType(), "number": T.DoubleType(), "string": T.StringType(), "array": T.ArrayType(T.StringType())}
     schema = T.StructType([T.StructField("row_id", df.schema[id_].dataType), T.StructField("version", T.StringType())])
     for name, (p, k) in columns.items():
@@ -251,13 +273,23 @@ def consolidate(df: DataFrame, id_: str, version: str, text: str, layouts: Layou
     arrow = {"boolean": pa.bool_(), "number": pa.float64(), "string": pa.string(), "array": pa.list_(pa.string())}
     types = [pa.list_(pa.string()) if "[]" in p else arrow[k] for p, k in columns.values()]
 
-    def cast(values: list, path: str, kind: str):
+    def cast(values: list, path: str, kind: str) -> tuple:
+        """What the column holds of ``values`` (path, value), and those that it doesn't hold as they are."""
         if "[]" in path or kind == "array":
-            return [_text(x) if x is not None else None for v in values for x in (v if isinstance(v, list) and "[]" not in path else [v])]
-        v = values[0]
-        if kind == "number":
-            return float(v) if isinstance(v, (int, float)) else None
-        return v if kind == "boolean" else _text(v) if not isinstance(v, str) else v
+            flat = [x for _, v in values for x in (v if isinstance(v, list) and "[]" not in path else [v])]
+            return [_text(x) if x is not None else None for x in flat], [(p, v) for p, v in values if rounded(v) or isinstance(v, list) and any(map(rounded, v))]
+        v, rest = values[0][1], values[1:]
+        if kind == "string":
+            return v if isinstance(v, str) else _text(v), values if rounded(v) else rest
+        if kind == "boolean":
+            return (v, rest) if isinstance(v, bool) else (None, values)
+        number = json.loads(v) if isinstance(v, str) and len(v) < 300 and NUMBER.fullmatch(v) and math.isfinite(float(v)) else v
+        if not isinstance(number, (int, float)):
+            return None, values
+        try:
+            return float(number), values if rounded(number) else rest
+        except OverflowError:
+            return None, values
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -268,13 +300,20 @@ def consolidate(df: DataFrame, id_: str, version: str, text: str, layouts: Layou
                     continue
                 got: dict[str, list] = defaultdict(list)
                 rest: dict[str, list] = defaultdict(list)
-                for p, x in leaves(record):
+                for p, x in leaves(record, strays=True):
                     name = newest.get(p) or by_bare.get(p.replace("[]", ""))
-                    (got[name] if name else rest[p]).append(x)
+                    name = name and column_name(name)
+                    if name in columns:
+                        got[name].append((p, x))
+                    else:
+                        rest[p].append(x)
                 out[0].append(i)
                 out[1].append(v)
-                for at, (p, k) in enumerate(columns.values(), 2):
-                    out[at].append(cast(got[p], p, k) if p in got else None)
+                for at, (name, (p, k)) in enumerate(columns.items(), 2):
+                    held, over = cast(got[name], p, k) if name in got else (None, ())
+                    out[at].append(held)
+                    for q, x in over:
+                        rest[q].append(x)
                 out[-1].append(json.dumps(rest, ensure_ascii=False, sort_keys=True) if rest else None)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], b.column(0).type), pa.array(out[1], pa.string()), *(pa.array(x, t) for x, t in zip(out[2:-1], types)), pa.array(out[-1], pa.string())], names=schema.names)
 

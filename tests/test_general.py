@@ -64,6 +64,28 @@ def test_renames(spark, rows):
     assert t.where("other is not null").count() == 301  # the rows of null version and the seldom path
 
 
+def test_consolidate_loses_no_value(spark):
+    usual = json.dumps({"n": 1, "ok": True, "s": "x", "one": {"v": 1}, "many": [{"e": 1}]})
+    odd = [
+        {"n": "2", "ok": "yes", "s": 5, "one": [{"v": 3}, {"v": 4}], "many": [{"e": 6}, 7]},
+        {"n": "two", "ok": 1, "s": 2**60 + 1, "many": {"e": 8}, "version": "mine"},
+        {"n": 10**400, "ok": [True], "s": [1]},
+        {"n": 2**60 + 1},
+    ]
+    rows = [(i, f"k{i}", "1.0.0", usual) for i in range(100)] + [(100 + i, f"o{i}", "1.0.0", json.dumps(r)) for i, r in enumerate(odd)]
+    df = spark.createDataFrame(rows, "row_id long, key string, version string, meta string")
+    layouts, renamed = drift.study(df, "row_id", "key", "version", "meta")
+    t = {r.row_id: r for r in drift.consolidate(df, "row_id", "version", "meta", layouts, renamed).collect()}
+    got = [(r.n, r.ok, r.s, r.one__v, r.many__e, json.loads(r.other or "{}")) for r in (t[100 + i] for i in range(4))]
+    assert got == [
+        (2.0, None, "5.0", 3.0, ["6.0"], {"ok": ["yes"], "one[].v": [4], "many": [7]}),
+        (None, None, "1.152921504606847e+18", None, ["8.0"], {"n": ["two"], "ok": [1], "s": [2**60 + 1], "version": ["mine"]}),
+        (None, None, '["1.0"]', None, None, {"n": [10**400], "ok": [[True]]}),
+        (float(2**60), None, None, None, None, {"n": [2**60 + 1]}),
+    ]
+    assert t[0].other is None
+
+
 def test_no_rows(spark):
     df = spark.createDataFrame([], "row_id long, key string, version string, meta string")
     layouts, renamed = drift.study(df, "row_id", "key", "version", "meta")
