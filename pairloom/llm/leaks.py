@@ -39,6 +39,8 @@ ITEMS_AT_ONCE = 20_000
 #: Tags that stand inside words; every other tag parts words.
 INLINE = "a|abbr|b|bdi|bdo|big|cite|code|del|dfn|em|font|i|ins|kbd|mark|q|s|samp|small|span|strike|strong|sub|sup|tt|u|var|wbr"
 
+IDEOGRAPHS = "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+
 
 def plain(text: str) -> str:
     """The text without markup and invisible characters, in normal width and lower case."""
@@ -61,6 +63,16 @@ def chars(text: str) -> str:
     return "".join(re.findall(r"[^\W_]", plain(text)))
 
 
+def tokens(text: str) -> list[str]:
+    """Words and numbers as they stand alone, also beside ideographs, which count one by one."""
+    return re.findall(rf"[{IDEOGRAPHS}]|[^\W_{IDEOGRAPHS}]+", plain(text))
+
+
+def pieces(units, run: int, lang: str) -> list:
+    """Every run of ``run`` units, in order."""
+    return [tuple(units[k : k + run]) if lang == "en" else units[k : k + run] for k in range(len(units) - run + 1)]
+
+
 def terms(units, lang: str) -> list[str]:
     """Pairs of neighbouring units: single words are too common in both sides to tell a passage."""
     if lang == "en":
@@ -78,6 +90,7 @@ class Index:
     postings: dict[str, tuple[list[int], list[float], list[float], float]] = field(default_factory=dict)
     least: list[float] = field(default_factory=list)
     runs: list[set] = field(default_factory=list)
+    units: list = field(default_factory=list)
     answers: list[str] = field(default_factory=list)
 
     @property
@@ -94,7 +107,7 @@ def build(items: list[tuple[int, str, str | None]], lang: str) -> Index:
         u = words(text or "") if lang == "en" else chars(text or "")
         if len(u) >= run:
             out.ids.append(i)
-            out.answers.append(" ".join(words(answer or "")))
+            out.answers.append(" ".join(tokens(answer or "")))
             units.append(u)
     bags = [Counter(terms(u, lang)) for u in units]
     n = len(bags)
@@ -109,7 +122,8 @@ def build(items: list[tuple[int, str, str | None]], lang: str) -> Index:
         t = terms(u, lang)
         span = run - 1
         out.least.append(min(sum(weight[x] for x in set(t[k : k + span])) for k in range(len(t) - span + 1)) - 1e-9)
-        out.runs.append({tuple(u[k : k + run]) if lang == "en" else u[k : k + run] for k in range(len(u) - run + 1)})
+        out.runs.append(set(pieces(u, run, lang)))
+        out.units.append(u)
     for t, p in posted.items():
         p.sort()
         weights = [w for _, w in p]
@@ -173,32 +187,66 @@ def search(index: Index, query: set, threshold: float) -> list[tuple[int, float]
 
 
 def matches(index: Index, units) -> dict[int, tuple[float, int]]:
-    """item number -> (best score, longest run in units) for the items verified in a text's units."""
+    """item number -> (best score of a passage that holds a case, longest run in units over the whole text)."""
     run, lang, out = index.run, index.lang, {}
     if len(units) < run:
         return out
     size, threshold = PASSAGE[lang], index.threshold
-    for start in range(0, max(1, len(units) - run + 1), size - run + 1):
-        passage = units[start : start + size]
-        for item, score in search(index, set(terms(passage, lang)), threshold):
-            if score < index.least[item]:
-                continue
-            longest = now = 0
-            for k in range(len(passage) - run + 1):
-                piece = tuple(passage[k : k + run]) if lang == "en" else passage[k : k + run]
-                now = now + 1 if piece in index.runs[item] else 0
-                longest = max(longest, now)
-            if longest:
-                had = out.get(item, (0.0, 0))
-                out[item] = (max(had[0], score), max(had[1], longest + run - 1))
+    step = size - run + 1
+    scores: dict[int, dict[int, float]] = defaultdict(dict)
+    for start in range(0, len(units) - run + 1, step):
+        for item, score in search(index, set(terms(units[start : start + size], lang)), threshold):
+            if score >= index.least[item]:
+                scores[item][start] = score
+    if not scores:
+        return out
+    places = defaultdict(list)
+    for k, piece in enumerate(pieces(units, run, lang)):
+        places[piece].append(k)
+    for item, by in scores.items():
+        held = sorted(k for piece in index.runs[item] for k in places.get(piece, ()))
+        if held:
+            # the stretches of the text that can hold a run, parted by what no item has
+            parted, upto = [], held[0]
+            for k in held:
+                if k > upto:
+                    parted.append(object())
+                parted += units[max(k, upto) : k + run]
+                upto = k + run
+            out[item] = (max(by.get(k // step * step, 0.0) for k in held), longest_run(parted, index.units[item]))
     return out
 
 
+def longest_run(a, b) -> int:
+    """Units of the longest run that two sequences share, by doubling: linear but for a logarithm, also for repeated units."""
+    ids: dict = {}
+    level = [[ids.setdefault(x, len(ids)) for x in s] for s in (a, b)]
+    levels = []
+
+    def joined(left, right, gap: int) -> list | None:
+        """Ids of the runs of ``left`` followed by ``right`` after ``gap``; None if the sequences share none."""
+        ids: dict = {}
+        out = [[ids.setdefault(x, len(ids)) for x in zip(p, q[gap:])] for p, q in zip(left, right)]
+        return out if set(out[0]) & set(out[1]) else None
+
+    if not set(level[0]) & set(level[1]):
+        return 0
+    while level:
+        levels.append(level)
+        level = joined(level, level, 1 << (len(levels) - 1))
+    at, length = levels[-1], 1 << (len(levels) - 1)
+    for k in range(len(levels) - 2, -1, -1):
+        if more := joined(at, levels[k], length):
+            at, length = more, length + (1 << k)
+    return length
+
+
 SCHEMA = "id {}, item_id long, score double, longest int, answer_seen boolean"
 
 
 def find(df: DataFrame, id_: str, text: str, items: DataFrame, item_id: str = "item_id", item_text: str = "text", lang: str = "lang", answer: str = "answer") -> DataFrame:
-    """id, item_id, score, longest (units of the longest run within a passage), answer_seen.
+    """id, item_id, score, longest (units of the longest run that text and item share), answer_seen (the
+    text holds the answer as words or a number of its own).
 
     The items are the stated query set: they are collected and searched for in blocks of ``ITEMS_AT_ONCE``, each block
     one index broadcast and one pass over all texts.
@@ -220,12 +268,12 @@ def find(df: DataFrame, id_: str, text: str, items: DataFrame, item_id: str = "i
                 for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     if not t:
                         continue
-                    u = words(t)
-                    seen = f" {' '.join(u)} " if en.ids or zh.ids else ""
-                    for index, units in ((en, u), (zh, chars(t))):
+                    seen = None
+                    for index, units in ((en, words), (zh, chars)):
                         if index.ids:
-                            for item, (score, longest) in matches(index, units).items():
+                            for item, (score, longest) in matches(index, units(t)).items():
                                 a = index.answers[item]
+                                seen = seen or f" {' '.join(tokens(t))} "
                                 got.append((i, index.ids[item], score, longest, bool(a) and f" {a} " in seen))
                 yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], b.column(0).type), *(pa.array([g[k] for g in got], t) for k, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.int32()), (4, pa.bool_())))], names=["id", "item_id", "score", "longest", "answer_seen"])
 

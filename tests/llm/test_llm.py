@@ -253,6 +253,40 @@ def test_leaks_against_brute_force():
         assert {index.ids[a] for a in leaks.matches(index, leaks.words(text))} == _brute(items, text, "en", leaks.WORDS)
 
 
+def _longest(a, b):
+    best, before = 0, {}
+    for x in a:
+        before = {k: before.get(k - 1, 0) + 1 for k, y in enumerate(b) if x == y}
+        best = max([best, *before.values()])
+    return best
+
+
+def test_longest_run_over_the_whole_text():
+    rng = random.Random(10)
+    items = _items(rng)
+    index = leaks.build(items, "en")
+    text = {i: t for i, t, _ in items}
+    for _ in range(100):
+        t = rng.choice(items)[1].split()
+        u = leaks.words(" ".join([rng.choice(WORDS) for _ in range(rng.randint(0, 30))] + t[rng.randint(0, 5) :] + [rng.choice(WORDS)] + t[:12]))
+        for at, (_, longest) in leaks.matches(index, u).items():
+            assert longest == _longest(leaks.words(text[index.ids[at]]), u)
+    for _ in range(200):
+        a, b = ([rng.choice("ab") for _ in range(rng.randint(0, 30))] for _ in range(2))
+        assert leaks.longest_run(a, b) == _longest(a, b)
+    assert leaks.longest_run(["very", "long", "text"] * 20_000, ["long", "text", "very"] * 20_000) == 59_999
+    zh = "".join(chr(0x4E00 + k) for k in range(77))
+    assert [n for _, n in leaks.matches(leaks.build([(1, zh, "")], "zh"), "前" * 30 + zh + "后").values()] == [77]
+
+
+def test_answers_beside_ideographs(spark):
+    zh = "保留测试第56613题：阁楼中只有一个金属的抱枕，要求模型把它送到近处"
+    items = spark.createDataFrame([(1, "zh", zh, "3"), (2, "zh", zh + "吧", "木椅")], "item_id long, lang string, text string, answer string")
+    df = spark.createDataFrame([(1, f"{zh}答案是3个"), (2, f"{zh}答案是33个"), (3, f"{zh}是木椅子")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.find(df, "doc_id", "text", items).where("answer_seen").collect()}
+    assert got == {(1, 1), (3, 2)}
+
+
 def test_disguises(spark):
     en = "Task 40015 asks for a stool turned 15 degrees beside the steel armchair near the big window today"
     zh = "保留测试第56613题：阁楼中只有一个金属的抱枕，要求模型把它送到近处"
