@@ -16,6 +16,15 @@ STYLE_WEIGHTS = {"direct": 1.0, "spatial": 1.0, "intent": 1.0, "goal": 0.6, "cas
 LANGUAGE_WEIGHTS = {"zh": 0.8, "en": 0.2}
 BLOCKED = {"object_scale": ("goal",), "object_rotate": ("goal",)}
 
+
+def allowed(op: Column | str) -> Column:
+    """The styles that an operation takes, in order."""
+    out = F.array(*map(F.lit, STYLES))
+    for name, blocked in BLOCKED.items():
+        out = F.when((F.col(op) if isinstance(op, str) else op) == name, F.array(*[F.lit(s) for s in STYLES if s not in blocked])).otherwise(out)
+    return out
+
+
 # The patterns, in the order of the styles.
 TEMPLATES = {
     ("object_delete", "zh"): ("删掉{ref}", "把{ref}从画面里移除", "我不想看到{ref}", "把这里收拾干净", "把{ref}删了吧"),

@@ -5,10 +5,11 @@ A draw is a hash of the seed and the row's key, so it doesn't depend on order, p
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,26 +87,37 @@ def deficit_choice(counts: dict[str, int], weights: Sequence[tuple[str, float]],
     return live[int(rng.choice(len(live), p=chances / chances.sum()))][0]
 
 
-def deficit_sampling(df: DataFrame, group: str, order: str, weights: Sequence[tuple[str, float]], name: str, seed: int | None = 0) -> DataFrame:
-    """group, order, ``name``: the sequential draws of each group in its order - exact, for groups that a task can hold.
+def deficit_sampling(
+    df: DataFrame, group: str | None, order: str, weights: Sequence[tuple[str, float]], name: str, seed: int | None = 0,
+    extra: float = 0.0, kind: str | None = None, blocked: Mapping[str, Sequence[str]] | None = None, otherwise: str | None = None,
+) -> DataFrame:
+    """group, order, ``name``: the sequential draws of each group in its order, exactly; without ``group`` over all rows.
 
-    A draw depends on all before it, so a group is one task's work; ``balanced`` is the form for groups without bound.
+    A row whose ``kind`` has options in ``blocked`` draws among the others; ``otherwise`` stands where none is left. Each group has draws of its own.
+    A draw depends on all before it, so a group is one task's work, read as a stream whose state is the counts;
+    ``balanced`` is the parallel form.
     """
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rng = None if seed is None else np.random.default_rng(seed)
-        counts: dict[str, int] = {}
-        pdf = pdf.sort_values(order, kind="stable")
-        drawn = []
-        for _ in range(len(pdf)):
-            k = deficit_choice(counts, weights, rng)
-            counts[k] = counts.get(k, 0) + 1
-            drawn.append(k)
-        pdf[name] = drawn
-        return pdf
-
-    return df.select(group, order).groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {order} {kinds[order]}, {name} string")
+    keep = [c for c in (group, order) if c]
+    of = {k: [w for w in weights if w[0] not in b] for k, b in (blocked or {}).items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rng, counts = object(), None, {}
+        for b in batches:
+            drawn = []
+            groups = b.column(0).to_pylist() if group else [None] * b.num_rows
+            for g, op in zip(groups, b.column(len(keep)).to_pylist()):
+                if g != at:
+                    at, rng, counts = g, None if seed is None else np.random.default_rng([seed, zlib.crc32(str(g).encode())]), {}
+                k = deficit_choice(counts, of.get(op, weights), rng, extra)
+                k = otherwise if k is None else k
+                counts[k] = counts.get(k, 0) + 1
+                drawn.append(k)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(drawn, pa.string())], names=[*keep, name])
+
+    rows = df.select(*keep, (F.col(kind) if kind else F.lit(None).cast("string")).alias("__pl_kind"))
+    parted = (rows.repartition(group) if group else rows.repartition(1)).sortWithinPartitions(*keep)
+    return parted.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keep) + f", {name} string")
 
 
 def first_valid(df: DataFrame, keys: Sequence[str], attempt: str, ok: Column, most: int = 30) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.functions import captions, geometry, images, instructions, text
+from pairloom.functions import captions, geometry, images, instructions, spelling, text
 from pairloom.functions.records import object_variant
 from pairloom.operators import sampling
 from pairloom.operators.rank import md5_uniform
@@ -107,9 +107,9 @@ def caption_verify(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _captioned(spark: SparkSession, d: str) -> DataFrame:
-    """Facts with a style and a language by their row, filled in and checked."""
-    style = F.element_at(F.array(*map(F.lit, captions.STYLES)), (F.col("row_id") % 5 + 1).cast("int"))
-    f = facts(spark, d).withColumn("style", style).withColumn("lang", F.when(F.col("row_id") % 7 < 4, "zh").otherwise("en"))
+    """Facts with a style that the operation takes and a language, both by their row, filled in and checked."""
+    allowed = captions.allowed("op")
+    f = facts(spark, d).withColumn("style", F.element_at(allowed, (F.col("row_id") % F.size(allowed) + 1).cast("int"))).withColumn("lang", F.when(F.col("row_id") % 7 < 4, "zh").otherwise("en"))
     filled = captions.fill(f)
     return filled.withColumn("faults", text.caption_faults("caption", "op", "direction", "scale_dir", "turn_direction", "to_noun"))
 
@@ -251,9 +251,9 @@ def language_quota(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def caption_deficit_exact(spark: SparkSession, d: str) -> DataFrame:
-    """W9 exactly: styles drawn one by one by their deficit, per job."""
-    s = table(spark, d, "samples").where("job_id is not null").select("job_id", "row_id")
-    return sampling.deficit_sampling(s, "job_id", "row_id", list(captions.STYLE_WEIGHTS.items()), "style")
+    """W9 exactly: styles that the operation takes, drawn one by one by their deficit over the whole data set in the order of arrival."""
+    s = table(spark, d, "samples").where("row_id is not null").select("row_id", spelling.edit_op("edit_op").alias("op"))
+    return sampling.deficit_sampling(s, None, "row_id", list(captions.STYLE_WEIGHTS.items()), "style", kind="op", blocked=captions.BLOCKED, otherwise="direct")
 
 
 @query("""WITH RECURSIVE t AS (SELECT job_id, row_id, CAST(row_number() OVER (PARTITION BY job_id ORDER BY row_id) AS BIGINT) AS k FROM samples WHERE job_id IS NOT NULL),
@@ -268,9 +268,9 @@ def language_largest_deficit(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def op_deficit(spark: SparkSession, d: str) -> DataFrame:
-    """Operations balanced per scene."""
+    """Operations balanced per job, which starts its own counts; one at its share keeps a small chance."""
     s = table(spark, d, "samples").where("job_id is not null").select("job_id", "row_id")
-    return sampling.deficit_sampling(s, "job_id", "row_id", [("object_move", 1.0), ("object_scale", 1.0), ("object_add", 0.0)], "op", seed=5)
+    return sampling.deficit_sampling(s, "job_id", "row_id", [("object_move", 1.0), ("object_scale", 1.0), ("object_add", 0.0)], "op", seed=5, extra=0.05)
 
 
 @query(f"""SELECT i, format('job_{{:07d}}', i) AS job_id, 200 + i AS seed, CASE WHEN u < {round(0.6 * (1 << 32))} THEN 'hssd' ELSE 'front3d' END AS scene, CASE WHEN i % 3 = 0 THEN 'per_edit' ELSE 'per_scene' END AS granularity, i % 3 <> 0 AS amortised,

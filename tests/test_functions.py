@@ -210,6 +210,25 @@ def test_quotas_and_deficits(spark):
     assert sampling.deficit_choice({}, [("a", 0.0)], rng) is None
 
 
+def test_deficits_extra_and_blocked(spark, sf):
+    from pairloom.plans import catalog
+
+    # a lone option below its share is not drawn every time once each has a small extra
+    df = spark.range(400).select(F.lit("j").alias("job_id"), F.col("id").alias("row_id"))
+    drawn = [r.op for r in sampling.deficit_sampling(df, "job_id", "row_id", [("a", 1.0), ("b", 1.0)], "op", 5, extra=0.05).orderBy("row_id").collect()]
+    assert any(drawn[k] == drawn[k + 1] for k in range(0, 400, 2)) and abs(drawn.count("a") - 200) < 10
+    each = sampling.deficit_sampling(spark.range(200).select(F.col("id").alias("job_id"), F.col("id").alias("row_id")), "job_id", "row_id", [("a", 1.0), ("b", 1.0)], "op", 5)
+    assert 60 < each.where("op = 'a'").count() < 140  # jobs of one row don't all draw alike
+    ops = {r.row_id: r.op for r in spark.read.parquet(f"{sf}/samples.parquet").select("row_id", spelling.edit_op("edit_op").alias("op")).collect()}
+    got = catalog.QUERIES["caption_deficit_exact"](spark, sf).collect()
+    assert len(got) == len(ops) and not any(r.style == "goal" and ops[r.row_id] in captions.BLOCKED for r in got)
+    whole = sum(captions.STYLE_WEIGHTS.values())
+    assert all(abs(sum(r.style == k for r in got) / len(got) - w / whole) < 0.1 for k, w in captions.STYLE_WEIGHTS.items())
+    assert catalog.QUERIES["caption_all"](spark, sf).where("op in ('object_scale', 'object_rotate') and style = 'goal'").count() == 0
+    none = sampling.deficit_sampling(df.withColumn("op", F.lit("x")), None, "row_id", [("a", 1.0)], "s", kind="op", blocked={"x": ["a"]}, otherwise="direct")
+    assert [tuple(r) for r in none.groupBy("s").count().collect()] == [("direct", 400)]
+
+
 def test_first_valid(spark, rows):
     df = spark.createDataFrame([("x", i + 1, v) for i, v in enumerate([1, 2, 3, 7, 8])] + [("y", 1, 0), ("y", 2, 0)], "k string, a int, v int")
     assert rows(sampling.first_valid(df, ["k"], "a", F.col("v") >= 7)) == [("x", True, 4), ("y", False, 2)]
