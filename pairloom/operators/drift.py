@@ -26,21 +26,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.functions.records import KINDS, leaf_kinds, leaves, read_record
+from pairloom.functions.records import KINDS, leaf_kinds, leaves, read_record, write
 
 #: A version has a path if one in so many of its readable records holds it.
 PRESENT_ONE_IN = 50
 #: A path gone and a path come are one renamed path if this share of the keys that hold both has equal values.
 RENAME_AGREEMENT = 0.8
-#: The promotion lattice: each kind can be cast to any later one.
-LATTICE = ("boolean", "number", "string", "array")
 #: A number as JSON writes it.
 NUMBER = re.compile(r"-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?")
 
 
 def promote(kinds: Iterable[str]) -> str:
-    """The least kind of the lattice that can hold all ``kinds``."""
-    return max(kinds, key=LATTICE.index)
+    """The least kind of the lattice ``KINDS`` that can hold all ``kinds``."""
+    return max(kinds, key=KINDS.index)
 
 
 def rounded(value) -> bool:
@@ -64,7 +62,10 @@ def _text(value) -> str:
             return str(value)
     if isinstance(value, str):
         return value
-    return json.dumps([_text(x) if x is not None else None for x in value] if isinstance(value, list) else value, sort_keys=True)
+    try:
+        return json.dumps([_text(x) if x is not None else None for x in value] if isinstance(value, list) else value, sort_keys=True)
+    except RecursionError:
+        return write(value)
 
 
 def profile(df: DataFrame, version: str, text: str) -> DataFrame:
@@ -314,7 +315,7 @@ def consolidate(df: DataFrame, id_: str, version: str, text: str, layouts: Layou
                     out[at].append(held)
                     for q, x in over:
                         rest[q].append(x)
-                out[-1].append(json.dumps(rest, ensure_ascii=False, sort_keys=True) if rest else None)
+                out[-1].append(write(dict(sorted(rest.items()))) if rest else None)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], b.column(0).type), pa.array(out[1], pa.string()), *(pa.array(x, t) for x, t in zip(out[2:-1], types)), pa.array(out[-1], pa.string())], names=schema.names)
 
     return df.select(F.col(id_), F.col(version).alias("version"), F.col(text)).mapInArrow(run, schema)

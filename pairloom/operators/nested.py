@@ -1,25 +1,23 @@
 """Deeply nested records as flat tables, tied to their parents by interval labels.
 
 One depth-first walk numbers every node of a record: ``pre`` when it is entered, ``post`` when it is left. A node lies
-inside another exactly if its pre is greater and its post smaller, so any two node tables of one record join by
+inside another exactly if its pre is greater and its post smaller, so any two node tables of one record can be tied by
 containment, whatever lies between them.
 
-Defined cases: unreadable records have no nodes; of records nested deeper than the interpreter's stack the nodes have
-no body; a lone object in an array's place is its element 0; null and scalar
-elements are no nodes of a table but keep their place; repeated record ids keep their own nodes only if the caller's
-id is unique (it is the join key).
+Defined cases: unreadable records have no nodes; depth is unbounded; a lone object in an array's place is its element
+0; null and scalar elements are no nodes of a table but keep their place; repeated record ids keep their own nodes only
+if the caller's id is unique (it ties nodes together).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-import json
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.functions.records import read_record
+from pairloom.functions.records import read_record, write
 
 NODE_SCHEMA = "node_path string, pre int, post int, pos int, body string"
 
@@ -42,7 +40,7 @@ def label(record: dict, wanted: frozenset[str], bodies: bool) -> list[tuple[str,
                     pre += 1
                     post += 1
             if path in wanted:
-                out.append((path, entered, post, pos, json.dumps(node, ensure_ascii=False) if bodies else None))
+                out.append((path, entered, post, pos, write(node) if bodies else None))
         else:
             for i, v in enumerate(node):
                 if type(v) is dict or type(v) is list:
@@ -68,7 +66,7 @@ def _label_deep(record: dict, wanted: frozenset[str], bodies: bool) -> list[tupl
         node, path, pos, entered = stack.pop()
         if entered is not None:
             if type(node) is dict and path in wanted:
-                out.append((path, entered, post, pos, None))
+                out.append((path, entered, post, pos, write(node) if bodies else None))
             post += 1
         elif type(node) is dict or type(node) is list:
             stack.append((node, path, pos, pre))
@@ -103,13 +101,17 @@ def nodes(df: DataFrame, id_: str, text: str, paths: Sequence[str], bodies: bool
     return df.select(id_, text).mapInArrow(run, f"id {kind}, {NODE_SCHEMA}").withColumnRenamed("id", id_)
 
 
-def inside(inner: str, outer: str) -> Column:
-    """Containment of the aliased node table ``inner`` in ``outer``."""
-    return (F.col(f"{outer}.pre") < F.col(f"{inner}.pre")) & (F.col(f"{inner}.post") < F.col(f"{outer}.post"))
-
-
 def link(children: DataFrame, parents: DataFrame, id_: str) -> DataFrame:
-    """``children`` with ``parent_pre`` and ``parent_pos`` of the parent that contains each; an equi-join on the record with the interval as rest."""
-    p = parents.select(F.col(id_), "pre", "post", "pos").alias("p")
-    c = children.alias("c")
-    return c.join(p, (F.col(f"c.{id_}") == F.col(f"p.{id_}")) & inside("c", "p"), "left").select("c.*", F.col("p.pre").alias("parent_pre"), F.coalesce("p.pos", F.lit(-1)).alias("parent_pos"))
+    """``children`` with ``parent_pre`` and ``parent_pos`` of the node of ``parents`` that contains each, else null and -1.
+
+    The parents are nodes of one path, so none lies inside another: in the order of ``pre`` the last parent before a
+    child contains it if any does, and its interval tells. One sort of a record's nodes, without pairs of them.
+    """
+    rest = [c for c in children.columns if c not in (id_, "pre", "post", "pos")]
+    interval = F.struct("pre", "post", "pos")
+    both = children.select(id_, "pre", "post", "pos", F.struct(*rest).alias("__pl_rest"), F.lit(None).cast(parents.select(interval.alias("i")).schema["i"].dataType).alias("__pl_parent"))
+    both = both.unionByName(parents.select(id_, "pre", "post", "pos", F.lit(None).cast(both.schema["__pl_rest"].dataType).alias("__pl_rest"), interval.alias("__pl_parent")))
+    last = F.last("__pl_parent", ignorenulls=True).over(Window.partitionBy(id_).orderBy("pre").rowsBetween(Window.unboundedPreceding, -1))
+    tied = both.withColumn("__pl_last", last).where(F.col("__pl_parent").isNull())
+    p = F.when(F.col("post") < F.col("__pl_last.post"), F.col("__pl_last"))
+    return tied.select(*[c if c in (id_, "pre", "post", "pos") else F.col(f"__pl_rest.{c}").alias(c) for c in children.columns], p["pre"].alias("parent_pre"), F.coalesce(p["pos"], F.lit(-1)).alias("parent_pos"))

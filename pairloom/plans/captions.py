@@ -9,10 +9,10 @@ from pairloom.functions import captions, geometry, images, instructions, spellin
 from pairloom.functions.records import object_variant
 from pairloom.operators import sampling
 from pairloom.operators.rank import md5_uniform
-from pairloom.plans.registry import query
+from pairloom.plans.registry import query, record_sql
 from pairloom.session import table
 
-_META = "TRY_CAST(meta AS JSON)"
+_META = record_sql("meta")
 _REC = f"(SELECT row_id, instruction, {_META} AS j FROM samples)"
 
 

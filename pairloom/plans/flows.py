@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling
+from pairloom.functions.records import object_variant
 from pairloom.operators.rank import current_rows
-from pairloom.plans.registry import query
+from pairloom.plans.registry import query, record_sql
 from pairloom.session import shared_dir, table
 from pairloom.sources import scans, sinks
 from pairloom.streaming import events as ev
@@ -177,10 +178,15 @@ def pair_log_lines(spark: SparkSession, d: str) -> DataFrame:
     return got.select(F.get_json_object("record", "$.id").cast("long").alias("file_id"), F.get_json_object("record", "$.r.job_id").alias("job"))
 
 
-@query("""SELECT row_id, len(o) AS n_objects, CAST(coalesce(list_sum([CASE WHEN json_type(x, '$.carried') = 'ARRAY' THEN json_array_length(x, '$.carried') ELSE 0 END for x in o]), 0) AS INT) AS n_carried
-FROM (SELECT row_id, CAST(json_extract(j, '$.scene.params.objects') AS JSON[]) AS o FROM (SELECT row_id, TRY_CAST(meta AS JSON) AS j FROM samples) WHERE json_type(j, '$.scene.params.objects') = 'ARRAY')""")
+_LIST = "CASE json_type(j, '{p}') WHEN 'ARRAY' THEN CAST(json_extract(j, '{p}') AS JSON[]) WHEN 'OBJECT' THEN [json_extract(j, '{p}')] END"
+_CARRIED = "CASE json_type(x, '$.carried') WHEN 'ARRAY' THEN json_array_length(x, '$.carried') WHEN 'OBJECT' THEN 1 ELSE 0 END"
+
+
+@query(f"""SELECT row_id, len(o) AS n_objects, CAST(coalesce(list_sum([{_CARRIED} for x in o]), 0) AS INT) AS n_carried
+FROM (SELECT row_id, {_LIST.format(p='$.scene.params.objects')} AS o FROM (SELECT row_id, {record_sql('meta')} AS j FROM samples)) WHERE o IS NOT NULL""")
 def scene_objects(spark: SparkSession, d: str) -> DataFrame:
-    """The object lists of scenes, natively from the nested record."""
-    v = table(spark, d, "samples").select("row_id", F.try_variant_get(F.try_parse_json("meta"), "$.scene.params.objects", "array<variant>").alias("o")).where("o is not null")
-    carried = F.transform("o", lambda x: F.coalesce(F.size(F.try_variant_get(x, "$.carried", "array<variant>")), F.lit(0)))
+    """The object lists of scenes, natively from the nested record; a lone object in a list's place is a list of one."""
+    items = lambda v, p: F.coalesce(F.try_variant_get(v, p, "array<variant>"), F.when(F.schema_of_variant(F.variant_get(v, p, "variant")).startswith("OBJECT"), F.array(F.variant_get(v, p, "variant"))))
+    v = table(spark, d, "samples").select("row_id", object_variant("meta").alias("v")).select("row_id", items("v", "$.scene.params.objects").alias("o")).where("o is not null")
+    carried = F.transform("o", lambda x: F.coalesce(F.size(items(x, "$.carried")), F.lit(0)))
     return v.select("row_id", F.size("o").alias("n_objects"), F.aggregate(F.transform(carried, lambda n: F.greatest(n, F.lit(0))), F.lit(0), lambda s, x: s + x).alias("n_carried"))

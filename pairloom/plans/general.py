@@ -14,6 +14,9 @@ from pairloom.session import cut, shared_dir, table
 
 CAMERAS, TRIALS, OBJECTS, CARRIED = "cameras", "edit.validity.trials", "scene.params.objects", "scene.params.objects.carried"
 
+#: Options that lift the JSON reader's bounds on nesting, numbers and strings.
+DEEP = {"maxNestingDepth": "2147483647", "maxNumLen": "2147483647", "maxStringLen": "2147483647"}
+
 
 def _versioned(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "samples").select("row_id", "key", spelling.version("pipeline_version").alias("version"), "meta")
@@ -43,7 +46,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _flat(spark: SparkSession, d: str, path: str, schema: str) -> DataFrame:
     n = nested.nodes(table(spark, d, "samples"), "row_id", "meta", [path], bodies=True)
-    return n.select("row_id", "pos", "pre", "post", F.from_json("body", schema).alias("b")).select("row_id", "pos", "pre", "post", "b.*")
+    return n.select("row_id", "pos", "pre", "post", F.from_json("body", schema, DEEP).alias("b")).select("row_id", "pos", "pre", "post", "b.*")
 
 
 def p3_cameras(spark: SparkSession, d: str) -> DataFrame:
@@ -61,14 +64,14 @@ def p3_objects(spark: SparkSession, d: str) -> DataFrame:
     n = cut(nested.nodes(table(spark, d, "samples"), "row_id", "meta", [OBJECTS, CARRIED], bodies=True))
     objects = n.where(F.col("node_path") == OBJECTS)
     carried = nested.link(n.where(F.col("node_path") == CARRIED).drop("body"), objects, "row_id").groupBy("row_id", F.col("parent_pre").alias("pre")).agg(F.count("*").alias("n_carried"))
-    body = F.from_json("body", "obj_id string, category string")
+    body = F.from_json("body", "obj_id string, category string", DEEP)
     return objects.join(carried, ["row_id", "pre"], "left").select("row_id", "pos", body["obj_id"].alias("obj_id"), body["category"].alias("category"), F.coalesce("n_carried", F.lit(0)).alias("n_carried"))
 
 
 def p3_carried(spark: SparkSession, d: str) -> DataFrame:
     n = cut(nested.nodes(table(spark, d, "samples"), "row_id", "meta", [OBJECTS, CARRIED], bodies=True))
     linked = nested.link(n.where(F.col("node_path") == CARRIED), n.where(F.col("node_path") == OBJECTS), "row_id")
-    body = F.from_json("body", "obj_id string, category string")
+    body = F.from_json("body", "obj_id string, category string", DEEP)
     return linked.select("row_id", "parent_pos", "pos", body["obj_id"].alias("obj_id"), body["category"].alias("category"))
 
 

@@ -23,3 +23,19 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
         return f
 
     return put
+
+
+def record_sql(column: str) -> str:
+    """SQL: the readable record in a text column, also out of a JSON string."""
+    j = f"TRY_CAST({column} AS JSON)"
+    return f"(CASE WHEN json_type({j}) = 'VARCHAR' THEN TRY_CAST(json_extract_string({j}, '$') AS JSON) ELSE {j} END)"
+
+
+def spelled_asset_sql(column: str) -> str:
+    """SQL: the canonical spelling of an asset's uid."""
+    return rf"nullif(replace(regexp_replace(regexp_replace(lower(regexp_replace({column}, '^\s+|\s+$', '', 'g')), '\.glb$', ''), '^objaverse[:/]', ''), '-', ''), '')"
+
+
+def spelled_scene_sql(column: str) -> str:
+    """SQL: the canonical spelling of a scene's id."""
+    return rf"nullif(replace(regexp_replace(regexp_replace(lower(trim({column})), '^.*[/\\]', ''), '(\.scene_instance)?\.json$', ''), '_', '-'), '')"

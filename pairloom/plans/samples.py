@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling, text
-from pairloom.functions.records import object_variant
+from pairloom.functions.records import object_variant, record_text
 from pairloom.operators import gates, rank, sampling, upsert
-from pairloom.plans.registry import query
+from pairloom.plans.registry import query, record_sql, spelled_asset_sql, spelled_scene_sql
 from pairloom.session import table
 
 #: Scenes held out of training in the export queries, and samples per shard.
@@ -27,11 +27,32 @@ def _reasons():
     return gates.quality_reasons(bright=None)
 
 
+_TRIMMED = r"lower(regexp_replace({c}, '^\s+|\s+$', '', 'g'))"
+_SPELLED = {
+    "edit_op": rf"'object_' || nullif(regexp_replace({_TRIMMED.format(c='edit_op')}, '^object[_\s-]*', ''), '')",
+    "source_dataset": rf"nullif(regexp_replace({_TRIMMED.format(c='source_dataset')}, '^dataset\s*:\s*', ''), '')",
+    "scene_id": spelled_scene_sql("scene_id"),
+}
+#: SQL: the current row of each key, with operation, dataset and scene in one spelling.
+_CURRENT = f"(SELECT * REPLACE ({', '.join(f'{x} AS {c}' for c, x in _SPELLED.items())}) FROM samples QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)"
+
+
+def _current(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """``columns`` of the current row of each key, with operation, dataset and scene in one spelling."""
+    now = rank.current_rows(_samples(spark, d), "key", "row_id", columns)
+    spell = {"edit_op": spelling.edit_op, "source_dataset": spelling.source_name, "scene_id": spelling.scene_id}
+    return now.withColumns({c: f(c) for c, f in spell.items() if c in columns})
+
+
+def _packed(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return _current(spark, d, "shard_path", *columns).where("shard_path is not null")
+
+
 @query(f"""SELECT edit_op, count(*) AS n, CAST(count(*) FILTER (WHERE {REASONS_SQL} = '') AS BIGINT) AS n_pass, count(DISTINCT scene_id) AS n_scenes
-FROM samples WHERE shard_path IS NOT NULL GROUP BY edit_op""")
+FROM {_CURRENT} WHERE shard_path IS NOT NULL GROUP BY edit_op""")
 def dataset_stats_by_op(spark: SparkSession, d: str) -> DataFrame:
     """Packed samples per operation, how many pass the quality gate, and their scenes."""
-    packed = _samples(spark, d).where("shard_path is not null")
+    packed = _packed(spark, d, "edit_op", "scene_id", "change_ratio", "sharpness", "background_diff")
     return packed.groupBy("edit_op").agg(F.count("*").alias("n"), F.count_if(_reasons() == "").alias("n_pass"), F.count_distinct("scene_id").alias("n_scenes"))
 
 
@@ -41,37 +62,40 @@ def quality_gate_reasons(spark: SparkSession, d: str) -> DataFrame:
     return _samples(spark, d).select("row_id", _reasons().alias("reasons"))
 
 
-@query("""SELECT edit_op, scene_id, source_dataset, count(*) AS n, CAST(grouping(edit_op, scene_id, source_dataset) AS BIGINT) AS level FROM samples
+@query(f"""SELECT edit_op, scene_id, source_dataset, count(*) AS n, CAST(grouping(edit_op, scene_id, source_dataset) AS BIGINT) AS level FROM {_CURRENT}
 WHERE shard_path IS NOT NULL GROUP BY GROUPING SETS ((edit_op), (scene_id), (source_dataset), ())""")
 def stats_grouping_sets(spark: SparkSession, d: str) -> DataFrame:
     """Counts by operation, scene, dataset and in all, in one pass."""
-    packed = _samples(spark, d).where("shard_path is not null")
     f = [F.col(c) for c in ("edit_op", "scene_id", "source_dataset")]
-    grouped = packed.groupingSets([[f[0]], [f[1]], [f[2]], []], *f)
+    grouped = _packed(spark, d, "edit_op", "scene_id", "source_dataset").groupingSets([[f[0]], [f[1]], [f[2]], []], *f)
     return grouped.agg(F.count("*").alias("n"), F.grouping_id().cast("long").alias("level"))
 
 
-@query("""SELECT count(*) AS total, count(DISTINCT CASE WHEN scene_id NOT IN ('', '?') THEN scene_id END) AS n_scenes,
+def size_class(n):
+    """The class of a dataset's size."""
+    return F.when(n < 1000, "n<1K").when(n < 10_000, "1K<n<10K").when(n < 100_000, "10K<n<100K").otherwise("100K<n<1M")
+
+
+@query(f"""SELECT count(*) AS total, count(DISTINCT CASE WHEN scene_id NOT IN ('', '?') THEN scene_id END) AS n_scenes,
 CASE WHEN count(*) < 1000 THEN 'n<1K' WHEN count(*) < 10000 THEN '1K<n<10K' WHEN count(*) < 100000 THEN '10K<n<100K' ELSE '100K<n<1M' END AS size_bucket
-FROM samples WHERE shard_path IS NOT NULL""")
+FROM {_CURRENT} WHERE shard_path IS NOT NULL""")
 def stats_total(spark: SparkSession, d: str) -> DataFrame:
     """Packed samples, their scenes, and the size class of the set."""
     n = F.count("*")
-    size = F.when(n < 1000, "n<1K").when(n < 10_000, "1K<n<10K").when(n < 100_000, "10K<n<100K").otherwise("100K<n<1M")
-    return _samples(spark, d).where("shard_path is not null").agg(n.alias("total"), F.count_distinct(F.when(~F.col("scene_id").isin("", "?"), F.col("scene_id"))).alias("n_scenes"), size.alias("size_bucket"))
+    return _packed(spark, d, "scene_id").agg(n.alias("total"), F.count_distinct(F.when(~F.col("scene_id").isin("", "?"), F.col("scene_id"))).alias("n_scenes"), size_class(n).alias("size_bucket"))
 
 
-@query("""SELECT coalesce(source_dataset, '?') AS source, coalesce(edit_op, '?') AS op, count(*) AS n FROM samples GROUP BY ALL""")
+@query(f"""SELECT coalesce(source_dataset, '?') AS source, coalesce(edit_op, '?') AS op, count(*) AS n FROM {_CURRENT} GROUP BY ALL""")
 def stats_with_unknown(spark: SparkSession, d: str) -> DataFrame:
     """Counts with ``?`` for what is unknown."""
-    return _samples(spark, d).groupBy(F.coalesce("source_dataset", F.lit("?")).alias("source"), F.coalesce("edit_op", F.lit("?")).alias("op")).agg(F.count("*").alias("n"))
+    return _current(spark, d, "source_dataset", "edit_op").groupBy(F.coalesce("source_dataset", F.lit("?")).alias("source"), F.coalesce("edit_op", F.lit("?")).alias("op")).agg(F.count("*").alias("n"))
 
 
-_META = "TRY_CAST(meta AS JSON)"
+_META = record_sql("meta")
 
 
 def _variant(column: str = "meta"):
-    return F.try_parse_json(column)
+    return object_variant(column)
 
 
 @query(f"""SELECT 'license' AS what, json_extract_string({_META}, '$.provenance.scene_source.license') AS value FROM samples WHERE value IS NOT NULL
@@ -88,23 +112,44 @@ def absent_or(v: str, path: str, fallback: str, kind: str = "double"):
     return F.when(F.variant_get(v, path, "variant").isNull(), F.try_variant_get(v, fallback, kind)).otherwise(F.try_variant_get(v, path, kind))
 
 
-@query(f"""SELECT row_id, json_extract_string(j, '$.job_id') AS job_id, TRY_CAST(json_extract_string(j, '$.view') AS INT) AS view, TRY_CAST(json_extract_string(j, '$.seed') AS BIGINT) AS seed,
-json_extract_string(j, '$.edit.op') AS edit_op, json_extract_string(j, '$.edit.noun') AS noun, json_extract_string(j, '$.subject.category') AS category,
-CASE WHEN json_extract(j, '$.edit.validity.quality.change_ratio') IS NULL THEN TRY_CAST(json_extract_string(j, '$.edit.validity.pixel_change_ratio') AS DOUBLE)
-  ELSE TRY_CAST(json_extract_string(j, '$.edit.validity.quality.change_ratio') AS DOUBLE) END AS change_ratio,
-TRY_CAST(json_extract_string(j, '$.edit.validity.quality.sharpness') AS DOUBLE) AS sharpness,
-coalesce(json_extract_string(j, '$.scene.name'), CASE WHEN json_type(j, '$.scene') = 'VARCHAR' THEN json_extract_string(j, '$.scene') END) AS scene_name
-FROM (SELECT row_id, {_META} AS j FROM samples) WHERE json_type(j) = 'OBJECT'""")
+# Where a sample's columns stand in its record, and their types.
+SAMPLE_COLUMNS = (
+    ("job_id", "$.job_id", "string"), ("seed", "$.seed", "long"), ("scene_id", "$.provenance.scene_source.scene_id", "string"), ("source_dataset", "$.provenance.scene_source.dataset", "string"),
+    ("pipeline_version", "$.provenance.pipeline_version", "string"), ("edit_op", "$.edit.op", "string"), ("instruction", "$.instruction", "string"), ("subject_category", "$.subject.category", "string"),
+    ("subject_uid", "$.subject.asset_uid", "string"), ("subject_description", "$.subject.description", "string"), ("sharpness", "$.edit.validity.quality.sharpness", "double"),
+    ("background_diff", "$.edit.validity.quality.background_diff", "double"), ("penetration_depth", "$.edit.validity.penetration_depth", "double"), ("floating_gap", "$.edit.validity.floating_gap", "double"),
+    ("reseated", "$.edit.validity.reseated", "boolean"), ("collision_free", "$.edit.validity.collision_free", "boolean"), ("num_attempts", "$.edit.validity.num_attempts", "int"),
+    ("direction_consistent", "$.edit.validity.direction_check.consistent", "boolean"),
+)
+_CHANGE, _OLD_CHANGE = "$.edit.validity.quality.change_ratio", "$.edit.validity.pixel_change_ratio"
+_SQL_TYPES = {"long": "BIGINT", "int": "INT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def _column_sql(path: str, kind: str) -> str:
+    x = f"json_extract_string(j, '{path}')"
+    return x if kind == "string" else f"TRY_CAST({x} AS {_SQL_TYPES[kind]})"
+
+
+_CHANGE_SQL = f"CASE WHEN json_extract(j, '{_CHANGE}') IS NULL THEN {_column_sql(_OLD_CHANGE, 'double')} ELSE {_column_sql(_CHANGE, 'double')} END"
+
+
+def sample_columns(v: str = "v") -> list:
+    """A sample's columns out of its record ``v``, all but key and meta; the first view is 0 where none is named."""
+    get = lambda p, k="string": F.try_variant_get(v, p, k)
+    named = F.when(F.schema_of_variant(F.variant_get(v, "$.scene", "variant")) == "STRING", get("$.scene"))
+    return [
+        F.when(F.variant_get(v, "$.view", "variant").isNull(), F.lit(0)).otherwise(get("$.view", "int")).alias("view"), F.coalesce(get("$.scene.name"), named).alias("scene_name"),
+        absent_or(v, _CHANGE, _OLD_CHANGE).alias("change_ratio"), *[get(p, k).alias(c) for c, p, k in SAMPLE_COLUMNS],
+    ]
+
+
+@query(f"""SELECT row_id, key, CASE WHEN json_extract(j, '$.view') IS NULL THEN 0 ELSE {_column_sql('$.view', 'int')} END AS view, coalesce(json_extract_string(j, '$.scene.name'),
+CASE WHEN json_type(j, '$.scene') = 'VARCHAR' THEN json_extract_string(j, '$.scene') END) AS scene_name, {_CHANGE_SQL} AS change_ratio, {', '.join(f'{_column_sql(p, k)} AS {c}' for c, p, k in SAMPLE_COLUMNS)}, t AS meta
+FROM (SELECT row_id, key, {_META} AS j, CASE WHEN json_type(TRY_CAST(meta AS JSON)) = 'VARCHAR' THEN json_extract_string(TRY_CAST(meta AS JSON), '$') ELSE meta END AS t FROM samples) WHERE json_type(j) = 'OBJECT'""")
 def sample_flatten(spark: SparkSession, d: str) -> DataFrame:
-    """The typed columns of a sample out of its nested record; absent is told from null."""
-    v = _samples(spark, d).select("row_id", object_variant("meta").alias("v")).where("v is not null")
-    get = lambda p, k="string": F.try_variant_get("v", p, k)
-    q = "$.edit.validity.quality"
-    return v.select(
-        "row_id", get("$.job_id").alias("job_id"), get("$.view", "int").alias("view"), get("$.seed", "long").alias("seed"), get("$.edit.op").alias("edit_op"), get("$.edit.noun").alias("noun"),
-        get("$.subject.category").alias("category"), absent_or("v", f"{q}.change_ratio", "$.edit.validity.pixel_change_ratio").alias("change_ratio"), get(f"{q}.sharpness", "double").alias("sharpness"),
-        F.coalesce(get("$.scene.name"), F.when(F.schema_of_variant(F.variant_get("v", "$.scene", "variant")) == "STRING", get("$.scene"))).alias("scene_name"),
-    )
+    """All columns of a sample out of its nested record; absent is told from null."""
+    v = _samples(spark, d).select("row_id", "key", object_variant("meta").alias("v"), record_text("meta").alias("meta")).where("v is not null")
+    return v.select("row_id", "key", *sample_columns(), "meta")
 
 
 _CASES = """CASE event_id % 4 WHEN 0 THEN '{"a": null, "b": 2}' WHEN 1 THEN '{"b": 2}' WHEN 2 THEN '{"a": 1.5, "b": 2}' ELSE '{bad' END"""
@@ -119,21 +164,55 @@ def sample_flatten_null_vs_absent(spark: SparkSession, d: str) -> DataFrame:
 
 
 _SPLIT = f"CASE WHEN coalesce(scene_id, 'None') IN {HELD_OUT} THEN 'validation' ELSE 'train' END"
-_DISAMBIG = r"coalesce(regexp_matches(instruction, '\b(on the left|on the right|nearest|farthest)\b'), false)"
+_DISAMBIG = r"coalesce(regexp_matches(edit_instruction, '\b(on the left|on the right|nearest|farthest)\b'), false)"
+_NUMBER = "CASE WHEN NOT isnan({x}) THEN CAST({x} AS FLOAT) END"
 
 
 def _split():
     return F.when(F.coalesce("scene_id", F.lit("None")).isin(*HELD_OUT), "validation").otherwise("train")
 
 
-@query(f"""SELECT row_id, key, {_SPLIT} AS split, coalesce(nullif(instruction, ''), '') AS edit_instruction, replace(edit_op, 'object_', '') AS op, {_DISAMBIG} AS disambiguated,
-CAST(change_ratio AS FLOAT) AS change_ratio, CAST(sharpness AS FLOAT) AS sharpness FROM samples""")
+def finite(x):
+    """A score as it is passed on: NaN is no score."""
+    return F.when(~F.isnan(x), x)
+
+
+_LANDED = r"""(SELECT file_id, regexp_extract(file_path, '^(.*)/', 1) AS folder, json_extract_string(j, '$.job_id') || coalesce('_' || nullif(replace(json_extract_string(j, '$.edit.op'), 'object_', ''), ''), '') || '_v' || json_extract_string(v, '$.view') AS key,
+json_extract_string(v, '$.before') AS before, json_extract_string(v, '$.after') AS after FROM (SELECT file_id, file_path, j, unnest(CAST(json_extract(j, '$.views') AS JSON[])) AS v FROM (SELECT file_id, file_path, TRY_CAST(body AS JSON) AS j FROM sample_files) WHERE json_type(j) = 'OBJECT'))"""
+
+
+def landed_views(spark: SparkSession, d: str) -> DataFrame:
+    """file_id, folder, key, before, after of every view in the readable landed records."""
+    v = table(spark, d, "sample_files").select("file_id", "file_path", object_variant("body").alias("j")).where("j is not null")
+    e = v.select("file_id", "file_path", "j", F.explode(F.try_variant_get("j", "$.views", "array<variant>")).alias("v"))
+    op = F.nullif(F.replace(F.try_variant_get("j", "$.edit.op", "string"), F.lit("object_"), F.lit("")), F.lit(""))
+    key = F.concat(F.try_variant_get("j", "$.job_id", "string"), F.coalesce(F.concat(F.lit("_"), op), F.lit("")), F.lit("_v"), F.try_variant_get("v", "$.view", "string"))
+    return e.select("file_id", F.regexp_extract("file_path", "^(.*)/", 1).alias("folder"), key.alias("key"), F.try_variant_get("v", "$.before", "string").alias("before"), F.try_variant_get("v", "$.after", "string").alias("after"))
+
+
+@query(f"""WITH i AS (SELECT key, folder || '/' || before AS source_image, folder || '/' || after AS target_image FROM {_LANDED} WHERE key IS NOT NULL AND before IS NOT NULL AND after IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY key ORDER BY file_id, before, after) = 1),
+r AS (SELECT row_id, key, {_META} AS j, CASE WHEN json_type(TRY_CAST(meta AS JSON)) = 'VARCHAR' THEN json_extract_string(TRY_CAST(meta AS JSON), '$') ELSE meta END AS meta_json FROM samples),
+e AS (SELECT row_id, key, coalesce(nullif(json_extract_string(j, '$.caption'), ''), json_extract_string(j, '$.instruction'), '') AS edit_instruction, json_extract_string(j, '$.caption_style') AS caption_style,
+ json_extract_string(j, '$.caption_lang') AS caption_lang, json_extract_string(j, '$.edit.op') AS edit_op, json_extract_string(j, '$.provenance.scene_source.scene_id') AS scene_id, json_extract_string(j, '$.provenance.scene_source.dataset') AS source_dataset,
+ json_extract_string(j, '$.subject.category') AS subject_category, json_extract_string(j, '$.subject.origin') AS subject_origin, {_column_sql('$.edit.validity.quality.sharpness', 'double')} AS s, {_CHANGE_SQL} AS c, meta_json FROM r WHERE json_type(j) = 'OBJECT')
+SELECT row_id, key, {_SPLIT} AS split, source_image, target_image, edit_instruction, caption_style, caption_lang, edit_op, replace(edit_op, 'object_', '') AS op, scene_id, source_dataset, subject_category, subject_origin,
+{_NUMBER.format(x='s')} AS sharpness, {_NUMBER.format(x='c')} AS change_ratio, {_DISAMBIG} AS disambiguated, meta_json FROM e LEFT JOIN i USING (key)""")
 def export_rows(spark: SparkSession, d: str) -> DataFrame:
-    """The rows of the export, with held-out scenes as validation."""
-    return _samples(spark, d).select(
-        "row_id", "key", _split().alias("split"), F.coalesce(F.nullif("instruction", F.lit("")), F.lit("")).alias("edit_instruction"), F.replace("edit_op", F.lit("object_"), F.lit("")).alias("op"),
-        text.is_disambiguated("instruction").alias("disambiguated"), F.col("change_ratio").cast("float").alias("change_ratio"), F.col("sharpness").cast("float").alias("sharpness"),
+    """The rows of the export with their images, caption before instruction, held-out scenes as validation."""
+    v = _samples(spark, d).select("row_id", "key", object_variant("meta").alias("v"), record_text("meta").alias("meta_json")).where("v is not null")
+    get = lambda p: F.try_variant_get("v", p, "string")
+    said = F.coalesce(F.nullif(get("$.caption"), F.lit("")), get("$.instruction"), F.lit(""))
+    rows = v.select(
+        "row_id", "key", said.alias("edit_instruction"), get("$.caption_style").alias("caption_style"), get("$.caption_lang").alias("caption_lang"), get("$.edit.op").alias("edit_op"),
+        get("$.provenance.scene_source.scene_id").alias("scene_id"), get("$.provenance.scene_source.dataset").alias("source_dataset"), get("$.subject.category").alias("subject_category"), get("$.subject.origin").alias("subject_origin"),
+        finite(F.try_variant_get("v", "$.edit.validity.quality.sharpness", "double")).cast("float").alias("sharpness"), finite(absent_or("v", _CHANGE, _OLD_CHANGE)).cast("float").alias("change_ratio"), "meta_json",
     )
+    views = landed_views(spark, d).where("key is not null and before is not null and after is not null")
+    images = views.groupBy("key").agg(F.min(F.struct("file_id", "before", "after", "folder")).alias("i"))
+    path = lambda c: F.concat_ws("/", "i.folder", f"i.{c}")
+    images = images.select("key", path("before").alias("source_image"), path("after").alias("target_image"))
+    return rows.join(images, "key", "left").select("*", _split().alias("split"), F.replace("edit_op", F.lit("object_"), F.lit("")).alias("op"), text.is_disambiguated("edit_instruction").alias("disambiguated"))
 
 
 @query(f"SELECT {_SPLIT} AS split, edit_op, count(*) AS n FROM samples GROUP BY ROLLUP (split, edit_op)")
@@ -268,25 +347,32 @@ def assets_most_used(spark: SparkSession, d: str) -> DataFrame:
 
 #: What came before this time is the table, what came after it the batch that is merged in.
 CUTOFF = "2025-07-01"
-_OLD, _NEW = (f"(SELECT * FROM samples WHERE created_at {sign} TIMESTAMPTZ '{CUTOFF} 00:00:00+00' QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)" for sign in ("<", ">="))
+_OLD, _NEW = (f"(SELECT * REPLACE (CASE WHEN NOT isnan(sharpness) THEN sharpness END AS sharpness) FROM samples WHERE created_at {sign} TIMESTAMPTZ '{CUTOFF} 00:00:00+00' QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)" for sign in ("<", ">="))
 _MERGED = ["instruction", "sharpness", "reseated"]
 
 
 @query(f"""SELECT coalesce(o.key, n.key) AS key, {', '.join(f'CASE WHEN n.key IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}' for c in _MERGED)}, o.shard_path
 FROM {_OLD} o FULL JOIN {_NEW} n ON o.key = n.key""")
 def samples_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """K1 K5: new rows over old ones by key; a null overwrites, the shard path stays."""
-    s = _samples(spark, d)
+    """K1 K5: new rows over old ones by key; a null overwrites, NaN is no score, the shard path stays."""
+    s = _samples(spark, d).withColumn("sharpness", finite(F.col("sharpness")))
     now = lambda sign: rank.current_rows(s.where(f"created_at {sign} timestamp'{CUTOFF}T00:00:00Z'"), "key", "row_id", [*_MERGED, "shard_path"])
     return upsert.merge(now("<"), now(">="), "key", _MERGED, ["shard_path"])
 
 
-@query("""WITH new AS (SELECT DISTINCT key AS sample_key, subject_uid AS asset_uid FROM samples WHERE subject_uid IS NOT NULL)
+_SUBJECT = spelled_asset_sql("subject_uid")
+
+
+def _subject():
+    return spelling.asset_uid("subject_uid")
+
+
+@query(f"""WITH new AS (SELECT DISTINCT key AS sample_key, {_SUBJECT} AS asset_uid FROM samples WHERE {_SUBJECT} IS NOT NULL)
 SELECT DISTINCT asset_uid, sample_key FROM asset_usage WHERE sample_key IS NOT NULL AND sample_key NOT IN (SELECT sample_key FROM new) UNION SELECT asset_uid, sample_key FROM new""")
 def usage_replace(spark: SparkSession, d: str) -> DataFrame:
     """The uses of each newly ingested sample replaced as a set."""
     old = table(spark, d, "asset_usage").where("sample_key is not null").select("asset_uid", "sample_key")
-    new = _samples(spark, d).where("subject_uid is not null").select(F.col("subject_uid").alias("asset_uid"), F.col("key").alias("sample_key"))
+    new = _samples(spark, d).select(_subject().alias("asset_uid"), F.col("key").alias("sample_key")).where("asset_uid is not null")
     return upsert.replace_sets(old, new, "sample_key")
 
 
@@ -318,7 +404,7 @@ def sample_uids_union(spark: SparkSession, d: str) -> DataFrame:
 
 
 _TAKEN = "(SELECT asset_uid AS uid FROM asset_usage WHERE created_at < TIMESTAMPTZ '2025-03-01 00:00:00+00' AND asset_uid IS NOT NULL)"
-_FRESH = "(SELECT subject_uid AS uid FROM samples WHERE subject_uid IS NOT NULL)"
+_FRESH = f"(SELECT {_SUBJECT} AS uid FROM samples WHERE {_SUBJECT} IS NOT NULL)"
 
 
 def _taken(spark: SparkSession, d: str) -> DataFrame:
@@ -328,43 +414,52 @@ def _taken(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT uid, uid NOT IN (SELECT uid FROM {_TAKEN}) AS is_new FROM (SELECT uid FROM {_TAKEN} UNION SELECT uid FROM {_FRESH})")
 def ledger_update(spark: SparkSession, d: str) -> DataFrame:
     """The ledger of used assets after a batch, with what the batch added."""
-    return upsert.ledger(_taken(spark, d), _samples(spark, d).select(F.col("subject_uid").alias("uid")), "uid")
+    return upsert.ledger(_taken(spark, d), _samples(spark, d).select(_subject().alias("uid")), "uid")
 
 
 @query(f"SELECT uid FROM {_FRESH} EXCEPT SELECT uid FROM {_TAKEN}")
 def ledger_diff(spark: SparkSession, d: str) -> DataFrame:
     """what the batch adds."""
-    return _samples(spark, d).where("subject_uid is not null").select(F.col("subject_uid").alias("uid")).subtract(_taken(spark, d))
+    return _samples(spark, d).select(_subject().alias("uid")).where("uid is not null").subtract(_taken(spark, d))
 
 
 @query(f"SELECT uid FROM assets WHERE uid NOT IN (SELECT uid FROM {_TAKEN} UNION SELECT uid FROM {_FRESH})")
 def unused_assets_anti(spark: SparkSession, d: str) -> DataFrame:
     """Assets in neither of two ledgers."""
-    used = _taken(spark, d).union(_samples(spark, d).select("subject_uid"))
+    used = _taken(spark, d).union(_samples(spark, d).select(_subject()))
     return table(spark, d, "assets").select("uid").join(used, "uid", "left_anti")
 
 
-@query("SELECT scene_id FROM scenes")
-def anti_with_fallback(spark: SparkSession, d: str) -> DataFrame:
-    """Scenes not used yet; all scenes, as here every one is used."""
+def _scenes_left(spark: SparkSession, d: str, used: str) -> DataFrame:
     scenes = table(spark, d, "scenes").select("scene_id")
-    return upsert.with_fallback(scenes.join(scenes.withColumnRenamed("scene_id", "s"), F.col("scene_id") == F.col("s"), "left_anti"), scenes)
+    ledger = _samples(spark, d).where(used).select(spelling.scene_id("scene_id").alias("scene_id")).where("scene_id is not null")
+    return upsert.with_fallback(scenes.join(ledger, "scene_id", "left_anti"), scenes)
 
 
-@query("""WITH left_ AS (SELECT uid, category FROM assets WHERE category IS NOT NULL AND uid NOT IN (SELECT asset_uid FROM asset_usage WHERE asset_uid IS NOT NULL AND created_at < TIMESTAMPTZ '2025-02-01 00:00:00+00'))
-SELECT uid, category, CAST(turn AS INT) AS turn FROM (SELECT uid, category, row_number() OVER (PARTITION BY category ORDER BY md5('7:' || uid), uid) AS turn FROM left_)
-ORDER BY turn, md5('7:' || category), category, uid LIMIT 60""")
-def diverse_sample_round_robin(spark: SparkSession, d: str) -> DataFrame:
-    """Sixty unused assets, one of each category per round."""
-    used = table(spark, d, "asset_usage").where("asset_uid is not null and created_at < timestamp'2025-02-01T00:00:00Z'").select(F.col("asset_uid").alias("uid"))
-    return sampling.round_robin(table(spark, d, "assets").where("category is not null").select("uid", "category"), "category", "uid", 60, excluded=used)
+def _scenes_left_sql(used: str) -> str:
+    return f"""WITH u AS (SELECT scene_id FROM scenes WHERE scene_id NOT IN (SELECT {spelled_scene_sql('scene_id')} FROM samples WHERE scene_id IS NOT NULL AND {used}))
+SELECT scene_id FROM u UNION ALL SELECT scene_id FROM scenes WHERE NOT EXISTS (SELECT 1 FROM u)"""
+
+
+@query(_scenes_left_sql("created_at < TIMESTAMPTZ '2025-03-01 00:00:00+00'"))
+def scenes_left(spark: SparkSession, d: str) -> DataFrame:
+    """Scenes that no sample had used by March."""
+    return _scenes_left(spark, d, "created_at < timestamp'2025-03-01T00:00:00Z'")
+
+
+@query(_scenes_left_sql("true") .replace("FROM scenes WHERE scene_id NOT IN", "FROM (SELECT scene_id FROM scenes WHERE scene_id IN (SELECT " + spelled_scene_sql("scene_id") + " FROM samples)) WHERE scene_id NOT IN"))
+def anti_with_fallback(spark: SparkSession, d: str) -> DataFrame:
+    """Of the scenes in use, those that are not: none, so all scenes."""
+    scenes = table(spark, d, "scenes").select("scene_id")
+    used = _samples(spark, d).select(spelling.scene_id("scene_id").alias("scene_id")).where("scene_id is not null")
+    return upsert.with_fallback(scenes.join(used, "scene_id", "left_semi").join(used, "scene_id", "left_anti"), scenes)
 
 
-@query(r"""SELECT s.row_id, a.category, coalesce(a.category, 'object') AS noun FROM samples s LEFT JOIN assets a ON a.uid = s.subject_uid""")
+@query(f"""SELECT s.row_id, a.category, coalesce(a.category, 'object') AS noun FROM samples s LEFT JOIN assets a ON a.uid = {spelled_asset_sql('s.subject_uid')}""")
 def asset_noun_lookup(spark: SparkSession, d: str) -> DataFrame:
     """The category of each sample's asset, ``object`` on a miss."""
     a = table(spark, d, "assets").select(F.col("uid").alias("subject_uid"), "category")
-    return _samples(spark, d).select("row_id", "subject_uid").join(a, "subject_uid", "left").select("row_id", "category", F.coalesce("category", F.lit("object")).alias("noun"))
+    return _samples(spark, d).select("row_id", _subject().alias("subject_uid")).join(a, "subject_uid", "left").select("row_id", "category", F.coalesce("category", F.lit("object")).alias("noun"))
 
 
 _NOUN_SQL = r"coalesce(nullif(trim(regexp_replace(translate(regexp_replace(coalesce(category, ''), '\(.*?\)', '', 'g'), '_-', '  '), '\s+', ' ', 'g')), ''), 'object')"
@@ -394,11 +489,33 @@ def wall_integrated(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "assets").select("uid", text.is_wall_integrated("category").alias("wall_integrated"))
 
 
+def indoor_pool(assets: DataFrame, allowed) -> DataFrame:
+    """The assets of allowed categories, by exact match of the normal form; all of them if none is allowed."""
+    names = assets.sparkSession.createDataFrame([(c,) for c in allowed], "allowed string").select(text.norm_category("allowed").alias("__pl_n"))
+    fit = assets.withColumn("__pl_n", text.norm_category("category")).join(names, "__pl_n", "left_semi").select(*assets.columns)
+    return upsert.with_fallback(fit, assets)
+
+
 @query(f"SELECT uid, category FROM assets WHERE {_NORM_SQL.format(c='category')} IN {INDOOR}")
 def indoor_semi_join(spark: SparkSession, d: str) -> DataFrame:
-    """Assets of allowed categories, by exact match of the normal form."""
-    allowed = spark.createDataFrame([(c,) for c in INDOOR], "allowed string").select(text.norm_category("allowed").alias("n"))
-    return table(spark, d, "assets").select("uid", "category", text.norm_category("category").alias("n")).join(allowed, "n", "left_semi").select("uid", "category")
+    """Assets of allowed categories."""
+    return indoor_pool(table(spark, d, "assets").select("uid", "category"), INDOOR)
+
+
+@query("SELECT uid, category FROM assets")
+def indoor_fallback(spark: SparkSession, d: str) -> DataFrame:
+    """No category is on the list, so all assets stay."""
+    return indoor_pool(table(spark, d, "assets").select("uid", "category"), ["no such category"])
+
+
+@query(f"""WITH left_ AS (SELECT uid, category FROM assets WHERE {_NORM_SQL.format(c='category')} IN {INDOOR} AND uid NOT IN (SELECT asset_uid FROM asset_usage WHERE asset_uid IS NOT NULL AND created_at < TIMESTAMPTZ '2025-02-01 00:00:00+00'))
+SELECT uid, category, CAST(turn AS INT) AS turn FROM (SELECT uid, category, row_number() OVER (PARTITION BY category ORDER BY md5('7:' || uid), uid) AS turn FROM left_)
+ORDER BY turn, md5('7:' || category), category, uid LIMIT 60""")
+def diverse_sample_round_robin(spark: SparkSession, d: str) -> DataFrame:
+    """Sixty unused assets of indoor categories, one of each category per round."""
+    used = table(spark, d, "asset_usage").where("asset_uid is not null and created_at < timestamp'2025-02-01T00:00:00Z'").select(F.col("asset_uid").alias("uid"))
+    pool = indoor_pool(table(spark, d, "assets").where("category is not null").select("uid", "category"), INDOOR)
+    return sampling.round_robin(pool, "category", "uid", 60, excluded=used)
 
 
 @query("""SELECT uid, coalesce(regexp_matches(lower(name), 'carpet|rug| mat|mat |runner|carpeting'), false) AS floor_cover,
@@ -432,17 +549,10 @@ def category_size(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "assets").select("uid", F.coalesce(sizes[F.col("category")], F.lit(0.3)).alias("size"), match_scale(F.coalesce("target_size", F.lit(1.0)), F.coalesce("target_size", F.lit(0.0))).alias("scale"))
 
 
-@query(r"""SELECT file_id, regexp_extract(file_path, '^(.*)/', 1) AS folder, json_extract_string(j, '$.job_id') || coalesce('_' || nullif(replace(json_extract_string(j, '$.edit.op'), 'object_', ''), ''), '') || '_v' || json_extract_string(v, '$.view') AS key,
-json_extract_string(v, '$.after') AS after FROM (SELECT file_id, file_path, j, unnest(CAST(json_extract(j, '$.views') AS JSON[])) AS v FROM (SELECT file_id, file_path, TRY_CAST(body AS JSON) AS j FROM sample_files) WHERE json_type(j) = 'OBJECT')
-WHERE key IN (SELECT key FROM samples)""")
+@query(f"SELECT file_id, folder, key, after FROM {_LANDED} WHERE key IN (SELECT key FROM samples)")
 def sample_scan_views(spark: SparkSession, d: str) -> DataFrame:
     """Landed records exploded by view, unreadable ones skipped, only views whose packed pair exists (semi join)."""
-    v = table(spark, d, "sample_files").select("file_id", "file_path", object_variant("body").alias("j")).where("j is not null")
-    e = v.select("file_id", "file_path", "j", F.explode(F.try_variant_get("j", "$.views", "array<variant>")).alias("v"))
-    op = F.nullif(F.replace(F.try_variant_get("j", "$.edit.op", "string"), F.lit("object_"), F.lit("")), F.lit(""))
-    key = F.concat(F.try_variant_get("j", "$.job_id", "string"), F.coalesce(F.concat(F.lit("_"), op), F.lit("")), F.lit("_v"), F.try_variant_get("v", "$.view", "string"))
-    views = e.select("file_id", F.regexp_extract("file_path", "^(.*)/", 1).alias("folder"), key.alias("key"), F.try_variant_get("v", "$.after", "string").alias("after"))
-    return views.join(_samples(spark, d).select("key"), "key", "left_semi").select("file_id", "folder", "key", "after")
+    return landed_views(spark, d).join(_samples(spark, d).select("key"), "key", "left_semi").select("file_id", "folder", "key", "after")
 
 
 @query(r"""SELECT job_id, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE collision_free) AS BIGINT) AS n_ok, CAST(count(*) FILTER (WHERE NOT collision_free) AS BIGINT) AS n_fail, CAST(sum(num_attempts) AS BIGINT) AS attempts FROM samples GROUP BY job_id""")

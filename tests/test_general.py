@@ -3,6 +3,7 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from pairloom.functions.records import leaf_kinds, leaves, read_record
@@ -195,3 +196,38 @@ def test_file_keys(spark, rows):
     bodies = [f'{{"job_id": "j", "edit": {{"op": "object_add"}}, {v}}}', f'{{"job_id": "j", "edit": {{"op": null}}, {v}}}', f'{{"job_id": "q", {v}}}', "{bad", None, "", "[]", '"{}"', '{"job_id": "z", "views": {"view": 2}}']
     files = spark.createDataFrame(list(enumerate(bodies)), "file_id long, body string")
     assert [r[1] for r in rows(general.file_keys(files).select(F.lit(0), "key"))] == ["j_add_v0", "j_add_v1", "j_v0", "j_v1", "q_v0", "q_v1", "z_v2"]
+
+
+def _deep(n):
+    return '{"a":' * n + "1" + "}" * n
+
+
+def test_any_depth_and_any_layers_of_strings(spark, rows):
+    from pairloom.functions.records import object_variant, parse_deep, write
+
+    text = '{"a": "x\\"y", "b": [1, null, {"c": []}]}'
+    layers = []
+    for k in range(12):
+        layers.append((k, text))
+        text = json.dumps(text)
+    assert all(read_record(t) == json.loads(layers[0][1]) for _, t in layers)
+    df = spark.createDataFrame([*layers, (99, '"{broken"'), (98, "[1]"), (97, None)], "k int, t string")
+    got = dict(rows(df.select("k", F.to_json(object_variant("t")))))
+    assert all(json.loads(got[k]) == json.loads(layers[0][1]) for k in range(12)) and got[99] is got[98] is got[97] is None
+
+    record = read_record(_deep(5000))
+    assert write(record).replace(" ", "") == _deep(5000)
+    assert [v for _, v in leaves(record)] == [1] and set(leaf_kinds(record, {}).values()) == {"number"}
+    for bad in ("{", '{"a":}', "[1,]", '{"a":1,}', "{,}", '{"a" 1}', "[1 2]", "{}x", "", "{]"):
+        with pytest.raises(ValueError):
+            parse_deep(bad)
+
+
+def test_deep_records_keep_their_bodies(spark, rows):
+    deep = '{"cameras": [{"view": 3, "right": [1, 2], "x": ' + _deep(5000) + '}], "scene": {"params": {"objects": [{"obj_id": "o", "carried": {"obj_id": "c", "y": ' + _deep(5000) + "}}]}}}"
+    df = spark.createDataFrame([(1, deep)], "row_id long, meta string")
+    n = nested.nodes(df, "row_id", "meta", [general.CAMERAS, general.OBJECTS, general.CARRIED], bodies=True)
+    got = {r["node_path"]: r["b"] for r in n.select("node_path", F.from_json("body", "view int, obj_id string", general.DEEP).alias("b")).collect()}
+    assert got[general.CAMERAS]["view"] == 3 and got[general.OBJECTS]["obj_id"] == "o" and got[general.CARRIED]["obj_id"] == "c"
+    linked = nested.link(n.where(F.col("node_path") == general.CARRIED), n.where(F.col("node_path") == general.OBJECTS), "row_id")
+    assert rows(linked.select("row_id", "parent_pos", "pos")) == [(1, 0, 0)]
