@@ -1,6 +1,7 @@
 """Template captions: a dimension table of patterns by operation, language and style, joined and filled in.
 
-A pattern's words in braces stand for columns of the facts. A style that an operation lacks falls back to ``direct``.
+A pattern's words in braces stand for columns of the facts. A style that an operation lacks falls back to ``direct``;
+of a style with two patterns a draw chooses, without a draw it is the first.
 """
 
 from __future__ import annotations
@@ -25,18 +26,18 @@ def allowed(op: Column | str) -> Column:
     return out
 
 
-# The patterns, in the order of the styles.
+# The patterns, in the order of the styles; two patterns of a style are parted by a bar.
 TEMPLATES = {
-    ("object_delete", "zh"): ("删掉{ref}", "把{ref}从画面里移除", "我不想看到{ref}", "把这里收拾干净", "把{ref}删了吧"),
-    ("object_delete", "en"): ("Remove {ref}.", "Take {ref} out of the scene.", "I don't want to see {ref}.", "Clear the clutter here.", "just get rid of {ref}"),
+    ("object_delete", "zh"): ("删掉{ref}", "把{ref}从画面里移除", "我不想看到{ref}|把{ref}弄走", "把这里收拾干净", "把{ref}删了吧"),
+    ("object_delete", "en"): ("Remove {ref}.", "Take {ref} out of the scene.", "I don't want to see {ref}.|Get rid of {ref}.", "Clear the clutter here.", "just get rid of {ref}"),
     ("object_add", "zh"): ("加一个{noun}", "在场景里放一个{noun}", "我想要一个{noun}", "这里可以摆个{noun}", "放个{noun}吧"),
     ("object_add", "en"): ("Add a {noun} {loc}.", "Place a {noun} {loc}.", "I'd like a {noun} {loc}.", "This spot could use a {noun}.", "put a {noun} {loc}"),
     ("object_move", "zh"): ("把{ref}往{dir}挪", "把{ref}移到{dir}", "{ref}该往{dir}点", "重新摆一下{ref}", "{ref}挪{dir}去"),
     ("object_move", "en"): ("Move {ref} {tail}.", "Move {ref} {tail}.", "{Ref} should be {tail}.", "Rearrange so {ref} sits {tail}.", "shift {ref} {tail}"),
     ("object_scale", "zh"): ("把{ref}{scale}", "把{ref}{scale}", "我想把{ref}{scale}", None, "{ref}{scale}"),
     ("object_scale", "en"): ("Make {ref} {scale}.", "Resize {ref} {scale}.", "I want {ref} {scale}.", None, "make {ref} {scale}"),
-    ("object_rotate", "zh"): ("把{ref}{turn}", "把{ref}{turn}", "我想从另一个角度看{ref}", None, "{ref}{turn}"),
-    ("object_rotate", "en"): ("Turn {ref} {turn}.", "Rotate {ref} {turn}.", "I want to see {ref} from another angle.", None, "spin {ref} {turn}"),
+    ("object_rotate", "zh"): ("把{ref}{turn}", "把{ref}{turn}", "我想从另一个角度看{ref}|把{ref}{turn}", None, "{ref}{turn}"),
+    ("object_rotate", "en"): ("Turn {ref} {turn}.", "Rotate {ref} {turn}.", "I want to see {ref} from another angle.|Turn {ref} {turn}.", None, "spin {ref} {turn}"),
     ("object_replace", "zh"): ("把{from}换成{to}", "用{to}替换掉{from}", "我不太喜欢{from}，换成{to}吧", "把{from}变成{to}", "{from}换成{to}"),
     ("object_replace", "en"): ("Replace the {from} with a {to}.", "Swap the {from} for a {to}.", "I'd rather have a {to} instead of the {from}.", "Change the {from} into a {to}.", "make the {from} a {to}"),
 }
@@ -47,38 +48,59 @@ VIEW = {
     "zh": {"opposite_side": "转过来背面对着我", "side_face": "转到侧面给我看", "partial_turn": "转一点", "tipped": "翻到侧面"},
     "en": {"opposite_side": "so its back faces me", "side_face": "so I see it from the side", "partial_turn": "a little", "tipped": "onto its side"},
 }
+# How sizes and turns are said, in Chinese and in English; n: a number, step and view: words from above, side: a sense of turning.
+PHRASES = {
+    "times bigger": ("放大{n}倍", "{n}× bigger"),
+    "half": ("缩小到一半", "half its size"),
+    "times smaller": ("缩小到原来的{n}倍", "{n}× its original size"),
+    "bigger": ("{step}放大", "{step} bigger"),
+    "smaller": ("{step}缩小", "{step} smaller"),
+    "degrees": ("{side}转{n}度", "{n}° {side}"),
+    "view": ("{view}", "{view}"),
+    "other view": ("转一下", "around"),
+}
+SIDES_ZH = {"clockwise": "顺时针", "counterclockwise": "逆时针"}
 
 
 def dimension(spark: SparkSession) -> DataFrame:
-    """op, lang, style, pattern: at most 60 rows."""
-    rows = [(op, lang, style, p or patterns[0]) for (op, lang), patterns in TEMPLATES.items() for style, p in zip(STYLES, patterns)]
-    return spark.createDataFrame(rows, "op string, lang string, style string, pattern string")
+    """op, lang, style, patterns: at most 60 rows."""
+    rows = [(op, lang, style, (p or patterns[0]).split("|")) for (op, lang), patterns in TEMPLATES.items() for style, p in zip(STYLES, patterns)]
+    return spark.createDataFrame(rows, "op string, lang string, style string, patterns array<string>")
 
 
 def _lookup(words: dict[str, str], x: Column) -> Column:
     return F.create_map(*[F.lit(w) for kv in words.items() for w in kv])[x]
 
 
+def _in(lang: Column, words: dict[str, dict[str, str]], x: Column) -> Column:
+    return F.when(lang == "zh", _lookup(words["zh"], x)).otherwise(_lookup(words["en"], x))
+
+
+def phrase(case: Column, lang: Column, **words: Column) -> Column:
+    """The phrase of a case in a language, with its words put in."""
+    out = _in(lang, {"zh": {k: v[0] for k, v in PHRASES.items()}, "en": {k: v[1] for k, v in PHRASES.items()}}, case)
+    for name, value in words.items():
+        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value, F.lit("")))
+    return out
+
+
 def scale_words(factor: Column, round_: Column, lang: Column) -> Column:
-    zh, n, grow = lang == "zh", text.number_text(factor), factor > 1
-    numeric = F.when(grow, F.when(zh, F.concat(F.lit("放大"), n, F.lit("倍"))).otherwise(F.concat(n, F.lit("× bigger")))).when(
-        F.abs(factor - 0.5) < 0.02, F.when(zh, "缩小到一半").otherwise("half its size")
-    ).otherwise(F.when(zh, F.concat(F.lit("缩小到原来的"), n, F.lit("倍"))).otherwise(F.concat(n, F.lit("× its original size"))))
-    step = F.coalesce(text.scale_bucket(factor), F.lit("moderately"))
-    vague = F.when(zh, F.concat(_lookup(BUCKET["zh"], step), F.when(grow, "放大").otherwise("缩小"))).otherwise(F.concat(_lookup(BUCKET["en"], step), F.when(grow, " bigger").otherwise(" smaller")))
-    return F.when(round_ & factor.isNotNull(), numeric).otherwise(vague)
+    """How a change of size is said: by its number if that is a round one, else by its step."""
+    told = round_ & factor.isNotNull()
+    case = F.when(factor > 1, F.when(told, "times bigger").otherwise("bigger")).when(told, F.when(F.abs(factor - 0.5) < 0.02, "half").otherwise("times smaller")).otherwise("smaller")
+    return phrase(case, lang, n=text.number_text(factor), step=_in(lang, BUCKET, F.coalesce(text.scale_bucket(factor), F.lit("moderately"))))
 
 
 def turn_words(degrees: Column, round_: Column, turn: Column, view: Column, lang: Column) -> Column:
-    zh, n = lang == "zh", text.number_text(F.bround(F.abs(degrees)))
-    numeric = F.when(zh, F.concat(F.when(turn == "clockwise", "顺时针").otherwise("逆时针"), F.lit("转"), n, F.lit("度"))).otherwise(F.concat(n, F.lit("° "), turn))
-    kind = F.coalesce(view, F.lit("partial_turn"))
-    seen = F.when(zh, F.coalesce(_lookup(VIEW["zh"], kind), F.lit("转一下"))).otherwise(F.coalesce(_lookup(VIEW["en"], kind), F.lit("around")))
-    return F.when(round_ & turn.isNotNull() & degrees.isNotNull(), numeric).otherwise(seen)
+    """How a turn is said: by its angle if that is a round one with a sense, else by what comes into view."""
+    seen = _in(lang, VIEW, F.coalesce(view, F.lit("partial_turn")))
+    case = F.when(round_ & turn.isNotNull() & degrees.isNotNull(), "degrees").when(seen.isNotNull(), "view").otherwise("other view")
+    side = F.when(lang == "zh", F.coalesce(_lookup(SIDES_ZH, turn), F.lit(SIDES_ZH["counterclockwise"]))).otherwise(turn)
+    return phrase(case, lang, n=text.number_text(F.bround(F.abs(degrees))), side=side, view=seen)
 
 
-def fill(facts: DataFrame) -> DataFrame:
-    """``facts`` with ``caption``.
+def fill(facts: DataFrame, draw: Column | None = None) -> DataFrame:
+    """``facts`` with ``caption``; ``draw``: a whole number that chooses between the patterns of a style.
 
     Needs op, style, lang, noun, reference, location, direction (array), factor, factor_round, degrees, angle_round,
     turn_direction, view_kind, from_noun, to_noun and base_instruction; an unknown op keeps the base instruction.
@@ -100,16 +122,16 @@ def fill(facts: DataFrame) -> DataFrame:
         "{from}": pick(F.coalesce(F.nullif("from_noun", F.lit("")), F.col("noun")), "它", "it"),
         "{to}": pick(F.col("to_noun"), "别的东西", "something else"),
     }
-    out = F.col("pattern")
+    out = F.get(F.col("patterns"), F.pmod(draw if draw is not None else F.lit(0), F.size("patterns")).cast("int"))
     for name, value in words.items():
         out = F.replace(out, F.lit(name), F.coalesce(value, F.lit("")))
     if_no_pattern = F.coalesce(F.nullif("base_instruction", F.lit("")), F.concat(F.lit("edit "), ref))
     joined = facts.join(F.broadcast(dimension(facts.sparkSession)), ["op", "lang", "style"], "left")  # 60 rows
-    return joined.withColumn("caption", F.coalesce(F.replace(F.trim(F.replace(out, F.lit(" ."), F.lit("."))), F.lit("  "), F.lit(" ")), if_no_pattern)).drop("pattern")
+    return joined.withColumn("caption", F.coalesce(F.replace(F.trim(F.replace(out, F.lit(" ."), F.lit("."))), F.lit("  "), F.lit(" ")), if_no_pattern)).drop("patterns")
 
 
-def template_provider(facts: DataFrame) -> DataFrame:
-    return fill(facts)
+def template_provider(facts: DataFrame, draw: Column | None = None) -> DataFrame:
+    return fill(facts, draw)
 
 
 def model_provider(facts: DataFrame) -> DataFrame:

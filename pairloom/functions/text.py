@@ -95,17 +95,23 @@ def _quoted(x: Column) -> Column:
     return F.regexp_replace(x, r"([^\w\s])", r"\\$1")
 
 
+# The phrase that names an object (before and after its noun), a place at the end, and phrases that tell alike objects apart.
+REFERENCE = (r"(?i)(the\s+[^,.;]*?\b", r"\b(?:\s+on\s+the\s+(?:left|right))?)")
+LOCATION = r"(?i)\b((?:on top of|onto|into|in the|on the|next to|near|to the)\s+[^,.;]+)$"
+TOLD_APART = r"\b(on the left|on the right|nearest|farthest)\b"
+
+
 def reference_phrase(base: Column | str, noun: Column | str) -> Column:
     """The phrase by which an instruction names its object (``the chair on the left``), else ``the <noun>``."""
     n = F.nullif(_c(noun), F.lit(""))
-    pattern = F.concat(F.lit(r"(?i)(the\s+[^,.;]*?\b"), _quoted(n), F.lit(r"\b(?:\s+on\s+the\s+(?:left|right))?)"))
+    pattern = F.concat(F.lit(REFERENCE[0]), _quoted(n), F.lit(REFERENCE[1]))
     found = F.nullif(F.trim(F.call_function("regexp_extract", _c(base), pattern, F.lit(1))), F.lit(""))
     return F.coalesce(found, F.concat(F.lit("the "), F.coalesce(n, F.lit("object"))))
 
 
 def location_tail(base: Column | str) -> Column:
     """The place at the end of an instruction (``next to the sofa``); only without a closing stop."""
-    return F.nullif(F.trim(F.regexp_extract(F.trim(_c(base)), r"(?i)\b((?:on top of|onto|into|in the|on the|next to|near|to the)\s+[^,.;]+)$", 1)), F.lit(""))
+    return F.nullif(F.trim(F.regexp_extract(F.trim(_c(base)), LOCATION, 1)), F.lit(""))
 
 
 # Factors that may be told as a number.
@@ -129,8 +135,15 @@ def shrink_times(factor: Column | str) -> Column:
 
 
 def number_text(x: Column | str) -> Column:
-    """A number of at most four decimals without trailing zeros: 1.5, 2."""
-    return F.regexp_replace(F.regexp_replace(F.format_string("%.4f", _c(x).cast("double")), "0+$", ""), r"\.$", "")
+    """A number of six significant digits without trailing zeros, with an exponent below -4 and from 6 on: 1.5, 2, 1e+06."""
+    x = _c(x).cast("double")
+    bare = lambda n: F.when(F.contains(n, F.lit(".")), F.regexp_replace(n, r"\.?0+$", "")).otherwise(n)
+    said = F.format_string("%.5e", x)
+    power = F.substring_index(said, "e", -1).cast("int")
+    out = F.concat(bare(F.substring_index(said, "e", 1)), F.lit("e"), F.substring_index(said, "e", -1))
+    for p in range(-4, 6):
+        out = F.when(power == p, bare(F.format_string(f"%.{5 - p}f", x))).otherwise(out)
+    return F.when(x.isNotNull(), F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lower(x.cast("string"))).otherwise(out))
 
 
 def html_escape(x: Column | str) -> Column:
@@ -138,7 +151,7 @@ def html_escape(x: Column | str) -> Column:
 
 
 def is_disambiguated(instruction: Column | str) -> Column:
-    return F.coalesce(_c(instruction).rlike(r"\b(on the left|on the right|nearest|farthest)\b"), F.lit(False))
+    return F.coalesce(_c(instruction).rlike(TOLD_APART), F.lit(False))
 
 
 # What a caption of each operation must not say.
@@ -160,6 +173,8 @@ DIRECTIONS = {
 }
 BIGGER = r"\b(bigger|larger|enlarge|grow|scale up)\b|放大|变大|调大"
 SMALLER = r"\b(smaller|shrink|scale down|tinier)\b|缩小|变小|调小"
+# The verbs of removal before the new object's noun.
+REMOVED = r"(remove|delete|get rid of|删掉|移除).*"
 CLOCKWISE, COUNTER = r"\bclockwise\b|顺时针", r"\bcounter[- ]?clockwise\b|逆时针"
 
 
@@ -182,5 +197,5 @@ def caption_faults(caption: Column | str, op: Column | str, direction: Column |
         said(turned & (_c(turn) == "counterclockwise") & contradicts(text, COUNTER, CLOCKWISE), "rotate: 应逆时针却说顺时针"),
     ]
     to = F.lower(F.nullif(_c(to_noun), F.lit("")))
-    found.append(said((op == "object_replace") & F.call_function("rlike", text, F.concat(F.lit("(remove|delete|get rid of|删掉|移除).*"), _quoted(to))), "replace: 把新物体说成被删掉"))
+    found.append(said((op == "object_replace") & F.call_function("rlike", text, F.concat(F.lit(REMOVED), _quoted(to))), "replace: 把新物体说成被删掉"))
     return F.when(F.length(text) < 2, F.array(F.lit("empty caption"))).otherwise(F.array_compact(F.array(*found)))

@@ -7,13 +7,18 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.operators.rank import distributed_rank
+from pairloom.operators.rank import distributed_rank, ordinal
+
+#: Names with their weights, and by kind the names that it does not take.
+Options = Sequence[tuple[str, float]]
+Blocked = Mapping[str, Sequence[str]]
 
 
 def round_robin(df: DataFrame, category: str, id_: str, n: int, seed: int = 7, excluded: DataFrame | None = None) -> DataFrame:
@@ -53,71 +58,109 @@ def quotas(n: int, options: Sequence[tuple[str, float]]) -> dict[str, int]:
     return out
 
 
-def balanced(df: DataFrame, id_: str, options: Sequence[tuple[str, float]], name: str, seed: int = 7) -> DataFrame:
-    """``df`` with ``name``: every row one option, the counts being ``quotas`` of all rows; the parallel form of deficit sampling.
+def balanced(df: DataFrame, id_: str, options: Options, name: str, seed: int = 7, kind: str | None = None, blocked: Blocked | None = None, otherwise: str | None = None) -> DataFrame:
+    """``df`` with ``name``: every row one option, the counts being ``quotas``; the parallel form of deficit sampling.
 
-    Rows take the options in the order of their hash; ranks come from prefix sums over hash ranges.
+    Rows whose ``kind`` is in ``blocked`` share out the options that are not blocked for it, ``otherwise`` where none is
+    left; kinds with the same options are counted together. Rows take the options in the order of their hash; ranks
+    come from prefix sums over hash ranges, and only one number per set of options is collected.
     """
-    n = df.count()
-    ranked = distributed_rank(df.withColumn("__pl_h", F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_).cast("string"))), F.col(id_).cast("string"))), [], "__pl_h", "__pl_place")
-    out, upto = F.lit(None).cast("string"), 0
-    edges = []
-    for option, k in quotas(n, options).items():
-        upto += k
-        edges.append((option, upto))
-    for option, edge in reversed(edges):
-        out = F.when(F.col("__pl_place") < edge, option).otherwise(out)
-    return ranked.withColumn(name, out).drop("__pl_h", "__pl_place")
-
-
-def deficit_choice(counts: dict[str, int], weights: Sequence[tuple[str, float]], rng: np.random.Generator | None, extra: float = 0.0) -> str | None:
-    """One sequential draw: chances in proportion to how far each option is below its share of the next total.
-
-    Without any deficit the weights themselves are the chances; without ``rng`` the largest deficit wins, the first of
-    equals. ``extra`` is added to each deficit.
+    sets = {k: tuple(sorted(b)) for k, b in (blocked or {}).items()}
+    of = F.lit(0)
+    numbers = {b: i for i, b in enumerate(dict.fromkeys(sets.values()), 1)}
+    for k, b in sets.items():
+        of = F.when(F.col(kind) == k, numbers[b]).otherwise(of)
+    keyed = df.withColumn("__pl_h", F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_).cast("string"))), F.col(id_).cast("string"))).withColumn("__pl_c", of)
+    sizes = {r["__pl_c"]: r["n"] for r in keyed.groupBy("__pl_c").agg(F.count("*").alias("n")).collect()}
+    ranked = distributed_rank(keyed, ["__pl_c"], "__pl_h", "__pl_place")
+    out = F.lit(otherwise).cast("string")
+    for b, i in [((), 0), *numbers.items()]:
+        edges, upto = [], 0
+        for option, n in quotas(sizes.get(i, 0), [o for o in options if o[0] not in b]).items():
+            upto += n
+            edges.append((option, upto))
+        for option, edge in reversed(edges):
+            out = F.when((F.col("__pl_c") == i) & (F.col("__pl_place") < edge), option).otherwise(out)
+    # of a set's edges the first that lies above the place counts, which is the one put on last
+    return ranked.withColumn(name, out).drop("__pl_h", "__pl_c", "__pl_place")
+
+
+class Deficits:
+    """Draws one by one, each with chances in proportion to how far the options are below their share of the next total.
+
+    All state is a vector of counts. Where nothing is lacking the shares are the chances; ``extra`` is added to every
+    deficit; without ``seed`` the largest deficit wins, the first of equals.
     """
-    live = [(k, w) for k, w in weights if w > 0]
-    if not live:
-        return None
-    total, whole = sum(counts.get(k, 0) for k, _ in live), sum(w for _, w in live)
-    lack = [max(0.0, w / whole * (total + 1) - counts.get(k, 0)) + extra for k, w in live]
-    if rng is None:
-        return live[int(np.argmax(lack))][0]
-    chances = np.array(lack) / sum(lack) if sum(lack) > 1e-9 else np.array([w for _, w in live]) / whole
-    return live[int(rng.choice(len(live), p=chances / chances.sum()))][0]
+
+    def __init__(self, options: Options, seed: Sequence[int] | None = None, extra: float = 0.0, blocked: Blocked | None = None):
+        self.names = [k for k, w in options if w > 0]
+        weights = np.array([w for _, w in options if w > 0], float)
+        self.made, self.extra = np.zeros(len(weights)), extra
+        self.chance = None if seed is None else np.random.default_rng(seed)
+        masks = {None: np.ones(len(weights), bool)} | {k: np.array([n not in b for n in self.names], bool) for k, b in (blocked or {}).items()}
+        # per kind: which options it takes, as places, and their shares
+        self.takes = {k: (np.flatnonzero(m), weights[m] / weights[m].sum()) for k, m in masks.items()}
+
+    def draw(self, kind: str | None = None) -> str | None:
+        """The next option; None if the kind takes none."""
+        at, share = self.takes.get(kind) or self.takes[None]
+        if not len(at):
+            return None
+        lack = np.maximum(share * (self.made[at].sum() + 1) - self.made[at], 0) + self.extra
+        if self.chance is None:
+            k = at[lack.argmax()]
+        else:
+            upto = np.cumsum(lack if lack.sum() > 1e-9 else share)
+            k = at[min(np.searchsorted(upto, self.chance.random() * upto[-1], side="right"), len(at) - 1)]
+        self.made[k] += 1
+        return self.names[k]
+
+
+def cycle(options: Options) -> list[str]:
+    """The sequence of draws by the largest deficit up to the first place where all shares hold exactly, from which it repeats."""
+    weights = [Fraction(str(w)) for _, w in options if w > 0]
+    draws, out = Deficits(options), []
+    while weights:
+        out.append(draws.draw())
+        if all(Fraction(int(m)) == w / sum(weights) * len(out) for m, w in zip(draws.made, weights)):
+            break
+    return out
+
+
+def largest_deficit(df: DataFrame, order: Sequence[str], options: Options, name: str) -> DataFrame:
+    """``df`` with ``name``: always the option furthest below its share, over all rows in their ``order``; a row's place tells its option."""
+    repeated = F.array(*map(F.lit, cycle(options)))
+    return ordinal(df, order, "__pl_place").withColumn(name, F.get(repeated, (F.col("__pl_place") % F.size(repeated)).cast("int"))).drop("__pl_place")
 
 
 def deficit_sampling(
-    df: DataFrame, group: str | None, order: str, weights: Sequence[tuple[str, float]], name: str, seed: int | None = 0,
-    extra: float = 0.0, kind: str | None = None, blocked: Mapping[str, Sequence[str]] | None = None, otherwise: str | None = None,
+    df: DataFrame, group: str | None, order: str, options: Options, name: str, seed: int = 0,
+    extra: float = 0.0, kind: str | None = None, blocked: Blocked | None = None, otherwise: str | None = None, block: int = 1_000_000,
 ) -> DataFrame:
-    """group, order, ``name``: the sequential draws of each group in its order, exactly; without ``group`` over all rows.
+    """group, order, ``name``: the sequential draws of each group in its order; without ``group`` of each ``block`` of rows.
 
-    A row whose ``kind`` has options in ``blocked`` draws among the others; ``otherwise`` stands where none is left. Each group has draws of its own.
-    A draw depends on all before it, so a group is one task's work, read as a stream whose state is the counts;
-    ``balanced`` is the parallel form.
+    A row whose ``kind`` has options in ``blocked`` draws among the others; ``otherwise`` stands where none is left.
+    Each group has draws and counts of its own. A draw depends on all before it, so a group is one task's work, read as
+    a stream whose state is the counts; so all rows are drawn for in blocks, each of which holds the shares by itself.
+    ``balanced`` is the form without sequence.
     """
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     keep = [c for c in (group, order) if c]
-    of = {k: [w for w in weights if w[0] not in b] for k, b in (blocked or {}).items()}
+    at = df if group else ordinal(df, [order], "__pl_place").withColumn("__pl_block", F.floor(F.col("__pl_place") / block))
+    by = group or "__pl_block"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rng, counts = object(), None, {}
+        now, draws = object(), None
         for b in batches:
             drawn = []
-            groups = b.column(0).to_pylist() if group else [None] * b.num_rows
-            for g, op in zip(groups, b.column(len(keep)).to_pylist()):
-                if g != at:
-                    at, rng, counts = g, None if seed is None else np.random.default_rng([seed, zlib.crc32(str(g).encode())]), {}
-                k = deficit_choice(counts, of.get(op, weights), rng, extra)
-                k = otherwise if k is None else k
-                counts[k] = counts.get(k, 0) + 1
-                drawn.append(k)
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(drawn, pa.string())], names=[*keep, name])
-
-    rows = df.select(*keep, (F.col(kind) if kind else F.lit(None).cast("string")).alias("__pl_kind"))
-    parted = (rows.repartition(group) if group else rows.repartition(1)).sortWithinPartitions(*keep)
-    return parted.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keep) + f", {name} string")
+            for g, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if g != now:
+                    now, draws = g, Deficits(options, [seed, zlib.crc32(str(g).encode())], extra, blocked)
+                drawn.append(draws.draw(k) or otherwise)
+            yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(drawn, pa.string())], names=[*keep, name])
+
+    rows = at.select(F.col(by).alias("__pl_g"), (F.col(kind) if kind else F.lit(None).cast("string")).alias("__pl_kind"), *keep)
+    return rows.repartition("__pl_g").sortWithinPartitions("__pl_g", order).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keep) + f", {name} string")
 
 
 def first_valid(df: DataFrame, keys: Sequence[str], attempt: str, ok: Column, most: int = 30) -> DataFrame:

@@ -43,15 +43,6 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
 _BUCKET_SQL = "CASE WHEN r >= 1.9 THEN 'much' WHEN r >= 1.4 THEN 'moderately' ELSE 'slightly' END"
 
 
-@query(f"""SELECT row_id, op, coalesce(nullif(json_extract_string(j, '$.edit.noun'), ''), CASE WHEN op = 'object_replace' THEN json_extract_string(j, '$.edit.from.category') END) AS noun,
-CASE WHEN op = 'object_scale' THEN CASE WHEN f > 1 THEN 'bigger' WHEN f IS NOT NULL THEN 'smaller' END END AS scale_dir, CASE WHEN op = 'object_scale' AND f IS NOT NULL THEN {_BUCKET_SQL} END AS scale_bucket,
-CASE WHEN op = 'object_replace' THEN json_extract_string(j, '$.edit.to.category') END AS to_noun, CASE WHEN op = 'object_rotate' THEN json_extract_string(j, '$.edit.turn_direction') END AS turn_direction
-FROM (SELECT *, CASE WHEN f >= 1 THEN f WHEN f > 0 THEN 1 / f ELSE 1 END AS r FROM (SELECT *, json_extract_string(j, '$.edit.op') AS op, TRY_CAST(json_extract_string(j, '$.edit.factor') AS DOUBLE) AS f FROM {_REC} WHERE json_type(j) = 'OBJECT'))""")
-def facts_extract(spark: SparkSession, d: str) -> DataFrame:
-    """Facts per operation."""
-    return facts(spark, d).select("row_id", "op", "noun", "scale_dir", "scale_bucket", "to_noun", "turn_direction")
-
-
 _REF_SQL = r"""coalesce(nullif(trim(regexp_extract(instruction, '(?i)(the\s+[^,.;]*?\b' || regexp_replace(n, '([^\w\s])', '\\\1', 'g') || '\b(?:\s+on\s+the\s+(?:left|right))?)', 1)), ''), 'the ' || coalesce(n, 'object'))"""
 
 
@@ -61,13 +52,31 @@ def ref_phrase(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "samples").select("row_id", text.reference_phrase("instruction", "subject_category").alias("reference"))
 
 
+_LOC_SQL = r"nullif(trim(regexp_extract(trim(instruction), '(?i)\b((?:on top of|onto|into|in the|on the|next to|near|to the)\s+[^,.;]+)$', 1)), '')"
+_WORDS_SQL = r"coalesce(TRY_CAST(json_extract(j, '$.edit.semantic_direction') AS VARCHAR[]), string_split_regex(json_extract_string(j, '$.edit.semantic_direction'), '[,\s]+'))"
+
+
+@query(f"""SELECT row_id, op, n AS noun, coalesce(instruction, '') AS base_instruction, {_REF_SQL} AS reference, {_LOC_SQL} AS location, CASE WHEN op = 'object_move' THEN {_WORDS_SQL} END AS direction, CASE WHEN op = 'object_scale' THEN f END AS factor,
+CASE WHEN op = 'object_scale' THEN CASE WHEN f > 1 THEN 'bigger' WHEN f IS NOT NULL THEN 'smaller' END END AS scale_dir, CASE WHEN op = 'object_scale' AND f IS NOT NULL THEN {_BUCKET_SQL} END AS scale_bucket,
+CASE WHEN op = 'object_scale' THEN coalesce(TRY_CAST(json_extract_string(j, '$.edit.factor_is_round') AS BOOLEAN), CASE WHEN f IS NOT NULL THEN len(list_filter([0.25, 0.5, 0.75, 1.25, 1.5, 2.0, 3.0], lambda x: abs(f - CAST(x AS DOUBLE)) < 0.02)) > 0 END) END AS factor_round,
+CASE WHEN op = 'object_rotate' THEN coalesce(TRY_CAST(json_extract_string(j, '$.edit.degrees') AS DOUBLE), TRY_CAST(json_extract_string(j, '$.edit.angle_deg') AS DOUBLE)) END AS degrees,
+CASE WHEN op = 'object_rotate' THEN coalesce(TRY_CAST(json_extract_string(j, '$.edit.angle_is_round') AS BOOLEAN), false) END AS angle_round, CASE WHEN op = 'object_rotate' THEN json_extract_string(j, '$.edit.turn_direction') END AS turn_direction,
+CASE WHEN op = 'object_rotate' THEN json_extract_string(j, '$.edit.view_change.kind') END AS view_kind, CASE WHEN op = 'object_replace' THEN json_extract_string(j, '$.edit.from.category') END AS from_noun,
+CASE WHEN op = 'object_replace' THEN json_extract_string(j, '$.edit.to.category') END AS to_noun
+FROM (SELECT *, CASE WHEN f >= 1 THEN f WHEN f > 0 THEN 1 / f ELSE 1 END AS r, coalesce(nullif(json_extract_string(j, '$.edit.noun'), ''), CASE WHEN op = 'object_replace' THEN json_extract_string(j, '$.edit.from.category') END) AS n
+ FROM (SELECT *, json_extract_string(j, '$.edit.op') AS op, TRY_CAST(json_extract_string(j, '$.edit.factor') AS DOUBLE) AS f FROM {_REC} WHERE json_type(j) = 'OBJECT'))""")
+def facts_extract(spark: SparkSession, d: str) -> DataFrame:
+    """All facts, per operation."""
+    return facts(spark, d)
+
+
 @query(r"""SELECT row_id, nullif(trim(regexp_extract(trim(rtrim(instruction, '.')), '(?i)\b((?:on top of|onto|into|in the|on the|next to|near|to the)\s+[^,.;]+)$', 1)), '') AS location FROM samples""")
 def location_tail(spark: SparkSession, d: str) -> DataFrame:
     """The place at the end of each instruction, its stop taken off."""
     return table(spark, d, "samples").select("row_id", text.location_tail(F.regexp_replace("instruction", r"\.+$", "")).alias("location"))
 
 
-@query(f"""SELECT p_partkey, {_BUCKET_SQL} AS bucket, len(list_filter([0.25, 0.5, 0.75, 1.25, 1.5, 2.0, 3.0], lambda x: abs(f - CAST(x AS DOUBLE)) < 0.02)) > 0 AS is_round, regexp_replace(regexp_replace(printf('%.4f', f), '0+$', ''), '\\.$', '') AS said
+@query(f"""SELECT p_partkey, {_BUCKET_SQL} AS bucket, len(list_filter([0.25, 0.5, 0.75, 1.25, 1.5, 2.0, 3.0], lambda x: abs(f - CAST(x AS DOUBLE)) < 0.02)) > 0 AS is_round, printf('%g', f) AS said
 FROM (SELECT p_partkey, p_size * 3 / 40.0::DOUBLE AS f, CASE WHEN p_size * 3 >= 40 THEN p_size * 3 / 40.0::DOUBLE ELSE 1 / (p_size * 3 / 40.0::DOUBLE) END AS r FROM part)""")
 def scale_bucket(spark: SparkSession, d: str) -> DataFrame:
     """How a factor is told: its step, whether as a number, and the number."""
@@ -82,7 +91,10 @@ def html_escaped(spark: SparkSession, d: str) -> DataFrame:
 
 
 # captions for checking: every fourth instruction with its direction or size turned round
-_CAPTION_SQL = "CASE WHEN row_id % 4 = 0 THEN replace(replace(replace(coalesce(instruction, ''), 'left', 'RIGHT'), 'bigger', 'smaller'), 'Add', 'Remove') ELSE coalesce(instruction, '') END"
+_CAPTION_SQL = (
+    "CASE WHEN row_id % 4 = 0 THEN replace(replace(replace(coalesce(instruction, ''), 'left', 'RIGHT'), 'bigger', 'smaller'), 'Add', 'Remove') WHEN row_id % 8 = 1 THEN concat(coalesce(instruction, ''), ' 逆时针')"
+    " WHEN row_id % 8 = 3 THEN replace(replace(coalesce(instruction, ''), 'with', 'and remove'), 'Replace', 'Take') ELSE coalesce(instruction, '') END"
+)
 
 
 def _regex(p: str) -> str:
@@ -93,38 +105,79 @@ _FORBID_SQL = ", ".join(f"CASE WHEN op = '{k}' AND regexp_matches(c, '{_regex(p)
 _DIR_SQL = ", ".join(f"CASE WHEN op = 'object_move' AND list_contains(words, '{w}') AND regexp_matches(c, '{text.DIRECTIONS[o][0]}') AND NOT regexp_matches(c, '{p}') THEN '{why}' END" for w, (p, o, why) in text.DIRECTIONS.items())
 
 
+_ESCAPED = r"regexp_replace({x}, '([^\w\s])', '\\\1', 'g')"
+_TURN_SQL = ", ".join(f"CASE WHEN op = 'object_rotate' AND turn = '{w}' AND regexp_matches(c, '{o}') AND NOT regexp_matches(c, '{p}') THEN '{why}' END" for w, p, o, why in (("clockwise", text.CLOCKWISE, text.COUNTER, "rotate: 应顺时针却说逆时针"), ("counterclockwise", text.COUNTER, text.CLOCKWISE, "rotate: 应逆时针却说顺时针")))
+
+
 @query(f"""SELECT row_id, CASE WHEN length(c) < 2 THEN 'empty caption' ELSE array_to_string(list_filter([{_FORBID_SQL}, {_DIR_SQL},
 CASE WHEN op = 'object_scale' AND sd = 'bigger' AND regexp_matches(c, '{text.SMALLER}') AND NOT regexp_matches(c, '{text.BIGGER}') THEN 'scale: 应放大却说缩小' END,
-CASE WHEN op = 'object_scale' AND sd = 'smaller' AND regexp_matches(c, '{text.BIGGER}') AND NOT regexp_matches(c, '{text.SMALLER}') THEN 'scale: 应缩小却说放大' END], lambda x: x IS NOT NULL), '|') END AS faults
-FROM (SELECT row_id, op, lower(trim({_CAPTION_SQL})) AS c, CASE WHEN f > 1 THEN 'bigger' WHEN f IS NOT NULL THEN 'smaller' END AS sd,
+CASE WHEN op = 'object_scale' AND sd = 'smaller' AND regexp_matches(c, '{text.BIGGER}') AND NOT regexp_matches(c, '{text.SMALLER}') THEN 'scale: 应缩小却说放大' END, {_TURN_SQL},
+CASE WHEN op = 'object_replace' AND regexp_matches(c, '(remove|delete|get rid of|删掉|移除).*' || {_ESCAPED.format(x="lower(nullif(json_extract_string(j, '$.edit.to.category'), ''))")}) THEN 'replace: 把新物体说成被删掉' END], lambda x: x IS NOT NULL), '|') END AS faults
+FROM (SELECT row_id, j, op, lower(trim({_CAPTION_SQL})) AS c, CASE WHEN f > 1 THEN 'bigger' WHEN f IS NOT NULL THEN 'smaller' END AS sd, json_extract_string(j, '$.edit.turn_direction') AS turn,
  CASE WHEN op = 'object_move' THEN coalesce(TRY_CAST(json_extract(j, '$.edit.semantic_direction') AS VARCHAR[]), string_split_regex(json_extract_string(j, '$.edit.semantic_direction'), '[,\\s]+')) END AS words
- FROM (SELECT *, json_extract_string(j, '$.edit.op') AS op, TRY_CAST(json_extract_string(j, '$.edit.factor') AS DOUBLE) AS f FROM {_REC} WHERE json_type(j) = 'OBJECT') WHERE coalesce(op, '') NOT IN ('object_rotate', 'object_replace'))""")
+ FROM (SELECT *, json_extract_string(j, '$.edit.op') AS op, TRY_CAST(json_extract_string(j, '$.edit.factor') AS DOUBLE) AS f FROM {_REC} WHERE json_type(j) = 'OBJECT'))""")
 def caption_verify(spark: SparkSession, d: str) -> DataFrame:
-    """Captions that contradict the facts of their edit."""
-    f = facts(spark, d).where(~F.coalesce("op", F.lit("")).isin("object_rotate", "object_replace"))
+    """Captions of all operations that contradict the facts of their edit."""
     caption = F.expr(_CAPTION_SQL.replace("instruction", "base_instruction"))
-    return f.select("row_id", F.concat_ws("|", text.caption_faults(caption, "op", "direction", "scale_dir", "turn_direction", "to_noun")).alias("faults"))
+    return facts(spark, d).select("row_id", F.concat_ws("|", text.caption_faults(caption, "op", "direction", "scale_dir", "turn_direction", "to_noun")).alias("faults"))
 
 
-def _captioned(spark: SparkSession, d: str) -> DataFrame:
-    """Facts with a style that the operation takes and a language, both by their row, filled in and checked."""
+def _styled(f: DataFrame) -> DataFrame:
+    """Facts with a style that the operation takes and a language, both by their row."""
     allowed = captions.allowed("op")
-    f = facts(spark, d).withColumn("style", F.element_at(allowed, (F.col("row_id") % F.size(allowed) + 1).cast("int"))).withColumn("lang", F.when(F.col("row_id") % 7 < 4, "zh").otherwise("en"))
-    filled = captions.fill(f)
+    return f.withColumn("style", F.element_at(allowed, (F.col("row_id") % F.size(allowed) + 1).cast("int"))).withColumn("lang", F.when(F.col("row_id") % 7 < 4, "zh").otherwise("en"))
+
+
+def _captioned(spark: SparkSession, d: str) -> DataFrame:
+    """Captions of all facts, filled in and checked."""
+    filled = captions.fill(_styled(facts(spark, d)), md5_uniform(F.col("row_id"), 11))
     return filled.withColumn("faults", text.caption_faults("caption", "op", "direction", "scale_dir", "turn_direction", "to_noun"))
 
 
-_TPL = ", ".join(f"('{op}', '{lang}', '{s}', '{(p or ps[0]).replace(chr(39), chr(39) * 2)}')" for (op, lang), ps in captions.TEMPLATES.items() if op in ("object_add", "object_delete") for s, p in zip(captions.STYLES, ps))
+def _quote(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _case_sql(x: str, words: dict[str, str], other: str = "NULL") -> str:
+    return f"CASE {x} " + " ".join(f"WHEN {_quote(k)} THEN {_quote(v)}" for k, v in words.items()) + f" ELSE {other} END"
+
+
+def _said_sql(case: str, **words: str) -> str:
+    """SQL of a phrase in the row's language."""
+    out = f"CASE lang WHEN 'zh' THEN {_quote(captions.PHRASES[case][0])} ELSE {_quote(captions.PHRASES[case][1])} END"
+    for name, value in words.items():
+        out = f"replace({out}, '{{{name}}}', coalesce({value}, ''))"
+    return out
+
+
+_TPL = ", ".join(f"({_quote(op)}, '{lang}', '{style}', {k}, {len(ps)}, {_quote(p)})" for (op, lang), all_ in captions.TEMPLATES.items() for style, own in zip(captions.STYLES, all_) for ps in [(own or all_[0]).split("|")] for k, p in enumerate(ps))
+_STYLES_SQL = "[" + ", ".join(f"'{s}'" for s in captions.STYLES) + "]"
+_STEP_SQL = f"CASE lang WHEN 'zh' THEN {_case_sql('bucket', captions.BUCKET['zh'])} ELSE {_case_sql('bucket', captions.BUCKET['en'])} END"
+_VIEW_SQL = f"CASE lang WHEN 'zh' THEN {_case_sql('view', captions.VIEW['zh'])} ELSE {_case_sql('view', captions.VIEW['en'])} END"
+_DRAW_SQL = "CAST(concat('0x', substr(md5(concat('11:', CAST(row_id AS VARCHAR))), 1, 8)) AS BIGINT)"
 
 
-@query(f"""SELECT row_id, style, lang, replace(trim(replace(replace(replace(replace(p, '{{ref}}', CASE WHEN lang = 'zh' THEN n ELSE 'the ' || n END), '{{noun}}', n), '{{loc}}', ''), ' .', '.')), '  ', ' ') AS caption
-FROM (SELECT row_id, json_extract_string(j, '$.edit.op') AS op, json_extract_string(j, '$.edit.noun') AS n, ['direct', 'spatial', 'intent', 'goal', 'casual'][row_id % 5 + 1] AS style, CASE WHEN row_id % 7 < 4 THEN 'zh' ELSE 'en' END AS lang
-FROM {_REC} WHERE json_type(j) = 'OBJECT' AND json_extract_string(j, '$.edit.op') IN ('object_add', 'object_delete') AND json_extract_string(j, '$.edit.noun') <> '') JOIN (VALUES {_TPL}) t(op, lang, style, p) USING (op, lang, style)""")
+@query(f"""WITH f AS (SELECT row_id, op, coalesce(instruction, '') AS base, n, {_REF_SQL} AS reference, {_LOC_SQL} AS loc,
+ CASE WHEN op = 'object_move' THEN {_WORDS_SQL}[1] END AS dir,
+ CASE WHEN op = 'object_scale' THEN TRY_CAST(json_extract_string(j, '$.edit.factor') AS DOUBLE) END AS f, TRY_CAST(json_extract_string(j, '$.edit.factor_is_round') AS BOOLEAN) AS f_said,
+ CASE WHEN op = 'object_rotate' THEN coalesce(TRY_CAST(json_extract_string(j, '$.edit.degrees') AS DOUBLE), TRY_CAST(json_extract_string(j, '$.edit.angle_deg') AS DOUBLE)) END AS deg,
+ op = 'object_rotate' AND coalesce(TRY_CAST(json_extract_string(j, '$.edit.angle_is_round') AS BOOLEAN), false) AS deg_round, CASE WHEN op = 'object_rotate' THEN json_extract_string(j, '$.edit.turn_direction') END AS turn,
+ coalesce(CASE WHEN op = 'object_rotate' THEN json_extract_string(j, '$.edit.view_change.kind') END, 'partial_turn') AS view,
+ CASE WHEN op = 'object_replace' THEN nullif(json_extract_string(j, '$.edit.from.category'), '') END AS was, CASE WHEN op = 'object_replace' THEN nullif(json_extract_string(j, '$.edit.to.category'), '') END AS to_noun,
+ CASE WHEN row_id % 7 < 4 THEN 'zh' ELSE 'en' END AS lang, CASE WHEN op IN {tuple(captions.BLOCKED)} THEN list_filter({_STYLES_SQL}, lambda s: s <> 'goal') ELSE {_STYLES_SQL} END AS styles
+ FROM (SELECT *, json_extract_string(j, '$.edit.op') AS op, coalesce(nullif(json_extract_string(j, '$.edit.noun'), ''), CASE WHEN json_extract_string(j, '$.edit.op') = 'object_replace' THEN nullif(json_extract_string(j, '$.edit.from.category'), '') END) AS n FROM {_REC} WHERE json_type(j) = 'OBJECT')),
+g AS (SELECT *, styles[row_id % len(styles) + 1] AS style, CASE WHEN lang = 'zh' THEN coalesce(n, '物体') ELSE reference END AS ref, coalesce(f_said, len(list_filter([0.25, 0.5, 0.75, 1.25, 1.5, 2.0, 3.0], lambda x: abs(f - CAST(x AS DOUBLE)) < 0.02)) > 0, false) AS f_round,
+ CASE WHEN f IS NULL THEN 'moderately' WHEN r >= 1.9 THEN 'much' WHEN r >= 1.4 THEN 'moderately' ELSE 'slightly' END AS bucket FROM (SELECT *, CASE WHEN f >= 1 THEN f WHEN f > 0 THEN 1 / f ELSE 1 END AS r FROM f)),
+w AS (SELECT *, CASE WHEN f > 1 AND f_round THEN {_said_sql('times bigger', n="printf('%g', f)")} WHEN f > 1 THEN {_said_sql('bigger', step=_STEP_SQL)} WHEN f_round AND abs(f - 0.5) < 0.02 THEN {_said_sql('half')}
+ WHEN f_round AND f IS NOT NULL THEN {_said_sql('times smaller', n="printf('%g', f)")} ELSE {_said_sql('smaller', step=_STEP_SQL)} END AS scale, CASE WHEN deg_round AND turn IS NOT NULL AND deg IS NOT NULL
+ THEN {_said_sql('degrees', n="printf('%g', round_even(abs(deg), 0))", side=f"CASE WHEN lang = 'zh' THEN CASE WHEN turn = 'clockwise' THEN '顺时针' ELSE '逆时针' END ELSE turn END")} ELSE coalesce({_VIEW_SQL}, {_said_sql('other view')}) END AS turned FROM g)
+SELECT row_id, w.style, w.lang, CASE WHEN p IS NULL THEN coalesce(nullif(base, ''), 'edit ' || ref) ELSE replace(trim(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(p, '{{ref}}', ref), '{{Ref}}', upper(ref[1]) || ref[2:]),
+ '{{noun}}', coalesce(n, CASE WHEN w.lang = 'zh' THEN '物体' ELSE 'object' END)), '{{loc}}', coalesce(loc, '')), '{{dir}}', coalesce({_case_sql('dir', captions.DIRECTION_ZH)}, '旁边')), '{{tail}}', coalesce(loc, 'to the ' || coalesce(dir, 'over'))), '{{scale}}', scale),
+ '{{turn}}', turned), '{{from}}', coalesce(was, n, CASE WHEN w.lang = 'zh' THEN '它' ELSE 'it' END)), '{{to}}', coalesce(to_noun, CASE WHEN w.lang = 'zh' THEN '别的东西' ELSE 'something else' END)), ' .', '.')), '  ', ' ') END AS caption
+FROM w LEFT JOIN (VALUES {_TPL}) t(op, lang, style, k, n_k, p) ON t.op = w.op AND t.lang = w.lang AND t.style = w.style AND t.k = {_DRAW_SQL} % t.n_k""")
 def caption_templates(spark: SparkSession, d: str) -> DataFrame:
-    """Captions from templates, for additions and deletions by bare noun."""
-    f = facts(spark, d).where("op in ('object_add', 'object_delete') and noun <> ''").withColumn("reference", F.concat(F.lit("the "), "noun")).withColumn("location", F.lit(None).cast("string"))
-    style = F.element_at(F.array(*map(F.lit, captions.STYLES)), (F.col("row_id") % 5 + 1).cast("int"))
-    return captions.fill(f.withColumn("style", style).withColumn("lang", F.when(F.col("row_id") % 7 < 4, "zh").otherwise("en"))).select("row_id", "style", "lang", "caption")
+    """Captions from templates, for every operation, style and language and both patterns of a style."""
+    return captions.fill(_styled(facts(spark, d)), md5_uniform(F.col("row_id"), 11)).select("row_id", "style", "lang", "caption")
 
 
 @query()
@@ -223,47 +276,55 @@ def weighted_choice(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", sampling.weighted_pick(md5_uniform(F.col("event_id"), 7), OPS).alias("op"))
 
 
-_QUOTA = """WITH r AS (SELECT row_id, row_number() OVER (ORDER BY md5('7:' || row_id) || row_id) - 1 AS place, count(*) OVER () AS n FROM samples),
-w AS (SELECT * FROM (VALUES {values}) t(option, weight, pos)), s AS (SELECT option, pos, weight * n / sum(weight) OVER () AS exact, n FROM w, (SELECT max(n) AS n FROM r)),
-q AS (SELECT option, pos, CAST(floor(exact + 1e-9) AS BIGINT) AS whole, n, row_number() OVER (ORDER BY exact - floor(exact + 1e-9) DESC, pos) AS nth, sum(CAST(floor(exact + 1e-9) AS BIGINT)) OVER () AS given FROM s),
-e AS (SELECT option, pos, CAST(sum(whole + CASE WHEN nth <= n - given THEN 1 ELSE 0 END) OVER (ORDER BY pos) AS BIGINT) AS upto FROM q) SELECT row_id, (SELECT option FROM e WHERE place < upto ORDER BY pos LIMIT 1) AS choice FROM r"""
-
+_QUOTA = """WITH r AS (SELECT row_id, c, row_number() OVER (PARTITION BY c ORDER BY md5('7:' || row_id) || row_id) - 1 AS place FROM (SELECT row_id, {of} AS c FROM samples)),
+n AS (SELECT c, count(*) AS n FROM r GROUP BY c), w AS (SELECT * FROM (VALUES {values}) t(c, option, weight, pos)), s AS (SELECT c, option, pos, weight * n / sum(weight) OVER (PARTITION BY c) AS exact, n FROM w JOIN n USING (c)),
+q AS (SELECT c, option, pos, CAST(floor(exact + 1e-9) AS BIGINT) AS whole, n, row_number() OVER (PARTITION BY c ORDER BY exact - floor(exact + 1e-9) DESC, pos) AS nth, sum(CAST(floor(exact + 1e-9) AS BIGINT)) OVER (PARTITION BY c) AS given FROM s),
+e AS (SELECT c, option, pos, CAST(sum(whole + CASE WHEN nth <= n - given THEN 1 ELSE 0 END) OVER (PARTITION BY c ORDER BY pos) AS BIGINT) AS upto FROM q) SELECT row_id, (SELECT option FROM e WHERE e.c = r.c AND place < upto ORDER BY pos LIMIT 1) AS choice FROM r"""
+_OP_SQL = r"'object_' || nullif(regexp_replace(lower(regexp_replace(edit_op, '^\s+|\s+$', '', 'g')), '^object[_\s-]*', ''), '')"
 
-def _quota_sql(options) -> str:
-    return _QUOTA.format(values=", ".join(f"('{k}', CAST({w} AS DOUBLE), {i})" for i, (k, w) in enumerate(options)))
 
+def _quota_sql(options, blocked=None) -> str:
+    """At most one set of blocked options."""
+    sets = [(0, ())] + [(1, b) for b in set(map(tuple, (blocked or {}).values()))]
+    values = ", ".join(f"({c}, '{k}', CAST({w} AS DOUBLE), {i})" for c, b in sets for i, (k, w) in enumerate(options) if k not in b)
+    return _QUOTA.format(values=values, of=f"CASE WHEN {_OP_SQL} IN {tuple(blocked)} THEN 1 ELSE 0 END" if blocked else "0")
 
-def _balanced(spark: SparkSession, d: str, options) -> DataFrame:
-    return sampling.balanced(table(spark, d, "samples").select("row_id"), "row_id", list(options), "choice")
 
-
-@query(_quota_sql(captions.STYLE_WEIGHTS.items()))
+@query(_quota_sql(captions.STYLE_WEIGHTS.items(), captions.BLOCKED))
 def style_quota(spark: SparkSession, d: str) -> DataFrame:
-    """W9 in its parallel form: every sample a style, in exact quotas."""
-    return _balanced(spark, d, captions.STYLE_WEIGHTS.items())
+    """W9 in its parallel form: every sample a style that its operation takes, in exact quotas."""
+    s = table(spark, d, "samples").select("row_id", spelling.edit_op("edit_op").alias("op"))
+    return sampling.balanced(s, "row_id", list(captions.STYLE_WEIGHTS.items()), "choice", kind="op", blocked=captions.BLOCKED, otherwise="direct").select("row_id", "choice")
 
 
 @query(_quota_sql(captions.LANGUAGE_WEIGHTS.items()))
 def language_quota(spark: SparkSession, d: str) -> DataFrame:
     """W10 in its parallel form."""
-    return _balanced(spark, d, captions.LANGUAGE_WEIGHTS.items())
+    return sampling.balanced(table(spark, d, "samples").select("row_id"), "row_id", list(captions.LANGUAGE_WEIGHTS.items()), "choice", otherwise="zh")
 
 
 @query()
 def caption_deficit_exact(spark: SparkSession, d: str) -> DataFrame:
-    """W9 exactly: styles that the operation takes, drawn one by one by their deficit over the whole data set in the order of arrival."""
+    """W9 exactly: styles that the operation takes, drawn one by one by their deficit in the order of arrival."""
     s = table(spark, d, "samples").where("row_id is not null").select("row_id", spelling.edit_op("edit_op").alias("op"))
     return sampling.deficit_sampling(s, None, "row_id", list(captions.STYLE_WEIGHTS.items()), "style", kind="op", blocked=captions.BLOCKED, otherwise="direct")
 
 
-@query("""WITH RECURSIVE t AS (SELECT job_id, row_id, CAST(row_number() OVER (PARTITION BY job_id ORDER BY row_id) AS BIGINT) AS k FROM samples WHERE job_id IS NOT NULL),
+@query()
+def language_deficit_exact(spark: SparkSession, d: str) -> DataFrame:
+    """W10 exactly: languages drawn one by one by their deficit in the order of arrival."""
+    s = table(spark, d, "samples").where("row_id is not null").select("row_id")
+    return sampling.deficit_sampling(s, None, "row_id", list(captions.LANGUAGE_WEIGHTS.items()), "lang", seed=1, otherwise="zh")
+
+
+@query("""WITH RECURSIVE t AS (SELECT row_id, CAST(row_number() OVER (ORDER BY row_id) AS BIGINT) AS k FROM samples WHERE row_id IS NOT NULL),
 g AS (SELECT CAST(1 AS BIGINT) AS k, CAST(0 AS BIGINT) AS zh, CAST(0 AS BIGINT) AS en, 'zh' AS lang UNION ALL SELECT k + 1, zh + CASE WHEN lang = 'zh' THEN 1 ELSE 0 END, en + CASE WHEN lang = 'en' THEN 1 ELSE 0 END,
-CASE WHEN 0.8 * (k + 1) - (zh + CASE WHEN lang = 'zh' THEN 1 ELSE 0 END) >= 0.2 * (k + 1) - (en + CASE WHEN lang = 'en' THEN 1 ELSE 0 END) THEN 'zh' ELSE 'en' END FROM g WHERE k < 200)
-SELECT job_id, row_id, lang FROM t JOIN g USING (k)""")
+CASE WHEN 4 * (k + 1) - 5 * (zh + CASE WHEN lang = 'zh' THEN 1 ELSE 0 END) >= k + 1 - 5 * (en + CASE WHEN lang = 'en' THEN 1 ELSE 0 END) THEN 'zh' ELSE 'en' END FROM g WHERE k < (SELECT max(k) FROM t))
+SELECT row_id, lang FROM t JOIN g USING (k)""")
 def language_largest_deficit(spark: SparkSession, d: str) -> DataFrame:
-    """W10 without chance: always the language furthest below its share, per job in the order of arrival."""
-    s = table(spark, d, "samples").where("job_id is not null").select("job_id", "row_id")
-    return sampling.deficit_sampling(s, "job_id", "row_id", [("zh", 0.8), ("en", 0.2)], "lang", seed=None)
+    """W10 without chance: always the language furthest below its share, over the whole data set in the order of arrival."""
+    s = table(spark, d, "samples").where("row_id is not null").select("row_id")
+    return sampling.largest_deficit(s, ["row_id"], list(captions.LANGUAGE_WEIGHTS.items()), "lang")
 
 
 @query()

@@ -111,23 +111,22 @@ def resources(profiles: Mapping[str, Mapping[str, float]], name: str) -> dict[st
     return {"cpus": 1, "gpus": 0} | dict(profiles.get(name) or profiles.get("default") or {})
 
 
-def with_object_sources(edits: Mapping[str, Any], sources: Sequence[Mapping[str, Any]] | None) -> dict:
-    """An edit configuration in which the operations that need objects take them from several sources.
+# The operations that take objects from sources, the setting that makes them do so (none: always), and the part of their parameters that names the source.
+OBJECT_TAKERS = (
+    ("object_replace", None, None),
+    ("object_add", "spawn", None),
+    ("object_move", "subject_source", "spawn_params"),
+    ("object_scale", "subject_source", "spawn_params"),
+    ("object_rotate", "subject_source", "spawn_params"),
+)
 
-    Replacement always, addition if it spawns, the others if they name a source for their subject; the configuration
-    given stays as it is. Without sources it is returned as it is.
-    """
-    out = json.loads(json.dumps(edits))
-    if not sources:
-        return out
-    from_all = {"provider": "composite", "provider_params": {"sources": list(sources)}}
-    params = out.setdefault("params", {})
-    targets = [params.setdefault("object_replace", {})]
-    if params.setdefault("object_add", {}).get("spawn"):
-        targets.append(params["object_add"])
-    for op in ("object_move", "object_scale", "object_rotate"):
-        if (params.get(op) or {}).get("subject_source"):
-            targets.append(params[op].setdefault("spawn_params", {}))
-    for t in targets:
-        t.update(from_all)
-    return out
+
+def with_object_sources(edits: Mapping[str, Any], sources: Sequence[Mapping[str, Any]] | None) -> dict:
+    """An edit configuration whose object takers draw on several sources at once; the one given stays as it is."""
+    params = dict(edits.get("params") or {})
+    several = {"provider": "composite", "provider_params": {"sources": list(sources or ())}}
+    for op, setting, part in OBJECT_TAKERS if sources else ():
+        own = dict(params.get(op) or {})
+        if setting is None or own.get(setting):
+            params[op] = own | ({part: dict(own.get(part) or {}) | several} if part else several)
+    return dict(edits) | ({"params": params} if sources else {})

@@ -116,18 +116,26 @@ def test_images(spark):
     two[24:40, 4:14] = two[24:40, 50:60] = 250
     drift = two.copy()
     drift[:, 25:40] = np.clip(drift[:, 25:40].astype(int) + 6, 0, 255)
-    assert images.background_diff(flat, two) == 0.0 and images.background_diff(flat, drift) > 0.2
-    assert images.sharpness(flat) == 0 and images.sharpness(two) > 0 and images.sharpness(flat[:2]) == 0
-    assert images.background_diff(flat, flat[:5]) == 255 and images.change_mask(flat, flat[:5]).all()
-    m = np.zeros((9, 7), bool)
-    m[4, 3] = m[0, 0] = True
-    brute = np.array([[any(m[a, b] for a in range(max(0, y - 2), min(9, y + 3)) for b in range(max(0, x - 2), min(7, x + 3))) for x in range(7)] for y in range(9)])
-    assert (images.dilate(m, 2) == brute).all() and (images.dilate(m, 0) == m).all()
-    assert images.to_uint8(np.full((2, 2, 4), 0.5)).shape == (2, 2, 3)
-    img = np.random.default_rng(0).integers(0, 255, 64).astype(float).tolist()
-    df = spark.createDataFrame([(img, 8), (None, 8)], "i array<float>, w int").select(images.laplacian_sharpness("i", "w").alias("s"), images.laplacian_moments(F.col("i"), 8, 8).alias("m"))
-    r = df.where("s is not null").first()
-    assert r.s == pytest.approx(r.m.q / r.m.n - (r.m.s / r.m.n) ** 2, rel=1e-5)
+    stack = lambda img: img[None].astype(np.float32)
+    flat, two, drift = stack(flat), stack(two), stack(drift)
+    assert images.background(flat, two)[0] == 0.0 and images.background(flat, drift)[0] > 0.2 and images.background(flat, flat)[0] == 0.0
+    assert images.sharpness(flat)[0] == 0 and images.sharpness(two)[0] > 0 and images.sharpness(two[:, :2])[0] == 0
+    m = np.zeros((1, 9, 7), bool)
+    m[0, 4, 3] = m[0, 0, 0] = True
+    brute = np.array([[any(m[0, a, b] for a in range(max(0, y - 2), min(9, y + 3)) for b in range(max(0, x - 2), min(7, x + 3))) for x in range(7)] for y in range(9)])
+    assert (images.widened(m, 2)[0] == brute).all() and (images.widened(m, 0) == m).all()
+    assert [r[0] for r in spark.createDataFrame([([0.5] * 16,), ([300.0, -1.0, 7.9, 9.0],)], "i array<double>").select(images.to_bytes(F.col("i"), 4)).collect()] == [[127] * 12, [255, 0, 7]]
+    rng = np.random.default_rng(0)
+    a, b = (rng.integers(0, 255, (12, 8, 8, 1)).astype(np.float32) for _ in range(2))
+    a[3] = b[3]
+    flat = lambda x: x.ravel().tolist()
+    df = spark.createDataFrame([(i, flat(a[i]), flat(b[i])) for i in range(12)] + [(20, flat(a[0]), [1.0]), (21, None, flat(b[0])), (22, [None] * 64, flat(b[0]))], "i int, x array<float>, y array<float>")
+    got = {r.i: tuple(r)[1:] for r in images.score_pairs(df.repartition(3), "i", "x", "y", 8, 8).collect()}
+    for i in range(12):
+        d = abs(a[i] - b[i])[..., 0]
+        lap = [[b[i, y - 1, x, 0] + b[i, y + 1, x, 0] + b[i, y, x - 1, 0] + b[i, y, x + 1, 0] - 4 * b[i, y, x, 0] for x in range(1, 7)] for y in range(1, 7)]
+        assert got[i][0] == pytest.approx((d > 12).mean(), abs=1e-4) and got[i][1] == pytest.approx(np.var(lap), rel=1e-5) and got[i][3] == pytest.approx(min(a[i].mean(), b[i].mean()), abs=0.06)
+    assert got[3][0] == got[3][2] == 0 and got[20] == (1.0, None, 255.0, None) and got[21] == got[22] == (None,) * 4
 
 
 def test_quality_and_flags(spark):
@@ -202,12 +210,15 @@ def test_quotas_and_deficits(spark):
     assert sampling.quotas(10, [("a", 1), ("b", 1), ("c", 1), ("d", 0)]) == {"a": 4, "b": 3, "c": 3, "d": 0} and sampling.quotas(3, []) == {}
     df = spark.range(101).withColumnRenamed("id", "row_id")
     assert {r[0]: r[1] for r in sampling.balanced(df, "row_id", [("zh", 0.8), ("en", 0.2)], "l").groupBy("l").count().collect()} == {"zh": 81, "en": 20}
-    rng, counts = np.random.default_rng(0), {}
+    draws = sampling.Deficits(list(captions.STYLE_WEIGHTS.items()), [0])
     for _ in range(500):
-        k = sampling.deficit_choice(counts, list(captions.STYLE_WEIGHTS.items()), rng)
-        counts[k] = counts.get(k, 0) + 1
-    assert len(counts) == 5 and min(counts.values()) > 30
-    assert sampling.deficit_choice({}, [("a", 0.0)], rng) is None
+        draws.draw()
+    assert len(draws.made) == 5 and draws.made.min() > 30
+    assert sampling.Deficits([("a", 0.0)], [0]).draw() is None
+    assert sampling.cycle([("zh", 0.8), ("en", 0.2)]).count("en") == 1 and sampling.cycle([]) == []
+    styles = spark.range(1000).select(F.col("id").alias("row_id"), F.when(F.col("id") % 2 == 0, "object_scale").alias("op"))
+    got = sampling.balanced(styles, "row_id", list(captions.STYLE_WEIGHTS.items()), "s", kind="op", blocked=captions.BLOCKED)
+    assert {(r.op, r.s): r["count"] for r in got.groupBy("op", "s").count().collect() if r.s in ("goal", "direct")} == {("object_scale", "direct"): 132, (None, "direct"): 114, (None, "goal"): 68}
 
 
 def test_deficits_extra_and_blocked(spark, sf):
