@@ -37,18 +37,60 @@ BLOCK = 16
 ITEMS_AT_ONCE = 20_000
 
 #: Tags that stand inside words; every other tag parts words.
-INLINE = "a|abbr|b|bdi|bdo|big|cite|code|del|dfn|em|font|i|ins|kbd|mark|q|s|samp|small|span|strike|strong|sub|sup|tt|u|var|wbr"
+INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup tt u var wbr".split())
 
 IDEOGRAPHS = "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 
 
+def without_markup(text: str) -> str:
+    """The text without comments and tags of any length; a tag that stands inside words leaves nothing, any other a blank.
+
+    A quoted attribute may hold any sign. What is opened and never closed is text. Every place of the text is looked at
+    a bounded number of times: places from which no tag ends are remembered.
+    """
+    name, plain_ = re.compile(r"</?([a-zA-Z][^\s<>/\"']*)"), re.compile(r"[^<>\"']*")
+    never: set[int] = set()
+    unclosed: set[str] = set()
+
+    def end(at: int) -> int:
+        """The place after the tag whose name ends at ``at``; -1 if it is no tag."""
+        seen = []
+        while at not in never:
+            seen.append(at)
+            at = plain_.match(text, at).end()
+            sign = text[at : at + 1]
+            if sign == ">":
+                return at + 1
+            if sign not in ('"', "'"):
+                break
+            close = -1 if sign in unclosed else text.find(sign, at + 1)
+            if close < 0:
+                unclosed.add(sign)
+            at = max(at, close) + 1
+        never.update(seen)
+        return -1
+
+    out, upto, at, comments = [], 0, text.find("<"), True
+    while at >= 0:
+        after, gap = -1, " "
+        if text.startswith("<!--", at):
+            after = text.find("-->", at + 4) if comments else -1
+            comments, after = after >= 0, after + 3 if after >= 0 else -1
+        elif tag := name.match(text, at):
+            after, gap = end(tag.end()), "" if tag[1].lower() in INLINE else " "
+        if after >= 0:
+            out += text[upto:at], gap
+            upto = after
+        at = text.find("<", max(after, at + 1))
+    return "".join(out) + text[upto:]
+
+
 def plain(text: str) -> str:
     """The text without markup and invisible characters, in normal width and lower case."""
     if "&" in text:
         text = html.unescape(text)
     if "<" in text:
-        text = re.sub(rf"(?i)</?(?:{INLINE})(?:\s[^<>]{{0,200}})?/?>", "", text)
-        text = re.sub(r"<!--.{0,500}?-->|</?[a-zA-Z][^<>]{0,200}>", " ", text, flags=re.S)
+        text = without_markup(text)
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
         text = "".join(c for c in text if c.isascii() or unicodedata.category(c) not in ("Cf", "Mn", "Me", "Cc"))

@@ -47,7 +47,8 @@ def p1_token_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
     now = current_rows(table(spark, d, "samples"), "key", "row_id", ["subject_uid", "sharpness"])
-    return now.select("row_id", spelling.asset_uid("subject_uid").alias("asset"), "sharpness")
+    # NaN is no score
+    return now.select("row_id", spelling.asset_uid("subject_uid").alias("asset"), F.when(~F.isnan("sharpness"), F.col("sharpness")).alias("sharpness"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -169,8 +170,11 @@ def _mix_sql(field: str, spell: str) -> str:
 
 
 def _shares_sql(field: str, spell: str, size: str) -> str:
-    return f"""SELECT '{field}' AS field_name, source_name, target_share, CAST(max(max_repeats) AS BIGINT) AS max_repeats, max(n) AS available, max(b) AS budget, CAST(sum(size * uses) AS BIGINT) AS used,
-CAST(count(*) FILTER (WHERE uses > 0) AS BIGINT) AS n_records, CAST(max(uses) AS BIGINT) AS most_uses, CAST(sum(size * uses) AS DOUBLE) / sum(sum(size * uses)) OVER () AS actual_share FROM {_used_sql(field, spell, size)} GROUP BY source_name, target_share"""
+    """SQL: every target of the field, with 0 where its source has no records."""
+    return f"""SELECT '{field}' AS field_name, source_name, target_share, CAST(max_repeats AS BIGINT) AS max_repeats, coalesce(n, 0) AS available, coalesce(b, 0) AS budget, coalesce(used, 0) AS used,
+coalesce(n_records, 0) AS n_records, coalesce(most_uses, 0) AS most_uses, CAST(coalesce(used, 0) AS DOUBLE) / nullif(sum(used) OVER (), 0) AS actual_share
+FROM (SELECT {spell.format(c='source_name')} AS source_name, target_share, max_repeats FROM mix_targets WHERE field_name = '{field}') LEFT JOIN (
+ SELECT source_name, max(n) AS n, max(b) AS b, CAST(sum(size * uses) AS BIGINT) AS used, CAST(count(*) FILTER (WHERE uses > 0) AS BIGINT) AS n_records, CAST(max(uses) AS BIGINT) AS most_uses FROM {_used_sql(field, spell, size)} GROUP BY source_name) USING (source_name)"""
 
 
 def _both(sql, *args: str) -> str:
@@ -184,7 +188,7 @@ ORACLES = {
     "p1_shares": _both(_shares_sql, "1"),
     "p1_token_shares": _both(_shares_sql, _WORDS),
     "p4_found": f"SELECT row_id FROM {_RANKED} WHERE asset IS NOT NULL AND place > {CAP}",
-    "p4_kept": f"SELECT row_id, asset, sharpness FROM {_RANKED} WHERE asset IS NULL OR place <= {CAP}",
+    "p4_kept": f"SELECT row_id, asset, CASE WHEN NOT isnan(sharpness) THEN sharpness END AS sharpness FROM {_RANKED} WHERE asset IS NULL OR place <= {CAP}",
     "p4_share": f"""WITH n AS (SELECT asset, count(*) AS n FROM {_RANKED} GROUP BY asset), top AS (SELECT max(n) AS n FROM n WHERE asset IS NOT NULL),
 c AS (SELECT max(c) AS c FROM (SELECT unnest(range(0, (SELECT n + 1 FROM top))) AS c) WHERE c <= {SHARE}::DOUBLE * (SELECT sum(CASE WHEN asset IS NULL THEN n ELSE least(n, c) END) FROM n) + 1e-9)
 SELECT asset, CAST(least(n, c) AS BIGINT) AS n_kept FROM n, c WHERE asset IS NOT NULL AND c > 0""",

@@ -302,6 +302,18 @@ def test_disguises(spark):
     assert leaks.find(df, "doc_id", "text", items.limit(0)).count() == 0 and leaks.find(df.limit(0), "doc_id", "text", items).count() == 0
 
 
+def test_markup_of_any_length(spark):
+    en = "Task 40015 asks for a stool turned 15 degrees beside the steel armchair near the big window today"
+    items = spark.createDataFrame([(1, "en", en, "stool")], "item_id long, lang string, text string, answer string")
+    junk = "data:image/png;base64," + "QUJD and more words " * 600
+    between = [f'<img alt="{junk}">', f"<!-- {junk} > < {junk} -->", f"<p class='a > b'>", f"</span title=\"{junk}\">", "<p><!-- short --></p>"]
+    texts = [en.replace("for a stool", f"for{x} a stool") for x in between] + [en.replace("stool", f"st<b id='{junk}'>ool</b>"), en.replace("for a", "for <never closed a"), "<a \"" * 30_000 + en, "<!--" * 30_000 + en]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id for r in leaks.find(df, "doc_id", "text", items).collect()}
+    assert got == set(range(len(texts)))
+    assert leaks.without_markup("a<b>c</b> 1 < 2 <br/>x<p>y <i") == "ac 1 < 2  x y <i" and leaks.without_markup("x<!-- <p> -->y<!--z") == "x y<!--z"
+
+
 # ---- cut texts
 def _corpus(seed=3, n=1500):
     rng = random.Random(seed)
