@@ -1,11 +1,14 @@
 """Capping records per dominant contributor, by a count or by a share, keeping the best by quality.
 
-The best of a contributor are found with a rank whose limit is applied in each input partition before the shuffle
-(WindowGroupLimit), so even a contributor with a third of all rows sends at most ``cap`` rows per partition. A share
-limit is turned into a count first, by water-filling over the histogram of contributor sizes.
+A small count: the best of a contributor are found with a rank whose limit is applied in each input partition before
+the shuffle (WindowGroupLimit), so even a contributor with a third of all rows sends at most ``cap`` rows per partition.
+A large count, above which Spark doesn't limit ranks early: the rows of the contributors above it are sorted by ranges
+of (contributor, quality, id), so that a hot one lies in many partitions, and the place of its last kept row follows
+from prefix sums over the partitions' counts. A share limit is turned into a count first, by water-filling over the
+histogram of contributor sizes.
 
 Defined cases: a null contributor is no contributor, its records all stay; null and NaN quality is worst; of equals
-the smaller id stays; an empty table keeps nothing; other columns are not looked at.
+the smaller id stays; an empty table keeps nothing; other columns are not looked at. Ids are numbers.
 """
 
 from __future__ import annotations
@@ -13,16 +16,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.session import cut
 
-def _ranked(df: DataFrame, contributor: str, quality: str, id_: str) -> Column:
-    worst = F.when(F.isnan(quality), None).otherwise(F.col(quality))
-    return F.row_number().over(Window.partitionBy(contributor).orderBy(worst.desc_nulls_last(), F.col(id_).asc()))
+#: The largest count for which Spark limits a rank before the shuffle (``spark.sql.optimizer.windowGroupLimitThreshold``).
+RANKED_EARLY = 1000
 
 
-def kept(df: DataFrame, contributor: str, quality: str, id_: str, cap: int) -> DataFrame:
+def _score(quality: str) -> Column:
+    return F.when(~F.isnan(quality), F.col(quality))
+
+
+def _place(quality: str, id_: str) -> Column:
+    """What orders a contributor's rows, the best first."""
+    return F.struct((-F.coalesce(_score(quality), F.lit(float("-inf")))).alias("q"), F.col(id_).alias("i"))
+
+
+def last_kept(df: DataFrame, contributor: str, quality: str, id_: str, cap: int, few: bool = False) -> DataFrame:
+    """contributor, __pl_last: the place of the last kept row of each contributor with more than ``cap`` (at least 1) rows.
+
+    ``few``: the contributors above the cap are known to be so few that their names can be broadcast.
+    """
+    hint = F.broadcast if few else lambda x: x
+    named = df.where(F.col(contributor).isNotNull())
+    over = named.groupBy(contributor).agg(F.count("*").alias("__pl_n")).where(F.col("__pl_n") > cap).select(contributor)
+    hot = named.select(contributor, _place(quality, id_).alias("__pl_at")).join(hint(over), contributor)
+    ranged = cut(hot.repartitionByRange(contributor, "__pl_at").sortWithinPartitions(contributor, "__pl_at"))
+    placed = ranged.withColumn("__pl_k", F.monotonically_increasing_id()).withColumn("__pl_p", F.shiftrightunsigned("__pl_k", 33))
+    # a row per contributor and partition
+    runs = placed.groupBy(contributor, "__pl_p").agg(F.count("*").alias("n"), F.min("__pl_k").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(contributor).orderBy("__pl_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ends = runs.withColumn("before", before).where((F.col("before") < cap) & (F.col("before") + F.col("n") >= cap)).select((F.col("first") + F.lit(cap - 1) - F.col("before")).alias("__pl_k"))
+    return placed.join(hint(ends), "__pl_k").select(contributor, F.col("__pl_at").alias("__pl_last"))
+
+
+def kept(df: DataFrame, contributor: str, quality: str, id_: str, cap: int, few: bool = False) -> DataFrame:
     """The rows of named contributors that stay."""
     named = df.where(F.col(contributor).isNotNull())
-    return named.withColumn("__pl_rank", _ranked(named, contributor, quality, id_)).where(F.col("__pl_rank") <= cap).drop("__pl_rank")
+    if cap > RANKED_EARLY:
+        last = last_kept(df, contributor, quality, id_, cap, few)
+        both = named.join(F.broadcast(last) if few else last, contributor, "left")
+        return both.where(F.col("__pl_last").isNull() | (_place(quality, id_) <= F.col("__pl_last"))).drop("__pl_last")
+    rank = F.row_number().over(Window.partitionBy(contributor).orderBy(_score(quality).desc_nulls_last(), F.col(id_).asc()))
+    return named.withColumn("__pl_rank", rank).where(F.col("__pl_rank") <= cap).drop("__pl_rank")
 
 
 def dropped(df: DataFrame, contributor: str, quality: str, id_: str, cap: int) -> DataFrame:
@@ -31,11 +66,22 @@ def dropped(df: DataFrame, contributor: str, quality: str, id_: str, cap: int) -
     One row per contributor over its cap (its last kept quality and id) is joined back; a side that grows with the
     contributors, so the planner chooses how, and splits a hot contributor's rows where it shuffles them.
     """
-    best = kept(df.select(contributor, quality, id_), contributor, quality, id_, cap)
-    q = F.coalesce(F.when(F.isnan(quality), None).otherwise(F.col(quality)), F.lit(float("-inf")))
-    order = F.struct((-q).alias("q"), F.col(id_).alias("i"))
-    last = best.groupBy(contributor).agg(F.max(order).alias("__pl_last"), F.count("*").alias("__pl_n")).where(F.col("__pl_n") >= cap).drop("__pl_n")
-    return df.where(F.col(contributor).isNotNull()).join(last, contributor).where(order > F.col("__pl_last")).drop("__pl_last")
+    if cap > RANKED_EARLY:
+        last = last_kept(df, contributor, quality, id_, cap)
+    else:
+        best = kept(df.select(contributor, quality, id_), contributor, quality, id_, cap)
+        last = best.groupBy(contributor).agg(F.max(_place(quality, id_)).alias("__pl_last"), F.count("*").alias("__pl_n")).where(F.col("__pl_n") >= cap).drop("__pl_n")
+    return df.where(F.col(contributor).isNotNull()).join(last, contributor).where(_place(quality, id_) > F.col("__pl_last")).drop("__pl_last")
+
+
+def kept_to_share(df: DataFrame, contributor: str, quality: str, id_: str, share: float) -> DataFrame:
+    """The rows of named contributors that stay when none may have more than ``share`` of all that stay.
+
+    Where c records are at most the share, fewer than 1 / share contributors can have more than c that stay, so the
+    names above the count are few.
+    """
+    cap = share_cap(df, contributor, share)
+    return df.where(F.col(contributor).isNotNull()) if cap is None else kept(df, contributor, quality, id_, cap, few=share >= 1e-4)
 
 
 def water_level(histogram: list[tuple[int, int]], share: float, uncapped: int = 0) -> int | None:

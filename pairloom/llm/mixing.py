@@ -2,7 +2,7 @@
 
 Each record gets a hash-random key (md5 of seed and id). Within a source the records are taken in the order of that
 key until the source's budget is full; where the budget exceeds the source, whole epochs come first. The place of the
-cut is found by a radix search: prefix sums of sizes over the ranges of the key's next digits give the range in which
+cut is found by a radix search, in place of a sort of each source by range, with the same cut: prefix sums of sizes over the ranges of the key's next digits give the range in which
 the budget ends, and only that range is looked into again, so the sums are distributed and no source is sorted whole.
 
 The total is the largest at which every source can hold its share: min(size * max_repeats / share).
@@ -16,6 +16,7 @@ records that enter together.
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -58,43 +59,56 @@ def budgets(available: dict[str, int], targets: list[tuple[str, float, int]]) ->
     return out
 
 
-def mix(df: DataFrame, id_: str, source: Column, size: Column, targets: DataFrame, seed: int = 7, digits: int = DIGITS, levels: int = LEVELS) -> tuple[DataFrame, list[Budget]]:
-    """(rows, budgets). rows: source_name, id, size, uses - records with at least one use.
+def mixes(df: DataFrame, id_: str, sources: Mapping[str, Column], size: Column, targets: DataFrame, seed: int = 7, digits: int = DIGITS, levels: int = LEVELS) -> tuple[DataFrame, dict[str, list[Budget]]]:
+    """(rows, budgets by field). rows: field_name, source_name, id, size, uses - records with at least one use.
 
-    ``targets`` (source_name, target_share, max_repeats) is the caller's table of a few sources; it is the only thing
-    collected besides one number per source.
+    ``sources``: a mix is made for each field, from one reading of ``df``. ``targets`` (field_name, source_name,
+    target_share, max_repeats) is the caller's table of a few sources; it is the only thing collected besides one number
+    per source and level of the search.
     """
-    wanted = [(r["source_name"], r["target_share"], r["max_repeats"]) for r in targets.collect()]
-    names = [w[0] for w in wanted]
-    keyed = df.select(source.alias("source_name"), F.col(id_), size.cast("long").alias("size"))
-    keyed = keyed.where(F.col("source_name").isin(names) & (F.col("size") > 0))
-    keyed = cut(keyed.withColumn("h", F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_).cast("string"))), F.lit(":"), F.col(id_).cast("string"))))
-    have = {r["source_name"]: r["n"] for r in keyed.groupBy("source_name").agg(F.sum("size").alias("n")).collect()}
-    plan = budgets(have, wanted)
-    open_ = {b.source: ("", b.rest) for b in plan if b.rest}  # source -> prefix of the range, what is left of the budget in it
     spark = df.sparkSession
+    wanted: dict[str, list] = {f: [] for f in sources}
+    for r in targets.where(F.col("field_name").isin(*sources)).collect():
+        wanted[r["field_name"]].append((r["source_name"], r["target_share"], r["max_repeats"]))
+    pools = {(f, w[0]): t for t, (f, w) in enumerate((f, w) for f, ws in wanted.items() for w in ws if w[0] is not None)}
+    named = spark.createDataFrame([(*k, t) for k, t in pools.items()], "field_name string, source_name string, pool int")
+    each = df.select(F.col(id_).alias("id"), size.cast("long").alias("size"), F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), c.alias("source_name")) for f, c in sources.items()])).alias("s"))
+    each = each.where("size > 0").select("id", "size", "s.*").join(F.broadcast(named), ["field_name", "source_name"])  # as many rows as targets
+    said = F.col("id").cast("string")
+    keyed = cut(each.select("pool", "id", "size")).withColumn("h", F.concat(F.md5(F.concat(F.lit(f"{seed}:"), said)), F.lit(":"), said))
+    have = {r["pool"]: r["n"] for r in keyed.groupBy("pool").agg(F.sum("size").alias("n")).collect()}
+    plan = {f: budgets({s: have[t] for (g, s), t in pools.items() if g == f and t in have}, ws) for f, ws in wanted.items()}
+    budget = {pools[f, b.source]: b for f, bs in plan.items() for b in bs if (f, b.source) in pools}
+    open_ = {t: ("", b.rest) for t, b in budget.items() if b.rest}  # pool -> prefix of the range, what is left of the budget in it
+
+    def inside() -> DataFrame:
+        at = spark.createDataFrame([(t, p, r) for t, (p, r) in open_.items()], "pool int, prefix string, rest long")
+        return keyed.join(F.broadcast(at), "pool").where(F.col("h").startswith(F.col("prefix")))
+
     for level in range(levels):
         if not open_:
             break
-        at = spark.createDataFrame([(s, p, r) for s, (p, r) in open_.items()], "source_name string, prefix string, rest long")
-        inside = keyed.join(F.broadcast(at), "source_name").where(F.col("h").startswith(F.col("prefix")))
-        sums = inside.groupBy("source_name", "rest", F.substring("h", 1, digits * (level + 1)).alias("range")).agg(F.sum("size").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("source_name").orderBy("range"))  # at most 16**digits rows a source
+        sums = inside().groupBy("pool", "rest", F.substring("h", 1, digits * (level + 1)).alias("range")).agg(F.sum("size").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("pool").orderBy("range"))  # at most 16**digits rows a pool
         ends = sums.withColumn("upto", upto).where("upto > rest and upto - n <= rest").collect()
-        open_ = {r["source_name"]: (r["range"], r["rest"] - (r["upto"] - r["n"])) for r in ends}
-    last: dict[str, str] = {}
+        open_ = {r["pool"]: (r["range"], r["rest"] - (r["upto"] - r["n"])) for r in ends}
+    last: dict[int, str] = {}
     if open_:
-        at = spark.createDataFrame([(s, p, r) for s, (p, r) in open_.items()], "source_name string, prefix string, rest long")
-        inside = keyed.join(F.broadcast(at), "source_name").where(F.col("h").startswith(F.col("prefix")))
-        upto = F.sum("size").over(Window.partitionBy("source_name").orderBy("h"))
-        taken = inside.withColumn("upto", upto).where("upto <= rest").groupBy("source_name").agg(F.max("h").alias("h"))
-        last = {r["source_name"]: r["h"] for r in taken.collect()}
+        upto = F.sum("size").over(Window.partitionBy("pool").orderBy("h"))
+        taken = inside().withColumn("upto", upto).where("upto <= rest").groupBy("pool").agg(F.max("h").alias("h"))
+        last = {r["pool"]: r["h"] for r in taken.collect()}
     # up to and with ``last`` a record is used once more than the whole epochs; a range prefix sorts before all in it
-    ends = [(b.source, b.epochs, last.get(b.source) or (open_[b.source][0] if b.source in open_ else "")) for b in plan]
-    cuts = spark.createDataFrame(ends, "source_name string, epochs long, last string")
-    rows = keyed.join(F.broadcast(cuts), "source_name")  # as many rows as there are targets
+    ends = [(f, s, t, budget[t].epochs, last.get(t) or (open_[t][0] if t in open_ else "")) for (f, s), t in pools.items() if t in budget]
+    cuts = spark.createDataFrame(ends, "field_name string, source_name string, pool int, epochs long, last string")
+    rows = keyed.join(F.broadcast(cuts), "pool")  # as many rows as there are targets
     rows = rows.withColumn("uses", F.col("epochs") + (F.col("h") <= F.col("last")).cast("long"))
-    return rows.where("uses > 0").select("source_name", id_, "size", "uses"), plan
+    return rows.where("uses > 0").select("field_name", "source_name", F.col("id").alias(id_), "size", "uses"), plan
+
+
+def mix(df: DataFrame, id_: str, source: Column, size: Column, targets: DataFrame, seed: int = 7, digits: int = DIGITS, levels: int = LEVELS) -> tuple[DataFrame, list[Budget]]:
+    """One mix: (rows, budgets) without ``field_name``, by ``targets`` (source_name, target_share, max_repeats)."""
+    rows, plan = mixes(df, id_, {"": source}, size, targets.select(F.lit("").alias("field_name"), "source_name", "target_share", "max_repeats"), seed, digits, levels)
+    return rows.drop("field_name"), plan[""]
 
 
 def epochs(rows: DataFrame) -> DataFrame:

@@ -15,23 +15,25 @@ CAP = 12
 SHARE = 0.02
 
 
-def _mixed(spark: SparkSession, d: str, field: str, spell, size) -> tuple[DataFrame, list]:
-    now = current_rows(table(spark, d, "samples"), "key", "row_id", [field, "instruction"])
-    targets = table(spark, d, "mix_targets").where(F.col("field_name") == field).select(spell("source_name").alias("source_name"), "target_share", "max_repeats")
-    return mixing.mix(now, "row_id", spell(field), size, targets)
+FIELDS = {"source_dataset": spelling.source_name, "edit_op": spelling.edit_op}
 
 
-FIELDS = (("source_dataset", spelling.source_name), ("edit_op", spelling.edit_op))
+def _mixed(spark: SparkSession, d: str, size) -> tuple[DataFrame, dict]:
+    """Both mixes from one reading of the current rows."""
+    now = current_rows(table(spark, d, "samples"), "key", "row_id", [*FIELDS, "instruction"])
+    spelled = F.coalesce(*[F.when(F.col("field_name") == f, spell("source_name")) for f, spell in FIELDS.items()])
+    targets = table(spark, d, "mix_targets").select("field_name", spelled.alias("source_name"), "target_share", "max_repeats")
+    return mixing.mixes(now, "row_id", {f: spell(f) for f, spell in FIELDS.items()}, size, targets)
 
 
 def p1_mix(spark: SparkSession, d: str) -> DataFrame:
     """Both mixes, one row per use of a record; every record weighs the same."""
-    parts = [mixing.epochs(_mixed(spark, d, f, s, F.lit(1))[0]).select(F.lit(f).alias("field_name"), "source_name", "row_id", "epoch") for f, s in FIELDS]
-    return parts[0].unionByName(parts[1])
+    return mixing.epochs(_mixed(spark, d, F.lit(1))[0]).select("field_name", "source_name", "row_id", "epoch")
 
 
 def _report(spark: SparkSession, d: str, size) -> DataFrame:
-    parts = [mixing.report(*_mixed(spark, d, f, s, size)).select(F.lit(f).alias("field_name"), "*") for f, s in FIELDS]
+    rows, plan = _mixed(spark, d, size)
+    parts = [mixing.report(rows.where(F.col("field_name") == f), plan[f]).select(F.lit(f).alias("field_name"), "*") for f in FIELDS]
     return parts[0].unionByName(parts[1])
 
 
@@ -64,9 +66,7 @@ def p4_kept(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_share(spark: SparkSession, d: str) -> DataFrame:
     """Per asset what stays when none may have more than a fiftieth of the samples left."""
-    now = _subjects(spark, d)
-    cap = capping.share_cap(now, "asset", SHARE)
-    left = now.where("asset is not null") if cap is None else capping.kept(now, "asset", "sharpness", "row_id", cap)
+    left = capping.kept_to_share(_subjects(spark, d), "asset", "sharpness", "row_id", SHARE)
     return left.groupBy("asset").agg(F.count("*").alias("n_kept"))
 
 

@@ -83,6 +83,29 @@ def test_capping_against_brute_force(spark):
     assert "WindowGroupLimit" in capping.kept(df, "who", "q", "id", 12)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_large_caps_without_a_hot_task(spark):
+    # one contributor holds half of the rows, most of them alike
+    q = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(float("nan"))).otherwise((F.col("id") % 50).cast("double"))
+    who = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 4 == 1, "warm").when(F.col("id") % 8 == 3, F.concat(F.lit("x"), (F.col("id") % 700).cast("string")))
+    df = spark.range(60_000).withColumn("q", q).withColumn("who", who).repartition(7)
+    rows = [(r.id, r.who, r.q) for r in df.collect()]
+    for cap in (5000, 1001, 15_000, 29_999, 30_000):
+        want = set()
+        for w in {r[1] for r in rows if r[1]}:
+            order = sorted((r for r in rows if r[1] == w), key=lambda r: (-(r[2] if r[2] is not None and r[2] == r[2] else float("-inf")), r[0]))
+            want |= {r[0] for r in order[:cap]}
+        assert {r.id for r in capping.kept(df, "who", "q", "id", cap).collect()} == want
+        assert {r.id for r in capping.dropped(df, "who", "q", "id", cap).collect()} == {r[0] for r in rows if r[1]} - want
+    last = capping.last_kept(df, "who", "q", "id", 5000)
+    assert "Window [sum" in last._jdf.queryExecution().executedPlan().toString() and {r.who for r in last.collect()} == {"hot", "warm"}
+    ranged = df.where("who = 'hot'").repartitionByRange(8, "who", F.struct("q", "id"))
+    sizes = ranged.groupBy(F.spark_partition_id()).count().select(F.max("count")).first()[0]
+    assert sizes < 30_000 / 2
+    left = capping.kept_to_share(df, "who", "q", "id", 0.25)
+    n = {r.who: r["count"] for r in left.groupBy("who").count().collect()}
+    assert max(n.values()) <= 0.25 * (sum(n.values()) + df.where("who is null").count()) and n["hot"] == n["warm"] > 1000
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 60), min_size=1, max_size=12), st.floats(0.02, 0.9), st.integers(0, 30))
 def test_water_level(sizes, share, loose):
