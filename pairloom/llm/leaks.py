@@ -1,12 +1,14 @@
 """Evaluation texts that leak into training texts.
 
-The items are a BM25 inverted index; every passage of every training text is a query, answered by block-max WAND. The
-threshold loses nothing: a text that holds ``run`` consecutive units of an item holds all their terms in one passage,
-so the item scores at least the least sum of its weights over any ``run`` consecutive units. What is retrieved is
-verified unit by unit.
+The items are a BM25 inverted index; every passage of every training text that can hold a case is a query, answered by
+block-max WAND. Each item's weights are divided by its own threshold, its least score over any ``run`` consecutive
+units, so that one bound of 1 serves all items and loses nothing: a text that holds ``run`` consecutive units of an
+item holds all their terms in one passage. The terms are pairs of neighbouring units, and all pairs of a case are in
+the index, so only stretches of the text whose pairs are all known are cut into passages. What is retrieved is verified
+unit by unit.
 
-Units are words for English items, and single letters, digits and ideographs for Chinese ones; the index holds pairs of
-neighbouring units. Letter case, width, punctuation, spacing, markup and invisible characters are removed from both sides first.
+Units are words for English items, and single letters, digits and ideographs for Chinese ones. Letter case, width,
+punctuation, spacing, markup and invisible characters are removed from both sides first.
 
 Defined cases: null and empty texts hold nothing; an item shorter than ``run`` units can't leak; two items that share
 such a run both leak with it; very long texts are read whole, passage by passage; repeated rows give repeated ids
@@ -15,8 +17,10 @@ once each (the result is distinct).
 
 from __future__ import annotations
 
+import functools
 import html
 import math
+import operator
 import re
 import unicodedata
 from bisect import bisect_left
@@ -25,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 #: Consecutive units that make a case.
@@ -33,12 +38,15 @@ WORDS, CHARS = 10, 16
 PASSAGE = {"en": 24, "zh": 48}
 K1, B = 1.2, 0.75
 BLOCK = 16
-#: Items in one index; more items are searched for in several passes, so the broadcast is bounded.
-ITEMS_AT_ONCE = 20_000
+#: Items in one index, and characters of their texts; more are searched for in several passes, so the broadcast is bounded.
+ITEMS_AT_ONCE, CHARS_AT_ONCE = 20_000, 10_000_000
 
 #: Tags that stand inside words; every other tag parts words.
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd mark q s samp small span strike strong sub sup tt u var wbr".split())
 
+#: Format characters, marks and control characters, but for those of ASCII.
+INVISIBLE = r"(?V1)[[\p{Cf}\p{Mn}\p{Me}\p{Cc}]--[\x00-\x7f]]+"
+
 IDEOGRAPHS = "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 
 
@@ -92,22 +100,29 @@ def plain(text: str) -> str:
     if "<" in text:
         text = without_markup(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
-        text = "".join(c for c in text if c.isascii() or unicodedata.category(c) not in ("Cf", "Mn", "Me", "Cc"))
+        text = regex.sub(INVISIBLE, "", unicodedata.normalize("NFKC", text))
     return text.casefold()
 
 
 def words(text: str) -> list[str]:
-    return re.findall(r"[^\W_]+", plain(text))
+    return _words(plain(text))
 
 
 def chars(text: str) -> str:
-    return "".join(re.findall(r"[^\W_]", plain(text)))
+    return _chars(plain(text))
+
+
+def _words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text)
+
+
+def _chars(text: str) -> str:
+    return re.sub(r"[\W_]+", "", text)
 
 
 def tokens(text: str) -> list[str]:
-    """Words and numbers as they stand alone, also beside ideographs, which count one by one."""
-    return re.findall(rf"[{IDEOGRAPHS}]|[^\W_{IDEOGRAPHS}]+", plain(text))
+    """Words and numbers as they stand alone, also beside ideographs, which count one by one; of a ``plain`` text."""
+    return re.findall(rf"[{IDEOGRAPHS}]|[^\W_{IDEOGRAPHS}]+", text)
 
 
 def pieces(units, run: int, lang: str) -> list:
@@ -118,8 +133,8 @@ def pieces(units, run: int, lang: str) -> list:
 def terms(units, lang: str) -> list[str]:
     """Pairs of neighbouring units: single words are too common in both sides to tell a passage."""
     if lang == "en":
-        return [f"{a} {b}" for a, b in zip(units, units[1:])]
-    return [units[i : i + 2] for i in range(len(units) - 1)]
+        return [a + " " + b for a, b in zip(units, units[1:])]
+    return list(map(operator.add, units, units[1:]))
 
 
 @dataclass
@@ -134,43 +149,36 @@ class Index:
     runs: list[set] = field(default_factory=list)
     units: list = field(default_factory=list)
     answers: list[str] = field(default_factory=list)
-
-    @property
-    def threshold(self) -> float:
-        return min(self.least, default=math.inf)
+    #: Whether every case holds a sign beyond ASCII.
+    wide: bool = False
 
 
 def build(items: list[tuple[int, str, str | None]], lang: str) -> Index:
-    """``items``: (id, text, answer)."""
+    """``items``: (id, text, answer). The weights in the postings are shares of their item's threshold."""
     run = WORDS if lang == "en" else CHARS
     out = Index(lang, run)
-    units = []
     for i, text, answer in items:
         u = words(text or "") if lang == "en" else chars(text or "")
         if len(u) >= run:
             out.ids.append(i)
-            out.answers.append(" ".join(tokens(answer or "")))
-            units.append(u)
-    bags = [Counter(terms(u, lang)) for u in units]
-    n = len(bags)
-    mean = sum(sum(b.values()) for b in bags) / n if n else 0
-    df = Counter(t for b in bags for t in b)
+            out.answers.append(" ".join(tokens(plain(answer or ""))))
+            out.units.append(u)
+            out.runs.append(set(pieces(u, run, lang)))
+    each = [terms(u, lang) for u in out.units]
+    n = len(each)
+    mean = sum(map(len, each)) / n if n else 0
+    df = Counter(t for ts in each for t in set(ts))
     posted: dict = defaultdict(list)
-    for at, (u, bag) in enumerate(zip(units, bags)):
-        size = sum(bag.values())
-        weight = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * size / mean)) for t, f in bag.items()}
+    for at, ts in enumerate(each):
+        weight = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * len(ts) / mean)) for t, f in Counter(ts).items()}
+        out.least.append(min(sum(weight[x] for x in set(ts[k : k + run - 1])) for k in range(len(ts) - run + 2)))
         for t, w in weight.items():
-            posted[t].append((at, w))
-        t = terms(u, lang)
-        span = run - 1
-        out.least.append(min(sum(weight[x] for x in set(t[k : k + span])) for k in range(len(t) - span + 1)) - 1e-9)
-        out.runs.append(set(pieces(u, run, lang)))
-        out.units.append(u)
+            posted[t].append((at, w / out.least[-1]))
     for t, p in posted.items():
-        p.sort()
         weights = [w for _, w in p]
         tops = [max(weights[k : k + BLOCK]) for k in range(0, len(p), BLOCK)]
         out.postings[t] = ([at for at, _ in p], weights, tops, max(weights))
+    out.wide = not any("".join(piece).isascii() for runs in out.runs for piece in runs)
     return out
 
 
@@ -228,34 +236,41 @@ def search(index: Index, query: set, threshold: float) -> list[tuple[int, float]
     return found
 
 
+def stretches(index: Index, units) -> Iterator[tuple[int, int]]:
+    """(from, upto) of the longest stretches of at least ``run`` units whose pairs of neighbours are all in the index."""
+    postings = index.postings
+    known = bytes(t in postings for t in terms(units, index.lang))
+    for m in re.finditer(rb"\x01{%d,}" % (index.run - 1), known):
+        yield m.start(), m.end() + 1
+
+
 def matches(index: Index, units) -> dict[int, tuple[float, int]]:
     """item number -> (best score of a passage that holds a case, longest run in units over the whole text)."""
-    run, lang, out = index.run, index.lang, {}
-    if len(units) < run:
-        return out
-    size, threshold = PASSAGE[lang], index.threshold
+    run, lang = index.run, index.lang
+    size = PASSAGE[lang]
     step = size - run + 1
-    scores: dict[int, dict[int, float]] = defaultdict(dict)
-    for start in range(0, len(units) - run + 1, step):
-        for item, score in search(index, set(terms(units[start : start + size], lang)), threshold):
-            if score >= index.least[item]:
-                scores[item][start] = score
-    if not scores:
-        return out
-    places = defaultdict(list)
-    for k, piece in enumerate(pieces(units, run, lang)):
-        places[piece].append(k)
-    for item, by in scores.items():
-        held = sorted(k for piece in index.runs[item] for k in places.get(piece, ()))
-        if held:
-            # the stretches of the text that can hold a run, parted by what no item has
-            parted, upto = [], held[0]
-            for k in held:
-                if k > upto:
-                    parted.append(object())
-                parted += units[max(k, upto) : k + run]
-                upto = k + run
-            out[item] = (max(by.get(k // step * step, 0.0) for k in held), longest_run(parted, index.units[item]))
+    best: dict[int, float] = {}
+    held: dict[int, list[int]] = defaultdict(list)
+    for a, b in stretches(index, units) if len(units) >= run else ():
+        for start in range(a, b - run + 1, step):
+            passage = units[start : min(start + size, b)]
+            found = search(index, set(terms(passage, lang)), 1 - 1e-9)
+            runs = pieces(passage, run, lang) if found else ()
+            for item, score in found:
+                at = [start + k for k, piece in enumerate(runs) if piece in index.runs[item]]
+                if at:
+                    held[item] += at
+                    best[item] = max(best.get(item, 0.0), score * index.least[item])
+    out = {}
+    for item, at in held.items():
+        # the stretches of the text that can hold a run, parted by what no item has
+        parted, upto = [], at[0]
+        for k in at:
+            if k > upto:
+                parted.append(object())
+            parted += units[max(k, upto) : k + run]
+            upto = k + run
+        out[item] = (best[item], longest_run(parted, index.units[item]))
     return out
 
 
@@ -290,35 +305,44 @@ def find(df: DataFrame, id_: str, text: str, items: DataFrame, item_id: str = "i
     """id, item_id, score, longest (units of the longest run that text and item share), answer_seen (the
     text holds the answer as words or a number of its own).
 
-    The items are the stated query set: they are collected and searched for in blocks of ``ITEMS_AT_ONCE``, each block
-    one index broadcast and one pass over all texts.
+    The items are the stated query set: they stream through the driver and are searched for in blocks of
+    ``ITEMS_AT_ONCE`` items or ``CHARS_AT_ONCE`` characters, each block one index broadcast and one pass over all texts.
     """
     spark = df.sparkSession
-    rows = [(r[item_id], r[item_text], r[answer], r[lang]) for r in items.select(item_id, item_text, answer, lang).toLocalIterator() if r[item_text]]
     kind = df.schema[id_].dataType.simpleString()
-    out = None
-    for at in range(0, max(1, len(rows)), ITEMS_AT_ONCE):
-        block = rows[at : at + ITEMS_AT_ONCE]
-        en = build([r[:3] for r in block if not (r[3] or "").lower().startswith("zh")], "en")
-        zh = build([r[:3] for r in block if (r[3] or "").lower().startswith("zh")], "zh")
-        indexes = spark.sparkContext.broadcast((en, zh))
-
-        def run(batches: Iterator[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
-            en, zh = indexes.value
+    types = (df.select(id_).limit(0).toArrow().schema.field(0).type, pa.int64(), pa.float64(), pa.int32(), pa.bool_())
+
+    def part(block: list[tuple]) -> DataFrame:
+        zh = [(r[3] or "").lower().startswith("zh") for r in block]
+        indexes = spark.sparkContext.broadcast(tuple(build([r[:3] for r, z in zip(block, zh) if z == of], lang) for lang, of in (("en", False), ("zh", True))))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            each = [(index, _words if index.lang == "en" else _chars, index.wide) for index in indexes.value if index.ids]
             for b in batches:
                 got = []
                 for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     if not t:
                         continue
-                    seen = None
-                    for index, units in ((en, words), (zh, chars)):
-                        if index.ids:
-                            for item, (score, longest) in matches(index, units(t)).items():
-                                a = index.answers[item]
-                                seen = seen or f" {' '.join(tokens(t))} "
-                                got.append((i, index.ids[item], score, longest, bool(a) and f" {a} " in seen))
-                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], b.column(0).type), *(pa.array([g[k] for g in got], t) for k, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.int32()), (4, pa.bool_())))], names=["id", "item_id", "score", "longest", "answer_seen"])
-
-        part = df.select(id_, text).mapInArrow(run, SCHEMA.format(kind))
-        out = part if out is None else out.unionByName(part)
-    return out.withColumnRenamed("id", id_)
+                    t, seen = plain(t), None
+                    for index, units, wide in each:
+                        if wide and t.isascii():
+                            continue
+                        for item, (score, longest) in matches(index, units(t)).items():
+                            a = index.answers[item]
+                            seen = seen or f" {' '.join(tokens(t))} "
+                            got.append((i, index.ids[item], score, longest, bool(a) and f" {a} " in seen))
+                yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], t) for k, t in enumerate(types)], names=["id", "item_id", "score", "longest", "answer_seen"])
+
+        return df.select(id_, text).mapInArrow(run, SCHEMA.format(kind))
+
+    out, block, held = [], [], 0
+    for r in items.select(item_id, item_text, answer, lang).toLocalIterator():
+        if r[item_text]:
+            block.append((r[item_id], r[item_text], r[answer], r[lang]))
+            held += len(r[item_text])
+        if len(block) >= ITEMS_AT_ONCE or held >= CHARS_AT_ONCE:
+            out.append(part(block))
+            block, held = [], 0
+    if block or not out:
+        out.append(part(block))
+    return functools.reduce(DataFrame.unionByName, out).withColumnRenamed("id", id_)
