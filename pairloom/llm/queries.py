@@ -138,6 +138,11 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return _judged(spark, d).where("cut").select(F.col("id").alias("doc_id"))
 
 
+def p9_rules(spark: SparkSession, d: str) -> DataFrame:
+    """How many of the cut texts each rule tells."""
+    return _judged(spark, d).where("cut").groupBy("rule").agg(F.count("*").alias("n_texts"))
+
+
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     """How often each source cuts its texts."""
     return truncation.rates(table(spark, d, "documents"), _judged(spark, d), "source", "text")
@@ -196,4 +201,4 @@ SELECT asset, CAST(least(n, c) AS BIGINT) AS n_kept FROM n, c WHERE asset IS NOT
 l AS (SELECT DISTINCT a.scene AS a, b.scene AS b FROM e a JOIN e b USING (job) WHERE a.scene <> b.scene), r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a) SELECT a AS scene_a, b AS scene_b FROM r WHERE a < b""",
 }
 
-QUERIES = {f.__name__: f for f in (p1_mix, p1_shares, p1_token_shares, p4_found, p4_kept, p4_share, p6_found, p6_splits, p6_shares, p7_ids, p7_counts, p8_found, p8_leaks, p9_found, p9_rates)}
+QUERIES = {f.__name__: f for f in (p1_mix, p1_shares, p1_token_shares, p4_found, p4_kept, p4_share, p6_found, p6_splits, p6_shares, p7_ids, p7_counts, p8_found, p8_leaks, p9_found, p9_rules, p9_rates)}
