@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.functions.records import KINDS, leaf_kinds, leaves, read_record, write
+from pairloom.session import cut
 
 #: A version has a path if one in so many of its readable records holds it.
 PRESENT_ONE_IN = 50
@@ -68,36 +70,55 @@ def _text(value) -> str:
         return write(value)
 
 
+#: Paths that a task counts before it passes the counts on.
+HELD = 200_000
+
+
 def profile(df: DataFrame, version: str, text: str) -> DataFrame:
-    """version, path, kind, n: how many readable records of a version hold a path with a kind; path '' counts the records."""
+    """version, path, n and a count per kind: how many readable records of a version hold a path, and with which kinds; path '' counts the records."""
+    counted = ("n", *KINDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by: dict[str, dict] = {}
+        by: dict[tuple[str, str], list[int]] = {}
         names: dict = {}
+
+        def flush() -> pa.RecordBatch:
+            keys = list(by)
+            out = [pa.array([k[i] for k in keys], pa.string()) for i in range(2)] + [pa.array([by[k][i] for k in keys], pa.int64()) for i in range(len(counted))]
+            by.clear()
+            names.clear()
+            return pa.RecordBatch.from_arrays(out, names=["version", "path", *counted])
+
+        place = {k: i for i, k in enumerate(counted)}
         for b in batches:
             for v, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 record = read_record(t)
                 if record is None:
                     continue
-                n = by.setdefault(v, defaultdict(int))
-                n["", ""] += 1
-                for item in leaf_kinds(record, names).items():
-                    if type(item[1]) is str:
-                        n[item] += 1
+                for path, kinds in [("", ()), *leaf_kinds(record, names).items()]:
+                    n = by.get((v, path))
+                    if n is None:
+                        n = by[v, path] = [0] * len(counted)
+                    n[0] += 1
+                    if type(kinds) is str:
+                        n[place[kinds]] += 1
                     else:  # several kinds at one path: each counts, the path once
-                        n[item[0], ""] -= len(item[1]) - 1
-                        for k in item[1]:
-                            n[item[0], k] += 1
-        for n in by.values():
-            for p, k in list(n):
-                if k:
-                    n[p, ""] += n[p, k]
-        n = {(v, *k): x for v, m in by.items() for k, x in m.items()}
-        keys = list(n)
-        yield pa.RecordBatch.from_arrays([pa.array([k[i] for k in keys], pa.string()) for i in range(3)] + [pa.array([n[k] for k in keys], pa.int64())], names=["version", "path", "kind", "n"])
+                        for k in kinds:
+                            n[place[k]] += 1
+            if len(by) + len(names) > HELD:
+                yield flush()
+        yield flush()
 
     picked = df.select(F.col(version).alias("version"), F.col(text).alias("text")).where("version is not null")
-    return picked.mapInArrow(run, "version string, path string, kind string, n long").groupBy("version", "path", "kind").agg(F.sum("n").alias("n"))
+    each = picked.mapInArrow(run, "version string, path string, " + ", ".join(f"{c} long" for c in counted))
+    return each.groupBy("version", "path").agg(*[F.sum(c).alias(c) for c in counted])
+
+
+def layout_paths(profiled: DataFrame) -> DataFrame:
+    """The rows of a profile that a layout has: one in ``PRESENT_ONE_IN`` of its version's records holds the path."""
+    profiled = cut(profiled)
+    records = profiled.where("path = ''").select("version", F.col("n").alias("__pl_all"))
+    return profiled.join(records, "version").where(F.col("n") * PRESENT_ONE_IN >= F.col("__pl_all")).drop("__pl_all")
 
 
 @dataclass
@@ -109,22 +130,14 @@ class Layouts:
 
     @classmethod
     def of(cls, rows: Iterable) -> Layouts:
-        records: dict[str, int] = {}
-        holds: dict = defaultdict(int)
-        kinds: dict = defaultdict(Counter)
-        for r in rows:
-            if not r["path"]:
-                records[r["version"]] = r["n"]
-            elif not r["kind"]:
-                holds[r["version"], r["path"]] = r["n"]
-            else:
-                kinds[r["version"], r["path"]][r["kind"]] += r["n"]
-        versions = sorted(records, key=lambda v: [int(x) for x in v.split(".")])
+        """Of the rows of ``layout_paths``; a path's kind is the most common, of several equally common the one that holds them all."""
+        rows = list(rows)
+        versions = sorted((r["version"] for r in rows if not r["path"]), key=lambda v: [int(x) for x in v.split(".")])
         out = cls(versions, {v: {} for v in versions})
-        for (v, p), n in holds.items():
-            if n * PRESENT_ONE_IN >= records[v]:
-                of = kinds[v, p]
-                out.kinds[v][p] = max(of, key=lambda k: (of[k], KINDS.index(k)))
+        for r in rows:
+            if r["path"]:
+                most = max(r[k] for k in KINDS)
+                out.kinds[r["version"]][r["path"]] = promote(k for k in KINDS if r[k] == most)
         return out
 
     def steps(self) -> list[tuple[str, str]]:
@@ -143,63 +156,67 @@ class Layouts:
 def rename_votes(df: DataFrame, id_: str, key: str, version: str, text: str, layouts: Layouts) -> DataFrame:
     """version, old_path, new_path, n_both, n_equal over the keys written before and after each step.
 
-    Per key and version only the newest row is compared, so a key with very many rows weighs no more than another and
-    the self-join is on at most as many rows per key as there are versions.
+    Each record is read once more, for the values at the paths gone and come alone; of these only hashes of 48 bits
+    travel, so what is shuffled is a fraction of the records. Per key and version only the newest row is compared, so a
+    key with very many rows weighs no more than another and is reduced before the shuffle.
     """
     wanted = layouts.gone_and_come()
     order = {v: i for i, v in enumerate(layouts.versions)}
     schema = "version string, old_path string, new_path string, n_both long, n_equal long"
-    spark = df.sparkSession
     if not wanted:
-        return spark.createDataFrame([], schema)
+        return df.sparkSession.createDataFrame([], schema)
+    paths = sorted({p for ps in wanted.values() for side in ps for p in side})
+    number = {p: i for i, p in enumerate(paths)}
+    # the versions before or at a step, whose records can be on one of its sides
+    first, last = min(map(order.get, wanted)) - 1, max(map(order.get, wanted))
     rank = F.create_map(*[F.lit(x) for v, i in order.items() for x in (v, i)])
-    newest = (
-        df.select(F.col(key).alias("key"), rank[F.col(version)].alias("v"), F.col(id_).alias("id"))
-        .where("key is not null and v is not null")
-        .groupBy("key", "v").agg(F.max("id").alias("id"))
-    )
-    per_key = newest.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("v", "id"))).alias("at")).where("size(at) > 1")
-    pairs = per_key.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("at") - 1), lambda i: F.struct(
-        F.element_at("at", i)["v"].alias("v0"), F.element_at("at", i)["id"].alias("id0"),
-        F.element_at("at", i + 1)["v"].alias("v1"), F.element_at("at", i + 1)["id"].alias("id1")))).alias("p")).select("p.*")
-    # each side's record is fetched by id; only rewritten keys' texts are shuffled
-    ends = pairs.select(F.explode(F.array(F.struct(F.col("id0").alias("id"), F.lit(0).alias("side"), "v0", "v1", "id0"), F.struct(F.col("id1").alias("id"), F.lit(1).alias("side"), "v0", "v1", "id0"))).alias("e")).select("e.*")
-    texts = ends.join(df.select(F.col(id_).alias("id"), F.col(text).alias("text")), "id")
-    both = texts.groupBy("v0", "v1", "id0").agg(F.max(F.when(F.col("side") == 0, F.col("text"))).alias("t0"), F.max(F.when(F.col("side") == 1, F.col("text"))).alias("t1"))
-    names = layouts.versions
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for t in b.column(3).to_pylist():
+                record = read_record(t)
+                # 16 bits of the path's number, 48 of the values' hash
+                out.append(None if record is None else [number[p] << 48 | zlib.crc32(x) << 16 | zlib.adler32(x) & 0xFFFF for p, x in _values(record, number)])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.list_(pa.int64()))], names=["key", "v", "id", "at"])
+
+    picked = df.select(F.col(key).alias("key"), rank[F.col(version)].alias("v"), F.col(id_).alias("id"), F.col(text).alias("text")).where(F.col("key").isNotNull() & F.col("v").between(first, last))
+    kinds = picked.schema
+    values = picked.mapInArrow(read, f"key {kinds['key'].dataType.simpleString()}, v int, id {kinds['id'].dataType.simpleString()}, at array<long>")
+    newest = values.groupBy("key", "v").agg(F.max_by("at", "id").alias("at"))
+    per_key = newest.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("v", "at"))).alias("w")).where("size(w) > 1")
+    pair = lambda i: F.struct(F.element_at("w", i).alias("a"), F.element_at("w", i + 1).alias("b"))
+    pairs = per_key.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), pair)).alias("p")).select("p.a.v", F.col("p.a.at").alias("old"), F.col("p.b.v").alias("upto"), F.col("p.b.at").alias("new"))
+    steps = [(names, order[v], {number[p]: p for p in gone}, {number[p]: p for p in come}) for v, (gone, come) in wanted.items() for names in [v]]
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
         same: Counter = Counter()
         for b in batches:
-            for v0, v1, t0, t1 in zip(*(b.column(i).to_pylist() for i in range(4))):
-                steps = [names[i] for i in range(v0 + 1, v1 + 1) if names[i] in wanted]
-                if not steps or (r0 := read_record(t0)) is None or (r1 := read_record(t1)) is None:
-                    continue
-                old, new = _values(r0), _values(r1)
-                for s in steps:
-                    gone, come = wanted[s]
-                    for p in gone:
-                        if p in old:
-                            for q in come:
-                                if q in new:
-                                    n[s, p, q] += 1
-                                    same[s, p, q] += old[p] == new[q]
+            for v0, old, v1, new in zip(*(c.to_pylist() for c in b.columns)):
+                old, new = ({x >> 48: x & (1 << 48) - 1 for x in side or ()} for side in (old, new))
+                for name, at, gone, come in steps:
+                    if v0 < at <= v1:
+                        for p in gone.keys() & old.keys():
+                            for q in come.keys() & new.keys():
+                                n[name, gone[p], come[q]] += 1
+                                same[name, gone[p], come[q]] += old[p] == new[q]
         keys = list(n)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[i] for k in keys], pa.string()) for i in range(3)] + [pa.array([c[k] for k in keys], pa.int64()) for c in (n, same)],
             names=["version", "old_path", "new_path", "n_both", "n_equal"],
         )
 
-    votes = both.select("v0", "v1", "t0", "t1").mapInArrow(run, schema)
-    return votes.groupBy("version", "old_path", "new_path").agg(F.sum("n_both").alias("n_both"), F.sum("n_equal").alias("n_equal"))
+    return pairs.mapInArrow(vote, schema).groupBy("version", "old_path", "new_path").agg(F.sum("n_both").alias("n_both"), F.sum("n_equal").alias("n_equal"))
 
 
-def _values(record: dict) -> dict[str, tuple[str, ...]]:
-    out: dict[str, list[str]] = defaultdict(list)
+def _values(record: dict, wanted) -> list[tuple[str, bytes]]:
+    """(path, its values as bytes, each by its length) of the wanted paths."""
+    out: dict[str, list[str]] = {}
     for p, x in leaves(record):
-        out[p].append(_text(x))
-    return {p: tuple(x) for p, x in out.items()}
+        if p in wanted:
+            out.setdefault(p, []).append(_text(x))
+    return [(p, "".join(f"{len(x)}:{x}" for x in xs).encode("utf-8", "surrogatepass")) for p, xs in out.items()]
 
 
 def renames(votes: Iterable) -> dict[tuple[str, str], str]:
@@ -215,7 +232,7 @@ def renames(votes: Iterable) -> dict[tuple[str, str], str]:
 
 
 def study(df: DataFrame, id_: str, key: str, version: str, text: str) -> tuple[Layouts, dict[tuple[str, str], str]]:
-    layouts = Layouts.of(profile(df, version, text).collect())  # as many rows as the schema has paths, versions and kinds
+    layouts = Layouts.of(layout_paths(profile(df, version, text)).collect())  # as many rows as the layouts have paths: paths held by few records stay behind
     return layouts, renames(rename_votes(df, id_, key, version, text, layouts).collect())
 
 
