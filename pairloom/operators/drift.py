@@ -172,19 +172,21 @@ def rename_votes(df: DataFrame, id_: str, key: str, version: str, text: str, lay
     rank = F.create_map(*[F.lit(x) for v, i in order.items() for x in (v, i)])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        picks = Picks(number)
         for b in batches:
             out = []
             for t in b.column(3).to_pylist():
                 record = read_record(t)
                 # 16 bits of the path's number, 48 of the values' hash
-                out.append(None if record is None else [number[p] << 48 | zlib.crc32(x) << 16 | zlib.adler32(x) & 0xFFFF for p, x in _values(record, number)])
+                out.append(None if record is None else [p << 48 | zlib.crc32(x) << 16 | zlib.adler32(x) & 0xFFFF for p, x in picks.of(record)])
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.list_(pa.int64()))], names=["key", "v", "id", "at"])
 
     picked = df.select(F.col(key).alias("key"), rank[F.col(version)].alias("v"), F.col(id_).alias("id"), F.col(text).alias("text")).where(F.col("key").isNotNull() & F.col("v").between(first, last))
     kinds = picked.schema
     values = picked.mapInArrow(read, f"key {kinds['key'].dataType.simpleString()}, v int, id {kinds['id'].dataType.simpleString()}, at array<long>")
-    newest = values.groupBy("key", "v").agg(F.max_by("at", "id").alias("at"))
-    per_key = newest.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("v", "at"))).alias("w")).where("size(w) > 1")
+    # one aggregate by key with a place for every version
+    newest = [F.max_by(F.struct(F.lit(i).alias("v"), "at"), F.when(F.col("v") == i, F.col("id"))).alias(f"w{i}") for i in range(first, last + 1)]
+    per_key = values.groupBy("key").agg(*newest).select(F.array_compact(F.array(*[f"w{i}" for i in range(first, last + 1)])).alias("w")).where("size(w) > 1")
     pair = lambda i: F.struct(F.element_at("w", i).alias("a"), F.element_at("w", i + 1).alias("b"))
     pairs = per_key.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 1), pair)).alias("p")).select("p.a.v", F.col("p.a.at").alias("old"), F.col("p.b.v").alias("upto"), F.col("p.b.at").alias("new"))
     steps = [(names, order[v], {number[p]: p for p in gone}, {number[p]: p for p in come}) for v, (gone, come) in wanted.items() for names in [v]]
@@ -210,13 +212,43 @@ def rename_votes(df: DataFrame, id_: str, key: str, version: str, text: str, lay
     return pairs.mapInArrow(vote, schema).groupBy("version", "old_path", "new_path").agg(F.sum("n_both").alias("n_both"), F.sum("n_equal").alias("n_equal"))
 
 
-def _values(record: dict, wanted) -> list[tuple[str, bytes]]:
-    """(path, its values as bytes, each by its length) of the wanted paths."""
-    out: dict[str, list[str]] = {}
-    for p, x in leaves(record):
-        if p in wanted:
-            out.setdefault(p, []).append(_text(x))
-    return [(p, "".join(f"{len(x)}:{x}" for x in xs).encode("utf-8", "surrogatepass")) for p, xs in out.items()]
+class Picks:
+    """The values at some paths of records, as ``leaves`` gives them, without a look at what leads to none of them."""
+
+    def __init__(self, number: dict[str, int]):
+        self.number, self.memo = number, {}
+
+    def _about(self, base: str, name: str) -> tuple[str, int | None, bool, bool] | None:
+        path = f"{base}.{name}" if base else name
+        at, below, items = self.number.get(path), any(p.startswith(path + ".") for p in self.number), any(p.startswith(path + "[].") for p in self.number)
+        return (path, at, below, items) if at is not None or below or items else None
+
+    def of(self, record: dict) -> list[tuple[int, bytes]]:
+        """(the path's number, its values in order as bytes, each by its length)."""
+        memo, out, todo = self.memo, {}, [(record, "")]
+        if len(memo) > HELD:
+            memo.clear()
+        while todo:
+            node, base = todo.pop()
+            inside = []
+            for name, x in node.items():
+                try:
+                    about = memo[base, name]
+                except KeyError:
+                    about = memo[base, name] = self._about(base, name)
+                if about is None or x is None:
+                    continue
+                path, at, below, items = about
+                if type(x) is dict:
+                    if below:
+                        inside.append((x, path))
+                elif type(x) is list and any(type(y) is dict for y in x):
+                    if items:
+                        inside.extend([(y, path + "[]") for y in x if type(y) is dict])
+                elif at is not None and x != []:
+                    out.setdefault(at, []).append(_text(x))
+            todo.extend(reversed(inside))
+        return [(p, "".join(f"{len(x)}:{x}" for x in xs).encode("utf-8", "surrogatepass")) for p, xs in out.items()]
 
 
 def renames(votes: Iterable) -> dict[tuple[str, str], str]:

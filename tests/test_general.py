@@ -94,6 +94,16 @@ def test_no_rows(spark):
     assert drift.consolidate(df, "row_id", "version", "meta", layouts, renamed).count() == 0
 
 
+def test_picks_are_leaves():
+    r = {"a": [{"b": [{"c": 1}, {"c": [2]}, None], "d": "x"}, {"b": [{"c": "3"}]}, 5], "a.e": 1, "f": {"g": [], "h": None, "i": {}}, "a[]": {"d": "y"}, "k": [1, 2]}
+    for paths in (["a[].b[].c"], ["a[].d", "k"], ["a.e", "f.g", "f.h", "none"], ["a[].b[].c", "a[].d", "a.e", "k"]):
+        want = {}
+        for p, x in leaves(r):
+            if p in paths:
+                want.setdefault(paths.index(p), []).append(drift._text(x))
+        assert dict(drift.Picks({p: i for i, p in enumerate(paths)}).of(r)) == {i: "".join(f"{len(x)}:{x}" for x in xs).encode() for i, xs in want.items()}
+
+
 def test_promotion():
     assert drift.promote(["boolean", "number"]) == "number" and drift.promote(["array", "string"]) == "array"
 
