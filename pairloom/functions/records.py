@@ -213,13 +213,15 @@ def record_text(text: str | Column) -> Column:
     return F.when(quoted(t), F.aggregate(F.sequence(F.lit(1), F.lit(_LAYERS)), t, lambda x, _: inner(x))).otherwise(t)
 
 
-def object_variant(text: str | Column) -> Column:
+def object_variant(text: str | Column, wrapped: bool = True) -> Column:
     """The readable record in a text column as a variant, natively; null if it is no object or unreadable.
 
     Valid JSON that begins with a brace is an object, which is cheaper to see than from the variant's schema. JSON
-    strings are opened layer by layer, as many as a text can have. A variant holds at most 1,000 levels of nesting and
+    strings are opened layer by layer, as many as a text can have, unless ``wrapped`` is false. A variant holds at most 1,000 levels of nesting and
     16 MB (Spark's own limits); ``read_record`` has none.
     """
     t = F.col(text) if isinstance(text, str) else text
     parsed = lambda x: F.when(x.rlike(r"^\s*\{"), F.try_parse_json(x))
+    if not wrapped:
+        return parsed(t)
     return F.when(t.rlike(r'^\s*"'), F.get(F.transform(F.array(record_text(t)), parsed), F.lit(0))).otherwise(parsed(t))

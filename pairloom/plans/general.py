@@ -83,7 +83,7 @@ RECORD_BYTES = 320
 
 def file_keys(files: DataFrame) -> DataFrame:
     """file_id, key: the key of every view in the readable bodies (JSON objects)."""
-    views = files.select(F.concat(F.lit("file:"), F.col("file_id").cast("string")).alias("file_id"), object_variant("body").alias("v")).where("v is not null")
+    views = files.select(F.concat(F.lit("file:"), F.col("file_id").cast("string")).alias("file_id"), object_variant("body", wrapped=False).alias("v")).where("v is not null")
     get = lambda path, kind: F.try_variant_get("v", path, kind)
     lone = F.when(F.schema_of_variant(F.variant_get("v", "$.views", "variant")).startswith("OBJECT"), F.array(F.variant_get("v", "$.views", "variant")))
     each = views.select("file_id", get("$.job_id", "string").alias("job"), get("$.edit.op", "string").alias("op"), F.explode(F.coalesce(get("$.views", "array<variant>"), lone)).alias("view"))
@@ -92,20 +92,29 @@ def file_keys(files: DataFrame) -> DataFrame:
     return each.select("file_id", F.concat(F.col("job"), F.coalesce(F.concat(F.lit("_"), op), F.lit("")), F.lit("_v"), number).alias("key")).where("key is not null")
 
 
-def _compacted(spark: SparkSession, d: str) -> DataFrame:
+def _compacted(spark: SparkSession, d: str, planned: DataFrame | None = None) -> DataFrame:
     files, samples = table(spark, d, "sample_files"), table(spark, d, "samples")
     shards = samples.select("key", spelling.shard("shard_path").alias("s")).where("s is not null").select("key", F.concat(F.lit("shard:"), "s").alias("file_id"))
     inputs = file_keys(files).withColumn("packed", F.lit(False)).unionByName(shards.withColumn("packed", F.lit(True)))
+    return compaction.compact(inputs, _planned(spark, d) if planned is None else planned)
+
+
+def _planned(spark: SparkSession, d: str) -> DataFrame:
+    """The merges of all sample.json files and packed shards."""
+    files, samples = table(spark, d, "sample_files"), table(spark, d, "samples")
     sizes = files.select(F.concat(F.lit("file:"), F.col("file_id").cast("string")).alias("file_id"), F.coalesce(F.octet_length("body"), F.lit(0)).cast("long").alias("n_bytes"))
+    shards = samples.select(F.concat(F.lit("shard:"), spelling.shard("shard_path")).alias("file_id")).where("file_id is not null")
     packed = shards.groupBy("file_id").agg((F.count("*") * RECORD_BYTES).alias("n_bytes"))
-    journal = compaction.plan(sizes.unionByName(packed), SMALLEST, TARGET, FAN_IN)
-    return compaction.compact(inputs, journal, compaction.levels(SMALLEST, TARGET, FAN_IN))
+    return compaction.plan(sizes.unionByName(packed), SMALLEST, TARGET, FAN_IN)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    """The landed records that earlier packing lost (in no shard) or doubled (in two or more), read off the compacted records."""
-    c = _compacted(spark, d).where("landed and n_shards <> 1")
-    return c.select("key", F.when(F.col("n_shards") == 0, "lost").otherwise("doubled").alias("fault"))
+    """The landed records that earlier packing lost (in no shard) or doubled (in two or more), by what the merges saw of them."""
+    return faults(_compacted(spark, d))
+
+
+def faults(compacted: DataFrame) -> DataFrame:
+    return compacted.where("landed and n_shards <> 1").select("key", F.when(F.col("n_shards") == 0, "lost").otherwise("doubled").alias("fault"))
 
 
 def p5_compacted(spark: SparkSession, d: str) -> DataFrame:

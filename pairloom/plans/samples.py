@@ -183,7 +183,7 @@ json_extract_string(v, '$.before') AS before, json_extract_string(v, '$.after')
 
 def landed_views(spark: SparkSession, d: str) -> DataFrame:
     """file_id, folder, key, before, after of every view in the readable landed records."""
-    v = table(spark, d, "sample_files").select("file_id", "file_path", object_variant("body").alias("j")).where("j is not null")
+    v = table(spark, d, "sample_files").select("file_id", "file_path", object_variant("body", wrapped=False).alias("j")).where("j is not null")
     e = v.select("file_id", "file_path", "j", F.explode(F.try_variant_get("j", "$.views", "array<variant>")).alias("v"))
     op = F.nullif(F.replace(F.try_variant_get("j", "$.edit.op", "string"), F.lit("object_"), F.lit("")), F.lit(""))
     key = F.concat(F.try_variant_get("j", "$.job_id", "string"), F.coalesce(F.concat(F.lit("_"), op), F.lit("")), F.lit("_v"), F.try_variant_get("v", "$.view", "string"))

@@ -2,6 +2,7 @@
 
 import json
 import random
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,11 +140,21 @@ def _files(spark, n, start=0):
 
 def test_plan_loses_nothing(spark):
     files = _files(spark, 200)
-    n = compaction.levels(512, 8192, 4)
-    j = compaction.plan(files, 512, 8192, 4)
-    again = compaction.plan(files, 512, 8192, 4)
-    assert sorted(map(repr, j.collect())) == sorted(map(repr, again.collect()))
-    where = {r.file_id: r.output_id for r in compaction.final_outputs(j, n).collect()}
+    planned = compaction.plan(files, 512, 8192, 4)
+    again = compaction.plan(files.repartition(5), 512, 8192, 4)
+    assert sorted(map(repr, planned.collect())) == sorted(map(repr, again.collect()))
+    where = {r.file_id: r.output_id for r in planned.collect()}
+    # the journal leads every file to the same output, and tells the bytes of every merge
+    at, size = {f: f for f in where}, {r.file_id: r.n_bytes for r in files.collect()}
+    for level in range(compaction.levels(512, 8192, 4)):
+        step = [r for r in compaction.journal(planned).where(f"level = {level}").collect()]
+        to = {r.input_id: r.output_id for r in step}
+        assert len(to) == len(step) and set(to) <= set(size)
+        for o in set(to.values()):
+            size[o] = sum(size[i] for i in to if to[i] == o)
+            assert all(r.n_bytes == size[o] for r in step if r.output_id == o)
+        at = {f: to.get(o, o) for f, o in at.items()}
+    assert at == where
     size = {r.file_id: r.n_bytes for r in files.collect()}
     out: dict = {}
     for f, b in size.items():
@@ -156,11 +167,47 @@ def test_plan_loses_nothing(spark):
 def test_compact_once(spark, rows):
     inputs = spark.createDataFrame([("a", "1", False), ("a", "s1", True), ("b", "1", False), ("b", "s1", True), ("b", "s2", True), ("b", "s2", True), ("c", "2", False), (None, "2", False), ("d", "s1", True)], "key string, file_id string, packed boolean")
     files = spark.createDataFrame([("1", 10), ("2", 20), ("s1", 30), ("s2", None)], "file_id string, n_bytes long")
-    c = compaction.compact(inputs, compaction.plan(files, 512, 1024, 4), 1)
+    planned = compaction.plan(files, 512, 1024, 4)
+    c = compaction.compact(inputs, planned)
+    assert compaction.compact(inputs, planned.limit(0)).count() == 0
     assert rows(c.select("key", "n_shards", "landed")) == [("a", 1, True), ("b", 2, True), ("c", 0, True), ("d", 1, False)]
     assert c.select("output_id").distinct().count() == 1
 
 
+def test_many_empty_files(spark):
+    files = spark.range(5000).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("file_id"), F.lit(None).cast("long").alias("n_bytes"))
+    planned = compaction.plan(files, 512, 8192, 4)
+    inputs = compaction.journal(planned).groupBy("merge_id").count().agg(F.max("count"), F.sum("count")).first()
+    assert inputs[0] <= compaction.MOST_INPUTS + 1 and planned.select("output_id").distinct().count() < 50
+
+
+def test_a_run_that_dies_before_its_journal(spark, tmp_path, monkeypatch):
+    def records(lo, hi):
+        return spark.createDataFrame([(f"f{i}", f"k{i}") for i in range(lo, hi)], "file_id string, key string")
+
+    root = f"file://{tmp_path}"
+    c = compaction.Compactor(spark, root, 512, 8192, 4)
+    c.run(_files(spark, 60), records(0, 60))
+    shutil.rmtree(tmp_path / "journal")  # the data is there, the journal is lost; then new files come
+    assert c.journal() is None
+    c.run(_files(spark, 60).unionByName(_files(spark, 20, 60)), records(0, 80))
+    keys = [r.key for r in c.data().collect()]
+    assert sorted(keys) == sorted(f"k{i}" for i in range(80))
+    assert len(list((tmp_path / "data").glob("run=*"))) == 1
+    # a journal cut off half-way is none
+    c.run(_files(spark, 10, 80), records(80, 90))
+    newest = max((tmp_path / "journal").glob("run=*"), key=lambda p: p.stat().st_mtime)
+    (newest / "_SUCCESS").unlink()
+    c.run(_files(spark, 12, 80), records(80, 92))
+    assert sorted(r.key for r in c.data().collect()) == sorted(f"k{i}" for i in range(92))
+
+
+def test_faults_come_from_the_merges(spark, sf, rows):
+    planned = general._planned(spark, sf)
+    assert rows(general.faults(general._compacted(spark, sf, planned))) == rows(general.p5_found(spark, sf)) != []
+    assert general.faults(general._compacted(spark, sf, planned.limit(0))).count() == 0
+
+
 def test_compactor_is_idempotent(spark, tmp_path):
     def records(lo, hi):
         return spark.createDataFrame([(f"f{i}", f"k{i % 150}") for i in range(lo, hi)], "file_id string, key string")
