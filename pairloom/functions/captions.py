@@ -146,3 +146,44 @@ def provider(name: str = "stub"):
     if name not in PROVIDERS:
         raise ValueError(f"unknown caption provider {name}; there are: {', '.join(PROVIDERS)}")
     return PROVIDERS[name]
+
+
+# The words of the request for a caption: what the model is told, and hints by language, style and operation.
+TOLD = (
+    "You write a single natural image-editing instruction. You are given a BEFORE and AFTER image plus objective facts about the one edit between them. Output ONE sentence only, "
+    "no explanation. Never contradict the facts (subject, operation, direction, bigger/smaller, rotation degrees & clockwise/counterclockwise, scale factor)."
+)
+ASKED = (
+    "Refer to the subject unambiguously. If a numeric magnitude is given AND flagged round (factor_round / angle_round), you may quote it (e.g. 1.5×, 90°); otherwise stay qualitative. "
+    "Output only the instruction sentence."
+)
+LANGUAGE_HINTS = {"zh": "用中文", "en": "in English"}
+STYLE_HINTS = {
+    "direct": "a short imperative command",
+    "spatial": "grounded in where things are (use landmarks / support surfaces)",
+    "intent": 'phrased as a wish or preference ("I don\'t want...", "I\'d like...")',
+    "goal": 'phrased as a desired outcome ("clear the table", "make it tidy")',
+    "casual": "loose, conversational, like texting a friend",
+}
+OPERATION_HINTS = {
+    "object_delete": "The subject is removed. Do NOT ask to add anything.",
+    "object_add": "A new object is added. Ground it on its support surface.",
+    "object_move": "The subject moves. Keep the direction consistent with the facts.",
+    "object_scale": "The subject is resized. Keep bigger/smaller consistent with the facts.",
+    "object_rotate": "The subject is rotated. You MAY name which face shows (front/back/side) from the images, but keep it consistent with view_change.",
+    "object_replace": "The subject is replaced by a different object.",
+}
+
+
+def messages(facts: Column, op: Column, style: Column, lang: Column, before: Column, after: Column) -> Column:
+    """The request for a caption as JSON: what the model is told, the facts (JSON) with their hints, and the images that there are."""
+    hint = lambda words, x, none: F.coalesce(_lookup(words, x), F.lit(none))
+    text_ = F.concat(
+        F.lit("Edit facts: "), facts, F.lit("\nLanguage: write "), hint(LANGUAGE_HINTS, lang, LANGUAGE_HINTS["en"]), F.lit(".\nStyle: write "), hint(STYLE_HINTS, style, "a natural instruction"),
+        F.lit(".\nOperation note: "), hint(OPERATION_HINTS, op, ""), F.lit("\n" + ASKED),
+    )
+    part = lambda kind, said, path, label: F.struct(F.lit(kind).alias("type"), said.cast("string").alias("text"), path.cast("string").alias("path"), label.cast("string").alias("label"))
+    none = F.lit(None)
+    image = lambda path, label: F.when(path.isNotNull(), part("image", none, path, F.lit(label)))
+    parts = F.array_compact(F.array(part("text", text_, none, none), image(before, "before"), image(after, "after")))
+    return F.concat(F.lit("["), F.to_json(F.struct(F.lit("system").alias("role"), F.lit(TOLD).alias("content"))), F.lit(","), F.to_json(F.struct(F.lit("user").alias("role"), parts.alias("content"))), F.lit("]"))

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -56,3 +56,10 @@ def ledger(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     o = old.select(key).distinct().withColumn("__pl_old", F.lit(True))
     n = new.select(key).distinct()
     return o.join(n, key, "full").where(F.col(key).isNotNull()).select(key, F.col("__pl_old").isNull().alias("is_new"))
+
+
+def batches(used: DataFrame, key: str, batch: str) -> DataFrame:
+    """batch, new_uids, all_uids: how many keys each batch used first, and how many all up to it; null keys and batches don't count."""
+    first = used.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(batch).alias(batch)).where(F.col(batch).isNotNull())
+    new = first.groupBy(batch).agg(F.count("*").alias("new_uids"))
+    return new.withColumn("all_uids", F.sum("new_uids").over(Window.orderBy(batch)))  # a row per batch

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,7 @@ from pairloom.operators import sampling
 from pairloom.operators.rank import md5_uniform
 from pairloom.plans.registry import query, record_sql
 from pairloom.session import table
+from pairloom.streaming import tasks
 
 _META = record_sql("meta")
 _REC = f"(SELECT row_id, instruction, {_META} AS j FROM samples)"
@@ -200,13 +205,23 @@ def caption_fallback(spark: SparkSession, d: str) -> DataFrame:
     return _captioned(spark, d).select("row_id", pick("caption", F.col("base_instruction")).alias("caption"), pick("style", F.lit("direct")).alias("caption_style"), pick("lang", F.lit("en")).alias("caption_lang"), F.when(ok, "stub").otherwise("fallback_base").alias("provider"), ok.alias("verified"))
 
 
-@query("""SELECT row_id, '[{"role":"system","content":"' || lang || '"},{"role":"user","content":"' || style || '"}]' AS messages FROM (SELECT row_id, CASE WHEN row_id % 7 < 4 THEN 'zh' ELSE 'en' END AS lang, ['direct', 'spatial', 'intent', 'goal', 'casual'][row_id % 5 + 1] AS style FROM samples)""")
+_HINT = "coalesce({0}, {1})"
+
+
+@query(f"""WITH f AS (SELECT row_id, json_extract_string(j, '$.edit.op') AS op, coalesce(nullif(json_extract_string(j, '$.edit.noun'), ''), CASE WHEN json_extract_string(j, '$.edit.op') = 'object_replace' THEN json_extract_string(j, '$.edit.from.category') END) AS noun,
+ coalesce(instruction, '') AS said, CASE WHEN json_extract_string(j, '$.edit.op') = 'object_rotate' THEN json_extract_string(j, '$.edit.turn_direction') END AS turn, CASE WHEN row_id % 7 < 4 THEN 'zh' ELSE 'en' END AS lang, key, shard_path
+ FROM (SELECT *, {_META} AS j FROM samples) WHERE json_type(j) = 'OBJECT'), g AS (SELECT *, CASE WHEN op IN {tuple(captions.BLOCKED)} THEN list_filter({_STYLES_SQL}, lambda s: s <> 'goal') ELSE {_STYLES_SQL} END AS styles FROM f),
+h AS (SELECT *, styles[row_id % len(styles) + 1] AS style FROM g),
+t AS (SELECT *, 'Edit facts: ' || CAST(json_merge_patch('{{}}', to_json({{'op': op, 'noun': noun, 'base_instruction': said, 'turn_direction': turn}})) AS VARCHAR) || chr(10) || 'Language: write ' || {_case_sql('lang', captions.LANGUAGE_HINTS)} || '.' || chr(10) || 'Style: write ' || {_case_sql('style', captions.STYLE_HINTS)}
+ || '.' || chr(10) || 'Operation note: ' || coalesce({_case_sql('op', captions.OPERATION_HINTS)}, '') || chr(10) || {_quote(captions.ASKED)} AS text FROM h)
+SELECT row_id, '[{{"role":"system","content":' || CAST(to_json({_quote(captions.TOLD)}) AS VARCHAR) || '}},{{"role":"user","content":[{{"type":"text","text":' || CAST(to_json(text) AS VARCHAR) || '}}' || CASE WHEN shard_path IS NULL THEN '' ELSE
+ ',{{"type":"image","path":"' || key || '.before.png","label":"before"}},{{"type":"image","path":"' || key || '.after.png","label":"after"}}' END || ']}}]' AS messages FROM t""")
 def prompt_messages(spark: SparkSession, d: str) -> DataFrame:
-    """Messages for a caption model as JSON."""
-    style = F.element_at(F.array(*map(F.lit, captions.STYLES)), (F.col("row_id") % 5 + 1).cast("int"))
-    lang = F.when(F.col("row_id") % 7 < 4, "zh").otherwise("en")
-    message = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
-    return table(spark, d, "samples").select("row_id", F.to_json(F.array(message("system", lang), message("user", style))).alias("messages"))
+    """Requests to a caption model as JSON, with facts, hints and the images of packed samples."""
+    f = _styled(facts(spark, d)).join(table(spark, d, "samples").select("row_id", "key", "shard_path"), "row_id")
+    image = lambda side: F.when(F.col("shard_path").isNotNull(), F.concat("key", F.lit(f".{side}.png")))
+    told = F.to_json(F.struct("op", "noun", "base_instruction", "turn_direction"))
+    return f.select("row_id", captions.messages(told, F.col("op"), F.col("style"), F.col("lang"), image("before"), image("after")).alias("messages"))
 
 
 # ---- images: 64 values as 8 x 8 grey pixels, each pair an image and its successor
@@ -334,24 +349,56 @@ def op_deficit(spark: SparkSession, d: str) -> DataFrame:
     return sampling.deficit_sampling(s, "job_id", "row_id", [("object_move", 1.0), ("object_scale", 1.0), ("object_add", 0.0)], "op", seed=5, extra=0.05)
 
 
-@query(f"""SELECT i, format('job_{{:07d}}', i) AS job_id, 200 + i AS seed, CASE WHEN u < {round(0.6 * (1 << 32))} THEN 'hssd' ELSE 'front3d' END AS scene, CASE WHEN i % 3 = 0 THEN 'per_edit' ELSE 'per_scene' END AS granularity, i % 3 <> 0 AS amortised,
-format('job_{{:07d}}_p{{:02d}}', i, i % 12) AS pair_id FROM (SELECT i, {_U.format(seed=200, x='i')} AS u FROM (SELECT unnest(range(500)) AS i))""")
+#: A run as its configuration file has it.
+CONFIG = {
+    "run": {"base_seed": 200, "granularity": "amortized"},
+    "render": {"pairs_per_scene": 12},
+    "scenes": [{"name": "hssd", "weight": 0.6}, {"name": "front3d", "weight": 0.4}],
+    "object_sources": [{"provider": "objaverse", "weight": 3.0}, {"provider": "primitives", "weight": 1.0}],
+    "edits": {"sampling_weights": {"object_move": 2.0, "object_replace": 1.0, "object_delete": 1.0}, "params": {"object_move": {"subject_source": {"scene": 1}}}},
+    "ray": {"profile_by": "edit", "resources": {"default": {"num_cpus": 1}, "object_move": {"num_cpus": 2, "num_gpus": 1}}},
+}
+
+
+def job_table(jobs: DataFrame, index: str, config: Mapping[str, Any]) -> DataFrame:
+    """A job for each index: its id, seed, scene and object source by weight, operation, profile with its resources, and the edit parameters with the sources put in."""
+    i, run, seed = F.col(index), config["run"], config["run"]["base_seed"]
+    pick = lambda options, salt: sampling.weighted_pick(md5_uniform(i, seed + salt), options)
+    scene = pick([(x["name"], float(x.get("weight", 1.0))) for x in config["scenes"]], 0)
+    source = pick([(x["provider"], float(x.get("weight", 1.0))) for x in config.get("object_sources") or ()], 1)
+    op = pick([(k, float(w)) for k, w in config["edits"]["sampling_weights"].items()], 2)
+    amortised = run.get("granularity", "amortized") != "per_edit" and config["render"].get("pairs_per_scene", 1) > 1
+    ray = config.get("ray") or {}
+    profile = {"edit": op, "scene": scene}.get(ray.get("profile_by", "scene"), F.lit("default"))
+    edits = tasks.with_object_sources(config["edits"], config.get("object_sources"))
+    res = ray.get("resources") or {}
+    params = F.create_map(*[x for k in config["edits"]["sampling_weights"] for x in (F.lit(k), F.lit(json.dumps((edits.get("params") or {}).get(k) or {}, sort_keys=True)))])
+
+    def have(what: str, none: int):
+        """The resources of a profile, else of the default one, else none."""
+        named = [x for k, r in res.items() for x in (F.lit(k), F.lit(r.get(what, none)))]
+        return F.coalesce(F.create_map(*named)[F.col("profile")], F.lit((res.get("default") or {}).get(what, none))) if named else F.lit(none)
+
+    out = jobs.select(index, F.format_string("job_%07d", i).alias("job_id"), (i + seed).alias("seed"), scene.alias("scene"), source.alias("source"), op.alias("op"), F.lit(amortised).alias("amortised"),
+                      F.format_string("job_%07d_p%02d", i, i % config["render"].get("pairs_per_scene", 1)).alias("pair_id"), F.coalesce(F.nullif(profile, F.lit("")), F.lit("default")).alias("profile"))
+    return out.select("*", have("num_cpus", 1).alias("cpus"), have("num_gpus", 0).alias("gpus"), params[F.col("op")].alias("params"))
+
+
+def _weighted_sql(salt: int, options: list[tuple[str, float]]) -> str:
+    whole, upto, out = sum(w for _, w in options), 0.0, []
+    for k, w in options:
+        upto += w
+        out.append(f"WHEN {_U.format(seed=200 + salt, x='event_id')} < {round(upto / whole * (1 << 32))} THEN '{k}'")
+    return f"CASE {' '.join(out)} END"
+
+
+@query(f"""SELECT *, CASE profile WHEN 'object_move' THEN 2 ELSE 1 END AS cpus, CASE profile WHEN 'object_move' THEN 1 ELSE 0 END AS gpus, CASE op WHEN 'object_delete' THEN '{{}}' WHEN 'object_replace' THEN
+'{{"provider": "composite", "provider_params": {{"sources": {json.dumps(CONFIG["object_sources"])}}}}}' ELSE '{{"spawn_params": {{"provider": "composite", "provider_params": {{"sources": {json.dumps(CONFIG["object_sources"])}}}}}, "subject_source": {{"scene": 1}}}}' END AS params
+FROM (SELECT event_id, format('job_{{:07d}}', event_id) AS job_id, 200 + event_id AS seed, {_weighted_sql(0, [('hssd', 0.6), ('front3d', 0.4)])} AS scene, {_weighted_sql(1, [('objaverse', 3.0), ('primitives', 1.0)])} AS source,
+ {_weighted_sql(2, [('object_move', 2.0), ('object_replace', 1.0), ('object_delete', 1.0)])} AS op, true AS amortised, format('job_{{:07d}}_p{{:02d}}', event_id, event_id % 12) AS pair_id, {_weighted_sql(2, [('object_move', 2.0), ('object_replace', 1.0), ('object_delete', 1.0)])} AS profile FROM events)""")
 def job_specs(spark: SparkSession, d: str) -> DataFrame:
-    """Job specs expanded from a configuration: id, seed, weighted scene, whether several pairs share a scene."""
-    i = F.col("i")
-    scene = sampling.weighted_pick(md5_uniform(i, 200), [("hssd", 0.6), ("front3d", 0.4)])
-    return spark.range(500).withColumnRenamed("id", "i").select("i", F.format_string("job_%07d", i).alias("job_id"), (i + 200).alias("seed"), scene.alias("scene"), F.when(i % 3 == 0, "per_edit").otherwise("per_scene").alias("granularity"), (i % 3 != 0).alias("amortised"), F.format_string("job_%07d_p%02d", i, i % 12).alias("pair_id"))
-
-
-@query("""SELECT event_id, CASE event_type WHEN 'click' THEN 'edit' WHEN 'view' THEN 'scene' ELSE 'default' END AS profile, CASE event_type WHEN 'click' THEN 2 ELSE 1 END AS cpus, CASE event_type WHEN 'click' THEN 1 ELSE 0 END AS gpus FROM events""")
-def resource_profile(spark: SparkSession, d: str) -> DataFrame:
-    """The resources of a task by its profile, then the default's, then one core."""
-    p = F.when(F.col("event_type") == "click", "edit").when(F.col("event_type") == "view", "scene").otherwise("default")
-    cpus = F.create_map(F.lit("edit"), F.lit(2))
-    gpus = F.create_map(F.lit("edit"), F.lit(1))
-    e = table(spark, d, "events").select("event_id", p.alias("profile"))
-    at = lambda m, none: F.coalesce(m[F.col("profile")], m[F.lit("default")], F.lit(none))
-    return e.select("event_id", "profile", at(cpus, 1).alias("cpus"), at(gpus, 0).alias("gpus"))
+    """Job specs from a configuration, one for each event's number."""
+    return job_table(table(spark, d, "events").select("event_id"), "event_id", CONFIG)
 
 
 @query("""SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS said, CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events""")
@@ -366,16 +413,22 @@ def _pick_sql(case: str, n: int) -> str:
     return f"[{options}][{_U.format(seed=3, x='row_id')} % {n} + 1]"
 
 
-@query(f"""SELECT row_id, replace(replace(replace(replace(p, '{{ref}}', coalesce(nullif(n, ''), 'object')), '{{noun}}', coalesce(nullif(n, ''), 'object')), '{{to}}', 'vase'), '{{support}}', 'desk') AS said FROM (
-SELECT row_id, subject_category AS n, CASE WHEN edit_op = 'object_delete' THEN {_pick_sql('object_delete', 3)} WHEN edit_op = 'object_add' AND row_id % 2 = 0 THEN {_pick_sql('object_add on a support', 3)}
-WHEN edit_op = 'object_add' THEN {_pick_sql('object_add', 3)} WHEN edit_op = 'object_replace' AND subject_category = 'vase' THEN {_pick_sql('object_replace by the same noun', 3)} WHEN edit_op = 'object_replace' THEN {_pick_sql('object_replace', 3)}
-WHEN edit_op = 'object_rotate' THEN {_pick_sql('object_rotate', 2)} WHEN edit_op = 'object_scale' AND change_ratio >= 0.1 THEN {_pick_sql('object_scale up', 2)} WHEN edit_op = 'object_scale' THEN {_pick_sql('object_scale down', 2)} END AS p
-FROM samples WHERE edit_op <> 'object_move')""")
+_PHRASE_SQL = """CASE WHEN len(words) = 0 THEN 'slightly' WHEN len(list_filter(words, lambda w: w IN ('left', 'right', 'up', 'down'))) = len(words) THEN 'to the ' || array_to_string(list_reverse(words), ' ')
+ELSE array_to_string([CASE w WHEN 'closer' THEN 'closer to the camera' WHEN 'farther' THEN 'away from the camera' ELSE w END for w in words], ', ') END"""
+
+
+@query(f"""SELECT row_id, replace(replace(replace(replace(replace(p, '{{ref}}', coalesce(nullif(n, ''), 'object')), '{{noun}}', coalesce(nullif(n, ''), 'object')), '{{to}}', 'vase'), '{{support}}', 'desk'), '{{phrase}}', {_PHRASE_SQL}) AS said FROM (
+SELECT row_id, n, words, CASE WHEN op = 'object_move' THEN 'move the {{ref}} {{phrase}}' WHEN op = 'object_delete' THEN {_pick_sql('object_delete', 3)} WHEN op = 'object_add' AND row_id % 2 = 0 THEN {_pick_sql('object_add on a support', 3)}
+WHEN op = 'object_add' THEN {_pick_sql('object_add', 3)} WHEN op = 'object_replace' AND n = 'vase' THEN {_pick_sql('object_replace by the same noun', 3)} WHEN op = 'object_replace' THEN {_pick_sql('object_replace', 3)}
+WHEN op = 'object_rotate' THEN {_pick_sql('object_rotate', 2)} WHEN op = 'object_scale' AND change_ratio >= 0.1 THEN {_pick_sql('object_scale up', 2)} WHEN op = 'object_scale' THEN {_pick_sql('object_scale down', 2)} END AS p
+FROM (SELECT row_id, subject_category AS n, change_ratio, {_OP_SQL} AS op, coalesce({_WORDS_SQL}, []) AS words FROM (SELECT *, {_META} AS j FROM samples)))""")
 def instruction_templates(spark: SparkSession, d: str) -> DataFrame:
-    """Base instructions from patterns, chosen by hash."""
-    s = table(spark, d, "samples").where("edit_op <> 'object_move'")
+    """Base instructions of every operation from patterns, chosen by hash; moves by their directions."""
+    get = lambda k: F.try_variant_get("v", "$.edit.semantic_direction", k)
+    s = table(spark, d, "samples").select("row_id", spelling.edit_op("edit_op").alias("op"), F.col("subject_category").alias("n"), "change_ratio", object_variant("meta").alias("v"))
+    words = F.coalesce(get("array<string>"), F.split(get("string"), r"[,\s]+"), F.array().cast("array<string>"))
     support = F.when(F.col("row_id") % 2 == 0, "desk")
-    said = instructions.instruction(F.col("edit_op"), md5_uniform(F.col("row_id"), 3), ref=F.col("subject_category"), noun=F.col("subject_category"), to=F.lit("vase"), support=support, factor=F.when(F.col("change_ratio") >= 0.1, 1.5).otherwise(0.5))
+    said = instructions.instruction(F.col("op"), md5_uniform(F.col("row_id"), 3), ref=F.col("n"), noun=F.col("n"), to=F.lit("vase"), support=support, phrase=geometry.direction_phrase(words), factor=F.when(F.col("change_ratio") >= 0.1, 1.5).otherwise(0.5))
     return s.select("row_id", said.alias("said"))
 
 

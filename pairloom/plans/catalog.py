@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairloom.plans import captions, flows, general, objects, registry, samples  # noqa: F401  (listing happens on import)
+from pairloom.plans import captions, files, flows, general, objects, registry, samples  # noqa: F401  (listing happens on import)
 
 QUERIES = dict(registry.QUERIES) | dict(general.QUERIES)
 ORACLES: dict[str, str] = dict(registry.ORACLES) | general.ORACLES

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from pairloom.functions import spelling
 from pairloom.functions.records import object_variant
 from pairloom.operators.rank import current_rows
 from pairloom.plans.registry import query, record_sql
-from pairloom.session import shared_dir, table
+from pairloom.session import table, through_folder
 from pairloom.sources import scans, sinks
 from pairloom.streaming import events as ev
 from pairloom.streaming import tasks
@@ -115,10 +113,6 @@ def ext_session(spark: SparkSession, d: str) -> DataFrame:
     return ev.collect_stream(ev.sessions(ev.event_stream(spark, d)), "complete")
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 _NOW = "(SELECT * FROM samples QUALIFY row_number() OVER (PARTITION BY key ORDER BY row_id DESC) = 1)"
 
 
@@ -126,47 +120,65 @@ _NOW = "(SELECT * FROM samples QUALIFY row_number() OVER (PARTITION BY key ORDER
 def tar_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Current samples packed into tar shards, and the statistics read off the shards."""
     now = current_rows(table(spark, d, "samples"), "key", "row_id", ["edit_op"])
-    at = _folder(spark, "tar")
-    packed = sinks.pack(now.select("key", F.to_json(F.struct("key", "edit_op")).alias("body")), "key", "body", at)
-    packed.write.mode("overwrite").parquet(f"{at}-keys")  # runs the packing once
-    return scans.tar_members(spark, at).groupBy(F.coalesce(F.get_json_object("body", "$.edit_op"), F.lit("?")).alias("op")).agg(F.count("*").alias("n"))
+
+    def use(at: str) -> DataFrame:
+        packed = sinks.pack(now.select("key", F.to_json(F.struct("key", "edit_op")).alias("body")), "key", "body", f"{at}/shards")
+        packed.write.mode("overwrite").parquet(f"{at}/keys")  # runs the packing once
+        return scans.tar_members(spark, f"{at}/shards").groupBy(F.coalesce(F.get_json_object("body", "$.edit_op"), F.lit("?")).alias("op")).agg(F.count("*").alias("n"))
+
+    return through_folder(spark, "tar", use)
 
 
 @query(f"SELECT CASE WHEN row_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split, count(*) AS n, CAST(sum(row_id) AS BIGINT) AS rows_sum FROM samples GROUP BY 1")
 def split_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Splits written as Parquet and told by their names when read."""
-    at = _folder(spark, "splits")
-    s = table(spark, d, "samples").select("row_id", "key", F.when(F.col("row_id") % 10 == 0, "validation").otherwise("train").alias("split"))
-    sinks.save_splits(s, at)
-    return scans.splits(spark, at).groupBy("split").agg(F.count("*").alias("n"), F.sum("row_id").alias("rows_sum"))
+
+    def use(at: str) -> DataFrame:
+        s = table(spark, d, "samples").select("row_id", "key", F.when(F.col("row_id") % 10 == 0, "validation").otherwise("train").alias("split"))
+        sinks.save_splits(s, at)
+        return scans.splits(spark, at).groupBy("split").agg(F.count("*").alias("n"), F.sum("row_id").alias("rows_sum"))
+
+    return through_folder(spark, "splits", use)
 
 
 @query("SELECT coalesce(nullif(regexp_replace(lower(trim(edit_op)), '^object[_ -]*', ''), ''), '?') AS op, count(*) AS n, CAST(sum(least(view + 1, 2)) AS BIGINT) AS n_pairs FROM samples GROUP BY 1")
 def pair_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """B1: pairs zipped to the shorter list, written as JSON by operation and read again."""
-    at = _folder(spark, "pairs")
-    s = table(spark, d, "samples")
-    names = lambda n: F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit("v"), i.cast("string")))
-    out = s.select("row_id", F.coalesce(F.replace(spelling.edit_op("edit_op"), F.lit("object_"), F.lit("")), F.lit("?")).alias("op"), sinks.paired(names(F.col("view") + 1), names(F.lit(2))).alias("views"))
-    sinks.write_pairs(out, at)
-    read = spark.read.schema("row_id long, views array<struct<before string, after string>>, op string").json(at)
-    return read.groupBy("op").agg(F.count("*").alias("n"), F.sum(F.size("views")).alias("n_pairs"))
+
+    def use(at: str) -> DataFrame:
+        s = table(spark, d, "samples")
+        names = lambda n: F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit("v"), i.cast("string")))
+        out = s.select("row_id", F.coalesce(F.replace(spelling.edit_op("edit_op"), F.lit("object_"), F.lit("")), F.lit("?")).alias("op"), sinks.paired(names(F.col("view") + 1), names(F.lit(2))).alias("views"))
+        sinks.write_pairs(out, at)
+        read = spark.read.schema("row_id long, views array<struct<before string, after string>>, op string").json(at)
+        return read.groupBy("op").agg(F.count("*").alias("n"), F.sum(F.size("views")).alias("n_pairs"))
+
+    return through_folder(spark, "pairs", use)
 
 
 @query("""SELECT uid AS key, coalesce(nullif(trim(category), ''), 'object') AS category FROM assets""")
 def semantics_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """A table of semantics as CSV, read with its fallbacks."""
-    at = _folder(spark, "semantics")
-    table(spark, d, "assets").select("uid", F.col("category").alias("main_category"), F.lit("").alias("wnsynsetkey")).write.mode("overwrite").option("header", True).csv(at)
-    return scans.semantics(spark, at)
+    """A table of semantics as CSV, read with its fallbacks: every uid on two lines, of which the last counts, half of them named by the synset only."""
+    synset = F.substring(F.md5("uid"), 1, 1) < "8"
+    a = table(spark, d, "assets").select("uid", F.when(~synset, F.col("category")).alias("main_category"), F.when(synset, F.concat("category", F.lit(".n.01"))).alias("wnsynsetkey"), F.lit(1).alias("line"))
+    lines = a.unionByName(a.select("uid", F.lit("outdated").alias("main_category"), F.lit(None).cast("string").alias("wnsynsetkey"), F.lit(0).alias("line")))
+
+    def use(at: str) -> DataFrame:
+        lines.repartition(1).sortWithinPartitions("uid", "line").drop("line").write.option("header", True).csv(at)
+        return scans.semantics(spark, at)
+
+    return through_folder(spark, "semantics", use)
 
 
 @query("SELECT DISTINCT asset_uid AS uid FROM asset_usage WHERE asset_uid IS NOT NULL")
 def ledger_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """The ledger of used assets saved and loaded."""
-    at = _folder(spark, "ledger")
-    sinks.save_ledger(table(spark, d, "asset_usage").select(F.col("asset_uid").alias("uid")), at)
-    return spark.read.schema("uid string").json(at)
+
+    def use(at: str) -> DataFrame:
+        sinks.save_ledger(table(spark, d, "asset_usage").select(F.col("asset_uid").alias("uid")), at)
+        return spark.read.schema("uid string").json(at)
+
+    return through_folder(spark, "ledger", use)
 
 
 @query("""SELECT file_id, json_extract_string(j, '$.job_id') AS job FROM (SELECT file_id, TRY_CAST(body AS JSON) AS j FROM sample_files) WHERE j IS NOT NULL""")

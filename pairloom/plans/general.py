@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling
 from pairloom.functions.records import object_variant
 from pairloom.operators import compaction, drift, nested
-from pairloom.session import cut, shared_dir, table
+from pairloom.session import cut, table, through_folder
 
 CAMERAS, TRIALS, OBJECTS, CARRIED = "cameras", "edit.validity.trials", "scene.params.objects", "scene.params.objects.carried"
 
@@ -142,10 +140,14 @@ def store(spark: SparkSession, d: str, root: str) -> compaction.Compactor:
 
 def p5_written(spark: SparkSession, d: str) -> DataFrame:
     """The sample.json files compacted in storage: what each output file holds - bodies, records by key, bytes of the bodies - read back."""
-    compactor = store(spark, d, f"{shared_dir(spark)}/compaction-{uuid.uuid4().hex}")
-    if compactor.journal() is None:
-        return spark.createDataFrame([], "output_id string, n_files long, n_records long, n_bytes long")
-    return compactor.data().groupBy("output_id").agg(F.count_if(F.col("key").isNull()).alias("n_files"), F.count("key").alias("n_records"), F.sum(F.coalesce(F.octet_length("body"), F.lit(0))).alias("n_bytes"))
+
+    def use(root: str) -> DataFrame:
+        compactor = store(spark, d, root)
+        if compactor.journal() is None:
+            return spark.createDataFrame([], "output_id string, n_files long, n_records long, n_bytes long")
+        return compactor.data().groupBy("output_id").agg(F.count_if(F.col("key").isNull()).alias("n_files"), F.count("key").alias("n_records"), F.sum(F.coalesce(F.octet_length("body"), F.lit(0))).alias("n_bytes"))
+
+    return through_folder(spark, "compaction", use)
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_table, p3_found, p3_cameras, p3_trials, p3_objects, p3_carried, p5_found, p5_compacted, p5_files, p5_written)}

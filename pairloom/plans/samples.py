@@ -540,13 +540,28 @@ def asset_description(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "assets").select("uid", F.col("name").alias("description"), F.slice(tags, 1, 10).alias("tags"), "license", joined.alias("joined"), F.coalesce(F.filter(F.split(joined, ","), lambda x: x != ""), F.array().cast("array<string>")).alias("split_again"))
 
 
-@query("""SELECT uid, CASE category WHEN 'chair' THEN CAST(1.0 AS DOUBLE) WHEN 'mug' THEN 0.1 WHEN 'lamp' THEN 0.5 WHEN 'sofa' THEN 2.0 ELSE 0.3 END AS size, least(coalesce(target_size, 1.0), 1.5) / CASE WHEN coalesce(target_size, 0) = 0 THEN 0.000001 ELSE target_size END AS scale FROM assets""")
+_SIZE_SQL = "CASE category " + " ".join(f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in text.CATEGORY_SIZES.items()) + " ELSE 0.3 END"
+
+
+@query(f"""SELECT uid, {_SIZE_SQL} AS size, 0.3::DOUBLE AS plain_size, least(coalesce(target_size, 1.0), 1.5) / CASE WHEN coalesce(target_size, 0) = 0 THEN 0.000001 ELSE target_size END AS scale,
+{_SIZE_SQL} / CASE WHEN coalesce(target_size, 0) = 0 THEN 1.0 ELSE target_size END AS fit FROM assets""")
 def category_size(spark: SparkSession, d: str) -> DataFrame:
-    """The target size by category (a parameter), and the scale that matches it."""
+    """The target size by category or without a map, the scale that matches another object's size, and the one that fits the target; no size counts as one metre."""
     from pairloom.functions.geometry import match_scale
 
-    sizes = F.create_map(*[F.lit(x) for kv in {"chair": 1.0, "mug": 0.1, "lamp": 0.5, "sofa": 2.0}.items() for x in kv])
-    return table(spark, d, "assets").select("uid", F.coalesce(sizes[F.col("category")], F.lit(0.3)).alias("size"), match_scale(F.coalesce("target_size", F.lit(1.0)), F.coalesce("target_size", F.lit(0.0))).alias("scale"))
+    size, longest = text.category_size("category", 0.3, text.CATEGORY_SIZES), F.coalesce(F.nullif("target_size", F.lit(0.0)), F.lit(1.0))
+    return table(spark, d, "assets").select("uid", size.alias("size"), text.category_size("category", 0.3).alias("plain_size"), match_scale(F.coalesce("target_size", F.lit(1.0)), F.coalesce("target_size", F.lit(0.0))).alias("scale"), (size / longest).alias("fit"))
+
+
+@query("""SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'cube' WHEN 1 THEN 'ball' WHEN 2 THEN 'can' WHEN 3 THEN 'cone' WHEN 4 THEN 'head' ELSE 'object' END AS primitive, CASE WHEN p_size % 3 = 0 THEN 'coffee_table' WHEN p_size % 3 = 1 THEN 'bed' ELSE 'object' END AS noun,
+CASE WHEN p_size % 3 = 0 THEN 'coffee table' WHEN p_size % 2 = 0 THEN 'night stand' WHEN p_size % 3 = 1 THEN 'bed' END AS support FROM part""")
+def object_names(spark: SparkSession, d: str) -> DataFrame:
+    """Nouns of objects, of what carries them, and of primitives."""
+    n = F.col("p_size")
+    uid = F.concat(F.lit("prim_"), F.element_at(F.array(*map(F.lit, [*text.PRIMITIVES, "TORUS"])), (n % 6 + 1).cast("int")))
+    noun = F.when(n % 3 == 0, "coffee_table").when(n % 3 == 1, "bed")
+    category = F.when(n % 3 == 0, "").when(n % 2 == 0, "night_stand").otherwise("object")
+    return table(spark, d, "part").select("p_partkey", text.primitive_noun(uid).alias("primitive"), text.object_noun(noun, F.lit("")).alias("noun"), text.support_noun(noun, category).alias("support"))
 
 
 @query(f"SELECT file_id, folder, key, after FROM {_LANDED} WHERE key IN (SELECT key FROM samples)")

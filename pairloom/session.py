@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -61,5 +64,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def through_folder(spark: SparkSession, name: str, use: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``use`` gives for a folder of its own in the shared folder, computed; the folder is removed afterwards."""
+    at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        return cut(use(at))
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def package_root() -> str:
     return os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

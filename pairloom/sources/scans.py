@@ -8,10 +8,11 @@ import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.records import object_variant
+from pairloom.session import cut
 
 
 def sample_views(spark: SparkSession, raw: str, complete: bool = True) -> DataFrame:
@@ -21,7 +22,7 @@ def sample_views(spark: SparkSession, raw: str, complete: bool = True) -> DataFr
     the folder (names only, the images are not read). A record without an operation has a key without one.
     """
     read = spark.read.option("wholetext", True).text(f"{raw}/*/sample.json").select(F.regexp_extract(F.input_file_name(), "([^/]+)/sample.json$", 1).alias("job_dir"), "value")
-    v = read.select("job_dir", F.col("value").alias("record"), object_variant("value").alias("v")).where("v is not null")
+    v = read.select("job_dir", F.col("value").alias("record"), object_variant("value", wrapped=False).alias("v")).where("v is not null")
     get = lambda at, p, k="string": F.try_variant_get(at, p, k)
     e = v.select("job_dir", "record", "v", F.explode(get("v", "$.views", "array<variant>")).alias("w"))
     op = F.nullif(F.replace(get("v", "$.edit.op"), F.lit("object_"), F.lit("")), F.lit(""))
@@ -39,6 +40,30 @@ def first_views(views: DataFrame) -> DataFrame:
     return views.groupBy("job_dir").agg(F.min_by(F.struct("key", "view", "before", "after", "record"), "before").alias("r")).select("job_dir", "r.*")
 
 
+#: The first bytes of a PNG file.
+PNG = bytes([0x89, 0x50, 0x4E, 0x47, 0x0D, 0x0A, 0x1A, 0x0A])
+
+
+def first_images(spark: SparkSession, raw: str) -> DataFrame:
+    """job_dir, record, before, after: job folders with a readable record, by their first images by name, where both are PNG files."""
+    read = spark.read.option("wholetext", True).text(f"{raw}/*/sample.json").select(F.regexp_extract(F.input_file_name(), "([^/]+)/sample.json$", 1).alias("job_dir"), F.col("value").alias("record"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").option("recursiveFileLookup", True).load(raw)
+    image = files.select(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("job_dir"), F.regexp_extract("path", "([^/]+)$", 1).alias("name"), (F.substring("content", 1, 8) == F.lit(PNG)).alias("whole"))
+    side = lambda s: F.min(F.when(F.startswith("name", F.lit(s + "_")), F.struct("name", "whole"))).alias(s)
+    firsts = image.groupBy("job_dir").agg(side("before"), side("after")).where("before.whole and after.whole")
+    readable = read.where(object_variant("record", wrapped=False).isNotNull())
+    return readable.join(firsts, "job_dir").select("job_dir", "record", F.col("before.name").alias("before"), F.col("after.name").alias("after"))
+
+
+def first_existing(df: DataFrame, candidates: Column, listing: DataFrame, path: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the first of its candidate paths (an array) that the listing has, else null."""
+    numbered = df.withColumn("__pl_id", F.monotonically_increasing_id())
+    numbered = cut(numbered)  # the numbers must stay as they are
+    each = numbered.select("__pl_id", F.posexplode(candidates).alias("__pl_rank", "__pl_path"))
+    there = each.join(listing.select(F.col(path).alias("__pl_path")).distinct(), "__pl_path").groupBy("__pl_id").agg(F.min_by("__pl_path", "__pl_rank").alias(name))
+    return numbered.join(there, "__pl_id", "left").drop("__pl_id")
+
+
 def uid_list(spark: SparkSession, path: str) -> DataFrame:
     """uid: the lines of a text file, trimmed, blank ones skipped; a missing file is an empty list."""
     try:

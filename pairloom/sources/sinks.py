@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
-import os
+import re
 import tarfile
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,31 +34,52 @@ def shard_names(df: DataFrame, key: str, size: int) -> DataFrame:
     return ordinal(df, [key], "__pl_place").withColumn("shard", F.format_string("edit-%06d.tar", F.floor(F.col("__pl_place") / size))).drop("__pl_place")
 
 
-def pack(df: DataFrame, key: str, body: str, path: str, size: int = 1000) -> DataFrame:
-    """Tar shards of ``size`` records in ``path`` (a folder all tasks can write); returns key -> shard.
+def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder that all tasks can write, and the folder's path in it: local, hdfs://, s3a:// and what else Arrow knows."""
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri.removeprefix("file:")
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
+
+
+def put(uri: str, name: str, content: bytes) -> None:
+    """One whole file: written under a name of its own and then renamed, so that a task that runs twice leaves one."""
+    system, root = filesystem(uri)
+    path = f"{root}/{name}"
+    folder, _, last = path.rpartition("/")
+    system.create_dir(folder, recursive=True)
+    partial = f"{folder}/.{last}.{uuid.uuid4().hex}"
+    with system.open_output_stream(partial) as f:
+        f.write(content)
+    system.move(partial, path)
+
+
+def write_files(df: DataFrame, name: str, content: str, root: str) -> int:
+    """A file of each row's content (text or bytes; null is empty) by its name below ``root``; returns how many were written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                put(root, n, x.encode("utf-8", "surrogatepass") if isinstance(x, str) else x or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    return df.where(F.col(name).isNotNull()).select(name, content).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-    A shard is one task's work of bounded size. It is written under a name of its own and then renamed, so a task that
-    runs twice leaves one whole shard.
-    """
+
+def pack(df: DataFrame, key: str, body: str, path: str, size: int = 1000) -> DataFrame:
+    """Tar shards of ``size`` records in ``path`` (a folder all tasks can write); returns key -> shard. A shard is one task's work of bounded size."""
     named = shard_names(df.select(key, body), key, size)
-    folder = path.removeprefix("file://").removeprefix("file:")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.makedirs(folder, exist_ok=True)
         open_: str | None = None
         tar = out = None
 
         def close() -> None:
             if tar is not None:
                 tar.close()
-                partial = os.path.join(folder, f".{open_}.{os.getpid()}")
-                with open(partial, "wb") as f:
-                    f.write(out.getvalue())
-                os.replace(partial, os.path.join(folder, open_))
+                put(path, open_, out.getvalue())
 
         for b in batches:
-            keys, bodies, shards = (b.column(i).to_pylist() for i in range(3))
-            for k, text, shard in zip(keys, bodies, shards):
+            for k, text, shard in zip(*(b.column(i).to_pylist() for i in range(3))):
                 if shard != open_:
                     close()
                     open_, out = shard, io.BytesIO()
@@ -89,21 +112,35 @@ def save_ledger(uids: DataFrame, path: str, key: str = "uid") -> None:
     uids.select(key).where(F.col(key).isNotNull()).distinct().sort(key).write.mode("overwrite").json(path)
 
 
-def page(rows: DataFrame, columns: Sequence[str], title: str, limit: int = 500) -> str:
-    """An HTML page of the first ``limit`` rows; the cells are escaped by the engine."""
-    cells = [html_escape(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in columns]
-    body = "".join("<tr>" + "".join(f"<td>{r[c]}</td>" for c in columns) + "</tr>\n" for r in rows.select(*cells).limit(limit).collect())
+def table_rows(columns: Sequence[str], images: Sequence[str] = ()) -> Column:
+    """A row of an HTML table; the cells are escaped by the engine, those of ``images`` are paths shown as images."""
+    text = {c: html_escape(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns}
+    cell = {c: F.concat(F.lit('<img src="'), F.replace(x, F.lit('"'), F.lit("&quot;")), F.lit('">')) if c in images else x for c, x in text.items()}
+    return F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), cell[c], F.lit("</td>")) for c in columns], F.lit("</tr>"))
+
+
+def _page(title: str, columns: Sequence[str], body: Column) -> Column:
     head = "".join(f"<th>{c}</th>" for c in columns)
-    return f"<!doctype html><meta charset='utf-8'><title>{title}</title><h1>{title}</h1><table><tr>{head}</tr>\n{body}</table>"
+    return F.concat(F.lit(f"<!doctype html><meta charset='utf-8'><title>{title}</title><h1>{title}</h1><table><tr>{head}</tr>\n"), body, F.lit("\n</table>\n"))
 
 
-def card(title: str, totals: DataFrame, by_op: DataFrame, licenses: DataFrame) -> str:
-    """A dataset card in Markdown from three small tables of statistics."""
-    t = totals.first()
-    lines = ["---", f"size_categories: [{t['size_bucket']}]", "---", f"# {title}", "", f"{t['total']} pairs over {t['n_scenes']} scenes.", "", "| operation | pairs |", "|-|-|"]
-    lines += [f"| {r['edit_op'] or '?'} | {r['n']} |" for r in by_op.orderBy(F.desc("n"), "edit_op").collect()]
-    lines += ["", "Licences: " + ", ".join(sorted(r["value"] for r in licenses.where("what = 'license'").collect()))]
-    lines += ["Pipeline versions: " + ", ".join(sorted(r["value"] for r in licenses.where("what = 'version'").collect()))]
-    return "\n".join(lines) + "\n"
+def write_pages(rows: DataFrame, order: Sequence[str], columns: Sequence[str], title: str, root: str, images: Sequence[str] = (), per_page: int = 500) -> int:
+    """All rows of a report in their order as HTML pages page-000000.html, ... of so many rows each; returns how many pages."""
+    placed = ordinal(rows, order, "__pl_place").select(F.floor(F.col("__pl_place") / per_page).alias("page"), "__pl_place", table_rows(columns, images).alias("row"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__pl_place", "row"))), lambda x: x["row"]), "\n")
+    pages = placed.groupBy("page").agg(_page(title, columns, body).alias("html"))  # per_page rows each
+    return write_files(pages.select(F.format_string("page-%06d.html", "page").alias("name"), "html"), "name", "html", root)
 
 
+def card(title: str, totals: DataFrame, by_op: DataFrame, by_source: DataFrame, licenses: DataFrame) -> str:
+    """A dataset card in Markdown from four small tables of statistics."""
+    t = totals.first()
+    terms = {what: sorted(r["value"] for r in licenses.where(F.col("what") == what).collect()) for what in ("license", "version")}
+    ops = by_op.orderBy(F.desc("n"), "edit_op").collect()
+    sources = ", ".join(f"{r['source'] or '?'} ({r['n']})" for r in by_source.orderBy(F.desc("n"), "source").collect())
+    lines = ["---", "license: other", "task_categories:", "- image-to-image", "tags:", "- image-editing", "- instruction-guided", "- synthetic", "size_categories:", f"- {t['size_bucket']}", "---", f"# {title}", ""]
+    lines += [f"{t['total']} pairs over {t['n_scenes']} scenes; sources: {sources}.", f"Pipeline versions: {', '.join(terms['version']) or 'n/a'}", ""]
+    lines += ["## Files", "", "Shards `edit-{shard:06d}.tar`; of each pair `<key>.before.png`, `<key>.after.png` and `<key>.json` (instruction, edit, cameras, subject, provenance).", ""]
+    lines += ["## Operations", "", "| operation | pairs |", "|-|-|", *(f"| {r['edit_op'] or '?'} | {r['n']} |" for r in ops), ""]
+    lines += ["## Licences", "", *(f"- {x}" for x in terms["license"] or ["see the provenance of each pair"])]
+    return "\n".join(lines) + "\n"

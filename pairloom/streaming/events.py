@@ -7,7 +7,6 @@ none counts twice.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from pairloom.session import shared_dir
+from pairloom.session import through_folder
 
 
 def event_stream(spark: SparkSession, sf_dir: str, name: str = "events", ts: str = "ts", files_per_batch: int | None = None) -> DataFrame:
@@ -32,8 +31,11 @@ def event_stream(spark: SparkSession, sf_dir: str, name: str = "events", ts: str
 
 def collect_stream(df: DataFrame, mode: str = "append") -> DataFrame:
     """The rows of a streaming query over all its input: of every batch, in ``complete`` mode of the last one."""
+    return through_folder(df.sparkSession, "stream", lambda at: _collected(df, mode, at))
+
+
+def _collected(df: DataFrame, mode: str, at: str) -> DataFrame:
     spark = df.sparkSession
-    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{at}/rows/batch={number}")

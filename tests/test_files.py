@@ -5,7 +5,7 @@ import tarfile
 
 from pyspark.sql import functions as F
 
-from pairloom.plans import samples
+from pairloom.plans import files
 from pairloom.sources import scans, sinks
 
 
@@ -74,12 +74,23 @@ def test_paired_is_as_long_as_the_shorter(spark):
     assert [tuple(p) for p in df.select(sinks.paired("b", "a")).first()[0]] == [("a", "x"), ("b", "y")]
 
 
-def test_page_and_card(spark, sf):
-    df = spark.createDataFrame([("<b>", 1)], "t string, n int")
-    assert "<td>&lt;b&gt;</td><td>1</td>" in sinks.page(df, ["t", "n"], "x")
-    by_op = samples.dataset_stats_by_op(spark, sf)
-    card = sinks.card("Pairs", samples.stats_total(spark, sf), by_op, samples.stats_licenses(spark, sf))
-    assert card.startswith("---\nsize_categories:") and "| object_add |" in card and "0.10.0" in card
+def test_pages_and_card(spark, sf, tmp_path):
+    df = spark.createDataFrame([("<b>", i, 'x"y.png') for i in range(1201)], "t string, n int, i string")
+    assert sinks.write_pages(df, ["n"], ["t", "n", "i"], "x", str(tmp_path / "r"), images=["i"]) == 3
+    pages = [(tmp_path / "r" / f"page-{k:06d}.html").read_text() for k in range(3)]
+    assert [p.count("<tr><td>") for p in pages] == [500, 500, 201] and '<td>&lt;b&gt;</td><td>0</td><td><img src="x&quot;y.png"></td>' in pages[0]
+    card = [r.text for r in files.dataset_card(spark, sf).orderBy("line").collect()]
+    assert card[0] == "---" and any(x.startswith("| object_add |") for x in card) and any("0.10.0" in x for x in card) and "## Licences" in card
+
+
+def test_files_and_candidates(spark, tmp_path, rows):
+    df = spark.createDataFrame([("a/x.json", "1"), ("b/y.json", None), (None, "z")], "n string, c string")
+    for _ in range(2):
+        assert sinks.write_files(df, "n", "c", f"file://{tmp_path}") == 2
+    assert (tmp_path / "a" / "x.json").read_text() == "1" and (tmp_path / "b" / "y.json").read_text() == "" and len(list(tmp_path.rglob("*.json*"))) == 2
+    listing = spark.createDataFrame([("q",), ("r",), ("q",)], "f string")
+    t = spark.createDataFrame([(1, ["p", "r", "q"]), (2, ["p"]), (3, [])], "i int, c array<string>")
+    assert rows(scans.first_existing(t, F.col("c"), listing, "f", "found").select("i", "found")) == [(1, "r"), (2, None), (3, None)]
 
 
 def test_progress_and_splits(spark, tmp_path):
