@@ -102,18 +102,23 @@ class Deficits:
         self.takes = {k: (np.flatnonzero(m), weights[m] / weights[m].sum()) for k, m in masks.items()}
 
     def draw(self, kind: str | None = None) -> str | None:
-        """The next option; None if the kind takes none."""
+        """The next option, counted; None if the kind takes none."""
+        k = self.choose(kind)
+        if k is None:
+            return None
+        self.made[k] += 1
+        return self.names[k]
+
+    def choose(self, kind: str | None = None) -> int | None:
+        """The place of the next option, not counted."""
         at, share = self.takes.get(kind) or self.takes[None]
         if not len(at):
             return None
         lack = np.maximum(share * (self.made[at].sum() + 1) - self.made[at], 0) + self.extra
         if self.chance is None:
-            k = at[lack.argmax()]
-        else:
-            upto = np.cumsum(lack if lack.sum() > 1e-9 else share)
-            k = at[min(np.searchsorted(upto, self.chance.random() * upto[-1], side="right"), len(at) - 1)]
-        self.made[k] += 1
-        return self.names[k]
+            return at[lack.argmax()]
+        upto = np.cumsum(lack if lack.sum() > 1e-9 else share)
+        return at[min(np.searchsorted(upto, self.chance.random() * upto[-1], side="right"), len(at) - 1)]
 
 
 def cycle(options: Options) -> list[str]:
@@ -163,6 +168,40 @@ def deficit_sampling(
     return rows.repartition("__pl_g").sortWithinPartitions("__pl_g", order).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keep) + f", {name} string")
 
 
+def amortised(df: DataFrame, job: str, order: str, subject: str, ok: str, options: Options, pairs: int = 12, tries: int = 4, seed: int = 0, extra: float = 0.05) -> DataFrame:
+    """job, slot, attempt, op, subject: what each job makes in at most ``pairs`` slots of at most ``tries`` attempts.
+
+    An attempt takes the job's next row and an operation by deficit. It makes a pair if the row is ``ok`` and the job has
+    not had this operation on this subject; a slot whose attempts are used up stays empty. The state (counts, what was
+    seen) is the job's own and goes with it through one task, which reads the job as a stream.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, draws, seen, slot, attempt = object(), None, set(), 0, 0
+        for b in batches:
+            out = []
+            for j, s, good in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if j != now:
+                    now, draws, seen, slot, attempt = j, Deficits(options, [seed, zlib.crc32(str(j).encode())], extra), set(), 0, 0
+                if slot >= pairs:
+                    continue
+                k = draws.choose()
+                made = bool(good) and k is not None and (k, s) not in seen
+                if made:
+                    seen.add((k, s))
+                    draws.made[k] += 1
+                    out.append((j, slot, attempt, draws.names[k], s))
+                attempt += 1
+                if made or attempt == tries:
+                    slot, attempt = slot + 1, 0
+            types = (b.column(0).type, pa.int32(), pa.int32(), pa.string(), b.column(1).type)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=["job", "slot", "attempt", "op", "subject"])
+
+    rows = df.where(F.col(job).isNotNull()).repartition(job).sortWithinPartitions(job, order).select(job, subject, ok)
+    return rows.mapInArrow(run, f"job {kinds[job]}, slot int, attempt int, op string, subject {kinds[subject]}")
+
+
 def first_valid(df: DataFrame, keys: Sequence[str], attempt: str, ok: Column, most: int = 30) -> DataFrame:
     """keys, ok, n_tries: the first of at most ``most`` attempts that passes, or all tried in vain. One aggregate, no order."""
     tried = df.where(F.col(attempt) <= most)

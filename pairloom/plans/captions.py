@@ -13,7 +13,7 @@ from pairloom.functions import captions, geometry, images, instructions, spellin
 from pairloom.functions.records import object_variant
 from pairloom.operators import sampling
 from pairloom.operators.rank import md5_uniform
-from pairloom.plans.registry import query, record_sql
+from pairloom.plans.registry import ORACLES, query, record_sql
 from pairloom.session import table
 from pairloom.streaming import tasks
 
@@ -114,13 +114,18 @@ _ESCAPED = r"regexp_replace({x}, '([^\w\s])', '\\\1', 'g')"
 _TURN_SQL = ", ".join(f"CASE WHEN op = 'object_rotate' AND turn = '{w}' AND regexp_matches(c, '{o}') AND NOT regexp_matches(c, '{p}') THEN '{why}' END" for w, p, o, why in (("clockwise", text.CLOCKWISE, text.COUNTER, "rotate: 应顺时针却说逆时针"), ("counterclockwise", text.COUNTER, text.CLOCKWISE, "rotate: 应逆时针却说顺时针")))
 
 
-@query(f"""SELECT row_id, CASE WHEN length(c) < 2 THEN 'empty caption' ELSE array_to_string(list_filter([{_FORBID_SQL}, {_DIR_SQL},
+def _faults_sql(caption: str, rec: str) -> str:
+    """SQL: row_id and the faults of each caption."""
+    return f"""SELECT row_id, CASE WHEN length(c) < 2 THEN 'empty caption' ELSE array_to_string(list_filter([{_FORBID_SQL}, {_DIR_SQL},
 CASE WHEN op = 'object_scale' AND sd = 'bigger' AND regexp_matches(c, '{text.SMALLER}') AND NOT regexp_matches(c, '{text.BIGGER}') THEN 'scale: 应放大却说缩小' END,
 CASE WHEN op = 'object_scale' AND sd = 'smaller' AND regexp_matches(c, '{text.BIGGER}') AND NOT regexp_matches(c, '{text.SMALLER}') THEN 'scale: 应缩小却说放大' END, {_TURN_SQL},
 CASE WHEN op = 'object_replace' AND regexp_matches(c, '(remove|delete|get rid of|删掉|移除).*' || {_ESCAPED.format(x="lower(nullif(json_extract_string(j, '$.edit.to.category'), ''))")}) THEN 'replace: 把新物体说成被删掉' END], lambda x: x IS NOT NULL), '|') END AS faults
-FROM (SELECT row_id, j, op, lower(trim({_CAPTION_SQL})) AS c, CASE WHEN f > 1 THEN 'bigger' WHEN f IS NOT NULL THEN 'smaller' END AS sd, json_extract_string(j, '$.edit.turn_direction') AS turn,
+FROM (SELECT row_id, j, op, lower(trim({caption})) AS c, CASE WHEN f > 1 THEN 'bigger' WHEN f IS NOT NULL THEN 'smaller' END AS sd, json_extract_string(j, '$.edit.turn_direction') AS turn,
  CASE WHEN op = 'object_move' THEN coalesce(TRY_CAST(json_extract(j, '$.edit.semantic_direction') AS VARCHAR[]), string_split_regex(json_extract_string(j, '$.edit.semantic_direction'), '[,\\s]+')) END AS words
- FROM (SELECT *, json_extract_string(j, '$.edit.op') AS op, TRY_CAST(json_extract_string(j, '$.edit.factor') AS DOUBLE) AS f FROM {_REC} WHERE json_type(j) = 'OBJECT'))""")
+ FROM (SELECT *, json_extract_string(j, '$.edit.op') AS op, TRY_CAST(json_extract_string(j, '$.edit.factor') AS DOUBLE) AS f FROM {rec} WHERE json_type(j) = 'OBJECT'))"""
+
+
+@query(_faults_sql(_CAPTION_SQL, _REC))
 def caption_verify(spark: SparkSession, d: str) -> DataFrame:
     """Captions of all operations that contradict the facts of their edit."""
     caption = F.expr(_CAPTION_SQL.replace("instruction", "base_instruction"))
@@ -185,19 +190,24 @@ def caption_templates(spark: SparkSession, d: str) -> DataFrame:
     return captions.fill(_styled(facts(spark, d)), md5_uniform(F.col("row_id"), 11)).select("row_id", "style", "lang", "caption")
 
 
-@query()
+_CAPTIONED = f"(SELECT r.*, t.caption, t.style, t.lang FROM {_REC} r JOIN ({ORACLES['caption_templates']}) t USING (row_id))"
+_CHECKED = f"(SELECT row_id, caption, style, lang, coalesce(instruction, '') AS base, json_extract_string(j, '$.edit.op') AS op, faults FROM {_CAPTIONED} JOIN ({_faults_sql('caption', _CAPTIONED)}) USING (row_id))"
+
+
+@query(f"SELECT row_id, op, style, lang, caption, faults FROM {_CHECKED}")
 def caption_all(spark: SparkSession, d: str) -> DataFrame:
     """Captions of every operation, style and language, with what contradicts the facts."""
     return _captioned(spark, d).select("row_id", "op", "style", "lang", "caption", F.concat_ws("|", "faults").alias("faults"))
 
 
-@query()
+@query(f"SELECT style, lang, count(*) AS n, CAST(count(*) FILTER (WHERE faults = '') AS BIGINT) AS verified, CAST(count(*) FILTER (WHERE faults <> '') AS BIGINT) AS fallback FROM {_CHECKED} GROUP BY style, lang")
 def caption_summary(spark: SparkSession, d: str) -> DataFrame:
     """Captions by style and language, how many are sound and how many fall back on the instruction."""
     return _captioned(spark, d).groupBy("style", "lang").agg(F.count("*").alias("n"), F.count_if(F.size("faults") == 0).alias("verified"), F.count_if(F.size("faults") > 0).alias("fallback"))
 
 
-@query()
+@query(f"""SELECT row_id, CASE WHEN faults = '' THEN caption ELSE base END AS caption, CASE WHEN faults = '' THEN style ELSE 'direct' END AS caption_style, CASE WHEN faults = '' THEN lang ELSE 'en' END AS caption_lang,
+CASE WHEN faults = '' THEN 'stub' ELSE 'fallback_base' END AS provider, faults = '' AS verified FROM {_CHECKED}""")
 def caption_fallback(spark: SparkSession, d: str) -> DataFrame:
     """The caption columns as they are written back: a caption with faults gives way to the instruction."""
     ok = F.size("faults") == 0
@@ -205,9 +215,6 @@ def caption_fallback(spark: SparkSession, d: str) -> DataFrame:
     return _captioned(spark, d).select("row_id", pick("caption", F.col("base_instruction")).alias("caption"), pick("style", F.lit("direct")).alias("caption_style"), pick("lang", F.lit("en")).alias("caption_lang"), F.when(ok, "stub").otherwise("fallback_base").alias("provider"), ok.alias("verified"))
 
 
-_HINT = "coalesce({0}, {1})"
-
-
 @query(f"""WITH f AS (SELECT row_id, json_extract_string(j, '$.edit.op') AS op, coalesce(nullif(json_extract_string(j, '$.edit.noun'), ''), CASE WHEN json_extract_string(j, '$.edit.op') = 'object_replace' THEN json_extract_string(j, '$.edit.from.category') END) AS noun,
  coalesce(instruction, '') AS said, CASE WHEN json_extract_string(j, '$.edit.op') = 'object_rotate' THEN json_extract_string(j, '$.edit.turn_direction') END AS turn, CASE WHEN row_id % 7 < 4 THEN 'zh' ELSE 'en' END AS lang, key, shard_path
  FROM (SELECT *, {_META} AS j FROM samples) WHERE json_type(j) = 'OBJECT'), g AS (SELECT *, CASE WHEN op IN {tuple(captions.BLOCKED)} THEN list_filter({_STYLES_SQL}, lambda s: s <> 'goal') ELSE {_STYLES_SQL} END AS styles FROM f),
@@ -349,6 +356,13 @@ def op_deficit(spark: SparkSession, d: str) -> DataFrame:
     return sampling.deficit_sampling(s, "job_id", "row_id", [("object_move", 1.0), ("object_scale", 1.0), ("object_add", 0.0)], "op", seed=5, extra=0.05)
 
 
+@query()
+def amortised_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """What each job makes in its slots, with retries, each operation on a subject once."""
+    s = table(spark, d, "samples").select(F.regexp_extract("job_id", r"(job_\d+)", 1).alias("job"), "row_id", spelling.asset_uid("subject_uid").alias("subject"), "collision_free")
+    return sampling.amortised(s, "job", "row_id", "subject", "collision_free", [("object_move", 2.0), ("object_scale", 1.0), ("object_add", 1.0)])
+
+
 #: A run as its configuration file has it.
 CONFIG = {
     "run": {"base_seed": 200, "granularity": "amortized"},

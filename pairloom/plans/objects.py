@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import geometry as g
-from pairloom.operators import spatial
+from pairloom.functions import instructions, text
+from pairloom.operators import edits, spatial
 from pairloom.operators.sampling import first_valid, ideal_or_first
 from pairloom.plans.registry import query
 from pairloom.session import table
@@ -229,3 +230,32 @@ def placement_modes(spark: SparkSession, d: str) -> DataFrame:
     modes = F.array_compact(F.array(F.lit("support_surface"), F.when(n % 2 == 0, "object_top"), F.when(n % 3 == 0, "ceiling"), F.when((n % 3 == 0) & (n % 5 < 3), "wall"), F.lit("floating")))
     hi = n * 10 - 100
     return table(spark, d, "part").select("p_partkey", modes.alias("modes"), F.greatest(F.lit(800), n * 25).alias("min_distance"), F.when(hi <= 100, F.floor((hi + 100) / 2)).otherwise(F.lit(100)).alias("safe"))
+
+
+_TOLD_SQL = "CASE WHEN phrase IN ('nearest', 'farthest') THEN phrase || ' ' || noun WHEN phrase <> '' THEN noun || ' ' || phrase ELSE noun END"
+_WALL_SQL = f"(list_contains([{', '.join(repr(w) for w in text.WALL_INTEGRATED)}], noun) OR list_has_any(string_split(noun, '_'), [{', '.join(repr(w) for w in text.WALL_INTEGRATED)}]))"
+
+
+def _patterns(case: str) -> str:
+    return "[" + ", ".join(f"'{p}'" for p in instructions.PATTERNS[case]) + f"][obj % {len(instructions.PATTERNS[case])} + 1]"
+
+
+@query(f"""WITH o AS (SELECT scene, obj, CASE WHEN p_size % 5 = 0 THEN 'tall_bookshelf' WHEN p_size % 7 = 0 THEN 'rug' ELSE category END AS noun, lo_x + hi_x AS x, abs(lo_x + hi_x) + abs(lo_y + hi_y) AS dist FROM {_DUCK_BOXES} WHERE obj % 9 <> 0),
+e AS (SELECT *, count(*) OVER w AS n, min(x) OVER w AS x0, max(x) OVER w AS x1, min(dist) OVER w AS d0, max(dist) OVER w AS d1 FROM o WINDOW w AS (PARTITION BY scene, noun)),
+f AS (SELECT *, count(*) FILTER (WHERE x = x0) OVER w AS nx0, count(*) FILTER (WHERE x = x1) OVER w AS nx1, count(*) FILTER (WHERE dist = d0) OVER w AS nd0, count(*) FILTER (WHERE dist = d1) OVER w AS nd1 FROM e WINDOW w AS (PARTITION BY scene, noun)),
+p AS (SELECT scene, obj, noun, CASE WHEN n = 1 THEN '' WHEN x = x0 AND nx0 = 1 THEN 'on the left' WHEN x = x1 AND nx1 = 1 THEN 'on the right' WHEN dist = d0 AND nd0 = 1 THEN 'nearest' WHEN dist = d1 AND nd1 = 1 THEN 'farthest' END AS phrase FROM f),
+g AS (SELECT *, ['object_move', 'object_scale', 'object_rotate', 'object_delete', 'object_add', 'object_replace'][obj % 6 + 1] AS op FROM p),
+h AS (SELECT *, CASE WHEN op <> 'object_add' AND phrase IS NULL THEN 'ambiguous' WHEN op IN ('object_move', 'object_rotate', 'object_replace') AND {_WALL_SQL} THEN 'wall_integrated' WHEN op = 'object_replace' AND contains(noun, 'rug') THEN 'floor_cover' END AS discard FROM g)
+SELECT scene, obj, op, discard, CASE WHEN discard IS NULL THEN replace(replace(replace(replace(replace(CASE op WHEN 'object_move' THEN {_patterns('object_move')} WHEN 'object_scale' THEN CASE WHEN obj % 4 >= 2 THEN {_patterns('object_scale up')} ELSE {_patterns('object_scale down')} END
+ WHEN 'object_rotate' THEN {_patterns('object_rotate')} WHEN 'object_delete' THEN {_patterns('object_delete')} WHEN 'object_add' THEN {_patterns('object_add on a support')} ELSE {_patterns('object_replace')} END,
+ '{{ref}}', {_TOLD_SQL}), '{{noun}}', noun), '{{to}}', 'vase'), '{{support}}', 'desk'), '{{phrase}}', 'to the left') END AS instruction FROM h""")
+def edit_operators(spark: SparkSession, d: str) -> DataFrame:
+    """Every edit operator over its share of the visible objects: gates, how the subject is told apart, and the instruction."""
+    noun = F.when(F.col("p_size") % 5 == 0, "tall_bookshelf").when(F.col("p_size") % 7 == 0, "rug").otherwise(F.col("category"))
+    o = boxes(spark, d).where("obj % 9 <> 0").select("scene", "obj", noun.alias("noun"), (F.col("lo_x") + F.col("hi_x")).alias("x"), (F.abs(F.col("lo_x") + F.col("hi_x")) + F.abs(F.col("lo_y") + F.col("hi_y"))).alias("dist"))
+    told = spatial.describe_peers(o, ["scene", "noun"], "x", "dist").select("scene", "obj", "noun", F.col("noun").alias("category"), "phrase", F.lit("vase").alias("to_noun"), F.lit("desk").alias("support_noun"), F.array(F.lit("left")).alias("words"))
+    out = None
+    for k, operator in enumerate(edits.OPERATORS.values()):
+        part = operator.apply(told.where(F.col("obj") % 6 == k), F.col("obj")).select("scene", "obj", "op", "discard", "instruction")
+        out = part if out is None else out.unionByName(part)
+    return out

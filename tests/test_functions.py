@@ -310,3 +310,40 @@ def test_pipelines_agree(spark, rows):
     assert rows(a) == rows(b) and a.where("ok").count() == 10
     with pytest.raises(ValueError):
         tasks.pipeline(t, [], "other")
+
+
+def test_edit_operators(spark):
+    from pairloom.operators import edits
+
+    with pytest.raises(ValueError):
+        edits.OPERATORS["object_scale"].prepare(size=2)
+    with pytest.raises(ValueError):
+        edits.OPERATORS["object_scale"].prepare(scale_range=(2, 1))
+    scale = edits.OPERATORS["object_scale"].prepare(scale_choices=(0.5, 0.9, 1.2, 1.5, 3.0))
+    df = spark.createDataFrame([(0, "chair", "chair", "nearest"), (1, "chair", "chair", None)], "i long, noun string, category string, phrase string")
+    df = df.withColumns({"to_noun": F.lit(None).cast("string"), "support_noun": F.lit(None).cast("string"), "words": F.array(F.lit("left"))})
+    got = scale.apply(df, F.col("i")).orderBy("i").collect()
+    assert got[0].instruction == "make the nearest chair smaller" and '"factor":0.5' in got[0].meta and (got[1].discard, got[1].instruction, got[1].meta) == ("ambiguous", None, None)
+    turned = edits.OPERATORS["object_rotate"].apply(spark.range(500).select(F.col("id").alias("i"), F.lit("mug").alias("noun"), F.lit("mug").alias("category"), F.lit("").alias("phrase"), F.lit("").alias("to_noun"), F.lit("").alias("support_noun"), F.array().cast("array<string>").alias("words")), F.col("i") * 97)
+    degrees = [abs(r[0]) for r in turned.select(F.get_json_object("meta", "$.degrees").cast("double")).collect()]
+    assert 15 <= min(degrees) and max(degrees) <= 180 and max(degrees) > 150
+
+
+def test_amortised_jobs(spark):
+    rows = [("a", i, "s" if i < 20 else f"t{i}", i % 3 > 0) for i in range(60)] + [("b", i, None, False) for i in range(9)]
+    got = sampling.amortised(spark.createDataFrame(rows, "job string, row_id int, subject string, ok boolean"), "job", "row_id", "subject", "ok", [("x", 1.0), ("y", 1.0)], pairs=8, tries=4).collect()
+    assert {r.job for r in got} == {"a"} and len({(r.op, r.subject) for r in got}) == len(got) <= 8 and max(r.slot for r in got) < 8 and max(r.attempt for r in got) < 4
+
+
+def test_task_surfaces(spark, rows):
+    assert tasks.present({"a": 1, "b": None, "c": 0}) == {"a": 1, "c": 0}
+    t = spark.createDataFrame([(i, f'{{"v": {i}}}') for i in range(6)], "i int, payload string")
+
+    def odd(p):
+        if p["v"] % 2:
+            raise ValueError("odd")
+        return p
+
+    told = []
+    assert tasks.on_failure(tasks.run(t, odd, keep=["i"]), lambda r: told.append(r.i)) == 3 and sorted(told) == [1, 3, 5]
+    assert rows(tasks.stage_counts(t, [("odd", odd), ("same", lambda p: p)])) == [("odd", 6, 3), ("same", 3, 3)]
