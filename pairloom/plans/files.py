@@ -264,15 +264,15 @@ def produced_per_stage(spark: SparkSession, d: str) -> DataFrame:
 def _slow(p: dict) -> dict:
     import time
 
-    time.sleep(3 if p["v"] == 7 else 0)
+    time.sleep(6 if p["v"] == 7 else 0)
     return p
 
 
-@query("SELECT event_id, event_id <> 7 AS ok, CASE WHEN event_id = 7 THEN 'TimeoutError: more than 1.0 s' END AS error FROM events")
+@query("SELECT event_id, event_id <> 7 AS ok, CASE WHEN event_id = 7 THEN 'TimeoutError: more than 3.0 s' END AS error FROM events")
 def task_timeouts(spark: SparkSession, d: str) -> DataFrame:
     """Tasks several at once, without order; one that takes too long fails and is left behind."""
     payloads = table(spark, d, "events").select("event_id", F.to_json(F.struct(F.col("event_id").alias("v"))).alias("payload"))
-    return tasks.run(payloads, _slow, keep=["event_id"], timeout=1.0, at_once=8).select("event_id", "ok", "error")
+    return tasks.run(payloads, _slow, keep=["event_id"], timeout=3.0, at_once=8).select("event_id", "ok", "error")
 
 
 @query("SELECT event_type, count(*) AS n, max(value) - min(value) AS spread FROM events GROUP BY event_type")
