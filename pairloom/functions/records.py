@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The promotion lattice of the kinds that a leaf can have: each can be cast to any later one; ties are settled for the wider.
@@ -225,3 +225,11 @@ def object_variant(text: str | Column, wrapped: bool = True) -> Column:
     if not wrapped:
         return parsed(t)
     return F.when(t.rlike(r'^\s*"'), F.get(F.transform(F.array(record_text(t)), parsed), F.lit(0))).otherwise(parsed(t))
+
+
+def readable(df: DataFrame, text: str, *keep: str | Column) -> DataFrame:
+    """``keep`` and the record ``v`` (a variant) of the rows whose record is readable.
+
+    The rows are made from the record, not filtered by it: a filter would be pushed down and parse every text again.
+    """
+    return df.select(*keep, F.explode(F.array_compact(F.array(object_variant(text)))).alias("v"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import captions, geometry, images, instructions, spelling, text
-from pairloom.functions.records import object_variant
+from pairloom.functions.records import object_variant, readable
 from pairloom.operators import sampling
 from pairloom.operators.rank import md5_uniform
 from pairloom.plans.registry import ORACLES, query, record_sql
@@ -23,8 +23,7 @@ _REC = f"(SELECT row_id, instruction, {_META} AS j FROM samples)"
 
 def records(spark: SparkSession, d: str) -> DataFrame:
     """row_id, instruction and the record as a variant, of readable metas that are objects."""
-    v = table(spark, d, "samples").select("row_id", "instruction", object_variant("meta").alias("v"))
-    return v.where("v is not null")
+    return readable(table(spark, d, "samples"), "meta", "row_id", "instruction")
 
 
 def facts(spark: SparkSession, d: str) -> DataFrame:

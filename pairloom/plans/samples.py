@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import spelling, text
-from pairloom.functions.records import object_variant, record_text
+from pairloom.functions.records import object_variant, readable, record_text
 from pairloom.operators import gates, rank, sampling, upsert
 from pairloom.plans.registry import query, record_sql, spelled_asset_sql, spelled_scene_sql
 from pairloom.session import table
@@ -148,7 +148,7 @@ CASE WHEN json_type(j, '$.scene') = 'VARCHAR' THEN json_extract_string(j, '$.sce
 FROM (SELECT row_id, key, {_META} AS j, CASE WHEN json_type(TRY_CAST(meta AS JSON)) = 'VARCHAR' THEN json_extract_string(TRY_CAST(meta AS JSON), '$') ELSE meta END AS t FROM samples) WHERE json_type(j) = 'OBJECT'""")
 def sample_flatten(spark: SparkSession, d: str) -> DataFrame:
     """All columns of a sample out of its nested record; absent is told from null."""
-    v = _samples(spark, d).select("row_id", "key", object_variant("meta").alias("v"), record_text("meta").alias("meta")).where("v is not null")
+    v = readable(_samples(spark, d), "meta", "row_id", "key", record_text("meta").alias("meta"))
     return v.select("row_id", "key", *sample_columns(), "meta")
 
 
@@ -200,7 +200,7 @@ SELECT row_id, key, {_SPLIT} AS split, source_image, target_image, edit_instruct
 {_NUMBER.format(x='s')} AS sharpness, {_NUMBER.format(x='c')} AS change_ratio, {_DISAMBIG} AS disambiguated, meta_json FROM e LEFT JOIN i USING (key)""")
 def export_rows(spark: SparkSession, d: str) -> DataFrame:
     """The rows of the export with their images, caption before instruction, held-out scenes as validation."""
-    v = _samples(spark, d).select("row_id", "key", object_variant("meta").alias("v"), record_text("meta").alias("meta_json")).where("v is not null")
+    v = readable(_samples(spark, d), "meta", "row_id", "key", record_text("meta").alias("meta_json"))
     get = lambda p: F.try_variant_get("v", p, "string")
     said = F.coalesce(F.nullif(get("$.caption"), F.lit("")), get("$.instruction"), F.lit(""))
     rows = v.select(
@@ -397,7 +397,7 @@ def used_uids(spark: SparkSession, d: str) -> DataFrame:
 coalesce(TRY_CAST(json_extract(j, '$.provenance.assets.objaverse_uids') AS VARCHAR[]), [])), lambda x: x <> ''))) AS uids FROM (SELECT row_id, {_META} AS j FROM samples) WHERE json_type(j) = 'OBJECT'""")
 def sample_uids_union(spark: SparkSession, d: str) -> DataFrame:
     """all assets that a sample's record names, under its old and its new layout."""
-    v = _samples(spark, d).select("row_id", object_variant("meta").alias("v")).where("v is not null")
+    v = readable(_samples(spark, d), "meta", "row_id")
     many = lambda p: F.coalesce(F.try_variant_get("v", p, "array<string>"), F.array().cast("array<string>"))
     all_ = F.concat(F.array(F.try_variant_get("v", "$.subject.asset_uid", "string")), many("$.provenance.objaverse_uids"), many("$.provenance.assets.objaverse_uids"))
     return v.select("row_id", F.array_sort(F.array_distinct(F.filter(all_, lambda x: x != ""))).alias("uids"))
