@@ -6,6 +6,9 @@ spread over its cells instead of being paired with itself in one task, and no pa
 the units of the boxes, to be chosen near the usual size of an object.
 
 Boxes with a null corner touch nothing. An object never pairs with itself.
+
+The planner takes a box copied to its cells to be no larger than the box, so it would send all copies to every executor
+by way of the driver. These joins therefore sort and merge, whatever the tables' files weigh.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ def pairs(left: DataFrame, right: DataFrame, cell: int, reach: int = 0) -> DataF
     a, b = _sided(left, "a", cell, reach), _sided(right, "b", cell, 0)
     same = (a["a_scene"] == b["b_scene"]) & (a["a_x"] == b["b_x"]) & (a["a_y"] == b["b_y"])
     first = (F.col("a_x") == F.greatest("a_x0", "b_x0")) & (F.col("a_y") == F.greatest("a_y0", "b_y0"))
-    return a.join(b, same).where(first & (F.col("a") != F.col("b"))).withColumnRenamed("a_scene", "scene")
+    return a.join(b.hint("merge"), same).where(first & (F.col("a") != F.col("b"))).withColumnRenamed("a_scene", "scene")
 
 
 def _overlap(a: str, b: str, axis: str) -> Column:
