@@ -38,6 +38,25 @@ def pairs(left: DataFrame, right: DataFrame, cell: int, reach: int = 0) -> DataF
     return a.join(b.hint("merge"), same).where(first & (F.col("a") != F.col("b"))).withColumnRenamed("a_scene", "scene")
 
 
+def _centred(df: DataFrame, side: str, cell: int) -> DataFrame:
+    """Each box once, in the cell of its ground-plan centre; one without a centre is in no cell."""
+    at = lambda axis: F.floor((F.col(f"lo_{axis}") + F.col(f"hi_{axis}")) / (2 * cell)).alias(f"{side}_{axis}")
+    return df.select(F.col("scene").alias(f"{side}_scene"), F.col("obj").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in BOX], at("x"), at("y"))
+
+
+def _near(df: DataFrame, side: str, cell: int, reach: int) -> DataFrame:
+    """Each box copied to the cells that a centre at most ``reach`` from its own along each axis can be in."""
+    twice = lambda axis: F.col(f"lo_{axis}") + F.col(f"hi_{axis}")
+    cells = lambda axis: F.explode(F.sequence(F.floor((twice(axis) - 2 * reach) / (2 * cell)), F.floor((twice(axis) + 2 * reach) / (2 * cell))))
+    copies = df.where(twice("x").isNotNull() & twice("y").isNotNull()).withColumn("_x", cells("x")).withColumn("_y", cells("y"))
+    return copies.select(F.col("scene").alias(f"{side}_scene"), F.col("obj").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in BOX], F.col("_x").alias(f"{side}_x"), F.col("_y").alias(f"{side}_y"))
+
+
+def _same_cell(a: str, b: str) -> Column:
+    """Of one scene and cell, and not the same object."""
+    return (F.col(f"{a}_scene") == F.col(f"{b}_scene")) & (F.col(f"{a}_x") == F.col(f"{b}_x")) & (F.col(f"{a}_y") == F.col(f"{b}_y")) & (F.col(a) != F.col(b))
+
+
 def _overlap(a: str, b: str, axis: str) -> Column:
     return F.least(f"{a}_hi_{axis}", f"{b}_hi_{axis}") - F.greatest(f"{a}_lo_{axis}", f"{b}_lo_{axis}")
 
@@ -83,12 +102,13 @@ def supports(objects: DataFrame, cell: int, ground: int, low: int, high: int, ma
     the centres are at most ``reach`` apart; elevated if the support's own base is above ground+raised. Everything is
     compared in whole units (fives for the factor 1.4).
     """
-    p = pairs(objects, objects, cell, reach)
+    wide_cell = max(cell, 2 * reach)  # so that a support is copied to four cells at most, however far it reaches
+    p = _centred(objects, "a", wide_cell).join(_near(objects, "b", wide_cell, reach).hint("merge"), _same_cell("a", "b"))
     top = (F.col("b_hi_z") > ground + low) & (F.col("b_hi_z") <= ground + high)
     wide = lambda axis: 5 * (F.col(f"b_hi_{axis}") - F.col(f"b_lo_{axis}")) >= 7 * (F.col(f"a_hi_{axis}") - F.col(f"a_lo_{axis}")) + 10 * margin
-    apart = lambda axis: F.col(f"a_lo_{axis}") + F.col(f"a_hi_{axis}") - F.col(f"b_lo_{axis}") - F.col(f"b_hi_{axis}")
+    apart = lambda axis: (F.col(f"a_lo_{axis}") + F.col(f"a_hi_{axis}") - F.col(f"b_lo_{axis}") - F.col(f"b_hi_{axis}")).cast("double")  # whole up to 2^53 when squared
     near = apart("x") * apart("x") + apart("y") * apart("y") <= 4 * reach * reach
-    return p.where(top & wide("x") & wide("y") & near).select("scene", F.col("a").alias("obj"), F.col("b").alias("support"), (F.col("b_lo_z") > ground + raised).alias("elevated"))
+    return p.where(top & wide("x") & wide("y") & near).select(F.col("a_scene").alias("scene"), F.col("a").alias("obj"), F.col("b").alias("support"), (F.col("b_lo_z") > ground + raised).alias("elevated"))
 
 
 def describe_peers(objects: DataFrame, group: list[str], x: str, distance: str) -> DataFrame:
