@@ -57,6 +57,11 @@ def _same_cell(a: str, b: str) -> Column:
     return (F.col(f"{a}_scene") == F.col(f"{b}_scene")) & (F.col(f"{a}_x") == F.col(f"{b}_x")) & (F.col(f"{a}_y") == F.col(f"{b}_y")) & (F.col(a) != F.col(b))
 
 
+def _over(inner: DataFrame, outer: DataFrame, i: str, o: str, cell: int) -> DataFrame:
+    """Candidate pairs of an ``outer`` box (columns ``o``_...) and one of ``inner`` whose centre lies in a cell that it covers; each pair once, as a centre is in one cell."""
+    return _sided(outer, o, cell, 0).join(_centred(inner, i, cell).hint("merge"), _same_cell(i, o))
+
+
 def _overlap(a: str, b: str, axis: str) -> Column:
     return F.least(f"{a}_hi_{axis}", f"{b}_hi_{axis}") - F.greatest(f"{a}_lo_{axis}", f"{b}_lo_{axis}")
 
@@ -69,11 +74,11 @@ def _centre_inside(inner: str, outer: str) -> Column:
 
 def resting_on(objects: DataFrame, cell: int, gap: int) -> DataFrame:
     """scene, carrier, carried: bottom within ``gap`` of the carrier's top, centre over it, half of the ground plan on it."""
-    p = pairs(objects, objects, cell)
+    p = _over(objects, objects, "b", "a", cell)
     own = (F.col("b_hi_x") - F.col("b_lo_x")) * (F.col("b_hi_y") - F.col("b_lo_y"))
     shared = F.greatest(_overlap("a", "b", "x"), F.lit(0)) * F.greatest(_overlap("a", "b", "y"), F.lit(0))
     on = (F.abs(F.col("b_lo_z") - F.col("a_hi_z")) <= gap) & _centre_inside("b", "a") & (2 * shared >= own)
-    return p.where(on).select("scene", F.col("a").alias("carrier"), F.col("b").alias("carried"))
+    return p.where(on).select(F.col("a_scene").alias("scene"), F.col("a").alias("carrier"), F.col("b").alias("carried"))
 
 
 def penetration(objects: DataFrame, cell: int, skin: int) -> DataFrame:
