@@ -110,7 +110,7 @@ def reference_disambiguation(spark: SparkSession, d: str) -> DataFrame:
 def carried_follow(spark: SparkSession, d: str) -> DataFrame:
     """What is carried follows a move by 1 m, drops when its carrier goes, shrinks to half and turns by 90 degrees with it."""
     b = boxes(spark, d)
-    pose = lambda side: b.select(F.col("obj").alias(side), F.array((F.col("lo_x") + F.col("hi_x")).cast("double"), (F.col("lo_y") + F.col("hi_y")).cast("double"), F.col("lo_z").cast("double")).alias(f"{side}_at"), F.col("lo_x").alias(f"{side}_x"), F.col("lo_z").alias(f"{side}_z"))
+    pose = lambda side: b.select(F.col("obj").alias(side), F.array((F.col("lo_x") + F.col("hi_x")).cast("double"), (F.col("lo_y") + F.col("hi_y")).cast("double"), F.col("lo_z").cast("double")).alias(f"{side}_at"), F.col("lo_x").alias(f"{side}_x"), F.col("lo_z").alias(f"{side}_z")).hint("merge")
     r = spatial.resting_on(b, CELL, GAP).join(pose("carrier"), "carrier").join(pose("carried"), "carried")
     at, centre = F.col("carried_at"), F.col("carrier_at")
     whole = lambda x: F.round(x).cast("long")

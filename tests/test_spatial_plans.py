@@ -12,7 +12,7 @@ def _plan(spark, sf, name):
     return catalog.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["aabb_contacts_new", "support_candidates", "resting_on"])
+@pytest.mark.parametrize("name", ["aabb_contacts_new", "support_candidates", "resting_on", "carried_follow"])
 def test_boxes_are_not_broadcast(spark, sf, name):
     plan = _plan(spark, sf, name)
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
