@@ -82,11 +82,10 @@ def resting_on(objects: DataFrame, cell: int, gap: int) -> DataFrame:
 
 
 def penetration(objects: DataFrame, cell: int, skin: int) -> DataFrame:
-    """scene, obj, depth: how deep an object's bottom is inside the deepest object under its centre, 0 if in none."""
-    p = pairs(objects, objects, cell)
+    """scene, obj, depth: how deep an object's bottom is inside the deepest object under its centre, 0 if in none; one row per object."""
     inside = _centre_inside("a", "b") & (F.col("b_lo_z") < F.col("a_lo_z")) & (F.col("a_lo_z") < F.col("b_hi_z") - skin)
-    deep = p.where(inside).groupBy("scene", F.col("a").alias("obj")).agg(F.max(F.col("b_hi_z") - F.col("a_lo_z")).alias("depth"))
-    return objects.select("scene", "obj").join(deep, ["scene", "obj"], "left").select("scene", "obj", F.coalesce("depth", F.lit(0)).cast("long").alias("depth"))
+    p = _centred(objects, "a", cell).join(_sided(objects, "b", cell, 0).hint("merge"), _same_cell("a", "b") & inside, "left")
+    return p.groupBy(F.col("a_scene").alias("scene"), F.col("a").alias("obj")).agg(F.coalesce(F.max(F.col("b_hi_z") - F.col("a_lo_z")), F.lit(0)).cast("long").alias("depth"))
 
 
 def contacts(objects: DataFrame, cell: int) -> DataFrame:

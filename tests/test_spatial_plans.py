@@ -12,7 +12,7 @@ def _plan(spark, sf, name):
     return catalog.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["aabb_contacts_new", "support_candidates", "resting_on", "carried_follow"])
+@pytest.mark.parametrize("name", ["aabb_contacts_new", "support_candidates", "resting_on", "carried_follow", "support_penetration"])
 def test_boxes_are_not_broadcast(spark, sf, name):
     plan = _plan(spark, sf, name)
     assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
@@ -27,3 +27,9 @@ def test_a_support_is_copied_to_four_cells_at_most(spark):
     want = {(a[1], b[1]) for a in made for b in made if a[1] != b[1] and 5 * (b[1] % 3 + 1) * 400 >= 7 * (a[1] % 3 + 1) * 400 + 500 and near(a, b)}
     got = [(r.obj, r.support) for cell in (100, 1000, 50_000) for r in spatial.supports(df, cell, ground=0, low=80, high=1400, margin=50, reach=reach, raised=150).collect()]
     assert want and set(got) == want and len(got) == 3 * len(want)
+
+
+def test_penetration_has_every_object_once(spark, rows):
+    made = [(0, 1, 0, 0, 0, 1000, 1000, 300), (0, 2, 100, 100, 250, 300, 300, 400), (0, 2, 100, 100, 200, 300, 300, 400), (0, 3, None, 0, 250, 10, 10, 400), (0, 4, 100, 100, None, 300, 300, 400), (None, 5, 100, 100, 250, 300, 300, 400), (None, 5, 100, 100, 250, 300, 300, 400)]
+    got = rows(spatial.penetration(spark.createDataFrame(made, BOX), 100, 20))
+    assert got == [(0, 1, 0), (0, 2, 100), (0, 3, 0), (0, 4, 0), (None, 5, 0)]
