@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
+from py4j.protocol import Py4JJavaError
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,19 +138,57 @@ def first_candidate_path(spark: SparkSession, d: str) -> DataFrame:
     return scans.first_existing(t, places, listing, "file", "path")
 
 
+_DERBY = "org.apache.derby.jdbc.EmbeddedDriver"
+
+
+def _derby(spark: SparkSession, url: str, *statements: str) -> None:
+    """Statements run in this JVM by an embedded database, which is then shut down so that other JVMs can open it."""
+    driver = spark._jvm.org.apache.derby.jdbc.EmbeddedDriver()
+    if statements:
+        connection = driver.connect(f"{url};create=true", spark._jvm.java.util.Properties())
+        for s in statements:
+            connection.createStatement().execute(s)
+        connection.close()
+    try:
+        driver.connect(f"{url};shutdown=true", spark._jvm.java.util.Properties())
+    except Py4JJavaError as e:
+        if e.java_exception.getSQLState() != "08006":  # how it says that it has shut down
+            raise
+
+
 @query("SELECT uid, category, used_count FROM assets WHERE used_count > 3")
 def database_scan(spark: SparkSession, d: str) -> DataFrame:
     """A table over JDBC, read in parallel by ranges of a number, with filter and columns pushed down.
 
-    The database is one embedded in this JVM, so this query runs in local mode; ``scans.database`` takes any URL.
+    The database is an embedded one, which only one JVM can write: tasks write the rows as text, the driver's JVM has the
+    database import that file by file and packs it, and all executors read the pack, which needs no lock. The shared
+    folder must be one that the machines have mounted; ``scans.database`` takes any URL.
     """
-    with tempfile.TemporaryDirectory() as folder:
-        spark._jvm.System.setProperty("derby.stream.error.file", os.path.join(folder, "log"))
-        url = f"jdbc:derby:{os.path.join(folder, 'db')};create=true"
-        driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-        table(spark, d, "assets").select(F.xxhash64("uid").alias("id"), "uid", "category", "used_count").write.jdbc(url, "assets", properties=driver)
-        read = scans.database(spark, url, "assets", "id", (-(1 << 63), (1 << 63) - 1), 4, **driver)
-        return cut(read.where("used_count > 3").select("uid", "category", "used_count"))
+
+    def use(at: str) -> DataFrame:
+        system, root = sinks.filesystem(at)
+        if not isinstance(system, fs.LocalFileSystem):
+            raise RuntimeError("an embedded database needs a spark.checkpoint.dir that all machines have mounted")
+        quoted = lambda c: F.coalesce(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+        fields = [F.xxhash64("uid").cast("string"), quoted("uid"), quoted("category"), F.coalesce(F.col("used_count").cast("string"), F.lit(""))]
+        table(spark, d, "assets").select(F.concat_ws(",", *fields).alias("value")).write.text(f"{at}/rows")
+        with tempfile.TemporaryDirectory() as folder:
+            spark._jvm.System.setProperty("derby.stream.error.file", os.path.join(folder, "log"))
+            parts = sorted(f.path for f in system.get_file_info(fs.FileSelector(f"{root}/rows")) if f.path.endswith(".txt") and f.size)
+            made = os.path.join(folder, "db")
+            imports = [f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE(NULL, 'ASSETS', '{p}', NULL, NULL, 'UTF-8', 0)" for p in parts]
+            _derby(spark, f"jdbc:derby:{made}", 'CREATE TABLE ASSETS ("id" BIGINT, "uid" CLOB, "category" CLOB, "used_count" INTEGER)', *imports)
+            with zipfile.ZipFile(f"{root}/db.zip", "w", zipfile.ZIP_STORED) as pack:  # stored, so that a page is found without reading those before it
+                for at_, _, names in os.walk(made):
+                    for name in names:
+                        pack.write(os.path.join(at_, name), os.path.relpath(os.path.join(at_, name), folder))
+        url = f"jdbc:derby:jar:({root}/db.zip)db"
+        try:
+            return cut(scans.database(spark, url, "assets", "id", (-(1 << 63), (1 << 63) - 1), 4, driver=_DERBY).where("used_count > 3").select("uid", "category", "used_count"))
+        finally:
+            _derby(spark, url)
+
+    return through_folder(spark, "database", use)
 
 
 _FIRST_USE = f"(SELECT uid, min(strftime(created_at, '%Y-%m')) AS month FROM (SELECT {spelled_asset_sql('subject_uid')} AS uid, created_at FROM samples) WHERE uid IS NOT NULL AND created_at IS NOT NULL GROUP BY uid)"
