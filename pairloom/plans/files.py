@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import images, spelling
@@ -16,19 +18,45 @@ from pairloom.operators import upsert
 from pairloom.plans import samples
 from pairloom.plans.registry import query, record_sql, spelled_asset_sql
 from pairloom.plans.samples import _LANDED
-from pairloom.session import cut, table, through_folder
+from pairloom.session import cut, remove, table, through_folder
 from pairloom.sources import scans, sinks
 from pairloom.streaming import tasks
 
 
-def _job_folders(spark: SparkSession, d: str, root: str) -> None:
-    """Every landed record as a job folder f<file_id> with its sample.json and images; some images are missing, some broken."""
+#: Job folders that are there at once; more follow in waves, as a folder's directory and three files take far more room than its record.
+FOLDERS = 40_000
+
+
+def _job_folders(spark: SparkSession, d: str, root: str, chosen: Column) -> None:
+    """The chosen landed records as job folders f<file_id> with sample.json and images; some images are missing, some broken."""
     i = F.col("file_id")
-    records = table(spark, d, "sample_files").where("body is not null").select(F.format_string("f%d/sample.json", i).alias("name"), F.encode("body", "utf-8").alias("content"))
+    folder = F.format_string("f%d/", i)
+    records = table(spark, d, "sample_files").where("body is not null").where(chosen).select(folder.alias("folder"), F.lit("sample.json").alias("file"), F.encode("body", "utf-8").alias("content"))
     content = F.when(i % 11 == 0, F.lit(b"no image")).otherwise(F.lit(scans.PNG))
     sides = F.array(F.when(i % 7 != 0, F.col("before")), F.when(i % 5 != 0, F.col("after")))
-    shown = samples.landed_views(spark, d).select(i, F.explode(sides).alias("image")).where("image is not null").distinct()
-    sinks.write_files(records.unionByName(shown.select(F.concat(F.format_string("f%d/", i), "image").alias("name"), content.alias("content"))), "name", "content", root)
+    shown = samples.landed_views(spark, d).where(chosen).select(i, F.explode(sides).alias("image")).where("image is not null").distinct()
+    files = records.unionByName(shown.select(folder.alias("folder"), F.col("image").alias("file"), content.alias("content")))
+    files = files.repartition(4 * spark.sparkContext.defaultParallelism, "folder").sortWithinPartitions("folder")  # a folder is made by one task, at once
+    sinks.write_files(files.select(F.concat("folder", "file").alias("name"), "content"), "name", "content", root)
+
+
+def _through_job_folders(spark: SparkSession, d: str, scan: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``scan`` reads from all job folders, of which at most twice ``FOLDERS`` are there at once: a wave is removed while the next is written."""
+
+    def use(at: str) -> DataFrame:
+        waves = max(1, -(-table(spark, d, "sample_files").count() // FOLDERS))
+        with ThreadPoolExecutor(1) as aside:
+            removed = None
+            for k in range(waves):
+                _job_folders(spark, d, f"{at}/wave-{k}", F.pmod(F.xxhash64("file_id"), F.lit(waves)) == k)
+                scan(f"{at}/wave-{k}").write.mode("append").parquet(f"{at}/scanned")
+                if removed:
+                    removed.result()
+                removed = aside.submit(remove, spark, f"{at}/wave-{k}")
+            removed.result()
+        return spark.read.parquet(f"{at}/scanned")
+
+    return through_folder(spark, "jobs", use)
 
 
 def _file_id():
@@ -38,23 +66,13 @@ def _file_id():
 @query(f"SELECT file_id, key, before, after FROM {_LANDED} WHERE file_id % 7 <> 0 AND file_id % 5 <> 0")
 def folder_scan(spark: SparkSession, d: str) -> DataFrame:
     """Job folders written and scanned: readable records by view, only those whose two images are there."""
-
-    def use(at: str) -> DataFrame:
-        _job_folders(spark, d, at)
-        return scans.sample_views(spark, at).select(_file_id(), "key", "before", "after")
-
-    return through_folder(spark, "jobs", use)
+    return _through_job_folders(spark, d, lambda at: scans.sample_views(spark, at).select(_file_id(), "key", "before", "after"))
 
 
 @query(f"SELECT file_id, min(before) AS before, min(after) AS after FROM {_LANDED} WHERE file_id % 7 <> 0 AND file_id % 5 <> 0 AND file_id % 11 <> 0 GROUP BY file_id")
 def first_image_scan(spark: SparkSession, d: str) -> DataFrame:
     """A2: job folders by their first images, only those where both are PNG files."""
-
-    def use(at: str) -> DataFrame:
-        _job_folders(spark, d, at)
-        return scans.first_images(spark, at).select(_file_id(), "before", "after")
-
-    return through_folder(spark, "jobs", use)
+    return _through_job_folders(spark, d, lambda at: scans.first_images(spark, at).select(_file_id(), "before", "after"))
 
 
 @query("SELECT uid FROM assets")

@@ -70,8 +70,13 @@ def through_folder(spark: SparkSession, name: str, use: Callable[[str], DataFram
     try:
         return cut(use(at))
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, at)
+
+
+def remove(spark: SparkSession, at: str) -> None:
+    """Removes a folder with all it holds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def package_root() -> str:

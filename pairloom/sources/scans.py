@@ -8,31 +8,79 @@ import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.records import object_variant
 from pairloom.session import cut
+from pairloom.sources.sinks import filesystem
+
+
+#: The first bytes of a PNG file.
+PNG = bytes([0x89, 0x50, 0x4E, 0x47, 0x0D, 0x0A, 0x1A, 0x0A])
+#: Folders whose contents a task gives on at once.
+FOLDERS_AT_ONCE = 500
+
+
+def job_folders(spark: SparkSession, raw: str, heads: bool = False) -> DataFrame:
+    """job_dir, record (the text of ``raw/*/sample.json``), images (names of PNG files beside it), before, after (the first by name), whole.
+
+    One task lists the names of the folders, all tasks then open them, so the driver holds nothing of the listing and a
+    folder is opened once. Files whose names begin with . or _ are no images. ``heads``: whole tells whether the two
+    first images begin as PNG files do; else it is null. A folder that is not there is empty.
+    """
+    system, root = filesystem(raw)
+
+    def names(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [f.base_name for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.type == fs.FileType.Directory]
+        for k in range(0, len(found), 10_000):
+            yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 10_000], pa.string())], names=["job_dir"])
+
+    def read(path: str, n: int | None = None) -> bytes:
+        with system.open_input_file(path) as f:
+            return f.read(n)
+
+    def row(job_dir: str) -> tuple | None:
+        there = [f.base_name for f in system.get_file_info(fs.FileSelector(f"{root}/{job_dir}")) if f.type == fs.FileType.File]
+        if "sample.json" not in there:
+            return None
+        shown = not job_dir.startswith((".", "_"))
+        images = sorted(n for n in there if shown and n.endswith(".png") and not n.startswith((".", "_")))
+        firsts = [next((n for n in images if n.startswith(s)), None) for s in ("before_", "after_")]
+        whole = all(n is not None and read(f"{root}/{job_dir}/{n}", len(PNG)) == PNG for n in firsts) if heads else None
+        return job_dir, read(f"{root}/{job_dir}/sample.json"), images, *firsts, whole
+
+    kinds = (pa.string(), pa.binary(), pa.list_(pa.string()), pa.string(), pa.string(), pa.bool_())
+    columns = ("job_dir", "record", "images", "before", "after", "whole")
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dirs = b.column(0).to_pylist()
+            for k in range(0, len(dirs), FOLDERS_AT_ONCE):
+                rows = [r for r in map(row, dirs[k : k + FOLDERS_AT_ONCE]) if r is not None]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=list(columns))
+
+    listed = spark.range(1, numPartitions=1).mapInArrow(names, "job_dir string").repartition(4 * spark.sparkContext.defaultParallelism)
+    opened = listed.mapInArrow(contents, "job_dir string, record binary, images array<string>, before string, after string, whole boolean")
+    return opened.withColumn("record", F.col("record").cast("string"))
 
 
 def sample_views(spark: SparkSession, raw: str, complete: bool = True) -> DataFrame:
     """job_dir, key, view, before, after, record (JSON) of each view below ``raw/*/sample.json``.
 
-    Unreadable records are skipped. ``complete``: only views whose two images exist, by semi joins with the listing of
-    the folder (names only, the images are not read). A record without an operation has a key without one.
+    Unreadable records are skipped. ``complete``: only views whose two images are in the folder (names only, the images
+    are not read). A record without an operation has a key without one.
     """
-    read = spark.read.option("wholetext", True).text(f"{raw}/*/sample.json").select(F.regexp_extract(F.input_file_name(), "([^/]+)/sample.json$", 1).alias("job_dir"), "value")
-    v = read.select("job_dir", F.col("value").alias("record"), object_variant("value", wrapped=False).alias("v")).where("v is not null")
+    v = job_folders(spark, raw).select("job_dir", "record", "images", object_variant("record", wrapped=False).alias("v")).where("v is not null")
     get = lambda at, p, k="string": F.try_variant_get(at, p, k)
-    e = v.select("job_dir", "record", "v", F.explode(get("v", "$.views", "array<variant>")).alias("w"))
+    e = v.select("job_dir", "record", "images", "v", F.explode(get("v", "$.views", "array<variant>")).alias("w"))
     op = F.nullif(F.replace(get("v", "$.edit.op"), F.lit("object_"), F.lit("")), F.lit(""))
     key = F.concat(get("v", "$.job_id"), F.coalesce(F.concat(F.lit("_"), op), F.lit("")), F.lit("_v"), get("w", "$.view"))
-    out = e.select("job_dir", key.alias("key"), get("w", "$.view", "int").alias("view"), get("w", "$.before").alias("before"), get("w", "$.after").alias("after"), "record")
+    out = e.select("job_dir", key.alias("key"), get("w", "$.view", "int").alias("view"), get("w", "$.before").alias("before"), get("w", "$.after").alias("after"), "record", "images")
     if complete:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").option("recursiveFileLookup", True).load(raw).select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("file"))
-        for c in ("before", "after"):
-            out = out.join(files, F.concat_ws("/", "job_dir", c) == F.col("file"), "left_semi")
-    return out
+        out = out.where(F.array_contains("images", F.col("before")) & F.array_contains("images", F.col("after")))
+    return out.drop("images")
 
 
 def first_views(views: DataFrame) -> DataFrame:
@@ -40,19 +88,9 @@ def first_views(views: DataFrame) -> DataFrame:
     return views.groupBy("job_dir").agg(F.min_by(F.struct("key", "view", "before", "after", "record"), "before").alias("r")).select("job_dir", "r.*")
 
 
-#: The first bytes of a PNG file.
-PNG = bytes([0x89, 0x50, 0x4E, 0x47, 0x0D, 0x0A, 0x1A, 0x0A])
-
-
 def first_images(spark: SparkSession, raw: str) -> DataFrame:
     """job_dir, record, before, after: job folders with a readable record, by their first images by name, where both are PNG files."""
-    read = spark.read.option("wholetext", True).text(f"{raw}/*/sample.json").select(F.regexp_extract(F.input_file_name(), "([^/]+)/sample.json$", 1).alias("job_dir"), F.col("value").alias("record"))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.png").option("recursiveFileLookup", True).load(raw)
-    image = files.select(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("job_dir"), F.regexp_extract("path", "([^/]+)$", 1).alias("name"), (F.substring("content", 1, 8) == F.lit(PNG)).alias("whole"))
-    side = lambda s: F.min(F.when(F.startswith("name", F.lit(s + "_")), F.struct("name", "whole"))).alias(s)
-    firsts = image.groupBy("job_dir").agg(side("before"), side("after")).where("before.whole and after.whole")
-    readable = read.where(object_variant("record", wrapped=False).isNotNull())
-    return readable.join(firsts, "job_dir").select("job_dir", "record", F.col("before.name").alias("before"), F.col("after.name").alias("after"))
+    return job_folders(spark, raw, heads=True).where("whole").where(object_variant("record", wrapped=False).isNotNull()).select("job_dir", "record", "before", "after")
 
 
 def first_existing(df: DataFrame, candidates: Column, listing: DataFrame, path: str, name: str) -> DataFrame:

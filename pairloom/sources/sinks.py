@@ -41,12 +41,15 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", uri))
 
 
-def put(uri: str, name: str, content: bytes) -> None:
-    """One whole file: written under a name of its own and then renamed, so that a task that runs twice leaves one."""
+def put(uri: str, name: str, content: bytes, made: set[str] | None = None) -> None:
+    """One whole file: written under a name of its own and then renamed, so that a task that runs twice leaves one. ``made``: folders that are there."""
     system, root = filesystem(uri)
     path = f"{root}/{name}"
     folder, _, last = path.rpartition("/")
-    system.create_dir(folder, recursive=True)
+    if made is None or folder not in made:
+        system.create_dir(folder, recursive=True)
+        if made is not None:
+            made.add(folder)
     partial = f"{folder}/.{last}.{uuid.uuid4().hex}"
     with system.open_output_stream(partial) as f:
         f.write(content)
@@ -58,8 +61,9 @@ def write_files(df: DataFrame, name: str, content: str, root: str) -> int:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            made: set[str] = set()
             for n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                put(root, n, x.encode("utf-8", "surrogatepass") if isinstance(x, str) else x or b"")
+                put(root, n, x.encode("utf-8", "surrogatepass") if isinstance(x, str) else x or b"", made)
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
 
     return df.where(F.col(name).isNotNull()).select(name, content).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
