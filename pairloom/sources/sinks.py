@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import io
+import os
 import re
 import tarfile
 import uuid
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -42,14 +44,12 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def put(uri: str, name: str, content: bytes, made: set[str] | None = None) -> None:
-    """One whole file: written under a name of its own and then renamed, so that a task that runs twice leaves one. ``made``: folders that are there."""
+    """One whole file: written under a name of its own and then renamed, so that a task that runs twice leaves one. ``made``: folders below it that are there."""
     system, root = filesystem(uri)
     path = f"{root}/{name}"
     folder, _, last = path.rpartition("/")
-    if made is None or folder not in made:
+    if made is None or name.rpartition("/")[0] not in made:
         system.create_dir(folder, recursive=True)
-        if made is not None:
-            made.add(folder)
     partial = f"{folder}/.{last}.{uuid.uuid4().hex}"
     with system.open_output_stream(partial) as f:
         f.write(content)
@@ -57,13 +57,36 @@ def put(uri: str, name: str, content: bytes, made: set[str] | None = None) -> No
 
 
 def write_files(df: DataFrame, name: str, content: str, root: str) -> int:
-    """A file of each row's content (text or bytes; null is empty) by its name below ``root``; returns how many were written."""
+    """A file of each row's content (text or bytes; null is empty) by its name below ``root``; returns how many were written.
+
+    On a local file system files of a batch that have equal content are links to one file, as making a file costs far
+    more than a link. Nothing here writes into a file that is there, so no file changes with another.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, at = filesystem(root)
         for b in batches:
             made: set[str] = set()
-            for n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                put(root, n, x.encode("utf-8", "surrogatepass") if isinstance(x, str) else x or b"", made)
+            contents = [x.encode("utf-8", "surrogatepass") if isinstance(x, str) else x or b"" for x in b.column(1).to_pylist()]
+            times = Counter(contents) if isinstance(system, fs.LocalFileSystem) else {}
+            first: dict[bytes, str] = {}  # a name of each repeated content that only this task knows
+            for n, x in zip(b.column(0).to_pylist(), contents):
+                folder = n.rpartition("/")[0]
+                if folder not in made:
+                    system.create_dir(f"{at}/{folder}", recursive=True)
+                    made.add(folder)
+                if times.get(x, 1) > 1:
+                    if x not in first:
+                        put(root, hidden := f".{uuid.uuid4().hex}", x)
+                        first[x] = f"{at}/{hidden}"
+                    try:
+                        os.link(first[x], f"{at}/{n}")
+                        continue
+                    except OSError:  # it is there already, or has no room for links
+                        pass
+                put(root, n, x, made)
+            for path in first.values():
+                os.unlink(path)
             yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
 
     return df.where(F.col(name).isNotNull()).select(name, content).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -5,7 +5,7 @@ import json
 import pytest
 
 from pairloom.plans import catalog, files
-from pairloom.sources import scans
+from pairloom.sources import scans, sinks
 from tests.oracle import compare
 
 
@@ -34,3 +34,12 @@ def test_no_folders(spark, tmp_path):
 def test_in_waves(spark, sf, monkeypatch, name):
     monkeypatch.setattr(files, "FOLDERS", 50)
     compare(spark, sf, catalog.QUERIES[name], catalog.ORACLES[name])
+
+
+def test_equal_contents(spark, tmp_path):
+    made = [(f"f{i}/{n}", c) for i in range(30) for n, c in (("a", b"same"), ("b", b"same"), ("c", str(i).encode()), ("d", None))] + [("f0/a", b"other")]
+    df = spark.createDataFrame(made, "n string, c binary").coalesce(1)
+    for _ in range(2):
+        assert sinks.write_files(df, "n", "c", f"file://{tmp_path}") == 121
+    got = {str(p.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()}
+    assert got == {n: c or b"" for n, c in made}
