@@ -26,11 +26,18 @@ def test_tasks_do_not_grow_with_folders(spark, many):
     assert "Broadcast" not in views._jdf.queryExecution().executedPlan().toString() and views.count() == 350
 
 
+def test_first_images_in_few_tasks(spark, many):
+    firsts = scans.first_images(spark, many)
+    plan = firsts._jdf.queryExecution().executedPlan().toString()
+    assert firsts.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism and "Join" not in plan
+    assert firsts.count() == sum(1 for i in range(700) if i % 2 and i % 3)
+
+
 def test_no_folders(spark, tmp_path):
     assert scans.sample_views(spark, str(tmp_path)).count() == 0 and scans.first_images(spark, f"file://{tmp_path}/none").count() == 0
 
 
-@pytest.mark.parametrize("name", ["folder_scan"])
+@pytest.mark.parametrize("name", ["folder_scan", "first_image_scan"])
 def test_in_waves(spark, sf, monkeypatch, name):
     monkeypatch.setattr(files, "FOLDERS", 50)
     compare(spark, sf, catalog.QUERIES[name], catalog.ORACLES[name])
