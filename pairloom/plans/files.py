@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import images, spelling
@@ -27,33 +27,47 @@ from pairloom.streaming import tasks
 FOLDERS = 40_000
 
 
-def _job_folders(spark: SparkSession, d: str, root: str, chosen: Column) -> None:
-    """The chosen landed records as job folders f<file_id> with sample.json and images; some images are missing, some broken."""
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    """file_id, folder, file, content: the landed records as job folders f<file_id> with sample.json and images; some images are missing, some broken."""
     i = F.col("file_id")
-    folder = F.format_string("f%d/", i)
-    records = table(spark, d, "sample_files").where("body is not null").where(chosen).select(folder.alias("folder"), F.lit("sample.json").alias("file"), F.encode("body", "utf-8").alias("content"))
+    folder = F.format_string("f%d", i).alias("folder")
+    records = table(spark, d, "sample_files").where("body is not null").select(i, folder, F.lit("sample.json").alias("file"), F.encode("body", "utf-8").alias("content"))
     content = F.when(i % 11 == 0, F.lit(b"no image")).otherwise(F.lit(scans.PNG))
     sides = F.array(F.when(i % 7 != 0, F.col("before")), F.when(i % 5 != 0, F.col("after")))
-    shown = samples.landed_views(spark, d).where(chosen).select(i, F.explode(sides).alias("image")).where("image is not null").distinct()
-    files = records.unionByName(shown.select(folder.alias("folder"), F.col("image").alias("file"), content.alias("content")))
-    files = files.repartition(4 * spark.sparkContext.defaultParallelism, "folder").sortWithinPartitions("folder")  # a folder is made by one task, at once
-    sinks.write_files(files.select(F.concat("folder", "file").alias("name"), "content"), "name", "content", root)
+    shown = samples.landed_views(spark, d).select(i, F.explode(sides).alias("file")).where("file is not null")  # one that is named twice is the same file
+    return records.unionByName(shown.select(i, folder, "file", content.alias("content")))
 
 
-def _through_job_folders(spark: SparkSession, d: str, scan: Callable[[str], DataFrame]) -> DataFrame:
-    """What ``scan`` reads from all job folders, of which at most twice ``FOLDERS`` are there at once: a wave is removed while the next is written."""
+def _job_folders(files: DataFrame, root: str, old: str | None) -> list[str]:
+    """Job folders of ``files``; returns the folders that hold them. On a local file system they are made of those below ``old``, which are there no more."""
+    files = files.repartition(4 * files.sparkSession.sparkContext.defaultParallelism, "folder").sortWithinPartitions("folder")  # a folder is made by one task, at once
+    if isinstance(sinks.filesystem(root)[0], fs.LocalFileSystem):
+        return sinks.refill_folders(files, "folder", "file", "content", root, old)
+    sinks.write_files(files.select(F.concat_ws("/", "folder", "file").alias("name"), "content"), "name", "content", root)
+    return [root]
+
+
+def _through_job_folders(spark: SparkSession, d: str, scan: Callable[[list[str]], DataFrame]) -> DataFrame:
+    """What ``scan`` reads from all job folders, of which at most twice ``FOLDERS`` are there at once: the next wave is made of a wave's folders or, where that can't be, written while they are removed."""
 
     def use(at: str) -> DataFrame:
         waves = max(1, -(-table(spark, d, "sample_files").count() // FOLDERS))
+        files = _files(spark, d)
+        if waves > 1:  # parted once, so that a wave reads no other's
+            files = files.withColumn("wave", F.pmod(F.xxhash64("file_id"), F.lit(waves)))
+            files.write.partitionBy("wave").parquet(f"{at}/files")
+            files = spark.read.schema(files.schema).parquet(f"{at}/files")  # there may be none
+        local = isinstance(sinks.filesystem(at)[0], fs.LocalFileSystem)
         with ThreadPoolExecutor(1) as aside:
             removed = None
             for k in range(waves):
-                _job_folders(spark, d, f"{at}/wave-{k}", F.pmod(F.xxhash64("file_id"), F.lit(waves)) == k)
-                scan(f"{at}/wave-{k}").write.mode("append").parquet(f"{at}/scanned")
+                made = _job_folders(files.where(F.col("wave") == k) if waves > 1 else files, f"{at}/wave-{k}", f"{at}/wave-{k - 1}" if k else None)
+                scan(made).write.mode("append").parquet(f"{at}/scanned")
                 if removed:
                     removed.result()
-                removed = aside.submit(remove, spark, f"{at}/wave-{k}")
-            removed.result()
+                if not local:
+                    removed = aside.submit(remove, spark, made[0])
+            sinks.remove_folders(spark, made) if local else removed.result()
         return spark.read.parquet(f"{at}/scanned")
 
     return through_folder(spark, "jobs", use)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import json
 import tarfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs
@@ -23,25 +23,30 @@ PNG = bytes([0x89, 0x50, 0x4E, 0x47, 0x0D, 0x0A, 0x1A, 0x0A])
 FOLDERS_AT_ONCE = 500
 
 
-def job_folders(spark: SparkSession, raw: str, heads: bool = False) -> DataFrame:
+def job_folders(spark: SparkSession, raw: str | Sequence[str], heads: bool = False) -> DataFrame:
     """job_dir, record (the text of ``raw/*/sample.json``), images (names of PNG files beside it), before, after (the first by name), whole.
 
+    ``raw``: a folder of job folders, or several on one file system.
+
     One task lists the names of the folders, all tasks then open them, so the driver holds nothing of the listing and a
     folder is opened once. Files whose names begin with . or _ are no images. ``heads``: whole tells whether the two
     first images begin as PNG files do; else it is null. A folder that is not there is empty.
     """
-    system, root = filesystem(raw)
+    raws = [filesystem(r) for r in ([raw] if isinstance(raw, str) else raw)]
+    system, roots = raws[0][0], [root for _, root in raws]
 
     def names(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [f.base_name for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.type == fs.FileType.Directory]
-        for k in range(0, len(found), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(found[k : k + 10_000], pa.string())], names=["job_dir"])
+        for root in roots:
+            found = [f.base_name for f in system.get_file_info(fs.FileSelector(root, allow_not_found=True)) if f.type == fs.FileType.Directory]
+            for k in range(0, len(found), 10_000):
+                some = found[k : k + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array([root] * len(some), pa.string()), pa.array(some, pa.string())], names=["root", "job_dir"])
 
     def read(path: str, n: int | None = None) -> bytes:
         with system.open_input_file(path) as f:
             return f.read(n)
 
-    def row(job_dir: str) -> tuple | None:
+    def row(root: str, job_dir: str) -> tuple | None:
         there = [f.base_name for f in system.get_file_info(fs.FileSelector(f"{root}/{job_dir}")) if f.type == fs.FileType.File]
         if "sample.json" not in there:
             return None
@@ -56,17 +61,17 @@ def job_folders(spark: SparkSession, raw: str, heads: bool = False) -> DataFrame
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            dirs = b.column(0).to_pylist()
+            at, dirs = b.column(0).to_pylist(), b.column(1).to_pylist()
             for k in range(0, len(dirs), FOLDERS_AT_ONCE):
-                rows = [r for r in map(row, dirs[k : k + FOLDERS_AT_ONCE]) if r is not None]
+                rows = [r for r in map(row, at[k : k + FOLDERS_AT_ONCE], dirs[k : k + FOLDERS_AT_ONCE]) if r is not None]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=list(columns))
 
-    listed = spark.range(1, numPartitions=1).mapInArrow(names, "job_dir string").repartition(4 * spark.sparkContext.defaultParallelism)
+    listed = spark.range(1, numPartitions=1).mapInArrow(names, "root string, job_dir string").repartition(4 * spark.sparkContext.defaultParallelism)
     opened = listed.mapInArrow(contents, "job_dir string, record binary, images array<string>, before string, after string, whole boolean")
     return opened.withColumn("record", F.col("record").cast("string"))
 
 
-def sample_views(spark: SparkSession, raw: str, complete: bool = True) -> DataFrame:
+def sample_views(spark: SparkSession, raw: str | Sequence[str], complete: bool = True) -> DataFrame:
     """job_dir, key, view, before, after, record (JSON) of each view below ``raw/*/sample.json``.
 
     Unreadable records are skipped. ``complete``: only views whose two images are in the folder (names only, the images
@@ -88,7 +93,7 @@ def first_views(views: DataFrame) -> DataFrame:
     return views.groupBy("job_dir").agg(F.min_by(F.struct("key", "view", "before", "after", "record"), "before").alias("r")).select("job_dir", "r.*")
 
 
-def first_images(spark: SparkSession, raw: str) -> DataFrame:
+def first_images(spark: SparkSession, raw: str | Sequence[str]) -> DataFrame:
     """job_dir, record, before, after: job folders with a readable record, by their first images by name, where both are PNG files."""
     return job_folders(spark, raw, heads=True).where("whole").where(object_variant("record", wrapped=False).isNotNull()).select("job_dir", "record", "before", "after")
 

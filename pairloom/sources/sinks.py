@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import errno
+import hashlib
 import io
 import os
 import re
+import shutil
 import tarfile
 import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import html_escape
@@ -92,6 +97,101 @@ def write_files(df: DataFrame, name: str, content: str, root: str) -> int:
     return df.where(F.col(name).isNotNull()).select(name, content).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def refill_folders(df: DataFrame, folder: str, file: str, content: str, root: str, old: str | None = None, own: str = "sample.json") -> list[str]:
+    """Folders of files (content is bytes, null is empty) on a local file system; returns the folders below ``root`` that hold them, one for each task.
+
+    The rows of a folder stand side by side in one partition. Folders that an earlier call left below ``old`` are renamed
+    and refilled and are there no more: a file system takes several times as long to make and remove a folder, and longer
+    still where many files were removed a moment ago. Of each folder the file ``own`` is its own and is overwritten, all
+    others are links to one file per content. A task works in a folder of its own, which it shows when it is whole.
+    """
+    parts, before = filesystem(root)[1], filesystem(old)[1] if old else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId()
+        at = f"{parts}/.{uuid.uuid4().hex}"
+        os.makedirs(parts, exist_ok=True)
+        try:
+            os.rename(f"{before}/{place}", at) if before else os.mkdir(at)  # no other task gets it
+        except FileNotFoundError:
+            os.mkdir(at)
+        linked: dict[bytes, tuple[str, int]] = {}  # the file with this content, and its inode
+        spare: dict[str, dict[str, int]] = {}  # folders not used yet: inodes of their files, 0 for a folder
+        alike: dict[frozenset, list[str]] = {}  # those of the same files, but for their own
+        for d in os.scandir(at):
+            if d.is_dir(follow_symlinks=False):
+                spare[d.name] = {e.name: 0 if e.is_dir(follow_symlinks=False) else e.inode() for e in os.scandir(d.path)}
+                alike.setdefault(frozenset(x for x in spare[d.name].items() if x[0] != own), []).append(d.name)
+
+        def source(x: bytes) -> tuple[str, int]:
+            if x not in linked:
+                path = f"{at}/.{hashlib.sha256(x).hexdigest()}"
+                if not os.path.exists(path):
+                    with open(path, "wb") as f:
+                        f.write(x)
+                linked[x] = path, os.stat(path).st_ino
+            return linked[x]
+
+        def taken(name: str, wanted: frozenset) -> dict[str, int]:
+            """The folder ``name``, made of one that has the same files if there is one, with what is in it."""
+            if name in spare:
+                return spare.pop(name)
+            while names := alike.get(wanted):
+                if (found := names.pop()) in spare:
+                    break
+            else:
+                if not spare:
+                    os.mkdir(f"{at}/{name}")
+                    return {}
+                found = next(iter(spare))
+            os.rename(f"{at}/{found}", f"{at}/{name}")
+            return spare.pop(found)
+
+        def fill(name: str, files: dict[str, bytes]) -> None:
+            wanted = {n: source(x) for n, x in files.items() if n != own}
+            had = taken(name, frozenset((n, inode) for n, (_, inode) in wanted.items()))
+            for n, inode in had.items():
+                if n not in files or n != own and inode != wanted[n][1]:
+                    shutil.rmtree(f"{at}/{name}/{n}") if not inode else os.unlink(f"{at}/{name}/{n}")
+            for n, (path, inode) in wanted.items():
+                if had.get(n) != inode:
+                    if "/" in n:
+                        os.makedirs(f"{at}/{name}/{n.rpartition('/')[0]}", exist_ok=True)
+                    try:
+                        os.link(path, f"{at}/{name}/{n}")
+                    except FileExistsError:
+                        raise
+                    except OSError:  # no room for links
+                        shutil.copyfile(path, f"{at}/{name}/{n}")
+            if own in files:
+                f = os.open(f"{at}/{name}/{own}", os.O_WRONLY | os.O_CREAT, 0o644)
+                try:
+                    os.truncate(f, os.write(f, files[own]))  # in this order the file keeps its blocks
+                finally:
+                    os.close(f)
+
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        for name, some in groupby(rows, lambda r: r[0]):
+            fill(name, {f: x or b"" for _, f, x in some})
+        for name in spare:
+            shutil.rmtree(f"{at}/{name}")
+        try:
+            os.rename(at, f"{parts}/{place}")
+        except OSError as e:
+            if e.errno not in (errno.ENOTEMPTY, errno.EEXIST):
+                raise
+            shutil.rmtree(at)  # the task ran before, to its end
+        yield pa.RecordBatch.from_arrays([pa.array([place], pa.int64())], names=["place"])
+
+    return [f"{root}/{r[0]}" for r in df.select(folder, file, content).mapInArrow(run, "place long").collect()] or [root]
+
+
+def remove_folders(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Removes folders on a local file system, each by a task."""
+    paths = [filesystem(f)[1] for f in folders]
+    spark.sparkContext.parallelize(paths, len(paths)).foreach(lambda p: shutil.rmtree(p, ignore_errors=True))
+
+
 def pack(df: DataFrame, key: str, body: str, path: str, size: int = 1000) -> DataFrame:
     """Tar shards of ``size`` records in ``path`` (a folder all tasks can write); returns key -> shard. A shard is one task's work of bounded size."""
     named = shard_names(df.select(key, body), key, size)
